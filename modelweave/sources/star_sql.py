@@ -366,7 +366,7 @@ SELECT txn, seq, entity, true AS is_element, metaclass, property,
     WHEN property IN ('steps', 'status') THEN 'lit:Step.s0'
     WHEN property = 'cart' THEN 'par:' || CAST(k AS STRING)
     WHEN property = 'owner' THEN 'nat:0'
-    ELSE CAST(CAST(value / 2 AS DECIMAL(18,2)) AS STRING) END AS old_value,
+    ELSE CAST(CAST(value AS DECIMAL(18,2)) + 1 AS STRING) END AS old_value,
   CASE WHEN k % 7 = 0 THEN NULL
     WHEN property IN ('steps', 'status') THEN 'lit:Step.s' || CAST(k % 3 AS STRING)
     WHEN property = 'cart' AND k < 60 THEN 'par:' || CAST(k AS STRING)
