@@ -37,11 +37,11 @@ def new_folder(spark: SparkSession, label: str) -> str:
     return f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex}"
 
 
-def materialize(df: DataFrame, label: str) -> DataFrame:
+def materialize(df: DataFrame, label: str, partition_by: Sequence[str] = ()) -> DataFrame:
     """Write a table once to the shared folder and read it back: cuts lineage, survives lost executors."""
     spark = df.sparkSession
     path = new_folder(spark, label)
-    df.write.parquet(path)
+    df.write.partitionBy(*partition_by).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from modelweave.functions.scale import materialize
+from modelweave.functions.scale import lookup_join, materialize
 from modelweave.operators.errors import Result, error_rows
 
 
@@ -27,7 +27,8 @@ def resource_rows(documents: DataFrame, kind: str | None = None) -> DataFrame:
 
 def in_documents(df: DataFrame, documents: DataFrame, kind: str) -> DataFrame:
     """Rows that belong to a document of the given kind."""
-    return df.join(documents.filter(F.col("kind") == kind).select("resource"), "resource", "left_semi")
+    own = documents.filter(F.col("kind") == kind).select("resource").distinct()
+    return lookup_join(df, own, ["resource"], how="left_semi")
 
 
 def identity(elements: DataFrame) -> Result:
@@ -66,16 +67,11 @@ def package_imports(
         F.col("scope_package").alias("importer"), F.col("resource").alias("importing")
     )
     edges = imports if imported_kind is None else imports.filter(F.col("imported_kind") == imported_kind)
-    found = (
-        edges.join(own, "importer")
-        .join(
-            documents.select(
-                F.col("scope_package").alias("imported"), F.col("resource").alias("imported_resource"),
-                F.col("kind").alias("document_kind"),
-            ),
-            "imported", "left",
-        )
+    scopes = documents.select(
+        F.col("scope_package").alias("imported"), F.col("resource").alias("imported_resource"),
+        F.col("kind").alias("document_kind"),
     )
+    found = lookup_join(lookup_join(edges, own, ["importer"]), scopes, ["imported"], how="left")
     rows = found.filter(F.col("imported_resource").isNotNull())
     if imported_document_kind is not None:
         rows = rows.filter(F.col("document_kind") == imported_document_kind)
@@ -148,7 +144,7 @@ def reachable(start: DataFrame, edges: DataFrame) -> DataFrame:
     while not frontier.isEmpty():
         depth += 1
         found = (
-            edges.join(frontier.select(F.col("node").alias("src")), "src", "left_semi")
+            lookup_join(edges, frontier.select(F.col("node").alias("src")), ["src"], how="left_semi")
             .select(F.col("dst").alias("node")).distinct()
             .join(known, "node", "left_anti")
             .withColumn("depth", F.lit(depth))

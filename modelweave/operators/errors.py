@@ -9,7 +9,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from modelweave.functions.scale import HOT_ROWS, numbered
+from modelweave.functions.scale import HOT_ROWS, materialize, numbered
 from modelweave.schemas import ERRORS, struct
 
 ERROR_COLUMNS = ("resource", "element", "severity", "code", "message")
@@ -67,8 +67,11 @@ def errors_by_element(
     An element with more than ``messages_per_row`` messages gets several rows, numbered by
     ``block``, so that no text is unbounded and no message is lost.
     """
-    keyed = distinct_errors(errors).select(
-        F.coalesce("element", F.lit(root)).alias("element"), "code", "message", "resource", "severity"
+    keyed = materialize(
+        distinct_errors(errors).select(
+            F.coalesce("element", F.lit(root)).alias("element"), "code", "message", "resource", "severity"
+        ),
+        "errors",
     )
     order = [F.col(c).asc_nulls_first() for c in ("code", "message", "resource", "severity")]
     placed = numbered(keyed, ["element"], order, out="_place", hot_rows=hot_rows)

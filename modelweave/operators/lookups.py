@@ -30,14 +30,11 @@ def association_views(oriented: DataFrame, classes: DataFrame) -> DataFrame:
     def named(side: str) -> DataFrame:
         return classes.select(F.col("uuid").alias(f"{side}_class"), F.col("name").alias(f"{side}_class_name"))
 
-    return (
-        oriented.join(named("source"), "source_class")
-        .join(named("target"), "target_class")
-        .select(
-            "resource", "association", "name", "source_end", "source_name", "source_class", "source_class_name",
-            "target_end", "target_name", "target_class", "target_class_name",
-            F.col("target_is_ordered").alias("is_ordered"), F.col("target_is_composite").alias("target_composite"),
-        )
+    placed = lookup_join(lookup_join(oriented, named("source"), ["source_class"]), named("target"), ["target_class"])
+    return placed.select(
+        "resource", "association", "name", "source_end", "source_name", "source_class", "source_class_name",
+        "target_end", "target_name", "target_class", "target_class_name",
+        F.col("target_is_ordered").alias("is_ordered"), F.col("target_is_composite").alias("target_composite"),
     )
 
 
@@ -46,7 +43,10 @@ def association_view_match(features: DataFrame, classes: DataFrame, views: DataF
 
     ``source_class`` owns the feature, ``target_class`` is its type.
     """
-    named = classes.select(F.col("uuid"), F.col("name").alias("class_name"))
+
+    def named(side: str) -> DataFrame:
+        return classes.select(F.col("uuid").alias(f"{side}_type"), F.col("name").alias(f"{side}_class_name"))
+
     flags = ("is_container", "is_containment", "is_changeable", "is_derived")
     forward = features.filter(F.col("opposite").isNotNull()).select(
         F.col("uuid").alias("feature"), F.col("name").alias("target_name"), F.col("owner").alias("holder"),
@@ -56,13 +56,8 @@ def association_view_match(features: DataFrame, classes: DataFrame, views: DataF
         F.col("uuid").alias("opposite"), F.col("name").alias("source_name"), F.col("type").alias("source_type"),
         *[F.col(f).alias(f"opposite_{f}") for f in flags],
     )
-    pairs = (
-        forward.join(back, "opposite")
-        .join(named.select(F.col("uuid").alias("target_type"), F.col("class_name").alias("target_class_name")),
-              "target_type")
-        .join(named.select(F.col("uuid").alias("source_type"), F.col("class_name").alias("source_class_name")),
-              "source_type")
-    )
+    pairs = lookup_join(forward.join(back, "opposite"), named("target"), ["target_type"])
+    pairs = lookup_join(pairs, named("source"), ["source_type"])
     by = ["source_name", "source_class_name", "target_name", "target_class_name"]
     seen = views.select("association", "is_ordered", "target_composite", *by)
     return pairs.join(seen, by).select(

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from modelweave.functions.expressions import points_backwards
-from modelweave.functions.scale import numbered
+from modelweave.functions.scale import lookup_join, numbered
 from modelweave.operators.documents import in_documents
 from modelweave.operators.errors import Result, error_rows, union_all
 
@@ -88,11 +88,8 @@ def association_generalizations(
         F.col("association").alias("general"), F.col("source_end").alias("general_source_end"),
         F.col("target_end").alias("general_target_end"),
     )
-    pairs = (
-        ends.join(rel("source"), "source_end")
-        .join(general, "general_source_end")
-        .join(rel("target"), ["target_end", "general_target_end"])
-    )
+    related = lookup_join(ends.join(rel("source"), "source_end"), general, ["general_source_end"])
+    pairs = related.join(rel("target"), ["target_end", "general_target_end"])
     if relations is not None:
         pairs = pairs.filter((F.col("source_rel") == relations[0]) & (F.col("target_rel") == relations[1]))
     return pairs.select(
@@ -106,10 +103,9 @@ def metaclass_generalizations(generalizations: DataFrame, classes: DataFrame) ->
     """Parent edges between classes of the same metamodel; a parent elsewhere is not written."""
     specific = classes.select("resource", F.col("uuid").alias("specific"))
     general = classes.select("resource", F.col("uuid").alias("general"))
-    return (
-        generalizations.join(specific, "specific")
-        .join(general, ["resource", "general"], "left_semi")
-        .select("resource", "specific", "general")
+    edges = generalizations.join(specific, "specific")
+    return lookup_join(edges, general, ["resource", "general"], how="left_semi").select(
+        "resource", "specific", "general"
     )
 
 
@@ -131,7 +127,8 @@ def class_attributes(
     columns = ("resource", "owner", "uuid", "name", "type", "lower", "upper", "is_ordered", "is_derived", "index")
 
     def of_kind(places: DataFrame, kind: str) -> DataFrame:
-        return places.join(datatypes.filter(F.col("type_kind") == kind).drop("type_kind"), "type").select(*columns)
+        own = datatypes.filter(F.col("type_kind") == kind).drop("type_kind")
+        return lookup_join(places, own, ["type"]).select(*columns)
 
     parts = []
     if "atomic" in kinds:
@@ -225,7 +222,7 @@ def attribute_types(attributes: DataFrame) -> DataFrame:
 def feature_type_uuid(features: DataFrame, types: DataFrame) -> Result:
     """Type of each feature and whether it is a class or a datatype; an untyped feature is an error."""
     kinds = types.select(F.col("uuid").alias("type"), "type_kind")
-    typed = features.select("resource", F.col("uuid").alias("feature"), "type").join(kinds, "type", "left")
+    typed = lookup_join(features.select("resource", F.col("uuid").alias("feature"), "type"), kinds, ["type"], how="left")
     role = F.when(F.col("type_kind").isin("class", "stereotype"), "class").when(
         F.col("type_kind").isin(*_KIND_OF_TYPE), "datatype"
     )

@@ -43,7 +43,7 @@ def applied_profiles(profile_applications: DataFrame, documents: DataFrame) -> D
     """Applications with both ends set whose profile has a document."""
     whole = profile_applications.dropna(subset=["applying_package", "applied_profile"])
     known = documents.select(F.col("scope_package").alias("applied_profile"), F.col("resource").alias("appliedResource"))
-    return whole.join(known, "applied_profile").select(
+    return lookup_join(whole, known, ["applied_profile"]).select(
         F.col("resource").alias("applyingResource"), F.col("applying_package").alias("applyingPackage"),
         "appliedResource", F.col("applied_profile").alias("appliedProfile"),
     )

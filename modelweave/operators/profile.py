@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from modelweave.functions.scale import numbered
+from modelweave.functions.scale import lookup_join, numbered
 from modelweave.operators.documents import in_documents
 from modelweave.operators.errors import Result, error_rows
 
@@ -21,14 +21,14 @@ def _properties(features: DataFrame, stereos: DataFrame, types: DataFrame) -> Da
     """Owned properties of the stereotypes with the kind and name of their type."""
     owned = features.drop("resource").join(stereos.select("resource", F.col("uuid").alias("owner")), "owner")
     kinds = types.select(F.col("uuid").alias("type"), "type_kind", F.col("name").alias("type_name"))
-    return owned.join(kinds, "type", "left")
+    return lookup_join(owned, kinds, ["type"], how="left")
 
 
 def stereotype_extends(features: DataFrame, stereos: DataFrame, types: DataFrame, classes: DataFrame) -> Result:
     """Metaclass extended through each base property, found by type name."""
     base = _properties(features.filter("is_extension_end"), stereos, types)
     known = classes.select(F.col("name").alias("type_name"), F.col("uuid").alias("extendedMetaclass"))
-    found = base.join(known, "type_name", "left")
+    found = lookup_join(base, known, ["type_name"], how="left")
     missing = found.filter(F.col("extendedMetaclass").isNull())
     untyped = F.col("type").isNull()
     message = F.when(untyped, F.concat(F.lit("Base property without a metaclass: "), F.col("uuid"))).otherwise(
@@ -56,11 +56,9 @@ def stereotype_attributes(
     known = library_types.filter(F.col("type_kind").isin(*DATATYPES)).select(
         F.col("name").alias("type_name"), F.col("uuid").alias("library_type")
     )
-    return (
-        _properties(places, stereos, types.filter(F.col("type_kind").isin(*DATATYPES)))
-        .join(known, "type_name")
-        .select("resource", "owner", "uuid", "name", F.col("library_type").alias("type"), "lower", "upper",
-                "is_ordered", "index")
+    typed = _properties(places, stereos, types.filter(F.col("type_kind").isin(*DATATYPES)))
+    return lookup_join(typed, known, ["type_name"]).select(
+        "resource", "owner", "uuid", "name", F.col("library_type").alias("type"), "lower", "upper", "is_ordered", "index"
     )
 
 
@@ -82,7 +80,7 @@ def stereotype_metaclass_props(
         F.col("type_kind") == "class"
     )
     known = classes.select(F.col("name").alias("type_name"), F.col("uuid").alias("target"))
-    found = props.join(known, "type_name", "left")
+    found = lookup_join(props, known, ["type_name"], how="left")
     return Result(
         found.filter(F.col("target").isNotNull()).select(*_END, "target"),
         error_rows(
@@ -98,7 +96,7 @@ def stereotype_stereotype_props(features: DataFrame, stereos: DataFrame, types:
     """Properties typed by a stereotype of the same profile."""
     props = _properties(features.filter("NOT is_derived"), stereos, types).filter(F.col("type_kind") == "stereotype")
     same = stereos.select("resource", F.col("uuid").alias("type"))
-    return props.join(same, ["resource", "type"], "left_semi").select(*_END, F.col("type").alias("target"))
+    return lookup_join(props, same, ["resource", "type"], how="left_semi").select(*_END, F.col("type").alias("target"))
 
 
 def metaclass_property_table(props: DataFrame) -> DataFrame:
@@ -115,9 +113,8 @@ def stereotype_generalizations(
     generalizations: DataFrame, stereos: DataFrame, all_stereotypes: DataFrame, legacy_swap: bool = False
 ) -> DataFrame:
     """Parent edges of the stereotypes; ``legacy_swap`` writes child and parent the wrong way round."""
-    edges = generalizations.join(
-        stereos.select("resource", F.col("uuid").alias("specific")), "specific"
-    ).join(all_stereotypes.select(F.col("uuid").alias("general")), "general", "left_semi")
+    edges = generalizations.join(stereos.select("resource", F.col("uuid").alias("specific")), "specific")
+    edges = lookup_join(edges, all_stereotypes.select(F.col("uuid").alias("general")), ["general"], how="left_semi")
     child, parent = ("general", "specific") if legacy_swap else ("specific", "general")
     return edges.select("resource", F.col("specific").alias(child), F.col("general").alias(parent))
 

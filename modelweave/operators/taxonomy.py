@@ -53,9 +53,8 @@ def taxonomy(classes: DataFrame, generalizations: DataFrame) -> DataFrame:
     described = levels.join(
         names.select(F.col("uuid").alias("supertype"), F.col("name").alias("supertype_name")), "supertype"
     )
-    return pairs.join(described, "supertype").join(
-        names.select(F.col("uuid").alias("metaclass"), F.col("name").alias("metaclass_name")), "metaclass"
-    )
+    subtypes = names.select(F.col("uuid").alias("metaclass"), F.col("name").alias("metaclass_name"))
+    return lookup_join(lookup_join(pairs, described, ["supertype"]), subtypes, ["metaclass"])
 
 
 def specializations(taxa: DataFrame) -> DataFrame:

@@ -12,12 +12,12 @@ from pyspark.sql import functions as F
 
 from modelweave.operators import documents as D
 from modelweave.operators import library as L
-from modelweave.operators import links as K
 from modelweave.operators import metamodel as M
 from modelweave.operators import model as O
 from modelweave.operators import profile as P
+from modelweave.functions.scale import lookup_join, materialize
 from modelweave.operators import values as V
-from modelweave.operators.errors import union_all
+from modelweave.operators.errors import error_rows, union_all
 from modelweave.schemas import LIBRARY, LIBRARY_EMPTY, struct
 
 
@@ -129,6 +129,63 @@ def export_profile(
     return Export(tables, union_all([extends.errors, to_classes.errors, imported.errors]))
 
 
+# Tables filled from slots: (what the feature is, ordered) -> table.
+SLOT_TABLES = {
+    ("atomic", True): "orderedAtomicValues", ("atomic", False): "unorderedAtomicValues",
+    ("enumeration", True): "orderedLiteralValues", ("enumeration", False): "unorderedLiteralValues",
+    ("structured", True): "orderedStructuredValues", ("structured", False): "unorderedStructuredValues",
+    ("link", True): "orderedLinks", ("link", False): "unorderedLinks",
+}
+_LINK_ERRORS = "linkErrors"
+
+
+def slot_tables(slots: DataFrame, attributes: DataFrame, forward: DataFrame) -> DataFrame:
+    """Rows of all slot tables in one pass over the slots, told apart by ``table``.
+
+    Attribute and association lookups are one lookup, so the slots are joined once. The same rows
+    come from ``values`` and ``links`` table by table.
+    """
+    lookup = attributes.filter(~F.col("implementation_derived")).select(
+        F.col("metaclass_name").alias("metaclass"), F.col("name").alias("feature_name"),
+        F.col("attribute").alias("target"), "kind", "is_ordered",
+    ).unionByName(forward.select(
+        "metaclass", "feature_name", F.col("association").alias("target"), F.lit("link").alias("kind"), "is_ordered"
+    ))
+    joined = lookup_join(slots.drop("feature"), lookup, ["metaclass", "feature_name"])
+    kind, of = F.col("kind"), F.col("value_kind")
+    value = (
+        F.when(kind == "atomic", F.col("value"))
+        .when((kind == "enumeration") & (of == "literal"), F.col("value"))
+        .when((kind == "structured") & (of == "instance"), F.col("ref_instance"))
+        .when((kind == "link") & F.col("is_collection") & (of == "element"), F.col("ref"))
+    )
+    table = F.lit(None).cast("string")
+    for (name, ordered), title in SLOT_TABLES.items():
+        table = F.when((kind == name) & (F.col("is_ordered") == F.lit(ordered)), title).otherwise(table)
+    no_element = (kind == "link") & F.col("is_collection") & (of != "element")
+    index = F.when(F.col("is_collection"), F.col("position")).otherwise(F.lit(0))
+    return joined.select(
+        F.when(no_element, _LINK_ERRORS).otherwise(table).alias("table"), "resource", "entity", "target",
+        F.when(no_element, F.col("feature_name")).otherwise(value).alias("value"), index.alias("index"), "kind",
+    ).filter((F.col("kind") == "atomic") | F.col("value").isNotNull()).drop("kind")
+
+
+def _slot_table(rows: DataFrame, kind: str, ordered: bool) -> DataFrame:
+    own = rows.filter(F.col("table") == SLOT_TABLES[kind, ordered])
+    names = (("sourceElement", "metaAssociation", "targetElement") if kind == "link"
+             else ("entity", "attribute", "value"))
+    columns = [F.col(c).alias(n) for c, n in zip(("entity", "target", "value"), names)]
+    return own.select("resource", *columns, *(["index"] if ordered else []))
+
+
+def _slot_errors(rows: DataFrame) -> DataFrame:
+    return error_rows(
+        rows.filter(F.col("table") == _LINK_ERRORS), "link-to-non-element",
+        F.concat(F.lit("No element at "), F.col("value"), F.lit("["), F.col("index").cast("string"), F.lit("]")),
+        element="entity",
+    )
+
+
 @dataclass(frozen=True)
 class ModelInput:
     """What a model export needs besides the documents; ``forward`` and ``attributes`` are the lookups."""
@@ -149,13 +206,16 @@ class ModelInput:
 
 
 def export_model(documents: DataFrame, exported_profiles: DataFrame, given: ModelInput) -> Export:
-    """Model tables; errors of the value and reference steps are kept with the others."""
+    """Model tables; errors of the value and reference steps are kept with the others.
+
+    The eight tables that come from slots are written in one job, split by table; reading one of
+    them back touches its own files only.
+    """
     own = D.in_documents(given.elements, documents, "Model")
     models = D.resource_rows(documents, "Model")
     elements = O.model_elements(own, given.classes)
     applied = O.apply_profiles(given.applications, documents, exported_profiles, given.stereotypes)
-    values = V.attribute_values(given.slots, given.attributes)
-    matched = K.association_slots(given.slots, given.forward)
+    rows = materialize(slot_tables(given.slots, given.attributes, given.forward), "slot-tables", ["table"])
     tags = V.stereotype_slots(given.tag_slots, given.features, given.types, given.applications,
                               given.stereotype_taxa)
     ordered_refs = V.stereotype_references(tags, ordered=True)
@@ -167,19 +227,12 @@ def export_model(documents: DataFrame, exported_profiles: DataFrame, given: Mode
         "elements": elements.rows,
         "elementIDs": O.element_tool_ids(own),
         "elementURLs": O.element_tool_urls(own),
-        "orderedAtomicValues": V.atomic_values(values, ordered=True),
-        "orderedLiteralValues": V.literal_values(values, ordered=True),
-        "orderedStructuredValues": V.structured_values(values, ordered=True),
-        "unorderedAtomicValues": V.atomic_values(values, ordered=False),
-        "unorderedLiteralValues": V.literal_values(values, ordered=False),
-        "unorderedStructuredValues": V.structured_values(values, ordered=False),
+        **{name: _slot_table(rows, *key) for key, name in SLOT_TABLES.items()},
         "appliedStereotypes": applied.rows,
         "orderedStereotypeReferences": ordered_refs.rows,
         "unorderedStereotypeReferences": unordered_refs.rows,
-        "orderedLinks": K.ordered_links(matched),
-        "unorderedLinks": K.unordered_links(matched),
     }
-    errors = [elements.errors, applied.errors, K.link_errors(matched), V.ordered_structured_tags(tags),
+    errors = [elements.errors, applied.errors, _slot_errors(rows), V.ordered_structured_tags(tags),
               ordered_refs.errors, unordered_refs.errors]
     return Export(tables, union_all(errors))
 
