@@ -131,9 +131,9 @@ def numbered(
     )
     in_range = F.row_number().over(Window.partitionBy(*keys, "_range").orderBy(*ordering)) - 1
     warm = (
-        placed.withColumn("_place", in_range)
+        placed.withColumn("_in_range", in_range)
         .join(shifts, [*keys, "_range"])
-        .withColumn(out, (F.col("_shift") + F.col("_place")).cast("int"))
-        .drop("_range", "_place", "_shift")
+        .withColumn(out, (F.col("_shift") + F.col("_in_range")).cast("int"))
+        .drop("_range", "_in_range", "_shift")
     )
     return cold.unionByName(warm)
