@@ -90,6 +90,20 @@ def lookup_join(
     return spread.drop("_salts").join(copies, [*keys, "_salt"], how).drop("_salt")
 
 
+def keep_listed(facts: DataFrame, lookup: DataFrame, columns: Sequence[str], limit: int = 1000) -> DataFrame:
+    """Filter the large side by the few values a lookup has, so that scans and partitions are pruned.
+
+    At most ``limit`` + 1 rows reach the driver; a longer list filters nothing here and is left to
+    the join that follows.
+    """
+    listed = lookup.select(*columns).distinct().limit(limit + 1).collect()
+    if len(listed) > limit:
+        return facts
+    for i, column in enumerate(columns):
+        facts = facts.filter(F.col(column).isin(*sorted({r[i] for r in listed})))
+    return facts
+
+
 def numbered(
     df: DataFrame,
     keys: Sequence[str],

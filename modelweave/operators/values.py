@@ -10,24 +10,34 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from modelweave.functions.expressions import typed_value
-from modelweave.functions.scale import lookup_join
+from modelweave.functions.scale import keep_listed, lookup_join
 from modelweave.operators.errors import Result, error_rows
 
 VALUES_PER_ROW = 10_000
 
 
-def attribute_values(slots: DataFrame, lookups: DataFrame) -> DataFrame:
+def attribute_values(
+    slots: DataFrame, lookups: DataFrame, kind: str | None = None, ordered: bool | None = None
+) -> DataFrame:
     """Slots matched by name to the effective attributes of their element's class.
 
-    Derived attributes are dropped. The index is the place in the collection before any value is
+    ``kind`` and ``ordered`` restrict the attributes first, and with them the classes whose slots
+    are scanned. Derived attributes are dropped. The index is the place in the collection before any value is
     filtered, so skipped values leave gaps; a scalar has index 0.
     """
-    wanted = lookups.filter(~F.col("implementation_derived")).select(
+    wanted = lookups.filter(~F.col("implementation_derived"))
+    if kind is not None:
+        wanted = wanted.filter(F.col("kind") == kind)
+    if ordered is not None:
+        wanted = wanted.filter(F.col("is_ordered") == ordered)
+    wanted = wanted.select(
         F.col("metaclass_name").alias("metaclass"), F.col("name").alias("feature_name"), "attribute", "kind",
         "is_ordered", "implementation_ordered",
     )
     index = F.when(F.col("is_collection"), F.col("position")).otherwise(F.lit(0))
-    return lookup_join(slots.drop("feature"), wanted, ["metaclass", "feature_name"]).withColumn("index", index)
+    keys = ["metaclass", "feature_name"]
+    listed = keep_listed(slots.drop("feature"), wanted, keys)
+    return lookup_join(listed, wanted, keys).withColumn("index", index)
 
 
 def _value_table(values: DataFrame, kind: str, ordered: bool, require_impl_ordered: bool) -> DataFrame:

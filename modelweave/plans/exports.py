@@ -15,7 +15,7 @@ from modelweave.operators import library as L
 from modelweave.operators import metamodel as M
 from modelweave.operators import model as O
 from modelweave.operators import profile as P
-from modelweave.functions.scale import lookup_join, materialize
+from modelweave.functions.scale import keep_listed, lookup_join, materialize
 from modelweave.operators import values as V
 from modelweave.operators.errors import error_rows, union_all
 from modelweave.schemas import LIBRARY, LIBRARY_EMPTY, struct
@@ -151,7 +151,8 @@ def slot_tables(slots: DataFrame, attributes: DataFrame, forward: DataFrame) ->
     ).unionByName(forward.select(
         "metaclass", "feature_name", F.col("association").alias("target"), F.lit("link").alias("kind"), "is_ordered"
     ))
-    joined = lookup_join(slots.drop("feature"), lookup, ["metaclass", "feature_name"])
+    keys = ["metaclass", "feature_name"]
+    joined = lookup_join(keep_listed(slots.drop("feature"), lookup, keys), lookup, keys)
     kind, of = F.col("kind"), F.col("value_kind")
     value = (
         F.when(kind == "atomic", F.col("value"))

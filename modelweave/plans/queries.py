@@ -624,17 +624,29 @@ def errors_by_element(w):
 # ---------------------------------------------------------------- values
 
 
-def _values(w):
-    return V.attribute_values(w.graph.slot, w.business.attribute_lookups)
+def _values(w, kind, ordered):
+    return V.attribute_values(w.graph.slot, w.business.attribute_lookups, kind, ordered)
+
+
+def _atomic(w, ordered):
+    return V.atomic_values(_values(w, "atomic", ordered), ordered)
+
+
+def _literal(w, ordered):
+    return V.literal_values(_values(w, "enumeration", ordered), ordered)
+
+
+def _structured(w, ordered):
+    return V.structured_values(_values(w, "structured", ordered), ordered)
 
 
 _same_plan({
-    "ordered_atomic_values": lambda w: V.atomic_values(_values(w), ordered=True),
-    "ordered_literal_values": lambda w: V.literal_values(_values(w), ordered=True),
-    "ordered_structured_values": lambda w: V.structured_values(_values(w), ordered=True),
-    "unordered_atomic_values": lambda w: V.atomic_values(_values(w), ordered=False),
-    "unordered_literal_values": lambda w: V.literal_values(_values(w), ordered=False),
-    "unordered_structured_values": lambda w: V.structured_values(_values(w), ordered=False),
+    "ordered_atomic_values": lambda w: _atomic(w, True),
+    "ordered_literal_values": lambda w: _literal(w, True),
+    "ordered_structured_values": lambda w: _structured(w, True),
+    "unordered_atomic_values": lambda w: _atomic(w, False),
+    "unordered_literal_values": lambda w: _literal(w, False),
+    "unordered_structured_values": lambda w: _structured(w, False),
 })
 
 
@@ -660,15 +672,13 @@ _same_plan({
 @query
 def rebuild_slots(w):
     """Ordered collections as comma-separated text in index order."""
-    found = V.rebuild_slots(V.atomic_values(_values(w), ordered=True))
+    found = V.rebuild_slots(_atomic(w, True))
     return found.select("resource", "entity", "attribute", "block", F.array_join("values", ",").alias("values"))
 
 
 @query
 def typed_values(w):
-    atomic = V.atomic_values(_values(w), ordered=False).unionByName(
-        V.atomic_values(_values(w), ordered=True).drop("index")
-    )
+    atomic = _atomic(w, False).unionByName(_atomic(w, True).drop("index"))
     primitives = L.primitive_types(w.graph.type).rows
     return V.typed_values(atomic, M.attribute_types(w.business.attributes), primitives)
 
@@ -676,23 +686,23 @@ def typed_values(w):
 # ---------------------------------------------------------------- links
 
 
-def _matched(w):
-    return K.association_slots(w.graph.slot, w.business.forward)
+def _matched(w, ordered=None):
+    return K.association_slots(w.graph.slot, w.business.forward, ordered)
 
 
 @query
 def ordered_links(w):
-    return K.ordered_links(_matched(w))
+    return K.ordered_links(_matched(w, True))
 
 
 @query
 def unordered_links(w):
-    return K.unordered_links(_matched(w))
+    return K.unordered_links(_matched(w, False))
 
 
 @query
 def unordered_links_single_valued(w):
-    return K.unordered_links(_matched(w), include_single_valued=True)
+    return K.unordered_links(_matched(w, False), include_single_valued=True)
 
 
 @query
@@ -703,7 +713,7 @@ def link_errors(w):
 @query
 def links_per_association(w):
     """Ordered links with their association's name, counted per source metaclass."""
-    found = K.ordered_links(_matched(w))
+    found = K.ordered_links(_matched(w, True))
     named = w.business.views.select(F.col("association").alias("metaAssociation"), F.col("name").alias("associationName"))
     counted = found.groupBy("resource", "metaAssociation").agg(
         F.count(F.lit(1)).alias("n_links"), F.max("index").alias("last_index")

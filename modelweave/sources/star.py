@@ -39,28 +39,28 @@ def uuid(prefix: str, *keys: str) -> Column:
     return F.concat(F.lit(f"{prefix}:"), F.concat_ws(".", *[_text(F.col(k)) for k in keys]))
 
 
-def _slot(name: str, kind: str, *, value=None, ref=None, instance=None, position=None, collection=False) -> Column:
+def _slot(name: str, kind: str | Column, *, value=None, ref=None, instance=None, position=None, collection=False):
+    """One slot as (value kind, its other columns); the kind is text unless it depends on the row."""
     null = F.lit(None).cast("string")
-    return F.struct(
-        F.lit(name).alias("feature_name"),
-        (F.lit(0) if position is None else position).cast("int").alias("position"),
-        F.lit(collection).alias("is_collection"),
-        F.lit(kind).alias("value_kind") if isinstance(kind, str) else kind.alias("value_kind"),
-        (null if value is None else value).alias("value"),
-        (null if ref is None else ref).alias("ref"),
-        (null if instance is None else instance).alias("ref_instance"),
-    )
-
-
-def _atomic(name: str, value: Column, **more) -> Column:
+    return kind, {
+        "feature_name": F.lit(name),
+        "position": (F.lit(0) if position is None else position).cast("int"),
+        "is_collection": F.lit(collection),
+        "value": null if value is None else value,
+        "ref": null if ref is None else ref,
+        "ref_instance": null if instance is None else instance,
+    }
+
+
+def _atomic(name: str, value: Column, **more):
     return _slot(name, "atomic", value=value, **more)
 
 
-def _literal(name: str, enumeration: str, value: Column) -> Column:
+def _literal(name: str, enumeration: str, value: Column):
     return _slot(name, "literal", value=F.concat(F.lit(f"lit:{enumeration}."), value))
 
 
-def _element(name: str, ref: Column, position: Column, collection: bool = True) -> Column:
+def _element(name: str, ref: Column, position: Column, collection: bool = True):
     return _slot(name, "element", ref=ref, position=position, collection=collection)
 
 
@@ -105,13 +105,28 @@ class StarGraph:
 
     # ------------------------------------------------------------ slots
 
-    def _slots(self, source: DataFrame, resource: str | Column, metaclass: str, entity: Column, *slots: Column):
-        """One scan of the source, one row per slot."""
+    def _slots(self, source: DataFrame, resource: str | Column, metaclass: str, entity: Column, *slots):
+        """Slots of a source, in one scan per value kind.
+
+        Metaclass and value kind are constants of each part (and the feature name where a part has
+        one slot), so a filter on them removes the scans of the other parts.
+        """
         at = F.lit(resource) if isinstance(resource, str) else resource
-        return source.select(
-            at.alias("resource"), entity.alias("entity"), F.lit(metaclass).alias("metaclass"),
-            F.lit(None).cast("string").alias("feature"), F.inline(F.array(*slots)),
-        )
+        by_kind: dict[object, tuple[str | Column, list[dict[str, Column]]]] = {}
+        for kind, columns in slots:
+            by_kind.setdefault(kind if isinstance(kind, str) else id(kind), (kind, []))[1].append(columns)
+        out = None
+        for kind, group in by_kind.values():
+            fixed = [at.alias("resource"), entity.alias("entity"), F.lit(metaclass).alias("metaclass"),
+                     F.lit(None).cast("string").alias("feature"),
+                     (F.lit(kind) if isinstance(kind, str) else kind).alias("value_kind")]
+            if len(group) == 1:
+                part = source.select(*fixed, *[c.alias(n) for n, c in group[0].items()])
+            else:
+                entries = [F.struct(*[c.alias(n) for n, c in columns.items()]) for columns in group]
+                part = source.select(*fixed, F.inline(F.array(*entries)))
+            out = part if out is None else out.unionByName(part)
+        return out.select("resource", "entity", "metaclass", "feature", *_SLOT_FIELDS)
 
     @cached_property
     def slot_parts(self) -> dict[str, DataFrame]:
@@ -214,7 +229,10 @@ class StarGraph:
         tags = self.table("labelled").select(
             F.concat(F.lit("urn:text:"), c("source")).alias("resource"), doc(0).alias("entity"),
             F.lit("Document").alias("metaclass"), "source",
-            F.inline(F.array(
+            F.inline(F.array(*[F.struct(
+                (F.lit(kind) if isinstance(kind, str) else kind).alias("value_kind"),
+                *[column.alias(name) for name, column in columns.items()],
+            ) for kind, columns in (
                 _slot("Scored.note", "atomic", value=c("lang")),
                 _slot("Quality.flag", "atomic", value=F.lit("true")),
                 _element("Quality.evidence", doc(1), F.lit(0)),
@@ -227,7 +245,7 @@ class StarGraph:
                 _slot("Toxic.related", "element", ref=doc(3), collection=True),
                 _slot("Toxic.related", F.when(low, "atomic").otherwise("element"), position=F.lit(1), collection=True,
                       value=F.when(low, F.lit("n/a")), ref=F.when(~low, doc(4))),
-            )),
+            )])),
         )
         return tags.withColumn(
             "feature", F.concat(F.lit("pp:"), c("source"), F.lit(":"), c("feature_name"))
