@@ -57,14 +57,15 @@ def lookup_join(
     how: str = "inner",
     broadcast_rows: int = BROADCAST_ROWS,
     hot_rows: int = HOT_ROWS,
+    lookup_rows: int | None = None,
 ) -> DataFrame:
     """Join a large side to a lookup on equal columns, keeping the large side in place when possible.
 
-    A counted, small lookup is broadcast. Otherwise both sides are shuffled, and each hot key of
+    A counted, small lookup is broadcast (``lookup_rows`` is its count where the caller knows it). Otherwise both sides are shuffled, and each hot key of
     the large side is spread over as many salts as its own row count asks for.
     """
     keys = list(keys)
-    if lookup.count() <= broadcast_rows:
+    if (lookup.count() if lookup_rows is None else lookup_rows) <= broadcast_rows:
         return facts.join(F.broadcast(lookup), keys, how)
     if facts.isStreaming:
         return facts.join(lookup, keys, how)

@@ -25,26 +25,25 @@ MODEL_KEYS = {
 def unresolved_references(tables: dict[str, DataFrame], universes: dict[str, DataFrame]) -> DataFrame:
     """Foreign key values found in no known resource, with the number of rows that hold them.
 
-    All references of a table to one universe are counted in a single pass and before the shuffle,
-    so an element that many rows refer to arrives as one row.
+    References are counted before the shuffle, so an element that many rows refer to arrives as one
+    row, and each universe is read once.
     """
-    parts = []
+    held: dict[str, list[DataFrame]] = {}
     for name, keys in MODEL_KEYS.items():
         if name not in tables:
             continue
         for universe in sorted(set(keys.values())):
-            columns = [c for c, u in keys.items() if u == universe]
             pairs = F.inline(F.array(*[
-                F.struct(F.lit(c).alias("column"), F.col(c).alias("reference")) for c in columns
+                F.struct(F.lit(c).alias("column"), F.col(c).alias("reference"))
+                for c, u in keys.items() if u == universe
             ]))
-            held = (
-                tables[name].select(pairs).groupBy("column", "reference")
-                .agg(F.count(F.lit(1)).alias("n_rows")).filter(F.col("reference").isNotNull())
+            counts = tables[name].select(pairs).groupBy("column", "reference").agg(F.count(F.lit(1)).alias("n_rows"))
+            held.setdefault(universe, []).append(
+                counts.filter(F.col("reference").isNotNull()).withColumn("table", F.lit(name))
             )
-            known = universes[universe].select(F.col("uuid").alias("reference"))
-            parts.append(
-                held.join(known, "reference", "left_anti").select(
-                    F.lit(name).alias("table"), "column", "reference", "n_rows"
-                )
-            )
-    return union_all(parts)
+    return union_all(
+        union_all(parts).join(
+            universes[universe].select(F.col("uuid").alias("reference")), "reference", "left_anti"
+        ).select("table", "column", "reference", "n_rows")
+        for universe, parts in held.items()
+    )

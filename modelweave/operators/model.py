@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from modelweave.functions.scale import lookup_join
+from modelweave.functions.scale import lookup_join, materialize
 from modelweave.operators.errors import Result, error_rows, union_all
 
 # Names the tool that owns the element identifiers.
@@ -127,5 +127,5 @@ def apply_profiles(
     """Group by profile, resolve the profiles, keep the known stereotypes; errors of all three steps."""
     grouped = stereotypes_by_profile(applications)
     resolved = resolve_profile(grouped.rows, documents, exported)
-    applied = applied_stereotypes(grouped.rows, resolved.rows, stereos)
+    applied = applied_stereotypes(grouped.rows, materialize(resolved.rows, "resolved-profiles"), stereos)
     return Result(applied.rows, union_all([applied.errors, grouped.errors, resolved.errors]))

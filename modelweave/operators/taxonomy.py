@@ -25,11 +25,12 @@ def closure(nodes: DataFrame, edges: DataFrame) -> DataFrame:
         nodes.select(F.col("uuid").alias("node"), F.col("uuid").alias("ancestor"), F.lit(0).alias("depth")).distinct(),
         "closure",
     )
+    n_edges = edges.count()
     frontier, depth = known, 0
     while not frontier.isEmpty():
         depth += 1
         found = (
-            lookup_join(frontier.select("node", "ancestor"), edges, ["ancestor"])
+            lookup_join(frontier.select("node", "ancestor"), edges, ["ancestor"], lookup_rows=n_edges)
             .select("node", F.col("general").alias("ancestor")).distinct()
             .join(known.select("node", "ancestor"), ["node", "ancestor"], "left_anti")
             .withColumn("depth", F.lit(depth))

@@ -61,10 +61,13 @@ def export_metamodel(
     An import is written as metamodel or library import by the kind of the imported document;
     ``legacy_imports`` writes every import as both.
     """
-    classes = M.meta_classes(elements, documents)
+    # Each of these three is the source of several tables.
+    classes = materialize(M.meta_classes(elements, documents), "classes")
     oriented = M.orient_associations(D.in_documents(associations, documents, "Metamodel"), features)
-    attributes = M.class_attributes(features, types, classes) if attributes is None else attributes
-    bounded = M.bounded_features(oriented.rows, attributes)
+    ends = materialize(oriented.rows, "associations")
+    if attributes is None:
+        attributes = materialize(M.class_attributes(features, types, classes), "attributes")
+    bounded = M.bounded_features(ends, attributes)
     kind = (None, None) if legacy_imports else ("Metamodel", "Library")
     metamodels = D.package_imports(imports, documents, "Metamodel", imported_document_kind=kind[0])
     libraries = D.package_imports(imports, documents, "Metamodel", imported_document_kind=kind[1])
@@ -75,11 +78,11 @@ def export_metamodel(
         "metaClasses": classes,
         "metaClassGeneralizations": M.metaclass_generalizations(generalizations, classes),
         "metaAssociations": M.meta_associations(elements, documents),
-        "metaAssociationGeneralizations": M.association_generalizations(oriented.rows, feature_rels),
-        "metaAssociation2Source": M.association_source(oriented.rows),
-        "metaAssociation2Target": M.association_target(oriented.rows),
-        "metaAssociationEnds": M.association_ends(oriented.rows),
-        "metaAssociationEnd2MetaClass": M.association_end_types(oriented.rows),
+        "metaAssociationGeneralizations": M.association_generalizations(ends, feature_rels),
+        "metaAssociation2Source": M.association_source(ends),
+        "metaAssociation2Target": M.association_target(ends),
+        "metaAssociationEnds": M.association_ends(ends),
+        "metaAssociationEnd2MetaClass": M.association_end_types(ends),
         "attributes": M.attribute_names(attributes),
         "featureLowerBounds": M.feature_lower_bounds(bounded),
         "featureUpperBounds": M.feature_upper_bounds(bounded),
@@ -99,12 +102,14 @@ def export_profile(
 ) -> Export:
     """Profile tables for the profile documents given; ``classes`` are those of the extended metamodel."""
     profiles = D.resource_rows(documents, "Profile")
-    stereos = P.stereotypes(elements, documents)
+    stereos = materialize(P.stereotypes(elements, documents), "stereotypes")
     extends = P.stereotype_extends(features, stereos, types, classes)
-    attributes = P.stereotype_attributes(features, stereos, types, library_types)
+    attributes = materialize(
+        P.stereotype_attributes(features, stereos, types, library_types), "stereotype-attributes"
+    )
     to_classes = P.stereotype_metaclass_props(features, stereos, types, classes)
     to_stereotypes = P.stereotype_stereotype_props(features, stereos, types)
-    ends = to_classes.rows.unionByName(to_stereotypes)
+    ends = materialize(to_classes.rows.unionByName(to_stereotypes), "stereotype-ends")
     bounded = P.bounded_properties(attributes, ends)
     imported = D.package_imports(imports, documents, "Profile", imported_kind="Profile")
     all_stereotypes = types.filter(F.col("type_kind") == "stereotype")
@@ -217,8 +222,10 @@ def export_model(documents: DataFrame, exported_profiles: DataFrame, given: Mode
     elements = O.model_elements(own, given.classes)
     applied = O.apply_profiles(given.applications, documents, exported_profiles, given.stereotypes)
     rows = materialize(slot_tables(given.slots, given.attributes, given.forward), "slot-tables", ["table"])
-    tags = V.stereotype_slots(given.tag_slots, given.features, given.types, given.applications,
-                              given.stereotype_taxa)
+    tags = materialize(
+        V.stereotype_slots(given.tag_slots, given.features, given.types, given.applications, given.stereotype_taxa),
+        "stereotype-slots",
+    )
     ordered_refs = V.stereotype_references(tags, ordered=True)
     unordered_refs = V.stereotype_references(tags, ordered=False)
     tables = {

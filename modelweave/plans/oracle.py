@@ -439,6 +439,25 @@ for _name, _tables in _BUNDLES.items():
     )
 
 
+STATEMENTS["profiles_and_models_round_trip"] = "\nUNION ALL ".join(
+    f"SELECT * FROM (SELECT '{t}' AS \"table\", count(*) AS n_rows, '{family}' AS family FROM {source}"
+    " HAVING count(*) > 0) AS y"
+    for family, bundle in (("Profile", "export_profile"), ("Model", "export_model"))
+    for t, source in _BUNDLES[bundle].items() if t != "errors"
+)
+STATEMENTS["metamodel_round_trip"] = "\nUNION ALL ".join(
+    f"SELECT '{t}' AS \"table\", \"{key}\" AS key, CAST(\"{name}\" AS STRING) AS name FROM ({STATEMENTS[q]}) AS x"
+    for t, q, key, name in (
+        ("metaClasses", "meta_classes", "uuid", "name"),
+        ("metaClassGeneralizations", "metaclass_generalizations", "specific", "general"),
+        ("metaAssociations", "meta_associations", "uuid", "name"),
+        ("metaAssociationGeneralizations", "assoc_generalizations", "specific", "general"),
+        ("metaAssociationEnds", "association_ends", "uuid", "role"), ("attributes", "attributes", "uuid", "name"),
+        ("featureUpperBounds", "feature_upper_bounds", "feature", "upper"),
+        ("importedMetamodels", "metamodel_imports", "importing", "imported"))
+)
+
+
 def _unresolved(table: str, column: str, rows: str, universe: str) -> str:
     return f"""SELECT '{table}' AS "table", '{column}' AS "column", "{column}" AS reference, count(*) AS n_rows
 FROM ({STATEMENTS[rows]}) AS x WHERE "{column}" NOT IN (SELECT uuid FROM {universe}) GROUP BY 3"""

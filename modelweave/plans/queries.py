@@ -347,6 +347,29 @@ def export_metamodel(w):
     ))
 
 
+@query
+def metamodel_round_trip(w):
+    """Metamodel tables written as JSON lines and read back: classes, edges, ends, attributes."""
+    g, folder = w.graph, new_folder(w.spark, "metamodel")
+    export = B.export_metamodel(
+        g.document, g.element, g.association, g.feature, g.feature_rel, g.generalization, g.type,
+        getattr(g, "import"), attributes=w.all.attributes,
+    )
+    TB.write_metamodel(export.tables, folder, export.errors)
+    back = TB.read_metamodel(w.spark, folder)
+
+    def rows(table, key, name):
+        return back[table].select(F.lit(table).alias("table"), F.col(key).alias("key"),
+                                  F.col(name).cast("string").alias("name"))
+
+    return E.union_all([
+        rows("metaClasses", "uuid", "name"), rows("metaClassGeneralizations", "specific", "general"),
+        rows("metaAssociations", "uuid", "name"), rows("metaAssociationGeneralizations", "specific", "general"),
+        rows("metaAssociationEnds", "uuid", "role"), rows("attributes", "uuid", "name"),
+        rows("featureUpperBounds", "feature", "upper"), rows("importedMetamodels", "importingMetamodel", "importedMetamodel"),
+    ])
+
+
 # ---------------------------------------------------------------- lookups
 
 
@@ -733,6 +756,20 @@ def export_model(w):
     return B.table_sizes(_model(w))
 
 
+@query
+def profiles_and_models_round_trip(w):
+    """Profile and model bundles written with their errors and read back, as rows per table."""
+    folder = new_folder(w.spark, "profiles-and-models")
+    profile, model = _profile(w), _model(w)
+    errors = E.distinct_errors(profile.errors.unionByName(model.errors))
+    TB.write_profiles_and_models(profile.tables, model.tables, folder, errors)
+    parts = []
+    for family, sub in (("Profile", "profiles"), ("Model", "models")):
+        back = B.Export(TB.read_tables(w.spark, f"{folder}/{sub}", family), E.no_errors(w.spark))
+        parts.append(B.table_sizes(back).withColumn("family", F.lit(family)))
+    return E.union_all(parts)
+
+
 @query
 def unresolved_references(w):
     export = _model(w)

@@ -129,12 +129,12 @@ class Workspace:
 
     @cached_property
     def selected_documents(self) -> DataFrame:
-        return export_selected(self.graph.selection, self.graph.document)[0]
+        return materialize(export_selected(self.graph.selection, self.graph.document)[0], "selected-documents")
 
     @cached_property
     def stereotypes(self) -> DataFrame:
         """Stereotypes of the exported profiles."""
-        return P.stereotypes(self.graph.element, self.selected_documents)
+        return materialize(P.stereotypes(self.graph.element, self.selected_documents), "stereotypes")
 
     @cached_property
     def stereotype_taxa(self) -> DataFrame:

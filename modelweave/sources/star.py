@@ -19,9 +19,8 @@ LINE_ORDER = ("l_linenumber", "l_partkey", "l_suppkey", "l_shipdate", "l_extende
 # Elements, slots, applications and changes stay views of the star tables, so filters and columns
 # are pushed into their scans.
 KEPT = (
-    "supplied", "raw_document", "raw_class", "raw_stereotype", "raw_generalization", "raw_datatype", "raw_type",
-    "raw_literal", "end_pair", "raw_association", "raw_feature", "raw_feature_rel", "raw_import", "lineitem_at",
-    "user_act",
+    "supplied", "raw_document", "raw_class", "raw_generalization", "raw_type", "raw_literal", "end_pair", "raw_feature",
+    "raw_feature_rel", "raw_import", "lineitem_at", "user_act",
 )
 
 _SLOT_FIELDS = ("feature_name", "position", "is_collection", "value_kind", "value", "ref", "ref_instance")
