@@ -34,7 +34,8 @@ def shared_folder(spark: SparkSession) -> str:
 
 
 def new_folder(spark: SparkSession, label: str) -> str:
-    return f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex}"
+    """A new path below one folder per application, which can be removed when the application ends."""
+    return f"{shared_folder(spark)}/modelweave-{spark.sparkContext.applicationId}/{label}-{uuid.uuid4().hex}"
 
 
 def materialize(df: DataFrame, label: str, partition_by: Sequence[str] = ()) -> DataFrame:

@@ -871,7 +871,7 @@ def classify_changes_filled(w):
 
 
 def _stream(w, notifiers):
-    """Events written as commit files, then classified as a stream until all files are read."""
+    """Events written as files, then classified as a stream until all files are read."""
     source = new_folder(w.spark, "commits")
     w.graph.change.hint("rebalance", "txn").write.parquet(source)
     events = ST.read_changes(w.spark, source, stream=True)
