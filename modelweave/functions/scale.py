@@ -10,6 +10,8 @@ import math
 import tempfile
 import uuid
 from collections.abc import Sequence
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -18,6 +20,8 @@ from pyspark.sql import functions as F
 BROADCAST_ROWS = 200_000
 # More rows than this under one key are split over several tasks.
 HOT_ROWS = 2_000_000
+# Rows without a key are spread over this many salts once any key is hot.
+NULL_KEY_SALTS = 10_000
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -81,9 +85,12 @@ def lookup_join(
         return facts.join(lookup, keys, how)
     salts = F.broadcast(hot) if n_hot <= broadcast_rows else hot
     row_hash = F.xxhash64(*[F.col(f"`{c}`") for c in facts.columns])
-    spread = facts.join(salts, keys, "left").withColumn(
-        "_salt", F.when(F.col("_salts").isNull(), F.lit(0)).otherwise(F.pmod(row_hash, "_salts").cast("int"))
+    # A null key matches nothing, so its rows may go anywhere.
+    no_key = reduce(or_, [F.col(k).isNull() for k in keys])
+    salt = F.when(no_key, F.pmod(row_hash, F.lit(NULL_KEY_SALTS))).otherwise(
+        F.when(F.col("_salts").isNull(), F.lit(0)).otherwise(F.pmod(row_hash, "_salts"))
     )
+    spread = facts.join(salts, keys, "left").withColumn("_salt", salt.cast("int"))
     copies = (
         lookup.join(salts, keys, "left")
         .withColumn("_salt", F.explode(F.sequence(F.lit(0), F.coalesce("_salts", F.lit(1)) - 1)))
@@ -102,7 +109,7 @@ def keep_listed(facts: DataFrame, lookup: DataFrame, columns: Sequence[str], lim
     if len(listed) > limit:
         return facts
     for i, column in enumerate(columns):
-        facts = facts.filter(F.col(column).isin(*sorted({r[i] for r in listed})))
+        facts = facts.filter(F.col(column).isin(*sorted({r[i] for r in listed if r[i] is not None})))
     return facts
 
 

@@ -44,6 +44,23 @@ def test_lookup_join_salts_hot_keys(spark, skewed, how):
         assert rows(got.select(*sorted(got.columns))) == plain
 
 
+@pytest.mark.parametrize("how", ["inner", "left", "left_anti"])
+def test_lookup_join_spreads_null_keys(spark, how):
+    facts = spark.range(300).select(F.when(F.col("id") % 3 == 0, F.lit("k")).alias("key"), "id")
+    lookup = spark.createDataFrame([("k", "a"), (None, "b")], "key string, w string")
+    plain, split = facts.join(lookup, ["key"], how), scale.lookup_join(
+        facts, lookup, ["key"], how, broadcast_rows=0, hot_rows=20)
+    assert rows(split.select(*sorted(split.columns))) == rows(plain.select(*sorted(plain.columns)))
+
+
+@pytest.mark.parametrize("limit", [0, 10])
+def test_keep_listed_changes_no_join(spark, skewed, limit):
+    lookup = spark.createDataFrame([("hub", 1), ("k1", 2), (None, 3)], "key string, w int")
+    kept = scale.keep_listed(skewed, lookup, ["key"], limit)
+    assert rows(kept.join(lookup, ["key"])) == rows(skewed.join(lookup, ["key"]))
+    assert (kept.count() < skewed.count()) == (limit > 0)
+
+
 def test_lookup_join_broadcasts_only_counted_small_lookups(spark, skewed):
     lookup = spark.createDataFrame([("hub", "a")], "key string, w string")
     plan = scale.lookup_join(skewed, lookup, ["key"])._jdf.queryExecution().optimizedPlan().toString()
