@@ -16,14 +16,23 @@ from operator import or_
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-# A lookup is broadcast only when it was counted and has at most this many (narrow) rows.
+# A lookup is broadcast only when it was counted and has at most this many (narrow) rows;
+# spark.modelweave.broadcastRows overrides it.
 BROADCAST_ROWS = 200_000
-# More rows than this under one key are split over several tasks.
+# More rows than this under one key are split over several tasks; spark.modelweave.hotRows overrides it.
 HOT_ROWS = 2_000_000
 # Rows without a key are spread over this many salts once any key is hot.
 NULL_KEY_SALTS = 10_000
 
 
+def _broadcast_rows(spark: SparkSession, given: int | None) -> int:
+    return int(spark.conf.get("spark.modelweave.broadcastRows", str(BROADCAST_ROWS))) if given is None else given
+
+
+def _hot_rows(spark: SparkSession, given: int | None) -> int:
+    return int(spark.conf.get("spark.modelweave.hotRows", str(HOT_ROWS))) if given is None else given
+
+
 def shared_folder(spark: SparkSession) -> str:
     """Folder every executor can reach; ``spark.checkpoint.dir`` names it on a cluster."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
@@ -50,7 +59,7 @@ def materialize(df: DataFrame, label: str, partition_by: Sequence[str] = ()) ->
     return spark.read.schema(df.schema).parquet(path)
 
 
-def hot_keys(df: DataFrame, keys: Sequence[str], hot_rows: int = HOT_ROWS) -> DataFrame:
+def hot_keys(df: DataFrame, keys: Sequence[str], hot_rows: int) -> DataFrame:
     """Keys with more than ``hot_rows`` rows and their counts; counted map-side first."""
     return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows")).filter(F.col("_rows") > hot_rows)
 
@@ -60,8 +69,8 @@ def lookup_join(
     lookup: DataFrame,
     keys: Sequence[str],
     how: str = "inner",
-    broadcast_rows: int = BROADCAST_ROWS,
-    hot_rows: int = HOT_ROWS,
+    broadcast_rows: int | None = None,
+    hot_rows: int | None = None,
     lookup_rows: int | None = None,
 ) -> DataFrame:
     """Join a large side to a lookup on equal columns, keeping the large side in place when possible.
@@ -70,6 +79,8 @@ def lookup_join(
     the large side is spread over as many salts as its own row count asks for.
     """
     keys = list(keys)
+    broadcast_rows = _broadcast_rows(facts.sparkSession, broadcast_rows)
+    hot_rows = _hot_rows(facts.sparkSession, hot_rows)
     if (lookup.count() if lookup_rows is None else lookup_rows) <= broadcast_rows:
         return facts.join(F.broadcast(lookup), keys, how)
     if facts.isStreaming:
@@ -118,14 +129,15 @@ def numbered(
     keys: Sequence[str],
     order: Sequence[str | Column],
     out: str = "index",
-    hot_rows: int = HOT_ROWS,
+    hot_rows: int | None = None,
 ) -> DataFrame:
     """0-based position of each row within its key, by ``order``.
 
-    Ordinary keys use one window. A hot key is range-partitioned by key and order, numbered within
+    Keys must not be null. Ordinary keys use one window. A hot key is range-partitioned by key and order, numbered within
     each range, and shifted by the sizes of the ranges before it, so no task holds the whole key.
     """
     keys = list(keys)
+    hot_rows = _hot_rows(df.sparkSession, hot_rows)
     ordering = [F.col(c) if isinstance(c, str) else c for c in order]
     in_key = (F.row_number().over(Window.partitionBy(*keys).orderBy(*ordering)) - 1).cast("int")
     hot = materialize(hot_keys(df, keys, hot_rows), "hot-keys")
@@ -133,7 +145,7 @@ def numbered(
     if sizes["n"] == 0:
         return df.withColumn(out, in_key)
     marks = hot.select(*keys)
-    if sizes["n"] <= BROADCAST_ROWS:
+    if sizes["n"] <= _broadcast_rows(df.sparkSession, None):
         marks = F.broadcast(marks)
     cold = df.join(marks, keys, "left_anti").withColumn(out, in_key)
 

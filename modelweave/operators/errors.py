@@ -9,7 +9,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from modelweave.functions.scale import HOT_ROWS, materialize, numbered
+from modelweave.functions.scale import materialize, numbered
 from modelweave.schemas import ERRORS, struct
 
 ERROR_COLUMNS = ("resource", "element", "severity", "code", "message")
@@ -60,7 +60,7 @@ def distinct_errors(errors: DataFrame) -> DataFrame:
 
 
 def errors_by_element(
-    errors: DataFrame, root: str, messages_per_row: int = MESSAGES_PER_ROW, hot_rows: int = HOT_ROWS
+    errors: DataFrame, root: str, messages_per_row: int = MESSAGES_PER_ROW, hot_rows: int | None = None
 ) -> DataFrame:
     """Messages of each element joined by newlines; those without an element go under ``root``.
 
