@@ -3,10 +3,12 @@
 import pytest
 
 import __spark_entry__ as entry
+from modelweave.plans.oracle import oracle
+from modelweave.plans.queries import registered
 from tests.compare import connect, difference
 
-QUERIES = entry.queries()
-SQL = entry.oracle_sql()
+QUERIES = registered()
+SQL = oracle()
 
 
 @pytest.fixture(scope="module")
