@@ -7,6 +7,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -55,7 +56,7 @@ def by_slices(
     def run(batches):
         for batch in batches:
             column = batch.column(batch.schema.get_field_index(size_col))
-            sizes = np.asarray(pa.compute.binary_length(column).fill_null(0)).astype(np.int64)
+            sizes = np.asarray(pc.binary_length(column).fill_null(0)).astype(np.int64)
             ends, start = np.cumsum(sizes), 0
             while start < batch.num_rows:
                 before = ends[start - 1] if start else 0

@@ -72,6 +72,14 @@ def op9_spaced_seeds(spark: SparkSession, sf_dir: str) -> DataFrame:
     return leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from modelweave.llm.suffix_dedup import dedup_strings
+
+    return dedup_strings(table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256")
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_line_dedup": op1_line_dedup,
     "op4_sentence_pieces": op4_sentence_pieces,
@@ -81,4 +89,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op7_quality": op7_quality,
     "op8_permutation_index": op8_permutation_index,
     "op9_spaced_seeds": op9_spaced_seeds,
+    "op2_suffix_dedup": op2_suffix_dedup,
 }
