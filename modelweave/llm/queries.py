@@ -80,6 +80,12 @@ def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_chosen_path(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from modelweave.llm.chosen_path import components
+
+    return components(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_line_dedup": op1_line_dedup,
     "op4_sentence_pieces": op4_sentence_pieces,
@@ -90,4 +96,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_permutation_index": op8_permutation_index,
     "op9_spaced_seeds": op9_spaced_seeds,
     "op2_suffix_dedup": op2_suffix_dedup,
+    "op6_chosen_path": op6_chosen_path,
 }
