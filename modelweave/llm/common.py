@@ -138,7 +138,7 @@ def shingles(words: Words, n: int) -> tuple[np.ndarray, np.ndarray]:
     whole = np.minimum(words.counts, n)[doc]  # shingle length in the word's text
     for k in range(1, n):
         nxt = np.zeros(count, np.uint64)
-        nxt[: count - k] = h[k:]
+        nxt[: max(count - k, 0)] = h[k:]
         out = np.where(k < whole, mix(out + np.uint64(k)) + nxt, out)
     at = np.arange(count) - words.firsts[:-1][doc]
     keep = at + whole <= words.counts[doc]

@@ -208,7 +208,7 @@ def encode(
     docs: DataFrame, model_path: str, id_col: str = "doc_id", text_col: str = "text", check_every: int = CHECK_EVERY
 ) -> DataFrame:
     """(id, ids array<int>, decoded): every whole text encoded, and its ids decoded again."""
-    schema = T.StructType().add(id_col, "long").add("ids", "array<int>").add("decoded", "string")
+    schema = T.StructType().add(id_col, "long").add("ids", T.ArrayType(T.IntegerType())).add("decoded", "string")
 
     def row(pieces: Pieces, packed: bytes):
         ids = array("I", packed).tolist()

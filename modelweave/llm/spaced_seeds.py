@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 
 from modelweave.llm.common import written
 
-MASKS = ("1101011", "11100101", "110010011")
+MASKS = ("11011", "1101011", "11100101", "110010011")
 WINDOW = 13
 SHARE = 0.8
 LEAST = 7
@@ -61,7 +61,9 @@ def leaks(
     """(doc_id, item_id, n_item_words, n_equal, best_window): items that documents hold."""
     texts = docs.select(docs[id_col].alias("doc"), docs[text_col].alias("text")).filter("doc is not null")
     bench = written(
-        items.select(items[item_col].alias("item"), word_hashes(items[item_text_col]).alias("g")).distinct(), "items"
+        items.select(items[item_col].alias("item"), word_hashes(items[item_text_col]).alias("g"))
+        .filter(F.size("g") >= LEAST).distinct(),
+        "items",
     )
     wanted = written(
         _seeds(bench.withColumnRenamed("g", "h"), masks).withColumnRenamed("at", "item_at").distinct(), "item-seeds"
