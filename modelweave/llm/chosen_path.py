@@ -4,20 +4,20 @@ The set of a document is its distinct 5-word shingles (words: runs without [\\x2
 lower-cased; a text of fewer words is one shingle), as 64-bit hashes. Documents with equal sets are one node.
 ``SLOTS`` minwise values sketch each set. In each of ``TREES`` independent trees all nodes stand at the root;
 every tree node chooses one slot or two (1 / similarity on average) by a hash of its path, and a document goes
-on to the child named by its value there. A child with one document ends; one with at most ``SMALL`` is
-compared exhaustively; a larger one is compared with its smallest document (and the smallest of each part it
-has been linked into, while those are few) and branches again, until all its documents are linked or none is
-left. Two documents of similarity s part in one tree with probability (1 - s) per choice, so a pair at the
-threshold is missed by all trees at the first branching with a probability below 1e-9.
+on to the child named by its value there. The first ``START`` branchings follow at once. Then a child with one
+document ends; one with at most ``SMALL`` is compared exhaustively; a larger one is compared with its smallest
+document (and the smallest of each part it has been linked into, while those are few) and branches again,
+until all its documents are linked or none is left. A pair at the threshold stays together in a tree through
+two branchings with a probability of 0.77, so all trees miss it with one below 1e-7.
 
 Candidate pairs are dropped only by the exact bound on set sizes and by a sketch agreement more than 4
 standard deviations below the threshold; all others are confirmed on the full sets. Pairs already in one
 component are not compared, since components are the result: a link between them changes nothing.
 
 Defined results: null or empty texts have no set and are linked with nothing. Rows without id are no part of
-any component: their component is null, and they are kept. Rows of one id are one document: of several texts the
-one with the most shingles stands for it in the trees, and an equal set of any of them links. An empty table
-gives no rows.
+any component: their component is null, and they are kept. Repeated rows of one id are one document; if such
+rows have different texts, each row is in the component of its text, and the text with the most shingles
+confirms links. An empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -34,7 +34,8 @@ from modelweave.llm.common import Words, by_slices, mix, sets_of, shingles, text
 SHINGLE = 5
 SIMILARITY = 85  # per cent
 SLOTS = 64
-TREES = 10
+TREES = 12
+START = 2
 SMALL = 16
 PARTS = 8  # of a large node, so many parts' smallest documents are compared with all others
 DEPTH = 16  # of 64 slots; larger nodes left there are compared with the smallest document of every part
@@ -101,14 +102,17 @@ def merge_components(parts: DataFrame | None, links: DataFrame) -> DataFrame:
             ends.groupBy(F.col("a").alias("node")).agg(F.least(F.min("b"), F.first("a")).alias("part")), "points"
         )
         to = points.select(F.col("node").alias("part"), F.col("part").alias("_to"))
-        mapping = points if mapping is None else written(
-            mapping.join(to, "part", "left").select("node", F.coalesce("_to", "part").alias("part")), "parts"
+        mapping = points if mapping is None else mapping.join(to, "part", "left").select(
+            "node", F.coalesce("_to", "part").alias("part")
         )
         for side in ("a", "b"):
             to = points.select(F.col("node").alias(side), F.col("part").alias("_to"))
             edges = edges.join(to, side).withColumn(side, F.col("_to")).drop("_to")
-    if mapping is None or parts is None:
-        return mapping if parts is None else parts
+    if mapping is None:
+        return parts
+    mapping = written(mapping, "parts")
+    if parts is None:
+        return mapping
     to = mapping.select(F.col("node").alias("part"), F.col("part").alias("_to"))
     old = parts.join(to, "part", "left").select("node", F.coalesce("_to", "part").alias("part"))
     new = mapping.join(parts.select("node"), "node", "left_anti")
@@ -119,14 +123,14 @@ def merge_components(parts: DataFrame | None, links: DataFrame) -> DataFrame:
 
 
 def _children(members: DataFrame) -> DataFrame:
-    """(path, node) of the tree nodes one step below, for rows (path, node, sketch)."""
+    """The tree nodes one step below, as rows (path, node, sketch)."""
     one, two = (F.pmod(F.xxhash64("path", F.lit(i)), F.lit(SLOTS)) for i in (0, 1))
     second = (F.pmod(F.xxhash64("path", F.lit(2)), F.lit(SIMILARITY)) < 100 - SIMILARITY) & (one != two)
     stepped = members.select(
         "path", "node", "sketch", F.explode(F.when(second, F.array(one, two)).otherwise(F.array(one))).alias("slot")
     )
     value = F.substring("sketch", (F.col("slot") * 4 + 1).cast("int"), F.lit(4))
-    return stepped.select(F.xxhash64("path", "slot", value).alias("path"), "node")
+    return stepped.select(F.xxhash64("path", "slot", value).alias("path"), "node", "sketch")
 
 
 def _with_parts(members: DataFrame, parts: DataFrame | None) -> DataFrame:
@@ -136,8 +140,8 @@ def _with_parts(members: DataFrame, parts: DataFrame | None) -> DataFrame:
 
 
 def _unlinked(members: DataFrame, parts: DataFrame | None) -> DataFrame:
-    """Rows (path, node, part, size, parts, least) of the tree nodes that hold more than one part."""
-    members = written(_with_parts(members, parts), "members")
+    """Rows (path, node, part, size, least) of the tree nodes that hold more than one part."""
+    members = _with_parts(members, parts)
     sizes = members.groupBy("path").agg(
         F.count(F.lit(1)).alias("size"), F.min("node").alias("least"), F.min("part").alias("low"),
         F.max("part").alias("high"),
@@ -146,7 +150,8 @@ def _unlinked(members: DataFrame, parts: DataFrame | None) -> DataFrame:
 
 
 def _to_least(members: DataFrame) -> DataFrame:
-    return members.filter("node <> least").select(F.col("least").alias("a"), F.col("node").alias("b"))
+    """Each document of a node with its smallest one, unless they are linked already."""
+    return members.filter("node <> least and part <> least").select(F.col("least").alias("a"), F.col("node").alias("b"))
 
 
 def _of_small(members: DataFrame, small: int) -> DataFrame:
@@ -167,7 +172,6 @@ def _of_parts(members: DataFrame, small: int, most: int | None) -> DataFrame:
     if most is not None:
         few = centres.groupBy("path").count().filter(F.col("count") <= most).select("path")
         centres = centres.join(few, "path", "left_semi")
-    centres = written(centres, "centres")
     return large.join(centres, "path").filter("part <> a_part").select(
         F.least("a", "node").alias("a"), F.greatest("a", "node").alias("b")
     )
@@ -184,14 +188,14 @@ class Join:
 
     def compare(self, pairs: DataFrame) -> None:
         """Confirm candidate pairs (a, b) and merge their parts."""
-        pairs = pairs.distinct()
+        likely = self._likely(pairs.distinct())
         if self.tried is not None:
-            pairs = pairs.join(self.tried, ["a", "b"], "left_anti")
-        pairs = written(pairs, "pairs")
-        likely = written(self._likely(pairs), "likely")
-        if not likely.isEmpty():
-            self.parts = merge_components(self.parts, written(self._confirmed(likely), "confirmed"))
-        self.tried = pairs if self.tried is None else self.tried.unionByName(pairs)
+            likely = likely.join(self.tried, ["a", "b"], "left_anti")
+        likely = written(likely, "likely")
+        if likely.isEmpty():
+            return
+        self.tried = likely if self.tried is None else self.tried.unionByName(likely)
+        self.parts = merge_components(self.parts, written(self._confirmed(likely), "confirmed"))
 
     def _likely(self, pairs: DataFrame) -> DataFrame:
         share = self.similarity / 100
@@ -266,46 +270,37 @@ def components(
 ) -> DataFrame:
     """(id, n_shingles, component_id, kept) of every document."""
     signed = written(signatures(docs, id_col, text_col), "signatures")
-    copies = written(
+    nodes = written(
         signed.filter("id is not null and digest is not null").groupBy("digest").agg(
             F.min("id").alias("node"), F.first("n").alias("n"), F.first("sketch").alias("sketch")
         ),
         "nodes",
     )
-    # an id with several texts is one node
-    nodes = written(copies.groupBy("node").agg(F.max("n").alias("n"), F.max_by("sketch", "n").alias("sketch")), "nodes")
     join = Join(docs, nodes, id_col, text_col, similarity)
     paths = F.explode(F.array(*[F.xxhash64(F.lit(t)) for t in range(trees)]))
     members = nodes.select(paths.alias("path"), "node", "sketch")
-    for depth in range(DEPTH):
-        members = _unlinked(_children(members), join.parts)
-        if members.isEmpty():
-            break
-        join.compare(_to_least(members))
-        members = _unlinked(members.select("path", "node"), join.parts)
+    for _ in range(START - 1):
+        members = _children(members)
+    for depth in range(START, DEPTH):
+        members = _unlinked(_children(members).select("path", "node"), join.parts)
         if members.isEmpty():
             break
-        join.compare(
-            _of_small(members, small).unionByName(_of_parts(members, small, PARTS if depth < DEPTH - 1 else None))
-        )
+        pairs = _to_least(members).unionByName(_of_small(members, small))
+        if join.parts is not None:
+            pairs = pairs.unionByName(_of_parts(members, small, PARTS if depth < DEPTH - 1 else None))
+        join.compare(pairs)
         large = members.filter(F.col("size") > small).select("path", "node")
+        if large.isEmpty():
+            break
         members = large.join(nodes.select("node", "sketch"), "node")
-    # several texts of one id: their nodes are one document
-    several = signed.filter("id is not null and digest is not null").select("id", "digest").join(
-        copies.select("digest", "node"), "digest"
-    )
-    found = several.filter("id <> node").select(F.col("node").alias("a"), F.col("id").alias("b"))
-    own = merge_components(join.parts, found)
-    of_id = signed.select("id", "n")
-    if own is None:
-        joined = of_id.withColumn("part", F.col("id"))
-    else:
-        joined = of_id.join(own, of_id["id"] == own["node"], "left").select(
-            "id", "n", F.coalesce("part", "id").alias("part")
-        )
-    return joined.select(
-        F.col("id").alias(id_col), F.col("n").alias("n_shingles"), F.col("part").alias("component_id"),
-        F.coalesce(F.col("id") == F.col("part"), F.lit(True)).alias("kept"),
+    rows = signed.join(nodes.select("digest", "node"), "digest", "left").select("id", "n", "node")
+    if join.parts is not None:
+        rows = rows.join(join.parts, "node", "left")
+    part = F.coalesce("part", "node", "id") if join.parts is not None else F.coalesce("node", "id")
+    part = F.when(F.col("id").isNotNull(), part)
+    return rows.select(
+        F.col("id").alias(id_col), F.col("n").alias("n_shingles"), part.alias("component_id"),
+        F.coalesce(F.col("id") == part, F.lit(True)).alias("kept"),
     )
 
 
