@@ -7,7 +7,6 @@ what may be broadcast, which keys are hot, and where intermediate tables live.
 from __future__ import annotations
 
 import math
-import tempfile
 import uuid
 from collections.abc import Sequence
 from functools import reduce
@@ -34,21 +33,24 @@ def _hot_rows(spark: SparkSession, given: int | None) -> int:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """Folder every executor can reach; ``spark.checkpoint.dir`` names it on a cluster."""
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if not folder:
-        folder = spark.sparkContext.getConf().get("spark.checkpoint.dir")
-    if not folder:
-        if not spark.sparkContext.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
-        folder = tempfile.mkdtemp(prefix="modelweave-")
-        spark.conf.set("spark.checkpoint.dir", folder)
-    return folder.rstrip("/")
+    """Folder every executor can reach: ``spark.checkpoint.dir``, or below the warehouse where that is unset."""
+    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
+    return (folder or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_intermediate").rstrip("/")
+
+
+def _application_folder(spark: SparkSession) -> str:
+    return f"{shared_folder(spark)}/modelweave-{spark.sparkContext.applicationId}"
 
 
 def new_folder(spark: SparkSession, label: str) -> str:
-    """A new path below one folder per application, which can be removed when the application ends."""
-    return f"{shared_folder(spark)}/modelweave-{spark.sparkContext.applicationId}/{label}-{uuid.uuid4().hex}"
+    """A new path below one folder per application, which `remove_folders` removes."""
+    return f"{_application_folder(spark)}/{label}-{uuid.uuid4().hex}"
+
+
+def remove_folders(spark: SparkSession) -> None:
+    """Remove all intermediate tables of this application; frames that read them are of no use afterwards."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(_application_folder(spark))
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def materialize(df: DataFrame, label: str, partition_by: Sequence[str] = ()) -> DataFrame:
@@ -95,11 +97,12 @@ def lookup_join(
     if n_hot == 0:
         return facts.join(lookup, keys, how)
     salts = F.broadcast(hot) if n_hot <= broadcast_rows else hot
-    row_hash = F.xxhash64(*[F.col(f"`{c}`") for c in facts.columns])
+    # By the row's place, so that equal rows are split too; every salt has its copy of the lookup.
+    place = F.monotonically_increasing_id()
     # A null key matches nothing, so its rows may go anywhere.
     no_key = reduce(or_, [F.col(k).isNull() for k in keys])
-    salt = F.when(no_key, F.pmod(row_hash, F.lit(NULL_KEY_SALTS))).otherwise(
-        F.when(F.col("_salts").isNull(), F.lit(0)).otherwise(F.pmod(row_hash, "_salts"))
+    salt = F.when(no_key, F.pmod(place, F.lit(NULL_KEY_SALTS))).otherwise(
+        F.when(F.col("_salts").isNull(), F.lit(0)).otherwise(F.pmod(place, "_salts"))
     )
     spread = facts.join(salts, keys, "left").withColumn("_salt", salt.cast("int"))
     copies = (

@@ -14,11 +14,18 @@ MODEL_KEYS = {
     "unorderedAtomicValues": {"attribute": "attributes"},
     "orderedLiteralValues": {"attribute": "attributes", "value": "literals"},
     "unorderedLiteralValues": {"attribute": "attributes", "value": "literals"},
+    "orderedStructuredValues": {"attribute": "attributes", "value": "elements"},
+    "unorderedStructuredValues": {"attribute": "attributes", "value": "elements"},
+    "appliedProfiles": {"appliedProfile": "profiles"},
     "orderedLinks": {"sourceElement": "elements", "targetElement": "elements", "metaAssociation": "associations"},
     "unorderedLinks": {"sourceElement": "elements", "targetElement": "elements", "metaAssociation": "associations"},
     "appliedStereotypes": {"modelElement": "elements", "appliedStereotype": "stereotypes"},
-    "orderedStereotypeReferences": {"modelElement": "elements", "referencedElement": "elements"},
-    "unorderedStereotypeReferences": {"modelElement": "elements", "referencedElement": "elements"},
+    "orderedStereotypeReferences": {
+        "modelElement": "elements", "associationTargetEnd": "features", "referencedElement": "elements"
+    },
+    "unorderedStereotypeReferences": {
+        "modelElement": "elements", "associationTargetEnd": "features", "referencedElement": "elements"
+    },
 }
 
 

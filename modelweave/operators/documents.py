@@ -97,7 +97,7 @@ def lookup_document_packages(
         found.filter(F.col("uuid").isNotNull()),
         error_rows(
             found.filter(F.col("uuid").isNull()), "package-not-found",
-            F.concat(F.lit("No package or profile found with tool id "), F.col(tool_id)),
+            F.concat(F.lit("No package or profile found with tool id "), F.coalesce(tool_id, F.lit("null"))),
             element=F.lit(None), resource=F.lit(None),
         ),
     )

@@ -6,7 +6,7 @@ from collections.abc import Iterable
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from modelweave.functions.scale import materialize, numbered
@@ -65,7 +65,8 @@ def errors_by_element(
     """Messages of each element joined by newlines; those without an element go under ``root``.
 
     An element with more than ``messages_per_row`` messages gets several rows, numbered by
-    ``block``, so that no text is unbounded and no message is lost.
+    ``block``, so that no text is unbounded and no message is lost. ``n_of_element`` counts the messages
+    of the element, ``n_of_all`` those of the report.
     """
     keyed = materialize(
         distinct_errors(errors).select(
@@ -74,13 +75,18 @@ def errors_by_element(
         "errors",
     )
     order = [F.col(c).asc_nulls_first() for c in ("code", "message", "resource", "severity")]
+    total = keyed.count()  # of a written table: its file footers
     placed = numbered(keyed, ["element"], order, out="_place", hot_rows=hot_rows)
     block = F.floor(F.col("_place") / messages_per_row).cast("int")
-    said = F.transform(F.array_sort(F.collect_list(F.struct("_place", "message"))), lambda m: m["message"])
+    said = F.transform(
+        F.array_sort(F.collect_list(F.struct("_place", "message"))), lambda m: F.coalesce(m["message"], F.lit("null"))
+    )
     return (
         placed.withColumn("block", block)
         .groupBy("element", "block")
         .agg(F.array_join(said, "\n").alias("messages"), F.count(F.lit(1)).alias("n_messages"))
+        .withColumn("n_of_element", F.sum("n_messages").over(Window.partitionBy("element")))
+        .withColumn("n_of_all", F.lit(total).cast("long"))
     )
 
 

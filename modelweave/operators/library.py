@@ -20,7 +20,7 @@ def primitive_types(types: DataFrame) -> Result:
         ),
         error_rows(
             mapped.filter(F.col("datatypeMapDefinition").isNull()), "unknown-primitive",
-            F.concat(F.lit("No datatype is known for the primitive type "), F.col("name")), severity="fatal",
+            F.concat(F.lit("No datatype is known for the primitive type "), F.coalesce("name", F.lit("null"))), severity="fatal",
         ),
     )
 

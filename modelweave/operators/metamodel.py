@@ -63,7 +63,7 @@ def orient_associations(associations: DataFrame, features: DataFrame) -> Result:
         both.filter(whole).select("resource", "association", "name", "is_abstract", *picked),
         error_rows(
             both.filter(~whole), "association-end-missing",
-            F.concat(F.lit("Association without two ends: "), F.col("name")), element="association", severity="fatal",
+            F.concat(F.lit("Association without two ends: "), F.coalesce("name", F.lit("null"))), element="association", severity="fatal",
         ),
     )
 

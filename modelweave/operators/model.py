@@ -20,7 +20,7 @@ def model_elements(elements: DataFrame, classes: DataFrame) -> Result:
         found.filter(F.col("metaClass").isNotNull()).select("resource", "uuid", "metaClass"),
         error_rows(
             found.filter(F.col("metaClass").isNull()), "unknown-metaclass",
-            F.concat(F.lit("Element of an unknown metaclass: "), F.col("kind")), severity="fatal",
+            F.concat(F.lit("Element of an unknown metaclass: "), F.coalesce("kind", F.lit("null"))), severity="fatal",
         ),
     )
 
@@ -90,7 +90,7 @@ def resolve_profile(applied: DataFrame, documents: DataFrame, exported: DataFram
     pairs = applied.filter(F.col("profile").isNotNull()).select("resource", "profile").distinct()
     known = documents.select(F.col("scope_package").alias("profile"), F.col("resource").alias("profile_resource"))
     chosen = exported.select(F.col("resource").alias("profile_resource"), F.lit(True).alias("exported"))
-    found = pairs.join(known, "profile", "left").join(chosen.distinct(), "profile_resource", "left")
+    found = lookup_join(lookup_join(pairs, known, ["profile"], how="left"), chosen.distinct(), ["profile_resource"], "left")
     code = F.when(F.col("profile_resource").isNull(), "profile-without-document").when(
         F.col("exported").isNull(), "profile-not-exported"
     )

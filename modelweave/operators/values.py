@@ -86,9 +86,8 @@ def stereotype_slots(
         features.select(F.col("uuid").alias("feature"), F.col("owner").alias("holder"),
                         F.col("name").alias("property"), "type", "is_ordered")
         .join(stereotype_taxa.select(F.col("supertype").alias("holder")).distinct(), "holder", "left_semi")
-        .join(types.select(F.col("uuid").alias("type"), "type_kind"), "type", "left")
-        .drop("type")
     )
+    tags = lookup_join(tags, types.select(F.col("uuid").alias("type"), "type_kind"), ["type"], how="left").drop("type")
     held = lookup_join(
         applications.select(F.col("element").alias("entity"), "stereotype"),
         stereotype_taxa.select(F.col("metaclass").alias("stereotype"), F.col("supertype").alias("holder")),
@@ -162,8 +161,9 @@ def rebuild_slots(ordered_values: DataFrame, values_per_row: int = VALUES_PER_RO
 
 def typed_values(values: DataFrame, attribute_types: DataFrame, primitives: DataFrame) -> DataFrame:
     """Atomic values decoded by the datatype of their attribute, one nullable column per datatype."""
-    datatypes = attribute_types.select("attribute", "type").join(
-        primitives.select(F.col("uuid").alias("type"), "datatypeMapDefinition"), "type"
+    datatypes = lookup_join(
+        attribute_types.select("attribute", "type"), primitives.select(F.col("uuid").alias("type"), "datatypeMapDefinition"),
+        ["type"],
     ).select("attribute", "datatypeMapDefinition")
     decoded = lookup_join(values, datatypes, ["attribute"])
     columns = typed_value(F.col("value"), F.col("datatypeMapDefinition"))

@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from modelweave.operators import documents as D
@@ -168,12 +168,15 @@ def slot_tables(slots: DataFrame, attributes: DataFrame, forward: DataFrame) ->
     table = F.lit(None).cast("string")
     for (name, ordered), title in SLOT_TABLES.items():
         table = F.when((kind == name) & (F.col("is_ordered") == F.lit(ordered)), title).otherwise(table)
-    no_element = (kind == "link") & F.col("is_collection") & (of != "element")
+    no_element = (kind == "link") & F.col("is_collection") & ((of != "element") | F.col("ref").isNull())
+    # Values of another kind than their attribute's are skipped; a literal without a value is a value.
+    kept = (kind == "atomic") | ((kind == "enumeration") & (of == "literal")) | no_element | value.isNotNull()
     index = F.when(F.col("is_collection"), F.col("position")).otherwise(F.lit(0))
     return joined.select(
         F.when(no_element, _LINK_ERRORS).otherwise(table).alias("table"), "resource", "entity", "target",
         F.when(no_element, F.col("feature_name")).otherwise(value).alias("value"), index.alias("index"), "kind",
-    ).filter((F.col("kind") == "atomic") | F.col("value").isNotNull()).drop("kind")
+        kept.alias("kept"),
+    ).filter("kept").drop("kind", "kept")
 
 
 def _slot_table(rows: DataFrame, kind: str, ordered: bool) -> DataFrame:
@@ -212,18 +215,22 @@ class ModelInput:
 
 
 def export_model(documents: DataFrame, exported_profiles: DataFrame, given: ModelInput) -> Export:
-    """Model tables; errors of the value and reference steps are kept with the others.
+    """Model tables of the ``documents`` given; errors of the value and reference steps are kept with the others.
 
+    Every table, also those of slots and applications, holds rows of these documents only.
     The eight tables that come from slots are written in one job, split by table; reading one of
     them back touches its own files only.
     """
     own = D.in_documents(given.elements, documents, "Model")
+    applications = D.in_documents(given.applications, documents, "Model")
     models = D.resource_rows(documents, "Model")
     elements = O.model_elements(own, given.classes)
-    applied = O.apply_profiles(given.applications, documents, exported_profiles, given.stereotypes)
-    rows = materialize(slot_tables(given.slots, given.attributes, given.forward), "slot-tables", ["table"])
+    applied = O.apply_profiles(applications, documents, exported_profiles, given.stereotypes)
+    slots = D.in_documents(given.slots, documents, "Model")
+    rows = materialize(slot_tables(slots, given.attributes, given.forward), "slot-tables", ["table"])
+    tag_slots = D.in_documents(given.tag_slots, documents, "Model")
     tags = materialize(
-        V.stereotype_slots(given.tag_slots, given.features, given.types, given.applications, given.stereotype_taxa),
+        V.stereotype_slots(tag_slots, given.features, given.types, applications, given.stereotype_taxa),
         "stereotype-slots",
     )
     ordered_refs = V.stereotype_references(tags, ordered=True)
@@ -231,7 +238,9 @@ def export_model(documents: DataFrame, exported_profiles: DataFrame, given: Mode
     tables = {
         "resources": models,
         "instantiatedMetamodels": O.instantiated_metamodels(models, given.metamodel),
-        "appliedProfiles": O.applied_profiles(given.profile_applications, documents),
+        "appliedProfiles": O.applied_profiles(
+            D.in_documents(given.profile_applications, documents, "Model"), documents
+        ),
         "elements": elements.rows,
         "elementIDs": O.element_tool_ids(own),
         "elementURLs": O.element_tool_urls(own),
@@ -251,12 +260,22 @@ def export_selected(selection: DataFrame, documents: DataFrame) -> tuple[DataFra
     return chosen.rows.select(*documents.columns), chosen.errors
 
 
-def table_sizes(export: Export) -> DataFrame:
-    """Rows per table of a bundle, errors included."""
-    counts = [
-        df.select(F.lit(name).alias("table")).groupBy("table").agg(F.count(F.lit(1)).alias("n_rows"))
-        for name, df in {**export.tables, "errors": export.errors}.items()
-    ]
-    return union_all(counts)
+def row_text(df: DataFrame) -> Column:
+    """All columns of a row as one text, in the order of their names."""
+    return F.concat_ws("|", *[F.coalesce(F.col(c).cast("string"), F.lit("~")) for c in sorted(df.columns)])
+
+
+def table_contents(export: Export) -> DataFrame:
+    """Rows per table of a bundle, errors included, and the sum of a 60-bit hash of every row's text.
+
+    Equal sums mean equal rows in whatever order, so bundles can be compared without listing them.
+    """
+    sums = []
+    for name, df in {**export.tables, "errors": export.errors}.items():
+        number = F.conv(F.substring(F.md5(row_text(df)), 1, 15), 16, 10).cast("decimal(38,0)")
+        sums.append(df.select(F.lit(name).alias("table"), number.alias("hash")).groupBy("table").agg(
+            F.count(F.lit(1)).alias("n_rows"), F.sum("hash").cast("string").alias("content")
+        ))
+    return union_all(sums)
 
 

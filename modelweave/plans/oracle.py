@@ -9,6 +9,7 @@ from modelweave.operators.metamodel import KINDS, RESTRICTIONS
 from modelweave.operators.model import TOOL_VENDOR
 from modelweave.plans.oracle_base import BASE
 from modelweave.plans.workspace import METAMODEL
+from modelweave.schemas import ERRORS, FAMILIES
 from modelweave.sources.star_sql import STAR_TABLES
 
 _IGNORED = ", ".join(f"'{p}'" for p in IGNORED_PROPERTIES)
@@ -115,13 +116,6 @@ FROM {raw_type} t LEFT JOIN {primitive_map} m ON m.name = t.name WHERE t.type_ki
   i.importer || ' imports a package without a known document: ' || i.imported AS message
 FROM {raw_import} i JOIN {raw_document} o ON o.scope_package = i.importer AND o.kind = 'Library'
 LEFT JOIN {raw_document} d ON d.scope_package = i.imported WHERE d.resource IS NULL""",
-    "library_round_trip": f"""
-SELECT 'primitiveDataTypes' AS "table", t.resource, t.uuid AS key, m.xsd AS name
-FROM {{raw_datatype}} t JOIN {{primitive_map}} m ON m.name = t.name WHERE t.type_kind = 'primitive'
-UNION ALL SELECT 'enumerationDataTypes', resource, uuid, name FROM {{raw_datatype}} WHERE type_kind = 'enumeration'
-UNION ALL SELECT 'enumeration2literals', resource, uuid, CAST(position AS STRING) FROM {{raw_literal}}
-UNION ALL SELECT 'enumerationLiterals', resource, uuid, name FROM {{raw_literal}}
-UNION ALL SELECT 'resources', resource, kind, kind FROM {{raw_document}} WHERE kind = 'Library'""",
     # ------------------------------------------------------------ metamodel
     "meta_classes": 'SELECT resource, uuid, name, is_abstract AS "isAbstract" FROM {m_class}',
     "meta_associations": 'SELECT resource, uuid, name, is_abstract AS "isAbstract" FROM {raw_association}',
@@ -225,8 +219,10 @@ WHERE a.applying_package IS NOT NULL""",
 FROM {application} WHERE known IS NOT NULL""",
     "append_errors": "SELECT * FROM {application_error}",
     "errors_by_element": """
-SELECT element, CAST(floor(place / 1000) AS INT) AS block, string_agg(message, chr(10) ORDER BY place) AS messages,
-  count(*) AS n_messages
+SELECT element, CAST(floor(place / 1000) AS INT) AS block,
+  string_agg(coalesce(message, 'null'), chr(10) ORDER BY place) AS messages, count(*) AS n_messages,
+  CAST(sum(count(*)) OVER (PARTITION BY element) AS BIGINT) AS n_of_element,
+  CAST(sum(count(*)) OVER () AS BIGINT) AS n_of_all
 FROM (SELECT element, message, row_number() OVER (PARTITION BY element
     ORDER BY code NULLS FIRST, message NULLS FIRST, resource NULLS FIRST, severity) - 1 AS place
   FROM (SELECT DISTINCT resource, coalesce(element, 'model') AS element, severity, code, message FROM (
@@ -304,7 +300,8 @@ FROM {record} r LEFT JOIN {raw_element} e ON e.uuid = r.entity""",
     "read_changes": "SELECT * FROM {raw_change}",
 }
 
-STATEMENTS["sorted_by_name"] = STATEMENTS["meta_classes"]
+STATEMENTS["sorted_by_name"] = """SELECT resource, uuid, name, is_abstract AS "isAbstract",
+  CAST(row_number() OVER (ORDER BY name NULLS FIRST, uuid) - 1 AS INT) AS place FROM {m_class}"""
 STATEMENTS["document_set_round_trip"] = STATEMENTS["document_config_rows"]
 STATEMENTS["read_document_sets"] = (
     STATEMENTS["document_config_rows"] + " WHERE d.kind IN ('Library', 'Profile', 'Metamodel')"
@@ -347,72 +344,98 @@ for (_kind, _ordered), _event in VALUE_EVENTS.items():
     STATEMENTS[f"{_word}_changes"] = f"""SELECT txn, seq, "changeKind", resource, entity, attribute, value
   {', index' if _ordered else ''} FROM {{value_change}} WHERE kind = '{_kind}' AND is_ordered = {str(_ordered).lower()}"""
 
-# Rows per table of a bundle; tables that are empty give no row.
+# Tables of each bundle: the statement that gives its rows, with the table's own column names.
+
+
+def _named(statement: str, **columns: str) -> str:
+    return f"SELECT {', '.join(f'{c} AS \"{n}\"' for n, c in columns.items())} FROM ({statement}) AS x"
+
+
+def _of_models(statement: str) -> str:
+    """The rows of the selected models."""
+    return f"SELECT * FROM ({statement}) AS x WHERE resource IN (SELECT resource FROM {{selected_doc}} WHERE kind = 'Model')"
+
+
+def _resources(kind: str, documents: str = "raw_document") -> str:
+    return f"SELECT resource, kind FROM {{{documents}}} WHERE kind = '{kind}'"
+
+
+_STEREO_BOUND = """SELECT resource, uuid AS feature, lower, upper, is_ordered AS "isOrdered" FROM (
+  SELECT resource, uuid, lower, upper, is_ordered FROM {stereo_attr}
+  UNION ALL SELECT resource, uuid, lower, upper, is_ordered FROM {profile_end}) AS e"""
+
 _BUNDLES = {
     "export_library": {
-        "resources": "{raw_document} WHERE kind = 'Library'",
-        "importedLibraries": f"({STATEMENTS['library_imports']}) AS x",
-        "primitiveDataTypes": f"({STATEMENTS['primitive_types']}) AS x",
-        "enumerationDataTypes": f"({STATEMENTS['enumeration_types']}) AS x",
-        "enumeration2literals": "{raw_literal}",
-        "enumerationLiterals": "{raw_literal}",
-        "errors": f"({STATEMENTS['primitive_type_errors']} UNION ALL {STATEMENTS['library_import_warnings']}) AS x",
+        "resources": _resources("Library"),
+        "importedLibraries":
+            _named(STATEMENTS["library_imports"], importingResource="importing", importedLibrary="imported"),
+        "primitiveDataTypes": STATEMENTS["primitive_types"],
+        "enumerationDataTypes": STATEMENTS["enumeration_types"],
+        "enumeration2literals": STATEMENTS["enumeration_literals_indexed"],
+        "enumerationLiterals": STATEMENTS["enumeration_literal_names"],
+        "errors": f"{STATEMENTS['primitive_type_errors']} UNION ALL {STATEMENTS['library_import_warnings']}",
     },
     "export_metamodel": {
-        "resources": "{raw_document} WHERE kind = 'Metamodel'",
-        "importedMetamodels": f"({STATEMENTS['metamodel_imports']}) AS x",
-        "importedLibraries": f"({STATEMENTS['metamodel_library_imports']}) AS x",
-        "metaClasses": "{m_class}",
-        "metaClassGeneralizations": f"({STATEMENTS['metaclass_generalizations']}) AS x",
-        "metaAssociations": "{raw_association}",
-        "metaAssociationGeneralizations": "{assoc_gen}",
-        "metaAssociation2Source": "{oriented}",
-        "metaAssociation2Target": "{oriented}",
-        "metaAssociationEnds": f"({STATEMENTS['association_ends']}) AS x",
-        "metaAssociationEnd2MetaClass": f"({STATEMENTS['association_end_types']}) AS x",
-        "attributes": "{class_attr}",
-        "attribute2type": "{class_attr}",
-        "featureLowerBounds": "{bounded}",
-        "featureUpperBounds": "{bounded}",
-        "featureOrdering": "{bounded}",
+        "resources": _resources("Metamodel"),
+        "importedMetamodels":
+            _named(STATEMENTS["metamodel_imports"], importingMetamodel="importing", importedMetamodel="imported"),
+        "importedLibraries":
+            _named(STATEMENTS["metamodel_library_imports"], importingResource="importing", importedLibrary="imported"),
         **{
-            f"metaClass2{w}{k.capitalize()}Attribute":
-                f"{{class_attr}} WHERE kind = '{k}' AND is_ordered = {str(w == 'ordered').lower()}"
-            for k in KINDS for w in ("ordered", "unordered")
+            t: STATEMENTS[q] for t, q in {
+                "metaClasses": "meta_classes", "metaClassGeneralizations": "metaclass_generalizations",
+                "metaAssociations": "meta_associations", "metaAssociationGeneralizations": "assoc_generalizations",
+                "metaAssociation2Source": "association_source", "metaAssociation2Target": "association_target",
+                "metaAssociationEnds": "association_ends", "metaAssociationEnd2MetaClass": "association_end_types",
+                "attributes": "attributes", "attribute2type": "attribute_types",
+                "featureLowerBounds": "feature_lower_bounds", "featureUpperBounds": "feature_upper_bounds",
+                "featureOrdering": "feature_ordering",
+                **{
+                    f"metaClass2{w}{k.capitalize()}Attribute": f"metaclass2{w}_{k}_attribute"
+                    for k in KINDS for w in ("ordered", "unordered")
+                },
+            }.items()
         },
     },
     "export_profile": {
-        "resources": "{selected_doc} WHERE kind = 'Profile'",
-        "extendedMetamodels": "{selected_doc} WHERE kind = 'Profile'",
-        "importedProfiles": "{raw_import} i JOIN {selected_doc} o ON o.scope_package = i.importer"
-        " AND o.kind = 'Profile' JOIN {selected_doc} d ON d.scope_package = i.imported"
-        " WHERE i.imported_kind = 'Profile'",
-        "stereotypes": "{stereo}",
-        "generalizations": f"({STATEMENTS['stereotype_generalizations']}) AS x",
-        "extendedMetaclasses": f"({STATEMENTS['stereotype_extends']}) AS x",
-        "stereotypeAttributes": "{stereo_attr}",
-        "attributes": "{stereo_attr}",
-        "attribute2type": "{stereo_attr}",
-        "stereotype2MetaClassProperty": "{class_prop} WHERE target IS NOT NULL",
-        "stereotype2StereotypeProperty": "{stereo_stereo}",
-        "associationTargetEnds": "{profile_end}",
+        "resources": _resources("Profile", "selected_doc"),
+        "extendedMetamodels": f"""SELECT resource, '{METAMODEL}' AS "extendedMetamodel" FROM {{selected_doc}}
+WHERE kind = 'Profile'""",
+        "importedProfiles": """SELECT o.resource AS "importingProfile", d.resource AS "importedProfile"
+FROM {raw_import} i JOIN {selected_doc} o ON o.scope_package = i.importer AND o.kind = 'Profile'
+JOIN {selected_doc} d ON d.scope_package = i.imported WHERE i.imported_kind = 'Profile'""",
+        "stereotypes": 'SELECT resource, uuid, name, is_abstract AS "isAbstract" FROM {stereo}',
+        "attributes": "SELECT resource, uuid, name FROM {stereo_attr}",
+        "attribute2type": "SELECT resource, uuid AS attribute, library_type AS type FROM {stereo_attr}",
+        "featureLowerBounds": f"SELECT resource, feature, lower FROM ({_STEREO_BOUND}) AS b",
+        "featureUpperBounds": f"SELECT resource, feature, upper FROM ({_STEREO_BOUND}) AS b",
+        "featureOrdering": f'SELECT resource, feature, "isOrdered" FROM ({_STEREO_BOUND}) AS b',
         **{
-            f: "(SELECT uuid FROM {stereo_attr} UNION ALL SELECT uuid FROM {profile_end}) AS x"
-            for f in ("featureLowerBounds", "featureUpperBounds", "featureOrdering")
+            t: STATEMENTS[q] for t, q in {
+                "generalizations": "stereotype_generalizations", "extendedMetaclasses": "stereotype_extends",
+                "stereotypeAttributes": "stereotype_attributes",
+                "stereotype2MetaClassProperty": "stereotype_metaclass_props",
+                "stereotype2StereotypeProperty": "stereotype_stereotype_props",
+                "associationTargetEnds": "profile_association_ends",
+            }.items()
         },
-        "errors": f"({STATEMENTS['stereotype_extends_errors']} UNION ALL"
-        f" {STATEMENTS['stereotype_metaclass_prop_errors']} UNION ALL"
-        " SELECT o.resource, i.importer, 'warning', 'w', i.imported FROM {raw_import} i"
-        " JOIN {selected_doc} o ON o.scope_package = i.importer AND o.kind = 'Profile'"
-        " WHERE i.imported_kind = 'Profile' AND i.imported NOT IN (SELECT scope_package FROM {selected_doc})) AS x",
+        "errors": f"""{STATEMENTS['stereotype_extends_errors']}
+UNION ALL {STATEMENTS['stereotype_metaclass_prop_errors']}
+UNION ALL SELECT o.resource, i.importer, 'warning', 'import-without-document',
+  i.importer || ' imports a package without a known document: ' || i.imported
+FROM {{raw_import}} i JOIN {{selected_doc}} o ON o.scope_package = i.importer AND o.kind = 'Profile'
+WHERE i.imported_kind = 'Profile' AND i.imported NOT IN (SELECT scope_package FROM {{selected_doc}})""",
     },
     "export_model": {
-        "resources": "{raw_document} WHERE kind = 'Model'",
-        "instantiatedMetamodels": "{raw_document} WHERE kind = 'Model'",
-        "appliedProfiles": "{raw_profile_application} a JOIN {selected_doc} d ON d.scope_package = a.applied_profile"
-        " WHERE a.applying_package IS NOT NULL",
+        "resources": _resources("Model", "selected_doc"),
+        "instantiatedMetamodels": f"""SELECT '{METAMODEL}' AS "instantiatedMetamodel",
+  resource AS "instantiatingModel" FROM {{selected_doc}} WHERE kind = 'Model'""",
+        "appliedProfiles": """SELECT a.resource AS "applyingResource", a.applying_package AS "applyingPackage",
+  d.resource AS "appliedResource", a.applied_profile AS "appliedProfile"
+FROM {raw_profile_application} a JOIN {selected_doc} d ON d.scope_package = a.applied_profile
+JOIN {selected_doc} o ON o.resource = a.resource AND o.kind = 'Model' WHERE a.applying_package IS NOT NULL""",
         **{
-            t: f"({STATEMENTS[q]}) AS x" for t, q in {
+            t: _of_models(STATEMENTS[q]) for t, q in {
                 "elements": "model_elements", "elementIDs": "element_tool_ids", "elementURLs": "element_tool_urls",
                 "orderedAtomicValues": "ordered_atomic_values", "orderedLiteralValues": "ordered_literal_values",
                 "orderedStructuredValues": "ordered_structured_values",
@@ -424,60 +447,64 @@ _BUNDLES = {
                 "unorderedLinks": "unordered_links",
             }.items()
         },
+        # A model export sees the selected documents only: profiles left out of it have no document there.
+        "errors": _of_models("""SELECT * FROM {element_error} UNION ALL SELECT * FROM {link_error}
+UNION ALL SELECT * FROM {tag_error} UNION ALL SELECT resource, element, severity, code, message FROM {tag_ref_error}
+UNION ALL SELECT * FROM {application_error} WHERE code NOT LIKE 'profile-%'
+UNION ALL SELECT resource, profile, 'error', 'profile-without-document', 'No document for profile ' || profile
+FROM {profile_use} WHERE exported IS NULL""") + " UNION ALL " + STATEMENTS["export_per_document_errors"],
     },
 }
-
-# A model export sees the selected documents only: profiles left out of it have no document there.
-_BUNDLES["export_model"]["errors"] = """(
-  SELECT 1 FROM {element_error} UNION ALL SELECT 1 FROM {application_error}
-  UNION ALL SELECT 1 FROM {link_error} UNION ALL SELECT 1 FROM {tag_error} UNION ALL SELECT 1 FROM {tag_ref_error}) AS x"""
-
-for _name, _tables in _BUNDLES.items():
-    STATEMENTS[_name] = "\nUNION ALL ".join(
-        f"SELECT '{t}' AS \"table\", count(*) AS n_rows FROM {source} HAVING count(*) > 0"
-        for t, source in _tables.items()
-    )
+_FAMILY = {"export_library": "Library", "export_metamodel": "Metamodel", "export_profile": "Profile", "export_model": "Model"}
 
 
+def _contents(bundle: str, errors: bool = True) -> list[str]:
+    """Per table the rows and the sum of the first 60 bits of each row text's hash; an empty table gives no row."""
+    out = []
+    for table, statement in _BUNDLES[bundle].items():
+        if table == "errors" and not errors:
+            continue
+        ddl = ERRORS if table == "errors" else FAMILIES[_FAMILY[bundle]][table]
+        columns = sorted(field.split()[0] for field in ddl.split(","))
+        text = "concat_ws('|', " + ", ".join(f"coalesce(CAST(\"{c}\" AS STRING), '~')" for c in columns) + ")"
+        number = f"CAST('0x' || substr(md5({text}), 1, 15) AS BIGINT)"
+        out.append(f"""SELECT '{table}' AS "table", count(*) AS n_rows, CAST(sum({number}) AS STRING) AS content
+FROM ({statement}) AS x HAVING count(*) > 0""")
+    return out
+
+
+for _name in _BUNDLES:
+    STATEMENTS[_name] = "\nUNION ALL ".join(_contents(_name))
+STATEMENTS["library_round_trip"] = STATEMENTS["export_library"]
+STATEMENTS["metamodel_round_trip"] = STATEMENTS["export_metamodel"]
 STATEMENTS["profiles_and_models_round_trip"] = "\nUNION ALL ".join(
-    f"SELECT * FROM (SELECT '{t}' AS \"table\", count(*) AS n_rows, '{family}' AS family FROM {source}"
-    " HAVING count(*) > 0) AS y"
-    for family, bundle in (("Profile", "export_profile"), ("Model", "export_model"))
-    for t, source in _BUNDLES[bundle].items() if t != "errors"
-)
-STATEMENTS["metamodel_round_trip"] = "\nUNION ALL ".join(
-    f"SELECT '{t}' AS \"table\", \"{key}\" AS key, CAST(\"{name}\" AS STRING) AS name FROM ({STATEMENTS[q]}) AS x"
-    for t, q, key, name in (
-        ("metaClasses", "meta_classes", "uuid", "name"),
-        ("metaClassGeneralizations", "metaclass_generalizations", "specific", "general"),
-        ("metaAssociations", "meta_associations", "uuid", "name"),
-        ("metaAssociationGeneralizations", "assoc_generalizations", "specific", "general"),
-        ("metaAssociationEnds", "association_ends", "uuid", "role"), ("attributes", "attributes", "uuid", "name"),
-        ("featureUpperBounds", "feature_upper_bounds", "feature", "upper"),
-        ("importedMetamodels", "metamodel_imports", "importing", "imported"))
+    f"SELECT *, '{_FAMILY[bundle]}' AS family FROM ({sql}) AS y"
+    for bundle in ("export_profile", "export_model") for sql in _contents(bundle, errors=False)
 )
 
 
-def _unresolved(table: str, column: str, rows: str, universe: str) -> str:
+def _unresolved(table: str, column: str, universe: str) -> str:
     return f"""SELECT '{table}' AS "table", '{column}' AS "column", "{column}" AS reference, count(*) AS n_rows
-FROM ({STATEMENTS[rows]}) AS x WHERE "{column}" NOT IN (SELECT uuid FROM {universe}) GROUP BY 3"""
+FROM ({_BUNDLES["export_model"][table]}) AS x WHERE "{column}" NOT IN (SELECT uuid FROM {universe}) GROUP BY 3"""
 
 
 STATEMENTS["unresolved_references"] = "\nUNION ALL ".join([
-    _unresolved("elements", "metaClass", "model_elements", "{b_class}"),
-    *[_unresolved(t, "attribute", q, "{class_attr}") for t, q in (
-        ("orderedAtomicValues", "ordered_atomic_values"), ("unorderedAtomicValues", "unordered_atomic_values"),
-        ("orderedLiteralValues", "ordered_literal_values"), ("unorderedLiteralValues", "unordered_literal_values"))],
-    *[_unresolved(t, "value", q, "{raw_literal}") for t, q in (
-        ("orderedLiteralValues", "ordered_literal_values"), ("unorderedLiteralValues", "unordered_literal_values"))],
-    *[_unresolved(t, c, q, u) for t, q in (("orderedLinks", "ordered_links"), ("unorderedLinks", "unordered_links"))
+    _unresolved("elements", "metaClass", "{b_class}"),
+    *[_unresolved(t, "attribute", "{class_attr}") for t in (
+        "orderedAtomicValues", "unorderedAtomicValues", "orderedLiteralValues", "unorderedLiteralValues",
+        "orderedStructuredValues", "unorderedStructuredValues")],
+    *[_unresolved(t, "value", "{raw_literal}") for t in ("orderedLiteralValues", "unorderedLiteralValues")],
+    *[_unresolved(t, "value", "{model_element}") for t in ("orderedStructuredValues", "unorderedStructuredValues")],
+    *[_unresolved(t, c, u) for t in ("orderedLinks", "unorderedLinks")
       for c, u in (("sourceElement", "{model_element}"), ("targetElement", "{model_element}"),
                    ("metaAssociation", "(SELECT association AS uuid FROM {views})"))],
-    _unresolved("appliedStereotypes", "modelElement", "applied_stereotypes", "{model_element}"),
-    _unresolved("appliedStereotypes", "appliedStereotype", "applied_stereotypes", "{stereo}"),
-    *[_unresolved(t, c, q, "{model_element}") for t, q in (
-        ("orderedStereotypeReferences", "ordered_stereotype_refs"),
-        ("unordered" + "StereotypeReferences", "unordered_stereotype_refs")) for c in ("modelElement", "referencedElement")],
+    _unresolved("appliedStereotypes", "modelElement", "{model_element}"),
+    _unresolved("appliedStereotypes", "appliedStereotype", "{stereo}"),
+    _unresolved("appliedProfiles", "appliedProfile", "(SELECT scope_package AS uuid FROM {raw_document})"),
+    *[_unresolved(t, "associationTargetEnd", "{raw_feature}") for t in (
+        "orderedStereotypeReferences", "unorderedStereotypeReferences")],
+    *[_unresolved(t, c, "{model_element}") for t in (
+        "orderedStereotypeReferences", "unorderedStereotypeReferences") for c in ("modelElement", "referencedElement")],
 ])
 
 # ---------------------------------------------------------------- whole statements

@@ -111,7 +111,7 @@ BASE["raw_slot"] = "\nUNION ALL ".join([
     *_refs("conversations", "'urn:dialog'", "Conversation", _id("con", "conv_id"), "turns", _TUR, "turn"),
     *_literals("conversations", "'urn:dialog'", "Turn", _TUR, role=("Role", "role")),
     _slot("vec_entry", "'urn:vectors'", "Vector", _VEC, "embedding", "'atomic'",
-          "CAST(round(CAST(x AS DOUBLE) * 1e6) AS BIGINT)", position="entry", collection=True),
+          "printf('%.8e', CAST(x AS DOUBLE))", position="entry", collection=True),
     *_atomics("embeddings", "'urn:vectors'", "Vector", _VEC, label=_s("label")),
     _slot("user_act", _EV, "User", _USR, "scores", "'atomic'", _m("value"), position="nth", collection=True,
           where="event_type = 'purchase'"),

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from modelweave.functions.scale import new_folder
+from modelweave.functions.scale import new_folder, numbered
 from modelweave.operators import changes as C
 from modelweave.operators import checks as X
 from modelweave.operators import documents as D
@@ -26,6 +26,9 @@ from modelweave.sources import document_sets as S
 from modelweave.sources import tables as TB
 from modelweave.streaming import changes as ST
 
+# Rows of a listing that one task numbers.
+PLACES_PER_RANGE = 1_000
+
 _QUERIES: dict[str, Callable[[Workspace], DataFrame]] = {}
 
 
@@ -183,26 +186,16 @@ def _library(w) -> B.Export:
 
 @query
 def export_library(w):
-    return B.table_sizes(_library(w))
+    return B.table_contents(_library(w))
 
 
 @query
 def library_round_trip(w):
-    """Library tables written as JSON lines and read back, as (table, resource, key, name) rows."""
+    """Library tables written as JSON lines and read back: contents of every table."""
     folder = new_folder(w.spark, "library")
     export = _library(w)
     TB.write_library(export.tables, folder, export.errors)
-    back = TB.read_library(w.spark, folder)
-
-    def rows(table, key, name):
-        return back[table].select(F.lit(table).alias("table"), "resource", F.col(key).alias("key"),
-                                  F.col(name).cast("string").alias("name"))
-
-    return E.union_all([
-        rows("primitiveDataTypes", "uuid", "datatypeMapDefinition"), rows("enumerationDataTypes", "uuid", "name"),
-        rows("enumeration2literals", "literal", "index"), rows("enumerationLiterals", "literal", "name"),
-        rows("structuredDataTypes", "uuid", "name"), rows("resources", "kind", "kind"),
-    ])
+    return B.table_contents(B.Export(TB.read_library(w.spark, folder), export.errors))
 
 
 # ---------------------------------------------------------------- metamodel
@@ -220,7 +213,10 @@ def meta_associations(w):
 
 @query
 def sorted_by_name(w):
-    return M.meta_classes(w.graph.element, w.graph.document).orderBy(*D.name_order())
+    """Classes with their place in the listing order."""
+    rows = M.meta_classes(w.graph.element, w.graph.document).withColumn("_all", F.lit(0))
+    # more than a few rows are numbered by ranges, never in one task
+    return numbered(rows, ["_all"], D.name_order(), out="place", hot_rows=PLACES_PER_RANGE).drop("_all")
 
 
 def _oriented(w) -> E.Result:
@@ -341,7 +337,7 @@ for _kind in M.KINDS:
 @query
 def export_metamodel(w):
     g = w.graph
-    return B.table_sizes(B.export_metamodel(
+    return B.table_contents(B.export_metamodel(
         g.document, g.element, g.association, g.feature, g.feature_rel, g.generalization, g.type,
         getattr(g, "import"), attributes=w.all.attributes,
     ))
@@ -349,25 +345,14 @@ def export_metamodel(w):
 
 @query
 def metamodel_round_trip(w):
-    """Metamodel tables written as JSON lines and read back: classes, edges, ends, attributes."""
+    """Metamodel tables written as JSON lines and read back: contents of every table."""
     g, folder = w.graph, new_folder(w.spark, "metamodel")
     export = B.export_metamodel(
         g.document, g.element, g.association, g.feature, g.feature_rel, g.generalization, g.type,
         getattr(g, "import"), attributes=w.all.attributes,
     )
     TB.write_metamodel(export.tables, folder, export.errors)
-    back = TB.read_metamodel(w.spark, folder)
-
-    def rows(table, key, name):
-        return back[table].select(F.lit(table).alias("table"), F.col(key).alias("key"),
-                                  F.col(name).cast("string").alias("name"))
-
-    return E.union_all([
-        rows("metaClasses", "uuid", "name"), rows("metaClassGeneralizations", "specific", "general"),
-        rows("metaAssociations", "uuid", "name"), rows("metaAssociationGeneralizations", "specific", "general"),
-        rows("metaAssociationEnds", "uuid", "role"), rows("attributes", "uuid", "name"),
-        rows("featureUpperBounds", "feature", "upper"), rows("importedMetamodels", "importingMetamodel", "importedMetamodel"),
-    ])
+    return B.table_contents(B.Export(TB.read_metamodel(w.spark, folder), export.errors))
 
 
 # ---------------------------------------------------------------- lookups
@@ -545,7 +530,7 @@ def _profile(w) -> B.Export:
 
 @query
 def export_profile(w):
-    return B.table_sizes(_profile(w))
+    return B.table_contents(_profile(w))
 
 
 # ---------------------------------------------------------------- model elements
@@ -696,7 +681,7 @@ _same_plan({
 def rebuild_slots(w):
     """Ordered collections as comma-separated text in index order."""
     found = V.rebuild_slots(_atomic(w, True))
-    return found.select("resource", "entity", "attribute", "block", F.array_join("values", ",").alias("values"))
+    return found.select("resource", "entity", "attribute", "block", F.array_join("values", ",", "null").alias("values"))
 
 
 @query
@@ -735,7 +720,7 @@ def link_errors(w):
 
 @query
 def links_per_association(w):
-    """Ordered links with their association's name, counted per source metaclass."""
+    """Ordered links with their association's name, counted per document and association."""
     found = K.ordered_links(_matched(w, True))
     named = w.business.views.select(F.col("association").alias("metaAssociation"), F.col("name").alias("associationName"))
     counted = found.groupBy("resource", "metaAssociation").agg(
@@ -748,12 +733,14 @@ def links_per_association(w):
 
 
 def _model(w) -> B.Export:
-    return B.export_model(w.selected_documents, _exported_profiles(w), w.model_input)
+    """The selected models; a selected package without a document is an error of the export."""
+    export = B.export_model(w.selected_documents, _exported_profiles(w), w.model_input)
+    return B.Export(export.tables, export.errors.unionByName(w.selection_errors))
 
 
 @query
 def export_model(w):
-    return B.table_sizes(_model(w))
+    return B.table_contents(_model(w))
 
 
 @query
@@ -766,7 +753,7 @@ def profiles_and_models_round_trip(w):
     parts = []
     for family, sub in (("Profile", "profiles"), ("Model", "models")):
         back = B.Export(TB.read_tables(w.spark, f"{folder}/{sub}", family), E.no_errors(w.spark))
-        parts.append(B.table_sizes(back).withColumn("family", F.lit(family)))
+        parts.append(B.table_contents(back).withColumn("family", F.lit(family)))
     return E.union_all(parts)
 
 
@@ -775,7 +762,8 @@ def unresolved_references(w):
     export = _model(w)
     universes = {
         "elements": _model_rows(w), "metaClasses": w.business.classes, "attributes": w.business.attributes,
-        "literals": w.graph.literal, "stereotypes": w.stereotypes,
+        "literals": w.graph.literal, "stereotypes": w.stereotypes, "features": w.graph.feature,
+        "profiles": w.graph.document.select(F.col("scope_package").alias("uuid")),
         "associations": w.business.views.select(F.col("association").alias("uuid")),
     }
     return X.unresolved_references(export.tables, universes)

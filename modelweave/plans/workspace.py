@@ -127,9 +127,17 @@ class Workspace:
     def business(self) -> MetamodelLookups:
         return MetamodelLookups(self.graph, self.graph.document.filter(F.col("resource") == METAMODEL), "business")
 
+    @cached_property
+    def _selected(self) -> tuple[DataFrame, DataFrame]:
+        return export_selected(self.graph.selection, self.graph.document)
+
     @cached_property
     def selected_documents(self) -> DataFrame:
-        return materialize(export_selected(self.graph.selection, self.graph.document)[0], "selected-documents")
+        return materialize(self._selected[0], "selected-documents")
+
+    @property
+    def selection_errors(self) -> DataFrame:
+        return self._selected[1]
 
     @cached_property
     def stereotypes(self) -> DataFrame:

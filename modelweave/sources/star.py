@@ -197,9 +197,10 @@ class StarGraph:
         parts["conversations"] = self._slots(t("conversations"), "urn:dialog", "Turn", uuid("tur", "conv_id", "turn"),
                                              _literal("role", "Role", c("role")))
         entries = t("embeddings").select("vec_id", F.posexplode("embedding").alias("entry", "x"))
-        micro = _text(F.round(c("x").cast("double") * 1e6).cast("bigint"))
+        # nine significant digits: the text gives back every 32-bit number
+        exact = F.format_string("%.8e", c("x").cast("double"))
         parts["entries"] = self._slots(entries, "urn:vectors", "Vector", uuid("vec", "vec_id"),
-                                       _atomic("embedding", micro, position=c("entry"), collection=True))
+                                       _atomic("embedding", exact, position=c("entry"), collection=True))
         parts["embeddings"] = self._slots(t("embeddings"), "urn:vectors", "Vector", uuid("vec", "vec_id"),
                                           _atomic("label", _text(c("label"))))
         acts = t("user_act")

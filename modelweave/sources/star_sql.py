@@ -156,9 +156,9 @@ FROM (
   UNION ALL SELECT 'urn:profile:' || source, 'pf:' || source, 'Profile' FROM {source} WHERE source <> 'src19'
   UNION ALL SELECT 'urn:text:' || source, 'pkg:text:' || source, 'Model' FROM {source}
 ) AS d""",
-    # What the user chose to export: src18's profile is left out, src19's has no document.
+    # What the user chose to export: src18's profile and two models are left out, src19's profile has no document.
     "raw_selection": """
-SELECT scope_package FROM {raw_document} WHERE scope_package <> 'pf:src18'
+SELECT scope_package FROM {raw_document} WHERE scope_package NOT IN ('pf:src18', 'pkg:events', 'pkg:text:src17')
 UNION ALL SELECT 'pf:' || source FROM {source} WHERE source = 'src19'""",
     "raw_configuration": """
 SELECT tool_package_id FROM {raw_document}
