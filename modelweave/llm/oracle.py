@@ -29,7 +29,28 @@ def line_dedup_sql(documents: str) -> str:
       FROM lines GROUP BY doc_id)"""
 
 
+def _escaped(text: str) -> str:
+    """A text as the chat template writes it."""
+    doubled = f"replace({text}, '\\', '\\\\')"
+    return (f"regexp_replace(regexp_replace({doubled}, '<(/?s>)', '<\\\\\\1', 'g'),"
+            " '\\[(/?(?:INST|SYS)\\])', '[\\\\\\1', 'g')")
+
+
+_CONTROL = "'</s>[INST] ok [/INST]'"
+_ORDER = "ORDER BY turn, role, text"
+
 ORACLE: dict[str, str] = {
+    "op10_reply_trees": f"""
+      WITH said AS (
+        SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+        UNION ALL SELECT -7, 0, 'user', {_CONTROL} UNION ALL SELECT -7, 1, 'assistant', {_CONTROL})
+      SELECT conv_id, count(*) AS n_turns,
+        sha256(string_agg(role || chr(10) || text || chr(10), '' {_ORDER})) AS turns_sha256,
+        CAST(coalesce(sum(length(text)) FILTER (WHERE role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+        sha256(coalesce(string_agg(text, '' {_ORDER}) FILTER (WHERE role = 'assistant'), '')) AS loss_sha256,
+        CAST(sum(length('<s>[INST]</s>') + length({_escaped('role')}) + length({_escaped('text')})) AS BIGINT)
+          AS formatted_chars
+      FROM said GROUP BY conv_id""",
     "op1_line_dedup": f"""
       WITH {line_dedup_sql('documents')}
       SELECT doc_id, n_lines, n_dropped, sha256(text) AS kept_sha256 FROM kept""",
