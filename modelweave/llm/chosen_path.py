@@ -5,9 +5,9 @@ lower-cased; a text of fewer words is one shingle), as 64-bit hashes. Documents
 ``SLOTS`` minwise values sketch each set. In each of ``TREES`` independent trees all nodes stand at the root;
 every tree node chooses one slot or two (1 / similarity on average) by a hash of its path, and a document goes
 on to the child named by its value there. The first ``START`` branchings follow at once. Then a child with one
-document ends; one with at most ``SMALL`` is compared exhaustively; a larger one is compared with its smallest
-document (and the smallest of each part it has been linked into, while those are few) and branches again,
-until all its documents are linked or none is left. A pair at the threshold stays together in a tree through
+document ends; one with at most ``SMALL`` is compared exhaustively. A larger one is compared with one of its
+documents, its centre; if at most ``OUTSIDE`` documents are then not linked into its largest part, those are
+compared with all others of the node; otherwise it branches again. A pair at the threshold stays together in a tree through
 two branchings with a probability of 0.77, so all trees miss it with one below 1e-7.
 
 Candidate pairs are dropped only by the exact bound on set sizes and by a sketch agreement more than 4
@@ -26,7 +26,7 @@ import hashlib
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from modelweave.llm.common import Words, by_slices, mix, sets_of, shingles, texts_of, written
@@ -37,8 +37,10 @@ SLOTS = 64
 TREES = 12
 START = 2
 SMALL = 16
-PARTS = 8  # of a large node, so many parts' smallest documents are compared with all others
-DEPTH = 16  # of 64 slots; larger nodes left there are compared with the smallest document of every part
+OUTSIDE = 24
+NODES = 3
+ORDERS = 4
+DEPTH = 16  # branchings; what is left then is compared like nodes with few documents outside
 BROADCAST_IDS = 1_000_000  # rows of 16 bytes
 SLACK = 4.0  # standard deviations
 _SEEDS = np.random.default_rng(20240611).integers(1, 2**63, SLOTS, dtype=np.uint64) | np.uint64(1)
@@ -139,42 +141,55 @@ def _with_parts(members: DataFrame, parts: DataFrame | None) -> DataFrame:
     return members.join(parts, "node", "left").withColumn("part", F.coalesce("part", "node"))
 
 
-def _unlinked(members: DataFrame, parts: DataFrame | None) -> DataFrame:
-    """Rows (path, node, part, size, least) of the tree nodes that hold more than one part."""
+def _unlinked(members: DataFrame, parts: DataFrame | None, turn: int) -> DataFrame:
+    """Rows (path, node, part, size, centre, main, outside) of the tree nodes that hold more than one part.
+
+    ``centre`` is a document of the node, chosen by one of ``ORDERS`` orders that differ from turn to turn;
+    ``outside`` counts the documents that are not in ``main``, the node's largest part.
+    """
     members = _with_parts(members, parts)
-    sizes = members.groupBy("path").agg(
-        F.count(F.lit(1)).alias("size"), F.min("node").alias("least"), F.min("part").alias("low"),
-        F.max("part").alias("high"),
-    ).filter("size > 1 and low <> high")
-    return written(members.join(written(sizes.drop("low", "high"), "sizes"), "path"), "members")
+    order = F.xxhash64("node", F.pmod("path", F.lit(ORDERS)) + ORDERS * turn)
+    by_part = members.groupBy("path", "part").agg(
+        F.count(F.lit(1)).alias("n"), F.min(F.struct(order.alias("order"), "node")).alias("first")
+    )
+    sizes = by_part.groupBy("path").agg(
+        F.sum("n").alias("size"), F.min("first").alias("first"), F.count(F.lit(1)).alias("n_parts"),
+        F.max(F.struct("n", "part")).alias("main"),
+    ).filter("n_parts > 1")
+    sizes = sizes.select(
+        "path", "size", F.col("first.node").alias("centre"), F.col("main.part").alias("main"),
+        (F.col("size") - F.col("main.n")).alias("outside"),
+    )
+    return written(members.join(written(sizes, "sizes"), "path"), "members")
 
 
-def _to_least(members: DataFrame) -> DataFrame:
-    """Each document of a node with its smallest one, unless they are linked already."""
-    return members.filter("node <> least and part <> least").select(F.col("least").alias("a"), F.col("node").alias("b"))
+def _pair(x: str, y: str) -> list[Column]:
+    return [F.least(x, y).alias("a"), F.greatest(x, y).alias("b")]
 
 
-def _of_small(members: DataFrame, small: int) -> DataFrame:
-    """All pairs of different parts in nodes of at most ``small`` documents."""
-    groups = members.filter(F.col("size") <= small).groupBy("path").agg(
-        F.sort_array(F.collect_set(F.struct("node", "part"))).alias("all")  # at most ``small``
-    )
+def _to_centre(members: DataFrame) -> DataFrame:
+    """Each document of a large node with its centre."""
+    return members.filter("node <> centre").select(*_pair("node", "centre"))
+
+
+def _of_small(members: DataFrame) -> DataFrame:
+    """All pairs of different parts in nodes of at most ``SMALL`` documents."""
+    groups = members.groupBy("path").agg(F.sort_array(F.collect_set(F.struct("node", "part"))).alias("all"))
     first = groups.select("all", F.posexplode("all").alias("at", "x"))
-    return first.select("x", F.explode(F.slice("all", F.col("at") + 2, F.lit(small))).alias("y")).filter(
+    return first.select("x", F.explode(F.slice("all", F.col("at") + 2, F.lit(SMALL))).alias("y")).filter(
         "x.part <> y.part"
     ).select(F.col("x.node").alias("a"), F.col("y.node").alias("b"))
 
 
-def _of_parts(members: DataFrame, small: int, most: int | None) -> DataFrame:
-    """In large nodes of at most ``most`` parts: each part's smallest document with all of other parts."""
-    large = members.filter(F.col("size") > small)
-    centres = large.groupBy("path", "part").agg(F.min("node").alias("a")).withColumnRenamed("part", "a_part")
-    if most is not None:
-        few = centres.groupBy("path").count().filter(F.col("count") <= most).select("path")
-        centres = centres.join(few, "path", "left_semi")
-    return large.join(centres, "path").filter("part <> a_part").select(
-        F.least("a", "node").alias("a"), F.greatest("a", "node").alias("b")
-    )
+def _of_outside(members: DataFrame) -> DataFrame:
+    """Each document outside its node's main part with all documents of other parts.
+
+    A document outside in several nodes (much the same ones, in each tree) is compared in its ``NODES`` largest.
+    """
+    largest = Window.partitionBy("node").orderBy(F.desc("size"), "path")
+    outside = members.filter("part <> main").withColumn("_at", F.row_number().over(largest)).filter(F.col("_at") <= NODES)
+    outside = outside.select("path", F.col("node").alias("x"), F.col("part").alias("x_part"))
+    return members.join(outside, "path").filter("part <> x_part").select(*_pair("node", "x"))
 
 
 class Join:
@@ -266,7 +281,7 @@ class Join:
 
 def components(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", similarity: int = SIMILARITY,
-    trees: int = TREES, small: int = SMALL,
+    trees: int = TREES,
 ) -> DataFrame:
     """(id, n_shingles, component_id, kept) of every document."""
     signed = written(signatures(docs, id_col, text_col), "signatures")
@@ -278,21 +293,27 @@ def components(
     )
     join = Join(docs, nodes, id_col, text_col, similarity)
     paths = F.explode(F.array(*[F.xxhash64(F.lit(t)) for t in range(trees)]))
-    members = nodes.select(paths.alias("path"), "node", "sketch")
-    for _ in range(START - 1):
-        members = _children(members)
+    below = nodes.select(paths.alias("path"), "node", "sketch")
+    for _ in range(START):
+        below = _children(below)
+    far, near = _unlinked(below.select("path", "node"), None, 0), None
     for depth in range(START, DEPTH):
-        members = _unlinked(_children(members).select("path", "node"), join.parts)
-        if members.isEmpty():
+        small, large = far.filter(F.col("size") <= SMALL), far.filter(F.col("size") > SMALL)
+        pairs = _of_small(small).unionByName(_to_centre(large))
+        join.compare(pairs if near is None else pairs.unionByName(_of_outside(near)))
+        # The same nodes with the parts now known: settled, few documents outside, or to branch further.
+        left = _unlinked(large.select("path", "node"), join.parts, depth)
+        if left.isEmpty():
             break
-        pairs = _to_least(members).unionByName(_of_small(members, small))
-        if join.parts is not None:
-            pairs = pairs.unionByName(_of_parts(members, small, PARTS if depth < DEPTH - 1 else None))
-        join.compare(pairs)
-        large = members.filter(F.col("size") > small).select("path", "node")
-        if large.isEmpty():
+        last = depth == DEPTH - 1
+        near = left if last else left.filter(F.col("outside") <= OUTSIDE)
+        if last:
+            join.compare(_of_outside(near))
             break
-        members = large.join(nodes.select("node", "sketch"), "node")
+        branching = left.filter(F.col("outside") > OUTSIDE).select("path", "node").join(
+            nodes.select("node", "sketch"), "node"
+        )
+        far = _unlinked(_children(branching).select("path", "node"), join.parts, depth)
     rows = signed.join(nodes.select("digest", "node"), "digest", "left").select("id", "n", "node")
     if join.parts is not None:
         rows = rows.join(join.parts, "node", "left")

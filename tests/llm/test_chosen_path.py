@@ -50,8 +50,9 @@ def test_awkward_rows(spark):
     assert found(no_documents(spark)) == Counter()
 
 
-def test_large_groups_and_shared_passages(spark):
+def test_large_groups_and_shared_passages(spark, monkeypatch):
     """Groups larger than a small node: near copies of one text, chains, and texts that share much but not enough."""
+    monkeypatch.setattr(chosen_path, "SMALL", 4)
     random.seed(7)
     words = [f"w{i}" for i in range(500)]
     base = random.choices(words, k=120)
@@ -64,11 +65,17 @@ def test_large_groups_and_shared_passages(spark):
     for i in range(25):  # each close to the next, the ends far apart
         chain[i * 5] = f"chain{i}"
         rows.append((100 + i, " ".join(chain)))
+    loose = random.choices(words, k=150)
+    for i in range(50):  # copies of one text that are links of some others only
+        text = list(loose)
+        for _ in range(random.randint(1, 4)):
+            text[random.randrange(150)] = f"loose{i}"
+        rows.append((300 + i, " ".join(text)))
     passage = random.choices(words, k=60)
     rows += [(200 + i, " ".join(passage + random.choices(words, k=40))) for i in range(40)]  # one passage, else apart
     docs = spark.createDataFrame(rows, "doc_id long, text string")
-    assert found(docs, small=4) == brute(rows)
-    kept = {r.doc_id for r in chosen_path.dedup(docs, small=4).collect()}
+    assert found(docs) == brute(rows)
+    kept = {r.doc_id for r in chosen_path.dedup(docs).collect()}
     assert {i for i in kept if i < 60} == {0} and {i for i in kept if 100 <= i < 200} == {100}
 
 
