@@ -92,14 +92,13 @@ def branches_of(messages: DataFrame, branches: int = 1) -> DataFrame:
             F.col("conv").alias("c"), F.col("msg").alias("m"), F.col("up").alias("up2"), F.col("steps").alias("steps2"),
             F.col("total").alias("total2"),
         )
-        joined = level.join(far, _same(level["conv"], far["c"]) & (level["up"] == far["m"]), "left")
-        level = written(
-            joined.select(
-                "conv", "msg", F.col("up2").alias("up"), (F.col("steps") + F.coalesce("steps2", F.lit(0))).alias("steps"),
-                (F.col("total") + F.coalesce("total2", F.lit(0.0))).alias("total"),
-            ),
-            "reply-pointers",
+        # a pointer that has run off its root is final
+        going, final = level.filter("up is not null"), level.filter("up is null")
+        joined = going.join(far, _same(going["conv"], far["c"]) & (going["up"] == far["m"]), "left").select(
+            "conv", "msg", F.col("up2").alias("up"), (F.col("steps") + F.coalesce("steps2", F.lit(0))).alias("steps"),
+            (F.col("total") + F.coalesce("total2", F.lit(0.0))).alias("total"),
         )
+        level = written(joined.unionByName(final), "reply-pointers")
         levels.append(level)
         reach *= 2
         if level.filter("up is not null").isEmpty():
