@@ -143,6 +143,8 @@ def numbered(
     hot_rows = _hot_rows(df.sparkSession, hot_rows)
     ordering = [F.col(c) if isinstance(c, str) else c for c in order]
     in_key = (F.row_number().over(Window.partitionBy(*keys).orderBy(*ordering)) - 1).cast("int")
+    if df.count() <= hot_rows:  # no key has more rows than the table
+        return df.withColumn(out, in_key)
     hot = materialize(hot_keys(df, keys, hot_rows), "hot-keys")
     sizes = hot.agg(F.count(F.lit(1)).alias("n"), F.sum("_rows").alias("rows")).first()
     if sizes["n"] == 0:

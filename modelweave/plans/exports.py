@@ -54,17 +54,20 @@ def export_library(
 def export_metamodel(
     documents: DataFrame, elements: DataFrame, associations: DataFrame, features: DataFrame,
     feature_rels: DataFrame, generalizations: DataFrame, types: DataFrame, imports: DataFrame,
-    attributes: DataFrame | None = None, legacy_imports: bool = False,
+    attributes: DataFrame | None = None, legacy_imports: bool = False, classes: DataFrame | None = None,
+    ends: DataFrame | None = None,
 ) -> Export:
-    """Metamodel tables.
+    """Metamodel tables; ``attributes``, ``classes`` and oriented ``ends`` may be given where they are known.
 
     An import is written as metamodel or library import by the kind of the imported document;
     ``legacy_imports`` writes every import as both.
     """
     # Each of these three is the source of several tables.
-    classes = materialize(M.meta_classes(elements, documents), "classes")
+    if classes is None:
+        classes = materialize(M.meta_classes(elements, documents), "classes")
     oriented = M.orient_associations(D.in_documents(associations, documents, "Metamodel"), features)
-    ends = materialize(oriented.rows, "associations")
+    if ends is None:
+        ends = materialize(oriented.rows, "associations")
     if attributes is None:
         attributes = materialize(M.class_attributes(features, types, classes), "attributes")
     bounded = M.bounded_features(ends, attributes)

@@ -296,16 +296,21 @@ WHERE route = 'inverse'""",
     "classify_changes_stream": "SELECT * FROM {record}",
     "classify_changes_filled": """SELECT r.txn, r.seq, r.event, coalesce(e.resource, r.resource) AS resource, r.entity
 FROM {record} r LEFT JOIN {raw_element} e ON e.uuid = r.entity""",
-    "write_change_events": 'SELECT txn, seq, description, event, "changeKind" FROM {record}',
+    "write_change_events": """SELECT txn, seq, description ||
+  CASE WHEN event = 'ModelElementChangedEvent' AND "changeKind" = 'DeletedChange'
+    THEN chr(10) || 'post(DELETE) UUID=' || entity ELSE '' END AS messages, event, "changeKind" FROM {record}""",
     "read_changes": "SELECT * FROM {raw_change}",
 }
 
 STATEMENTS["sorted_by_name"] = """SELECT resource, uuid, name, is_abstract AS "isAbstract",
   CAST(row_number() OVER (ORDER BY name NULLS FIRST, uuid) - 1 AS INT) AS place FROM {m_class}"""
 STATEMENTS["document_set_round_trip"] = STATEMENTS["document_config_rows"]
-STATEMENTS["read_document_sets"] = (
-    STATEMENTS["document_config_rows"] + " WHERE d.kind IN ('Library', 'Profile', 'Metamodel')"
-)
+STATEMENTS["read_document_sets"] = f"""
+SELECT "set", CAST(row_number() OVER (PARTITION BY "set" ORDER BY "packageURI", "toolSpecificPackageID") - 1 AS INT)
+  AS place, "packageURI", "artifactKind", "toolSpecificPackageID"
+FROM (SELECT *, CASE "artifactKind" WHEN 'LibraryArtifact' THEN 0 WHEN 'ProfileArtifact' THEN 1 ELSE 2 END AS "set"
+  FROM ({STATEMENTS["document_config_rows"]}) AS c
+  WHERE "artifactKind" IN ('LibraryArtifact', 'ProfileArtifact', 'MetamodelArtifact')) AS d"""
 
 
 def _imports(kind: str, condition: str = "true") -> str:

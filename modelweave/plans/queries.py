@@ -113,7 +113,11 @@ def read_document_sets(w):
         folders.append(new_folder(w.spark, "document-set"))
         S.write_document_set(rows.filter(F.col("characteristics.artifactKind.type") == artifact), folders[-1])
     selection = rows.filter(F.col("characteristics.artifactKind.type") == "MetamodelArtifact")
-    return _config_columns(S.read_document_sets(w.spark, folders, selection))
+    found = S.read_document_sets(w.spark, folders, selection)
+    return found.select(
+        "set", "place", F.col("characteristics.packageURI").alias("packageURI"),
+        F.col("characteristics.artifactKind.type").alias("artifactKind"), "toolSpecificPackageID",
+    )
 
 
 @query
@@ -339,7 +343,7 @@ def export_metamodel(w):
     g = w.graph
     return B.table_contents(B.export_metamodel(
         g.document, g.element, g.association, g.feature, g.feature_rel, g.generalization, g.type,
-        getattr(g, "import"), attributes=w.all.attributes,
+        getattr(g, "import"), attributes=w.all.attributes, classes=w.all.classes, ends=w.all.oriented,
     ))
 
 
@@ -349,7 +353,7 @@ def metamodel_round_trip(w):
     g, folder = w.graph, new_folder(w.spark, "metamodel")
     export = B.export_metamodel(
         g.document, g.element, g.association, g.feature, g.feature_rel, g.generalization, g.type,
-        getattr(g, "import"), attributes=w.all.attributes,
+        getattr(g, "import"), attributes=w.all.attributes, classes=w.all.classes, ends=w.all.oriented,
     )
     TB.write_metamodel(export.tables, folder, export.errors)
     return B.table_contents(B.Export(TB.read_metamodel(w.spark, folder), export.errors))
@@ -459,10 +463,6 @@ for _kind in ("atomic", "enumeration"):
 # ---------------------------------------------------------------- profiles
 
 
-def _features_of_profiles(w):
-    return w.graph.feature.filter(F.col("resource").startswith("urn:profile:"))
-
-
 @query
 def stereotypes(w):
     return P.stereotypes(w.graph.element, w.graph.document)
@@ -658,19 +658,14 @@ _same_plan({
 })
 
 
-def _tags(w):
-    g = w.graph
-    return V.stereotype_slots(g.tag_slot, _features_of_profiles(w), g.type, g.application, w.stereotype_taxa)
-
-
 def _tag_refs(w, ordered):
-    return V.stereotype_references(_tags(w), ordered)
+    return V.stereotype_references(w.tags, ordered)
 
 
 _same_plan({
-    "ordered_atomic_tags": lambda w: V.ordered_atomic_tags(_tags(w)),
-    "ordered_literal_tags": lambda w: V.ordered_literal_tags(_tags(w)),
-    "ordered_structured_tags": lambda w: V.ordered_structured_tags(_tags(w)),
+    "ordered_atomic_tags": lambda w: V.ordered_atomic_tags(w.tags),
+    "ordered_literal_tags": lambda w: V.ordered_literal_tags(w.tags),
+    "ordered_structured_tags": lambda w: V.ordered_structured_tags(w.tags),
     "ordered_stereotype_refs": lambda w: _tag_refs(w, True).rows,
     "unordered_stereotype_refs": lambda w: _tag_refs(w, False).rows,
     "unordered_stereotype_ref_errors": lambda w: _tag_refs(w, False).errors,
@@ -732,22 +727,16 @@ def links_per_association(w):
 # ---------------------------------------------------------------- whole model, checks
 
 
-def _model(w) -> B.Export:
-    """The selected models; a selected package without a document is an error of the export."""
-    export = B.export_model(w.selected_documents, _exported_profiles(w), w.model_input)
-    return B.Export(export.tables, export.errors.unionByName(w.selection_errors))
-
-
 @query
 def export_model(w):
-    return B.table_contents(_model(w))
+    return B.table_contents(w.model_export)
 
 
 @query
 def profiles_and_models_round_trip(w):
     """Profile and model bundles written with their errors and read back, as rows per table."""
     folder = new_folder(w.spark, "profiles-and-models")
-    profile, model = _profile(w), _model(w)
+    profile, model = _profile(w), w.model_export
     errors = E.distinct_errors(profile.errors.unionByName(model.errors))
     TB.write_profiles_and_models(profile.tables, model.tables, folder, errors)
     parts = []
@@ -759,7 +748,7 @@ def profiles_and_models_round_trip(w):
 
 @query
 def unresolved_references(w):
-    export = _model(w)
+    export = w.model_export
     universes = {
         "elements": _model_rows(w), "metaClasses": w.business.classes, "attributes": w.business.attributes,
         "literals": w.graph.literal, "stereotypes": w.stereotypes, "features": w.graph.feature,
@@ -861,7 +850,8 @@ def classify_changes_filled(w):
 def _stream(w, notifiers):
     """Events written as files, then classified as a stream until all files are read."""
     source = new_folder(w.spark, "commits")
-    w.graph.change.hint("rebalance", "txn").write.parquet(source)
+    # one file per commit
+    w.graph.change.withColumn("commit", F.col("txn")).repartition("commit").write.partitionBy("commit").parquet(source)
     events = ST.read_changes(w.spark, source, stream=True)
     run = ST.classify_stream(events, w.business.changes, notifiers, new_folder(w.spark, "offsets"), available_now=True)
     run.awaitTermination()
@@ -879,10 +869,11 @@ def write_change_events(w):
     """The stream's message log: one notifier writes records, the other messages with JSON."""
     out, log = new_folder(w.spark, "records"), new_folder(w.spark, "messages")
     _stream(w, [ST.write_records(out), ST.write_change_events(log)])
-    schema = "txn string, seq bigint, description string, record string"
+    schema = "txn string, seq bigint, messages array<string>, record string"
     messages = w.spark.read.schema(schema).json(log)
     return messages.select(
-        "txn", "seq", "description", F.get_json_object("record", "$.event").alias("event"),
+        "txn", "seq", F.array_join("messages", "\n").alias("messages"),
+        F.get_json_object("record", "$.event").alias("event"),
         F.get_json_object("record", "$.changeKind").alias("changeKind"),
     )
 

@@ -7,14 +7,15 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from modelweave.functions.scale import materialize
+from modelweave.functions.scale import materialize, remove_folders
 from modelweave.operators import documents as D
 from modelweave.operators import lookups as U
 from modelweave.operators import metamodel as M
 from modelweave.operators import profile as P
 from modelweave.operators import taxonomy as T
+from modelweave.operators import values as V
 from modelweave.operators.changes import ChangeLookups
-from modelweave.plans.exports import ModelInput, export_selected
+from modelweave.plans.exports import Export, ModelInput, export_model, export_selected
 from modelweave.sources.star import StarGraph
 
 # The metamodel all models of a star folder instantiate, and the library its types come from.
@@ -149,6 +150,25 @@ class Workspace:
         names = D.select_kind(self.graph.element, ["Stereotype"]).select("uuid", "name")
         return materialize(T.taxonomy(names, self.graph.generalization), "stereotype-taxonomy")
 
+    @cached_property
+    def tags(self) -> DataFrame:
+        """Slots of stereotype properties of applied stereotypes, of all documents."""
+        g = self.graph
+        own = g.feature.filter(F.col("resource").startswith("urn:profile:"))
+        return materialize(V.stereotype_slots(g.tag_slot, own, g.type, g.application, self.stereotype_taxa), "tags")
+
+    @cached_property
+    def model_export(self) -> Export:
+        """The export of the selected models, shared by all queries; a package without a document is an error of it."""
+        profiles = D.resource_rows(self.selected_documents, "Profile")
+        export = export_model(self.selected_documents, profiles, self.model_input)
+        return Export(export.tables, export.errors.unionByName(self.selection_errors))
+
+    def close(self) -> None:
+        """Forget the lookups and remove all intermediate tables of the application."""
+        _OPEN.clear()
+        remove_folders(self.spark)
+
     @cached_property
     def library_types(self) -> DataFrame:
         return self.graph.datatype.filter(F.col("resource") == LIBRARY)

@@ -9,6 +9,8 @@ from modelweave.functions.scale import numbered
 from modelweave.schemas import DOCUMENT_SET, struct
 
 DOCUMENTS_PER_FILE = 10_000
+# Documents of a set that one task numbers; more are numbered by ranges.
+PLACES = 10_000
 
 
 def document_schema():
@@ -16,22 +18,28 @@ def document_schema():
 
 
 def read_document_sets(spark: SparkSession, paths: list[str], selection: DataFrame | None = None) -> DataFrame:
-    """Documents of all files with their file and place; one malformed file fails the read.
+    """Documents of all files with their set (the path's place in ``paths``), block, file and place in the file.
 
-    No path at all gives no documents. ``selection`` is appended after the files.
+    One malformed file fails the read; no path at all gives no documents. ``selection`` is appended as the
+    last set, in the order of its package URIs.
     """
-    if paths:
-        sets = spark.read.schema(struct(DOCUMENT_SET)).option("multiLine", True).option("mode", "FAILFAST").json(paths)
-        documents = sets.select(F.col("_metadata.file_path").alias("file"), F.posexplode("documents").alias("place", "d"))
-        documents = documents.select("file", "place", "d.*")
-    else:
-        documents = spark.createDataFrame([], document_schema()).select(
-            F.lit(None).cast("string").alias("file"), F.lit(0).alias("place"), "*"
+    documents = spark.createDataFrame([], document_schema()).select(
+        F.lit(0).alias("set"), F.lit(0).alias("block"), F.lit(None).cast("string").alias("file"),
+        F.lit(0).alias("place"), "*",
+    )
+    for number, path in enumerate(paths):
+        sets = spark.read.schema(struct(DOCUMENT_SET)).option("multiLine", True).option("mode", "FAILFAST").json(path)
+        block = F.col("block").cast("int") if "block" in sets.columns else F.lit(0)  # of a set of several files
+        own = sets.select(
+            block.alias("block"), F.col("_metadata.file_path").alias("file"), F.posexplode("documents").alias("place", "d")
         )
+        own = own.select(F.lit(number).alias("set"), "block", "file", "place", "d.*")
+        documents = own if number == 0 else documents.unionByName(own)
     if selection is None:
         return documents
-    extra = selection.select(F.lit(None).cast("string").alias("file"), F.lit(0).alias("place"), "*")
-    return documents.unionByName(extra)
+    order = [F.col("characteristics.packageURI").asc_nulls_first(), F.col("toolSpecificPackageID").asc_nulls_first()]
+    extra = numbered(selection.withColumn("set", F.lit(len(paths))), ["set"], order, out="place", hot_rows=PLACES)
+    return documents.unionByName(extra.withColumn("block", F.lit(0)).withColumn("file", F.lit(None).cast("string")))
 
 
 def read_document_set(spark: SparkSession, path: str | None) -> DataFrame:
@@ -41,14 +49,15 @@ def read_document_set(spark: SparkSession, path: str | None) -> DataFrame:
 def write_document_set(rows: DataFrame, folder: str, documents_per_file: int = DOCUMENTS_PER_FILE) -> None:
     """Write configuration rows as nested JSON files of ``documents_per_file`` documents.
 
-    An ordinary document set is a single file; a larger one is continued in further files, which
-    ``read_document_sets`` reads together.
+    An ordinary document set is a single file; a larger one is continued in further files, one folder
+    ``block=n`` each, which ``read_document_sets`` reads together.
     """
     fields = document_schema().fieldNames()
     order = F.col("characteristics.packageURI")
-    placed = numbered(rows.withColumn("_set", F.lit(0)), ["_set"], [order, "toolSpecificPackageID"], out="_place")
+    placed = numbered(rows.withColumn("_set", F.lit(0)), ["_set"], [order, "toolSpecificPackageID"], out="_place",
+                      hot_rows=PLACES)
     block = F.floor(F.col("_place") / documents_per_file)
     entry = F.struct("_place", F.struct(*fields).alias("d"))
     sets = placed.groupBy(block.alias("_block")).agg(F.array_sort(F.collect_list(entry)).alias("entries"))
-    documents = sets.select(F.transform("entries", lambda e: e["d"]).alias("documents"))
-    documents.write.mode("overwrite").option("maxRecordsPerFile", 1).json(folder)
+    documents = sets.select(F.col("_block").alias("block"), F.transform("entries", lambda e: e["d"]).alias("documents"))
+    documents.write.mode("overwrite").partitionBy("block").json(folder)

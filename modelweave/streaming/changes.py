@@ -1,4 +1,7 @@
-"""Change events as a stream: one file per commit in, one folder of records per micro-batch out."""
+"""Change events as a stream: commit files in, one folder of records per micro-batch out.
+
+A micro-batch takes many commits at once, so its tasks run in parallel; ``txn`` and ``seq`` keep the order.
+"""
 
 from __future__ import annotations
 
@@ -8,34 +11,41 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from modelweave.functions.scale import materialize
 from modelweave.operators.changes import ChangeLookups, classify_changes
 from modelweave.schemas import RAW, struct
 
 Notifier = Callable[[DataFrame, int], None]
+BYTES_PER_BATCH = 4 << 30
 
 
-def read_changes(spark: SparkSession, folder: str, stream: bool = False, files_per_batch: int = 1) -> DataFrame:
-    """Events of all commits, undo and redo included; a streaming read takes one commit file per batch."""
+def read_changes(
+    spark: SparkSession, folder: str, stream: bool = False, bytes_per_batch: int = BYTES_PER_BATCH
+) -> DataFrame:
+    """Events of all commits, undo and redo included; a streaming read takes so many bytes of files per batch."""
     schema = struct(RAW["change"])
     if not stream:
         return spark.read.schema(schema).parquet(folder)
-    return spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch).parquet(folder)
+    return spark.readStream.schema(schema).option("maxBytesPerTrigger", str(bytes_per_batch)).parquet(folder)
 
 
 def notify_all(records: DataFrame, batch_id: int, notifiers: Sequence[Notifier]) -> None:
-    """Hand the records of one batch to every notifier; they are computed once."""
-    records.persist()
-    try:
-        for notifier in notifiers:
-            notifier(records, batch_id)
-    finally:
-        records.unpersist()
+    """Hand the records of one batch to every notifier; for several, they are written to the shared folder once."""
+    if len(notifiers) > 1:
+        records = materialize(records, "change-batch")
+    for notifier in notifiers:
+        notifier(records, batch_id)
 
 
 def as_messages(records: DataFrame) -> DataFrame:
-    """The description, then the record as JSON."""
+    """The messages of a record (its description, and a second one for a deleted element), then the record as JSON."""
     fields = [c for c in records.columns if c != "description"]
-    return records.select("txn", "seq", "description", F.to_json(F.struct(*fields)).alias("record"))
+    messages = F.array("description")
+    if {"event", "changeKind", "entity"} <= set(records.columns):
+        deleted = (F.col("event") == "ModelElementChangedEvent") & (F.col("changeKind") == "DeletedChange")
+        after = F.concat(F.lit("post(DELETE) UUID="), F.coalesce("entity", F.lit("null")))
+        messages = F.when(deleted, F.array("description", after)).otherwise(messages)
+    return records.select("txn", "seq", messages.alias("messages"), F.to_json(F.struct(*fields)).alias("record"))
 
 
 def write_change_events(folder: str) -> Notifier:

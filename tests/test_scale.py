@@ -1,5 +1,10 @@
 """The hot-key paths give the same rows as the plain ones."""
 
+import os
+import subprocess
+import sys
+from pathlib import Path
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -69,6 +74,25 @@ def test_lookup_join_broadcasts_only_counted_small_lookups(spark, skewed):
     assert "strategy=broadcast" not in plan
 
 
+def test_session_without_a_checkpoint_folder(tmp_path):
+    """Intermediate tables go below the warehouse then, and can be removed."""
+    (tmp_path / "conf").mkdir()
+    script = """
+from modelweave.session import local_session
+from modelweave.functions import scale
+spark = local_session(1)
+assert spark.sparkContext.getConf().get("spark.checkpoint.dir") is None
+assert scale.materialize(spark.range(3), "three").count() == 3
+print("folder", scale.shared_folder(spark))
+scale.remove_folders(spark)
+"""
+    env = os.environ | {"SPARK_CONF_DIR": str(tmp_path / "conf"), "PYTHONPATH": str(Path(__file__).resolve().parents[1])}
+    done = subprocess.run([sys.executable, "-c", script], cwd=tmp_path, env=env, capture_output=True, text=True, timeout=300)
+    assert done.returncode == 0, done.stderr[-2000:]
+    left = tmp_path / "spark-warehouse" / "_intermediate"
+    assert str(left) in done.stdout and not list(left.glob("modelweave-*"))
+
+
 def test_shared_folder_is_the_configured_one(spark):
     assert scale.shared_folder(spark) == spark.conf.get("spark.checkpoint.dir")
     assert scale.new_folder(spark, "x") != scale.new_folder(spark, "x")
