@@ -147,13 +147,17 @@ def stereotype_references(tags: DataFrame, ordered: bool) -> Result:
 
 
 def rebuild_slots(ordered_values: DataFrame, values_per_row: int = VALUES_PER_ROW) -> DataFrame:
-    """Collections in index order; a collection longer than ``values_per_row`` continues in the next block."""
+    """Collections in index order; a collection longer than ``values_per_row`` continues in the next block.
+
+    With a column ``table``, the collections of several tables are told apart by it.
+    """
+    keys = [c for c in ("table", "resource", "entity", "attribute") if c in ordered_values.columns]
     entry = F.struct("index", "value")
     return (
         ordered_values.withColumn("block", F.floor(F.col("index") / values_per_row).cast("int"))
-        .groupBy("resource", "entity", "attribute", "block")
+        .groupBy(*keys, "block")
         .agg(F.array_sort(F.collect_list(entry)).alias("entries"))
-        .select("resource", "entity", "attribute", "block",
+        .select(*keys, "block",
                 F.transform("entries", lambda e: e["index"]).alias("indexes"),
                 F.transform("entries", lambda e: e["value"]).alias("values"))
     )

@@ -488,6 +488,22 @@ STATEMENTS["profiles_and_models_round_trip"] = "\nUNION ALL ".join(
 )
 
 
+_COLLECTED = {"AtomicValues": "atomic_values", "LiteralValues": "literal_values", "StructuredValues": "structured_values",
+              "Links": "links"}
+STATEMENTS["rebuild_all_slots"] = """SELECT "table", resource, entity, attribute,
+  CAST(floor(i / 10000) AS INT) AS block, string_agg(coalesce(value, 'null'), ',' ORDER BY i) AS values
+FROM (""" + "\nUNION ALL ".join(
+    f"SELECT '{word}{t}' AS \"table\", resource, {columns}, "
+    + ("index" if word == "ordered" else f"row_number() OVER (PARTITION BY resource, {key} ORDER BY {value} NULLS FIRST) - 1")
+    + f" AS i FROM ({STATEMENTS[f'{word}_{q}']}) AS x"
+    for word in ("ordered", "unordered") for t, q in _COLLECTED.items()
+    for key, value in [('"sourceElement", "metaAssociation"', '"targetElement"') if t == "Links"
+                       else ("entity, attribute", "value")]
+    for columns in ['"sourceElement" AS entity, "metaAssociation" AS attribute, "targetElement" AS value'
+                    if t == "Links" else "entity, attribute, value"]
+) + ") AS s GROUP BY 1, 2, 3, 4, 5"
+
+
 def _unresolved(table: str, column: str, universe: str) -> str:
     return f"""SELECT '{table}' AS "table", '{column}' AS "column", "{column}" AS reference, count(*) AS n_rows
 FROM ({_BUNDLES["export_model"][table]}) AS x WHERE "{column}" NOT IN (SELECT uuid FROM {universe}) GROUP BY 3"""

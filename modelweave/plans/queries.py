@@ -679,6 +679,27 @@ def rebuild_slots(w):
     return found.select("resource", "entity", "attribute", "block", F.array_join("values", ",", "null").alias("values"))
 
 
+@query
+def rebuild_all_slots(w):
+    """Every value and link table back as collections: ordered ones by index, the others sorted by value."""
+    links = {True: K.ordered_links(_matched(w, True)), False: K.unordered_links(_matched(w, False))}
+    of = {"Atomic": _atomic, "Literal": _literal, "Structured": _structured}
+    parts = []
+    for ordered, word in ((True, "ordered"), (False, "unordered")):
+        found = {f"{word}{name}Values": fn(w, ordered) for name, fn in of.items()}
+        found[f"{word}Links"] = links[ordered].withColumnsRenamed(
+            {"sourceElement": "entity", "metaAssociation": "attribute", "targetElement": "value"}
+        )
+        rows = E.union_all(df.withColumn("table", F.lit(t)) for t, df in found.items())
+        if not ordered:
+            rows = numbered(rows, ["table", "resource", "entity", "attribute"], ["value"], out="index")
+        parts.append(rows)
+    found = V.rebuild_slots(E.union_all(parts))
+    return found.select(
+        "table", "resource", "entity", "attribute", "block", F.array_join("values", ",", "null").alias("values")
+    )
+
+
 @query
 def typed_values(w):
     atomic = _atomic(w, False).unionByName(_atomic(w, True).drop("index"))

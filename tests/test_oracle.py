@@ -31,7 +31,7 @@ def test_query_equals_sql(spark, small, con, name):
 HOT = (
     "ordered_links", "ordered_atomic_values", "model_elements", "taxonomy", "atomic_attributes", "containment_forward",
     "assoc_generalizations", "applied_stereotypes", "errors_by_element", "library_imports", "classify_changes",
-    "missing_dependencies",
+    "missing_dependencies", "ordered_atomic_tags", "unordered_stereotype_refs", "resolve_profile", "typed_values",
 )
 
 
