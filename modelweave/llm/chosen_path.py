@@ -6,8 +6,8 @@ lower-cased; a text of fewer words is one shingle), as 64-bit hashes. Documents
 every tree node chooses one slot or two (1 / similarity on average) by a hash of its path, and a document goes
 on to the child named by its value there. The first ``START`` branchings follow at once. Then a child with one
 document ends; one with at most ``SMALL`` is compared exhaustively. A larger one is compared with one of its
-documents, its centre; if at most ``OUTSIDE`` documents are then not linked into its largest part, those are
-compared with all others of the node; otherwise it branches again. A pair at the threshold stays together in a tree through
+documents, its centre (the nearest to the usual sketch). If most are then linked into one part, as in a group
+of copies, the others are compared with all documents of the node, in blocks; otherwise it branches again. A pair at the threshold stays together in a tree through
 two branchings with a probability of 0.77, so all trees miss it with one below 1e-7.
 
 Candidate pairs are dropped only by the exact bound on set sizes and by a sketch agreement more than 4
@@ -37,10 +37,10 @@ SLOTS = 64
 TREES = 12
 START = 2
 SMALL = 16
-OUTSIDE = 24
-NODES = 3
-ORDERS = 4
-DEPTH = 16  # branchings; what is left then is compared like nodes with few documents outside
+VOTERS = 48
+NODES = 2
+BLOCK = 2048
+DEPTH = 4  # branchings; nodes left then are settled like those mainly linked
 BROADCAST_IDS = 1_000_000  # rows of 16 bytes
 SLACK = 4.0  # standard deviations
 _SEEDS = np.random.default_rng(20240611).integers(1, 2**63, SLOTS, dtype=np.uint64) | np.uint64(1)
@@ -141,35 +141,71 @@ def _with_parts(members: DataFrame, parts: DataFrame | None) -> DataFrame:
     return members.join(parts, "node", "left").withColumn("part", F.coalesce("part", "node"))
 
 
-def _unlinked(members: DataFrame, parts: DataFrame | None, turn: int) -> DataFrame:
-    """Rows (path, node, part, size, centre, main, outside) of the tree nodes that hold more than one part.
+def _unlinked(members: DataFrame, parts: DataFrame | None) -> DataFrame:
+    """Rows (path, node, part, size, main, outside) of the tree nodes that hold more than one part.
 
-    ``centre`` is a document of the node, chosen by one of ``ORDERS`` orders that differ from turn to turn;
     ``outside`` counts the documents that are not in ``main``, the node's largest part.
     """
     members = _with_parts(members, parts)
-    order = F.xxhash64("node", F.pmod("path", F.lit(ORDERS)) + ORDERS * turn)
-    by_part = members.groupBy("path", "part").agg(
-        F.count(F.lit(1)).alias("n"), F.min(F.struct(order.alias("order"), "node")).alias("first")
-    )
+    by_part = members.groupBy("path", "part").agg(F.count(F.lit(1)).alias("n"))
     sizes = by_part.groupBy("path").agg(
-        F.sum("n").alias("size"), F.min("first").alias("first"), F.count(F.lit(1)).alias("n_parts"),
-        F.max(F.struct("n", "part")).alias("main"),
+        F.sum("n").alias("size"), F.count(F.lit(1)).alias("n_parts"), F.max(F.struct("n", "part")).alias("main"),
     ).filter("n_parts > 1")
     sizes = sizes.select(
-        "path", "size", F.col("first.node").alias("centre"), F.col("main.part").alias("main"),
-        (F.col("size") - F.col("main.n")).alias("outside"),
+        "path", "size", F.col("main.part").alias("main"), (F.col("size") - F.col("main.n")).alias("outside")
     )
     return written(members.join(written(sizes, "sizes"), "path"), "members")
 
 
-def _pair(x: str, y: str) -> list[Column]:
-    return [F.least(x, y).alias("a"), F.greatest(x, y).alias("b")]
+def _usual(batches):
+    """From (path, sketches): the most frequent value of every slot."""
+    for batch in batches:
+        made = []
+        for sketches in batch.column("sketches").to_pylist():
+            values = np.sort(np.frombuffer(b"".join(sketches), "<u4").reshape(-1, SLOTS), axis=0)
+            length = np.ones(values.shape, np.int64)  # of the run of equal values that ends here
+            for i in range(1, len(values)):
+                length[i] = np.where(values[i] == values[i - 1], length[i - 1] + 1, 1)
+            made.append(values[length.argmax(axis=0), np.arange(SLOTS)].astype("<u4").tobytes())
+        yield pa.RecordBatch.from_arrays([batch.column("path"), pa.array(made, pa.binary())], ["path", "usual"])
+
+
+def _agreement(x: pa.Array, y: pa.Array) -> np.ndarray:
+    """Number of equal slots of two columns of sketches."""
+    a, b = (np.frombuffer(b"".join(c.to_pylist()), "<u4").reshape(-1, SLOTS) for c in (x, y))
+    return (a == b).sum(axis=1)
+
+
+def _to_centre(members: DataFrame, nodes: DataFrame) -> DataFrame:
+    """Each document of a large node with its centre: the one whose sketch is nearest to the usual one.
+
+    What is usual is voted by ``VOTERS`` documents of the node; a text from which many others were made agrees
+    with most of them, though they may differ more from each other.
+    """
+    rows = members.select("path", "node").join(nodes.select("node", "sketch"), "node")
+    voters = Window.partitionBy("path").orderBy(F.xxhash64("node", "path"))
+    voted = rows.withColumn("_at", F.row_number().over(voters)).filter(F.col("_at") <= VOTERS).groupBy("path").agg(
+        F.collect_list("sketch").alias("sketches")
+    )
+    usual = written(voted.mapInArrow(_usual, "path long, usual binary"), "usual")
+
+    def agree(batches):
+        for batch in batches:
+            count = pa.array(_agreement(batch.column("sketch"), batch.column("usual")).astype(np.int32))
+            yield pa.RecordBatch.from_arrays([batch.column("path"), batch.column("node"), count], ["path", "node", "agree"])
+
+    seen = rows.join(usual, "path").select("path", "node", "sketch", "usual").mapInArrow(
+        agree, "path long, node long, agree int"
+    )
+    centres = seen.groupBy("path").agg(F.max(F.struct("agree", (-F.col("node")).alias("low"))).alias("best")).select(
+        "path", (-F.col("best.low")).alias("centre")
+    )
+    joined = members.join(written(centres, "centres"), "path")
+    return joined.filter("node <> centre").select(*_pair("node", "centre"))
 
 
-def _to_centre(members: DataFrame) -> DataFrame:
-    """Each document of a large node with its centre."""
-    return members.filter("node <> centre").select(*_pair("node", "centre"))
+def _pair(x: str, y: str) -> list[Column]:
+    return [F.least(x, y).alias("a"), F.greatest(x, y).alias("b")]
 
 
 def _of_small(members: DataFrame) -> DataFrame:
@@ -181,17 +217,6 @@ def _of_small(members: DataFrame) -> DataFrame:
     ).select(F.col("x.node").alias("a"), F.col("y.node").alias("b"))
 
 
-def _of_outside(members: DataFrame) -> DataFrame:
-    """Each document outside its node's main part with all documents of other parts.
-
-    A document outside in several nodes (much the same ones, in each tree) is compared in its ``NODES`` largest.
-    """
-    largest = Window.partitionBy("node").orderBy(F.desc("size"), "path")
-    outside = members.filter("part <> main").withColumn("_at", F.row_number().over(largest)).filter(F.col("_at") <= NODES)
-    outside = outside.select("path", F.col("node").alias("x"), F.col("part").alias("x_part"))
-    return members.join(outside, "path").filter("part <> x_part").select(*_pair("node", "x"))
-
-
 class Join:
     """The similarity join of one table: its nodes, the pairs compared so far and the parts found."""
 
@@ -228,22 +253,16 @@ class Join:
 
         def agree(batches):
             for batch in batches:
-                x, y = (
-                    np.frombuffer(b"".join(batch.column(c).to_pylist()), "<u4").reshape(-1, SLOTS)
-                    for c in ("sketch_a", "sketch_b")
-                )
-                keep = pa.array((x == y).sum(axis=1) >= least)
+                keep = pa.array(_agreement(batch.column("sketch_a"), batch.column("sketch_b")) >= least)
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(c).filter(keep) for c in ("a", "b")], ["a", "b"]
                 )
 
         return sized.select("a", "b", "sketch_a", "sketch_b").mapInArrow(agree, "a long, b long")
 
-    def _confirmed(self, pairs: DataFrame) -> DataFrame:
-        """The pairs whose full sets are similar enough. Sets are made again from the texts of the pairs."""
-        ids = written(
-            pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct(), "compared"
-        )
+    def _sets(self, ids: DataFrame) -> DataFrame:
+        """(node, set) of some nodes, made again from their texts."""
+        ids = written(ids.distinct(), "compared")
         rows = self.docs.select(
             self.docs[self.id_col].cast("long").alias("node"), F.coalesce(self.docs[self.text_col], F.lit("")).alias("text")
         )
@@ -255,12 +274,72 @@ class Join:
                 [batch.column(0), pa.array([s.tobytes() for s in _sets(texts_of(batch))], pa.binary())], ["node", "set"]
             )
 
-        sets = written(
-            rows.mapInArrow(by_slices(make), "node long, set binary").groupBy("node").agg(
-                F.max_by("set", F.octet_length("set")).alias("set")
-            ),
-            "sets",
+        made = rows.mapInArrow(by_slices(make), "node long, set binary")
+        return written(made.groupBy("node").agg(F.max_by("set", F.octet_length("set")).alias("set")), "sets")
+
+    def settle(self, members: DataFrame) -> None:
+        """Compare each document outside its node's main part with all documents of other parts, and merge.
+
+        Blocks of documents meet by an equi-join on (node, block, block), counted through an inverted file of the
+        block's shingles; of the links of a document, one per part it is linked to is returned. A document that is
+        outside in several nodes (much the same ones, in each tree) is compared in its ``NODES`` largest.
+        """
+        largest = Window.partitionBy("node").orderBy(F.desc("size"), "path")
+        outside = members.filter("part <> main").withColumn("_at", F.row_number().over(largest))
+        outside = written(outside.filter(F.col("_at") <= NODES).drop("_at"), "outside")
+        paths = outside.groupBy("path").agg(F.count(F.lit(1)).alias("asked"))
+        inside = written(members.join(written(paths, "asked"), "path"), "inside")
+        outside = outside.join(paths, "path")
+        sets = self._sets(inside.select("node"))
+
+        keys, similarity = ["path", "x_block", "y_block"], self.similarity
+
+        def dealt(of: DataFrame, own: str, own_n: str, other: str, other_n: str) -> DataFrame:
+            blocks = {n: F.ceil(F.col(n) / BLOCK).cast("long") for n in (own_n, other_n)}
+            zero = F.lit(0).cast("long")
+            placed = of.select(
+                F.col("path").alias("path"), F.col("node").alias("node"), F.col("part").alias("part"),
+                F.pmod(F.xxhash64("node"), blocks[own_n]).alias(own),
+                F.explode(F.sequence(zero, blocks[other_n] - 1)).alias(other),
+            )
+            own_sets = sets.select(F.col("node").alias("node"), F.col("set").alias("set"))  # either side its own columns
+            return placed.join(own_sets, "node").select(*keys, "node", "part", "set")
+
+        def cell(asked: pa.Table, given: pa.Table) -> pa.Table:
+            links = []
+            if asked.num_rows and given.num_rows:
+                held = [np.frombuffer(v, np.uint64) for v in given.column("set").to_pylist()]
+                sizes = np.array([len(v) for v in held])
+                owner = np.repeat(np.arange(len(held)), sizes)
+                values = np.concatenate(held)
+                order = np.argsort(values, kind="stable")
+                values, owner = values[order], owner[order]
+                parts, nodes = np.asarray(given.column("part")), np.asarray(given.column("node"))
+                for node, part, raw in zip(
+                    asked.column("node").to_pylist(), asked.column("part").to_pylist(), asked.column("set").to_pylist(),
+                    strict=True,
+                ):
+                    own = np.frombuffer(raw, np.uint64)
+                    first, last = np.searchsorted(values, own, "left"), np.searchsorted(values, own, "right")
+                    count = last - first
+                    at = np.repeat(first - np.concatenate(([0], np.cumsum(count)[:-1])), count) + np.arange(count.sum())
+                    common = np.bincount(owner[at], minlength=len(held))
+                    close = (100 * common >= similarity * (len(own) + sizes - common)) & (parts != part)
+                    _, one = np.unique(parts[close], return_index=True)
+                    links += [(node, int(other)) for other in nodes[close][one]]
+            columns = list(zip(*links, strict=True)) or [(), ()]
+            return pa.table([pa.array(c, pa.int64()) for c in columns], names=["a", "b"])
+
+        found = (
+            dealt(outside, "x_block", "asked", "y_block", "size").groupBy(*keys)
+            .cogroup(dealt(inside, "y_block", "size", "x_block", "asked").groupBy(*keys))
+            .applyInArrow(cell, "a long, b long")
         )
+        self.parts = merge_components(self.parts, written(found, "settled"))
+
+    def _confirmed(self, pairs: DataFrame) -> DataFrame:
+        """The pairs whose full sets are similar enough."""
+        sets = self._sets(pairs.select(F.explode(F.array("a", "b")).alias("node")))
         both = pairs
         for side in ("b", "a"):
             both = both.join(sets.select(F.col("node").alias(side), F.col("set").alias(f"set_{side}")), side)
@@ -296,24 +375,19 @@ def components(
     below = nodes.select(paths.alias("path"), "node", "sketch")
     for _ in range(START):
         below = _children(below)
-    far, near = _unlinked(below.select("path", "node"), None, 0), None
-    for depth in range(START, DEPTH):
+    far = _unlinked(below.select("path", "node"), None)
+    for depth in range(START, DEPTH + 1):
         small, large = far.filter(F.col("size") <= SMALL), far.filter(F.col("size") > SMALL)
-        pairs = _of_small(small).unionByName(_to_centre(large))
-        join.compare(pairs if near is None else pairs.unionByName(_of_outside(near)))
-        # The same nodes with the parts now known: settled, few documents outside, or to branch further.
-        left = _unlinked(large.select("path", "node"), join.parts, depth)
-        if left.isEmpty():
-            break
-        last = depth == DEPTH - 1
-        near = left if last else left.filter(F.col("outside") <= OUTSIDE)
-        if last:
-            join.compare(_of_outside(near))
+        join.compare(_of_small(small).unionByName(_to_centre(large, nodes)))
+        # The same nodes with the parts now known: linked throughout, in the main, or to branch further.
+        left = _unlinked(large.select("path", "node"), join.parts)
+        mainly = F.col("size") >= 2 * F.col("outside") if depth < DEPTH else F.lit(True)
+        near, mixed = left.filter(mainly), left.filter(~mainly).select("path", "node")
+        if not near.isEmpty():
+            join.settle(near)
+        if mixed.isEmpty():
             break
-        branching = left.filter(F.col("outside") > OUTSIDE).select("path", "node").join(
-            nodes.select("node", "sketch"), "node"
-        )
-        far = _unlinked(_children(branching).select("path", "node"), join.parts, depth)
+        far = _unlinked(_children(mixed.join(nodes.select("node", "sketch"), "node")).select("path", "node"), join.parts)
     rows = signed.join(nodes.select("digest", "node"), "digest", "left").select("id", "n", "node")
     if join.parts is not None:
         rows = rows.join(join.parts, "node", "left")
