@@ -154,7 +154,7 @@ def sets_of(doc: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return doc[new], values[new]
 
 
-def texts_of(batch: pa.RecordBatch, name: str = "text") -> list[bytes]:
+def texts_of(batch: pa.RecordBatch | pa.Table, name: str = "text") -> list[bytes]:
     """The bytes of a text column."""
     column = batch.column(batch.schema.get_field_index(name))
     return column.cast(pa.large_binary() if pa.types.is_large_string(column.type) else pa.binary()).to_pylist()

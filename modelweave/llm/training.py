@@ -1,8 +1,9 @@
 """Labelled samples and shard-wise training, shared by the two text classifiers.
 
 A classifier is fitted on a bounded sample of labelled rows: the ``bound`` rows whose ids hash lowest, dealt
-over ``shards``. Every shard trains in a task of its own, and the weights are averaged; what reaches the
-driver is ``shards`` models (fewer where shards would have under ``SHARD_ROWS`` rows) of a size the classifier fixes, never a row of data.
+over ``shards`` by a hash of the id. Every shard trains in a task of its own, and the weights are averaged;
+what reaches the driver is ``shards`` models (fewer where shards would have under ``SHARD_ROWS`` rows) of a
+size the classifier fixes, never a row of data.
 """
 
 from __future__ import annotations
@@ -47,16 +48,17 @@ def trained(sample: DataFrame, shards: int, fit: Callable[[list[bytes], np.ndarr
     """The models that ``fit(texts, labels)`` makes of each of at most ``shards`` shards."""
     shards = max(1, min(shards, sample.count() // SHARD_ROWS))
 
-    def shard(batches):
-        texts, labels = [], []
-        for batch in batches:
-            texts += texts_of(batch)
-            labels += batch.column("label").to_pylist()
-        if texts:
-            yield pa.RecordBatch.from_arrays([pa.array([fit(texts, np.array(labels, float))], pa.binary())], ["model"])
-
-    dealt = sample.repartitionByRange(shards, "dealt").sortWithinPartitions("dealt", "text", "label")
-    return [bytes(r["model"]) for r in dealt.mapInArrow(shard, "model binary").collect()]
+    def one(table: pa.Table) -> pa.Table:
+        labels, dealt = (np.asarray(table.column(c)) for c in ("label", "dealt"))
+        texts = texts_of(table)
+        order = sorted(range(len(texts)), key=lambda i: (dealt[i], texts[i], labels[i]))
+        model = fit([texts[i] for i in order], labels[order].astype(float))
+        return pa.table([pa.array([int(np.asarray(table.column("shard"))[0])], pa.int64()), pa.array([model], pa.binary())],
+                        names=["shard", "model"])
+
+    rows = sample.withColumn("shard", F.pmod("dealt", F.lit(shards)).cast("long"))
+    models = rows.groupBy("shard").applyInArrow(one, "shard long, model binary").collect()  # ``shards`` rows
+    return [bytes(r["model"]) for r in sorted(models, key=lambda r: r["shard"])]
 
 
 def scored(docs: DataFrame, score: Callable[[list[bytes]], np.ndarray], id_col: str, text_col: str) -> DataFrame:
