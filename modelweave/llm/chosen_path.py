@@ -182,7 +182,7 @@ def _to_centre(members: DataFrame, nodes: DataFrame) -> DataFrame:
     What is usual is voted by ``VOTERS`` documents of the node; a text from which many others were made agrees
     with most of them, though they may differ more from each other.
     """
-    rows = members.select("path", "node").join(nodes.select("node", "sketch"), "node")
+    rows = written(members.select("path", "node").join(nodes.select("node", "sketch"), "node"), "sketched")
     voters = Window.partitionBy("path").orderBy(F.xxhash64("node", "path"))
     voted = rows.withColumn("_at", F.row_number().over(voters)).filter(F.col("_at") <= VOTERS).groupBy("path").agg(
         F.collect_list("sketch").alias("sketches")
