@@ -1,14 +1,15 @@
 """MinHash near-dedup by a chosen-path set similarity join.
 
-The set of a document is its distinct 5-word shingles (words: runs without [\\x20\\x09-\\x0D], A-Z
-lower-cased; a text of fewer words is one shingle), as 64-bit hashes. Documents with equal sets are one node.
+The set of a document is its distinct 5-word shingles (words: runs without [\\x20\\x09-\\x0D], A-Z lower-
+cased; a text of fewer words is one shingle), as 64-bit hashes. Documents with equal sets are one node.
 ``SLOTS`` minwise values sketch each set. In each of ``TREES`` independent trees all nodes stand at the root;
 every tree node chooses one slot or two (1 / similarity on average) by a hash of its path, and a document goes
 on to the child named by its value there. The first ``START`` branchings follow at once. Then a child with one
 document ends; one with at most ``SMALL`` is compared exhaustively. A larger one is compared with one of its
 documents, its centre (the nearest to the usual sketch). If most are then linked into one part, as in a group
-of copies, the others are compared with all documents of the node, in blocks; otherwise it branches again. A pair at the threshold stays together in a tree through
-two branchings with a probability of 0.77, so all trees miss it with one below 1e-7.
+of copies, the others are compared with all documents of the node, in blocks; otherwise it branches again. A
+pair at the threshold stays together in a tree through two branchings with a probability of 0.77, so all trees
+miss it with one below 1e-7.
 
 Candidate pairs are dropped only by the exact bound on set sizes and by a sketch agreement more than 4
 standard deviations below the threshold; all others are confirmed on the full sets. Pairs already in one
@@ -387,7 +388,8 @@ def components(
             join.settle(near)
         if mixed.isEmpty():
             break
-        far = _unlinked(_children(mixed.join(nodes.select("node", "sketch"), "node")).select("path", "node"), join.parts)
+        below = _children(mixed.join(nodes.select("node", "sketch"), "node"))
+        far = _unlinked(below.select("path", "node"), join.parts)
     rows = signed.join(nodes.select("digest", "node"), "digest", "left").select("id", "n", "node")
     if join.parts is not None:
         rows = rows.join(join.parts, "node", "left")
