@@ -148,6 +148,8 @@ def _unlinked(members: DataFrame, parts: DataFrame | None) -> DataFrame:
     ``outside`` counts the documents that are not in ``main``, the node's largest part.
     """
     members = _with_parts(members, parts)
+    if parts is not None:
+        members = written(members, "parted")
     by_part = members.groupBy("path", "part").agg(F.count(F.lit(1)).alias("n"))
     sizes = by_part.groupBy("path").agg(
         F.sum("n").alias("size"), F.count(F.lit(1)).alias("n_parts"), F.max(F.struct("n", "part")).alias("main"),
