@@ -28,9 +28,11 @@ def line_deduplication(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
     return kept
 
 
-def near_deduplication(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+def near_deduplication(
+    spark: SparkSession, docs: DataFrame, sf_dir: str, similarity: int = chosen_path.SIMILARITY
+) -> DataFrame:
     """One document of each group of near copies: the one of smallest id."""
-    return chosen_path.dedup(docs)
+    return chosen_path.dedup(docs, similarity=similarity)
 
 
 def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

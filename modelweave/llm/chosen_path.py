@@ -125,10 +125,10 @@ def merge_components(parts: DataFrame | None, links: DataFrame) -> DataFrame:
 # ---------------------------------------------------------------- candidates
 
 
-def _children(members: DataFrame) -> DataFrame:
+def _children(members: DataFrame, similarity: int) -> DataFrame:
     """The tree nodes one step below, as rows (path, node, sketch)."""
     one, two = (F.pmod(F.xxhash64("path", F.lit(i)), F.lit(SLOTS)) for i in (0, 1))
-    second = (F.pmod(F.xxhash64("path", F.lit(2)), F.lit(SIMILARITY)) < 100 - SIMILARITY) & (one != two)
+    second = (F.pmod(F.xxhash64("path", F.lit(2)), F.lit(similarity)) < 100 - similarity) & (one != two)
     stepped = members.select(
         "path", "node", "sketch", F.explode(F.when(second, F.array(one, two)).otherwise(F.array(one))).alias("slot")
     )
@@ -377,7 +377,7 @@ def components(
     paths = F.explode(F.array(*[F.xxhash64(F.lit(t)) for t in range(trees)]))
     below = nodes.select(paths.alias("path"), "node", "sketch")
     for _ in range(START):
-        below = _children(below)
+        below = _children(below, similarity)
     far = _unlinked(below.select("path", "node"), None)
     for depth in range(START, DEPTH + 1):
         small, large = far.filter(F.col("size") <= SMALL), far.filter(F.col("size") > SMALL)
@@ -390,7 +390,7 @@ def components(
             join.settle(near)
         if mixed.isEmpty():
             break
-        below = _children(mixed.join(nodes.select("node", "sketch"), "node"))
+        below = _children(mixed.join(nodes.select("node", "sketch"), "node"), similarity)
         far = _unlinked(below.select("path", "node"), join.parts)
     rows = signed.join(nodes.select("digest", "node"), "digest", "left").select("id", "n", "node")
     if join.parts is not None:

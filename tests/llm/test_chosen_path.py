@@ -1,6 +1,9 @@
 import random
 from collections import Counter, defaultdict
 
+from pyspark.sql import functions as F
+
+from corpus_pipeline import near_deduplication
 from modelweave.llm import chosen_path
 from tests.llm.cases import documents, edge_documents, no_documents
 
@@ -85,3 +88,15 @@ def test_merging_components(spark):
     more = spark.createDataFrame([(20, 40), (70, 61), (5, 6)], "a long, b long")
     parts = {r.node: r.part for r in chosen_path.merge_components(parts, more).collect()}
     assert parts == {**{i: 1 for i in range(1, 21)}, 40: 1, 50: 1, 60: 60, 61: 60, 70: 60}
+
+
+def test_other_similarities(spark, small):
+    members = spark.range(4000).select(F.xxhash64("id").alias("path"), F.col("id").alias("node"), F.lit(bytes(256)).alias("sketch"))
+    for per_cent in (80, 50):  # 1 / similarity slots on average
+        assert abs(chosen_path._children(members, per_cent).count() / 4000 - 100 / per_cent) < 0.03
+    docs = documents(spark, small)
+    given = [(r.doc_id, r.text) for r in docs.collect()]
+    want = brute(given, 80)
+    assert found(docs, similarity=80) == want != brute(given)
+    kept = {r.doc_id for r in near_deduplication(spark, docs, small, similarity=80).collect()}
+    assert kept == {i for i, _, part in want if i == part}
