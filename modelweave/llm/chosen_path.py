@@ -281,15 +281,37 @@ class Join:
         return written(made.groupBy("node").agg(F.max_by("set", F.octet_length("set")).alias("set")), "sets")
 
     def settle(self, members: DataFrame) -> None:
-        """Compare each document outside its node's main part with all documents of other parts, and merge.
+        """Compare each document outside a node's main part with all documents of other parts, and merge.
 
-        Blocks of documents meet by an equi-join on (node, block, block), counted through an inverted file of the
-        block's shingles; of the links of a document, one per part it is linked to is returned. A document that is
-        outside in several nodes (much the same ones, in each tree) is compared in its ``NODES`` largest.
+        A document that is outside in several nodes (much the same ones, in each tree) is compared in all of them,
+        the ``NODES`` largest first, then in ever more at a time; nodes whose main part it has joined meanwhile
+        are left out, as a link there changes nothing.
         """
         largest = Window.partitionBy("node").orderBy(F.desc("size"), "path")
-        outside = members.filter("part <> main").withColumn("_at", F.row_number().over(largest))
-        outside = written(outside.filter(F.col("_at") <= NODES).drop("_at"), "outside")
+        outside = written(members.filter("part <> main").withColumn("_at", F.row_number().over(largest)), "outside")
+        last = NODES
+        while not outside.isEmpty():
+            self._in_blocks(members, outside.filter(F.col("_at") <= last).drop("_at"))
+            outside = outside.filter(F.col("_at") > last)
+            if self.parts is not None and not outside.isEmpty():
+                members = written(self._now(members), "members")
+                outside = written(self._now(outside).filter("part <> main"), "outside")
+            last = 2 * last + NODES
+
+    def _now(self, members: DataFrame) -> DataFrame:
+        """The rows with the parts known by now, ``main`` being the part its documents are in."""
+        for column, of in (("part", "node"), ("main", "main")):
+            to = self.parts.select(F.col("node").alias(of), F.col("part").alias("_to"))
+            members = members.join(to, of, "left").withColumn(column, F.coalesce("_to", of)).drop("_to")
+        return members
+
+    def _in_blocks(self, members: DataFrame, outside: DataFrame) -> None:
+        """Compare the documents ``outside`` with all of other parts in their nodes, and merge.
+
+        Blocks of documents meet by an equi-join on (node, block, block), counted through an inverted file of the
+        block's shingles; of the links of a document, one per part it is linked to is returned.
+        """
+        outside = written(outside, "asking")
         paths = outside.groupBy("path").agg(F.count(F.lit(1)).alias("asked"))
         inside = written(members.join(written(paths, "asked"), "path"), "inside")
         outside = outside.join(paths, "path")

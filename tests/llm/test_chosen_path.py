@@ -100,3 +100,21 @@ def test_other_similarities(spark, small):
     assert found(docs, similarity=80) == want != brute(given)
     kept = {r.doc_id for r in near_deduplication(spark, docs, small, similarity=80).collect()}
     assert kept == {i for i, _, part in want if i == part}
+
+
+def test_settling_compares_in_all_nodes(spark):
+    """A copy that shares only the smallest of a document's five nodes, beside others that are unrelated."""
+    random.seed(11)
+    text = random.choices([f"w{i}" for i in range(500)], k=100)
+    rows = [(i, " ".join(random.choices([f"u{i}" for i in range(500)], k=100))) for i in range(2, 40)]
+    rows += [(1, " ".join(text)), (50, " ".join([*text, "edit"]))]
+    members = [
+        (path, node, part, 1 + len(others), others[0], 1)
+        for path, others in ((1, range(2, 12)), (2, range(12, 20)), (3, range(20, 27)), (4, range(27, 33)))
+        for node, part in [(1, 1), *((n, others[0]) for n in others)]
+    ]
+    members += [(5, 1, 1, 2, 50, 1), (5, 50, 50, 2, 50, 1)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    join = chosen_path.Join(docs, None, "doc_id", "text", 85)
+    join.settle(spark.createDataFrame(members, "path long, node long, part long, size long, main long, outside long"))
+    assert {(r.node, r.part) for r in join.parts.collect()} == {(1, 1), (50, 1)}
