@@ -118,3 +118,15 @@ def test_settling_compares_in_all_nodes(spark):
     join = chosen_path.Join(docs, None, "doc_id", "text", 85)
     join.settle(spark.createDataFrame(members, "path long, node long, part long, size long, main long, outside long"))
     assert {(r.node, r.part) for r in join.parts.collect()} == {(1, 1), (50, 1)}
+
+
+def test_candidates_are_confirmed_whatever_their_sketches(spark):
+    text = " ".join(f"w{i}" for i in range(100))
+    docs = spark.createDataFrame([(1, text), (2, text + " edit"), (3, "short text")], "doc_id long, text string")
+    nodes = spark.createDataFrame(
+        [(1, 96, bytes(256)), (2, 97, bytes([1]) * 256), (3, 1, bytes(256))], "node long, n long, sketch binary"
+    )
+    join = chosen_path.Join(docs, nodes, "doc_id", "text", 85)
+    join.compare(spark.createDataFrame([(1, 2), (1, 3)], "a long, b long"))
+    assert [(r.a, r.b) for r in join.tried.collect()] == [(1, 2)]
+    assert {(r.node, r.part) for r in join.parts.collect()} == {(1, 1), (2, 1)}
