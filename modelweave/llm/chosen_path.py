@@ -64,18 +64,28 @@ def _signatures(batch: pa.RecordBatch) -> pa.RecordBatch:
     sets = _sets(texts_of(batch))
     return pa.RecordBatch.from_arrays(
         [
-            batch.column(0), pa.array([len(s) for s in sets], pa.int64()),
+            batch.column(0), batch.column(2), pa.array([len(s) for s in sets], pa.int64()),
             pa.array([hashlib.md5(s.tobytes()).digest() if len(s) else None for s in sets], pa.binary()),
             pa.array([_minwise(s).tobytes() if len(s) else None for s in sets], pa.binary()),
         ],
-        ["id", "n", "digest", "sketch"],
+        ["id", "same", "n", "digest", "sketch"],
     )
 
 
 def signatures(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id, n, digest, sketch) of every document; digest and sketch are null for an empty set."""
-    rows = docs.select(docs[id_col].cast("long").alias("id"), F.coalesce(docs[text_col], F.lit("")).alias("text"))
-    return rows.mapInArrow(by_slices(_signatures), "id long, n long, digest binary, sketch binary")
+    """(id, same, n, digest, sketch) of every document; digest and sketch are null for an empty set.
+
+    ``same`` is a digest of the text itself.
+    """
+    rows = docs.select(
+        docs[id_col].cast("long").alias("id"), F.coalesce(docs[text_col], F.lit("")).alias("text"),
+        _same(docs[text_col]).alias("same"),
+    )
+    return rows.mapInArrow(by_slices(_signatures), "id long, same string, n long, digest binary, sketch binary")
+
+
+def _same(text: Column) -> Column:
+    return F.md5(F.coalesce(text, F.lit("")).cast("binary"))
 
 
 # ---------------------------------------------------------------- components
@@ -368,11 +378,8 @@ class Join:
         return both.select("a", "b", "set_a", "set_b").mapInArrow(confirm, "a long, b long")
 
 
-def components(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", similarity: int = SIMILARITY,
-    trees: int = TREES,
-) -> DataFrame:
-    """(id, n_shingles, component_id, kept) of every document."""
+def _judged(docs: DataFrame, id_col: str, text_col: str, similarity: int = SIMILARITY, trees: int = TREES) -> DataFrame:
+    """(id, same, n, part, kept) of every document."""
     signed = written(signatures(docs, id_col, text_col), "signatures")
     nodes = written(
         signed.filter("id is not null and digest is not null").groupBy("digest").agg(
@@ -399,19 +406,28 @@ def components(
             break
         below = _children(mixed.join(nodes.select("node", "sketch"), "node"), similarity)
         far = _unlinked(below.select("path", "node"), join.parts)
-    rows = signed.join(nodes.select("digest", "node"), "digest", "left").select("id", "n", "node")
+    rows = signed.join(nodes.select("digest", "node"), "digest", "left").select("id", "same", "n", "node")
     if join.parts is not None:
         rows = rows.join(join.parts, "node", "left")
     part = F.coalesce("part", "node", "id") if join.parts is not None else F.coalesce("node", "id")
     part = F.when(F.col("id").isNotNull(), part)
     return rows.select(
-        F.col("id").alias(id_col), F.col("n").alias("n_shingles"), part.alias("component_id"),
-        F.coalesce(F.col("id") == part, F.lit(True)).alias("kept"),
+        "id", "same", "n", part.alias("part"), F.coalesce(F.col("id") == part, F.lit(True)).alias("kept")
+    )
+
+
+def components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **given) -> DataFrame:
+    """(id, n_shingles, component_id, kept) of every document."""
+    return _judged(docs, id_col, text_col, **given).select(
+        F.col("id").alias(id_col), F.col("n").alias("n_shingles"), F.col("part").alias("component_id"), "kept"
     )
 
 
 def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **given) -> DataFrame:
     """The documents without those that another one of their component stands for."""
-    gone = components(docs, id_col, text_col, **given).filter("not kept").select(F.col(id_col).alias("__copy_id"))
+    gone = _judged(docs, id_col, text_col, **given).filter("not kept").select(
+        F.col("id").alias("__copy_id"), F.col("same").alias("__copy_same")
+    )
     gone = written(gone.distinct(), "copies")
-    return docs.join(gone, docs[id_col].cast("long") == F.col("__copy_id"), "left_anti")
+    copy = (docs[id_col].cast("long") == F.col("__copy_id")) & (_same(docs[text_col]) == F.col("__copy_same"))
+    return docs.join(gone, copy, "left_anti")

@@ -130,3 +130,11 @@ def test_candidates_are_confirmed_whatever_their_sketches(spark):
     join.compare(spark.createDataFrame([(1, 2), (1, 3)], "a long, b long"))
     assert [(r.a, r.b) for r in join.tried.collect()] == [(1, 2)]
     assert {(r.node, r.part) for r in join.parts.collect()} == {(1, 1), (2, 1)}
+
+
+def test_a_row_is_dropped_by_its_own_text(spark):
+    """An id with two texts: a copy of a smaller document goes, the text that nothing stands for stays."""
+    texts = ["one text that stands twice in the table", "another text that stands in it once only"]
+    rows = [(1, texts[0]), (2, texts[0]), (2, texts[1])]
+    kept = chosen_path.dedup(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert sorted((r.doc_id, r.text) for r in kept.collect()) == [(1, texts[0]), (2, texts[1])]
