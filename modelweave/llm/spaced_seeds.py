@@ -12,8 +12,8 @@ shuffled by seed. Documents with hits are found again by broadcast of their ids
 otherwise by a shuffle.
 
 Defined results: a null or empty text or item has no words and no hits. An item with fewer words than the
-longest mask is compared by the masks that fit; one with fewer than ``LEAST`` is never found. Rows without
-a document id are not judged and stay. Equal items are found each by its own id; repeated documents give
+longest mask is compared by the masks that fit; one with fewer than ``LEAST`` is held only word for word, and
+found by one seed of all its words. Rows without a document id are not judged and stay. Equal items are found each by its own id; repeated documents give
 one row per id and item. Empty tables give no rows.
 """
 
@@ -37,10 +37,10 @@ def word_hashes(text: Column) -> Column:
     return F.transform(F.array_remove(words, ""), lambda w: F.xxhash64(w))
 
 
-def _seeds(rows: DataFrame, masks) -> DataFrame:
+def _seeds(rows: DataFrame, masks: dict[int, str]) -> DataFrame:
     """All columns but ``h`` (the word hashes), the place ``at`` and the ``seed`` of every window."""
     keep = [c for c in rows.columns if c != "h"]
-    least = min(map(len, masks))
+    least = min(map(len, masks.values()))
     # as long as the array is empty or short there is no place
     places = F.sequence(F.lit(0), F.size("h") - least)
     placed = rows.filter(F.size("h") >= least).select(*keep, "h", F.explode(places).alias("at"))
@@ -49,7 +49,7 @@ def _seeds(rows: DataFrame, masks) -> DataFrame:
         taken = [F.get("h", F.col("at") + i) for i, bit in enumerate(mask) if bit == "1"]
         return F.when(F.col("at") + len(mask) <= F.size("h"), F.xxhash64(F.lit(number), *taken))
 
-    seeds = F.array(*[seed(n, m) for n, m in enumerate(masks)])
+    seeds = F.array(*[seed(n, m) for n, m in masks.items()])
     return placed.select(*keep, "at", F.explode(seeds).alias("seed")).filter("seed is not null")
 
 
@@ -62,12 +62,17 @@ def leaks(
     texts = docs.select(docs[id_col].alias("doc"), docs[text_col].alias("text")).filter("doc is not null")
     bench = written(
         items.select(items[item_col].alias("item"), word_hashes(items[item_text_col]).alias("g"))
-        .filter(F.size("g") >= LEAST).distinct(),
+        .filter(F.size("g") > 0).distinct(),
         "items",
     )
-    wanted = written(
-        _seeds(bench.withColumnRenamed("g", "h"), masks).withColumnRenamed("at", "item_at").distinct(), "item-seeds"
-    )
+    masks, long = dict(enumerate(masks)), F.size("g") >= LEAST
+    seeded = _seeds(bench.filter(long).withColumnRenamed("g", "h"), masks)
+    short = bench.filter(~long).select(F.size("g").alias("n")).distinct().collect()  # fewer than LEAST rows
+    for n in sorted(r.n for r in short):
+        whole = {-n: "1" * n}
+        seeded = seeded.unionByName(_seeds(bench.filter(F.size("g") == n).withColumnRenamed("g", "h"), whole))
+        masks |= whole
+    wanted = written(seeded.withColumnRenamed("at", "item_at").distinct(), "item-seeds")
     small = wanted.count() <= broadcast_seeds
     held = _seeds(texts.select("doc", word_hashes(F.col("text")).alias("h")), masks)
     hits = held.join(F.broadcast(wanted) if small else wanted.hint("merge"), "seed").select(
@@ -99,7 +104,11 @@ def leaks(
     found = compared.select(
         "doc", "item", "n_item_words", total(F.col("equal")).alias("n_equal"), best.alias("best_window"),
         width.alias("width"),
-    ).filter((F.col("n_equal") >= share * F.col("n_item_words")) | (F.col("best_window") >= share * F.col("width")))
+    ).filter(
+        F.when(F.col("n_item_words") < LEAST, F.col("n_equal") == F.col("n_item_words")).otherwise(
+            (F.col("n_equal") >= share * F.col("n_item_words")) | (F.col("best_window") >= share * F.col("width"))
+        )
+    )
     return found.groupBy(F.col("doc").alias(id_col), F.col("item").alias(item_col)).agg(
         F.max("n_item_words").alias("n_item_words"), F.max("n_equal").alias("n_equal"),
         F.max("best_window").alias("best_window"),

@@ -91,3 +91,14 @@ def test_no_python_in_the_plan(spark, small):
     plan = leaks(documents(spark, small), spark.read.parquet(f"{small}/benchmark.parquet"))
     text = plan._jdf.queryExecution().executedPlan().toString()
     assert not [bad for bad in ("Python", "Pandas", "InArrow", "CartesianProduct") if bad in text]
+
+
+def test_short_items_are_found_word_for_word(spark):
+    items = [(1, "What is a seed?"), (2, "yes"), (3, "one two three four five six"), (4, "one two three four five")]
+    docs = [(1, "he asked: what IS a seed"), (2, "what is the seed, yes"), (3, "one two three four five other six"),
+            (4, "zero one two three four five six seven"), (5, "yesterday")]
+    frames = (spark.createDataFrame(docs, "doc_id long, text string"),
+              spark.createDataFrame(items, "item_id long, text string"))
+    want = {(1, 1), (2, 2), (3, 4), (4, 3), (4, 4)}
+    assert found(*frames) == found(*frames, broadcast_seeds=0) == want
+    assert {r.doc_id for r in decontaminate(*frames).collect()} == {5}
