@@ -4,9 +4,9 @@ A text's symbols (characters, blanks as U+2581, one such mark put before) stand
 adjacent pair whose concatenation is a piece lies on an agenda ordered by score, then by place; the best
 pair is merged and its new neighbours are laid on the agenda, until that is empty. Symbols that are no
 piece become their UTF-8 bytes' pieces. No piece has a mark behind another character, so a run of marks
-with what follows it is encoded on its own, and one result serves all its occurrences. A text in
-``check_every`` is encoded by the sentencepiece library as well, in its Arrow batch; a difference stops
-the job.
+with what follows it is encoded on its own, and one result serves all its occurrences. A text in ``check_every``
+(each one, unless asked otherwise) is encoded and decoded by the sentencepiece library as well, in its Arrow
+batch; a difference stops the job.
 
 Defined results: a null or empty text has only the begin and end ids and decodes to the empty text.
 U+2581 in a text encodes like a blank and decodes to one. Rows are independent, so repeated rows get equal
@@ -29,7 +29,7 @@ from modelweave.llm.common import by_slices, keyed
 MARK = "▁"
 CACHED = 500_000  # results kept per worker and kind of segment; then the cache starts anew
 CACHED_CHARS = 48
-CHECK_EVERY = 50
+CHECK_EVERY = 1
 
 
 class Pieces:
@@ -141,6 +141,14 @@ class Pieces:
             return self.library.decode(list(ids))
 
 
+def checked(pieces: Pieces, of, text: str, ids: list[int], decoded: str) -> None:
+    """Stop if the library encodes a text or decodes its ids otherwise."""
+    if ids != pieces.library.encode(text, add_bos=True, add_eos=True):
+        raise RuntimeError(f"the library encodes the text of id {of} otherwise")
+    if decoded != pieces.library.decode(ids):
+        raise RuntimeError(f"the library decodes the ids of id {of} otherwise")
+
+
 class _Kept(dict):
     """Packed ids by segment, made when first asked for."""
 
@@ -174,7 +182,7 @@ def loaded(model: bytes) -> Pieces:
 
 
 def _per_text(docs: DataFrame, model_path: str, schema: T.StructType, row, id_col: str, text_col: str, check_every: int):
-    """Rows of ``schema``: the id and what ``row(pieces, packed ids)`` gives."""
+    """Rows of ``schema``: the id and what ``row(packed ids, ids, decoded text)`` gives."""
     with open(model_path, "rb") as f:  # a few hundred kB, whatever the data
         model = docs.sparkSession.sparkContext.broadcast(f.read())
     names = schema.fieldNames()
@@ -186,11 +194,11 @@ def _per_text(docs: DataFrame, model_path: str, schema: T.StructType, row, id_co
         rows = []
         for i, text in enumerate(texts):
             packed = pieces.packed(text)
+            numbers = array("I", packed).tolist()
+            decoded = pieces.decode(numbers)
             if i % check_every == 0:
-                expected = pieces.library.encode(text, add_bos=True, add_eos=True)
-                if array("I", packed).tolist() != expected:
-                    raise RuntimeError(f"the library encodes the text of id {ids[i]} otherwise")
-            rows.append(row(pieces, packed))
+                checked(pieces, ids[i], text, numbers, decoded)
+            rows.append(row(packed, numbers, decoded))
         columns = list(zip(*rows, strict=True)) or [()] * (len(names) - 1)
         types = [_arrow(f.dataType) for f in schema.fields[1:]]
         return pa.RecordBatch.from_arrays([ids, *(pa.array(c, t) for c, t in zip(columns, types, strict=True))], names)
@@ -210,9 +218,8 @@ def encode(
     """(id, ids array<int>, decoded): every whole text encoded, and its ids decoded again."""
     schema = T.StructType().add(id_col, "long").add("ids", T.ArrayType(T.IntegerType())).add("decoded", "string")
 
-    def row(pieces: Pieces, packed: bytes):
-        ids = array("I", packed).tolist()
-        return ids, pieces.decode(ids)
+    def row(packed: bytes, ids: list[int], decoded: str):
+        return ids, decoded
 
     return _per_text(docs, model_path, schema, row, id_col, text_col, check_every)
 
@@ -226,9 +233,7 @@ def digests(
         .add("decoded_sha256", "string")
     )
 
-    def row(pieces: Pieces, packed: bytes):
-        ids = array("I", packed).tolist()
-        decoded = pieces.decode(ids).encode()
-        return len(ids), hashlib.sha256(packed).hexdigest(), hashlib.sha256(decoded).hexdigest()
+    def row(packed: bytes, ids: list[int], decoded: str):
+        return len(ids), hashlib.sha256(packed).hexdigest(), hashlib.sha256(decoded.encode()).hexdigest()
 
     return _per_text(docs, model_path, schema, row, id_col, text_col, check_every)

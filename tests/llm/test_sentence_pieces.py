@@ -65,3 +65,14 @@ def test_encode_returns_ids_and_text(spark, pieces):
     docs = spark.createDataFrame([(1, "one text"), (2, None)], "doc_id long, text string")
     rows = {r.doc_id: (r.ids, r.decoded) for r in sentence_pieces.encode(docs, PATH).collect()}
     assert rows == {1: (library(pieces, "one text"), "one text"), 2: ([1, 2], "")}
+
+
+def test_every_text_is_checked_both_ways(pieces):
+    assert sentence_pieces.CHECK_EVERY == 1
+    text = "one text"
+    ids = library(pieces, text)
+    sentence_pieces.checked(pieces, 1, text, ids, text)
+    with pytest.raises(RuntimeError, match="encodes the text of id 1 "):
+        sentence_pieces.checked(pieces, 1, text, ids[:-1], text)
+    with pytest.raises(RuntimeError, match="decodes the ids of id 1 "):
+        sentence_pieces.checked(pieces, 1, text, ids, "one  text")
