@@ -71,7 +71,7 @@ def _same(a: Column, b: Column) -> Column:
 
 
 def branches_of(messages: DataFrame, branches: int = 1) -> DataFrame:
-    """(conv, branch, place, msg): the messages of the best branches of every tree, root first.
+    """(conv, branch, place, msg): the best branches of every conversation, over all its trees, root first.
 
     ``messages`` has conv, msg, parent and score; (conv, msg) is unique.
     """

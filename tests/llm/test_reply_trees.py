@@ -103,3 +103,12 @@ def test_deep_chain(spark):
         "conv long, msg long, parent long, score double, role string, text string",
     )
     assert [r.msg for r in branches_of(frame).orderBy("place").collect()] == list(range(1000))
+
+
+def test_two_roots_are_ranked_as_one_conversation(spark):
+    frame = spark.createDataFrame(
+        [(1, 1, None, 1.0), (1, 2, 1, 1.0), (1, 3, None, 5.0), (1, 4, 9, 3.0)],
+        "conv long, msg long, parent long, score double",
+    )
+    got = [sorted((r.branch, r.place, r.msg) for r in branches_of(frame, n).collect()) for n in (1, 3)]
+    assert got == [[(1, 1, 3)], [(1, 1, 3), (2, 1, 4), (3, 1, 1), (3, 2, 2)]]
