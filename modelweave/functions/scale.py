@@ -47,6 +47,14 @@ def new_folder(spark: SparkSession, label: str) -> str:
     return f"{_application_folder(spark)}/{label}-{uuid.uuid4().hex}"
 
 
+def remove_folder(spark: SparkSession, folder: str) -> None:
+    """Remove one intermediate table; only below the folder of this application."""
+    if f"/modelweave-{spark.sparkContext.applicationId}/" not in folder:
+        raise ValueError(f"{folder} is no intermediate table of this application")
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def remove_folders(spark: SparkSession) -> None:
     """Remove all intermediate tables of this application; frames that read them are of no use afterwards."""
     path = spark._jvm.org.apache.hadoop.fs.Path(_application_folder(spark))
