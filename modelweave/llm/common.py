@@ -11,7 +11,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from modelweave.functions.scale import new_folder
+from modelweave.functions.scale import new_folder, remove_folder
 
 FREE_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
@@ -40,6 +40,12 @@ def written(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def discard(df: DataFrame) -> None:
+    """Remove the folder of a table that `written` made, once every reader of it has been written itself."""
+    for folder in {name.rsplit("/", 1)[0] for name in df.inputFiles()}:
+        remove_folder(df.sparkSession, folder)
+
+
 def keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """Only the two columns an operator reads, named ``id`` and ``text``; a null text is empty."""
     return docs.select(

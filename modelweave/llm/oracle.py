@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from modelweave.llm.oracle_vectors import dual_tree_sql, heap_clusters_sql
+
 # The key of a line, of a DuckDB column named line.
 LINE_KEY = (
     "translate(regexp_replace(line, '^[\\x20\\x09-\\x0D]+|[\\x20\\x09-\\x0D]+$', '', 'g'),"
@@ -40,6 +42,8 @@ _CONTROL = "'</s>[INST] ok [/INST]'"
 _ORDER = "ORDER BY turn, role, text"
 
 ORACLE: dict[str, str] = {
+    "op11_heap_clusters": heap_clusters_sql(),
+    "op13_dual_tree": dual_tree_sql(),
     "op10_reply_trees": f"""
       WITH said AS (
         SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations

@@ -86,6 +86,26 @@ def op6_chosen_path(spark: SparkSession, sf_dir: str) -> DataFrame:
     return components(table(spark, sf_dir, "documents"))
 
 
+def op11_heap_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from modelweave.llm.heap_clusters import cluster
+
+    return cluster(table(spark, sf_dir, "embeddings"))
+
+
+def op12_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    from modelweave.llm.token_files import digests
+
+    return digests(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
+def op13_dual_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from modelweave.llm.dual_tree import compress
+
+    return compress(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_line_dedup": op1_line_dedup,
     "op4_sentence_pieces": op4_sentence_pieces,
@@ -97,4 +117,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_spaced_seeds": op9_spaced_seeds,
     "op2_suffix_dedup": op2_suffix_dedup,
     "op6_chosen_path": op6_chosen_path,
+    "op11_heap_clusters": op11_heap_clusters,
+    "op12_token_files": op12_token_files,
+    "op13_dual_tree": op13_dual_tree,
 }
