@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import contextlib
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -53,23 +53,28 @@ def keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     )
 
 
+def slices(batches: Iterable[pa.RecordBatch], size_col: str, most_bytes: int) -> Iterator[pa.RecordBatch]:
+    """The batches in slices of about ``most_bytes`` of a text or binary column (one row at least)."""
+    for batch in batches:
+        column = batch.column(batch.schema.get_field_index(size_col))
+        ends, start = np.cumsum(np.asarray(pc.binary_length(column).fill_null(0)).astype(np.int64)), 0
+        while start < batch.num_rows:
+            before = ends[start - 1] if start else 0
+            stop = max(start + 1, int(np.searchsorted(ends, before + most_bytes, side="right")))
+            yield batch.slice(start, stop - start)
+            start = stop
+
+
 def by_slices(
     fn: Callable[[pa.RecordBatch], Iterator[pa.RecordBatch] | pa.RecordBatch], size_col: str = "text",
     most_bytes: int = 4 << 20,
 ):
-    """For mapInArrow: hand ``fn`` slices of the batches with about ``most_bytes`` of text each (one row at least)."""
+    """For mapInArrow: hand ``fn`` the `slices` of the batches."""
 
     def run(batches):
-        for batch in batches:
-            column = batch.column(batch.schema.get_field_index(size_col))
-            sizes = np.asarray(pc.binary_length(column).fill_null(0)).astype(np.int64)
-            ends, start = np.cumsum(sizes), 0
-            while start < batch.num_rows:
-                before = ends[start - 1] if start else 0
-                stop = max(start + 1, int(np.searchsorted(ends, before + most_bytes, side="right")))
-                made = fn(batch.slice(start, stop - start))
-                yield from [made] if isinstance(made, pa.RecordBatch) else made
-                start = stop
+        for part in slices(batches, size_col, most_bytes):
+            made = fn(part)
+            yield from [made] if isinstance(made, pa.RecordBatch) else made
 
     return run
 

@@ -26,19 +26,21 @@ def _selectors(numbers: np.ndarray) -> np.ndarray:
     The last word of a block may be short of numbers; the missing ones are zeros.
     """
     n = len(numbers)
-    out = np.full(n, ESCAPE)
-    at = np.arange(n)
-    for selector in range(ESCAPE - 1, -1, -1):  # ever more numbers of ever fewer bits
-        too_wide = numbers > _MASKS[selector]
-        if selector == ESCAPE - 1:
-            out[~too_wide] = selector
-            continue
-        # the first too wide number from each place on
-        stop = np.minimum.accumulate(np.where(too_wide, at, n)[::-1])[::-1]
-        fits = (stop - at >= COUNTS[selector]) | ((stop == n) & (at + COUNTS[selector] > n))
-        if not fits.any():
-            break
+    need = np.searchsorted(_MASKS[:ESCAPE], numbers).astype(np.int8)  # the narrowest selector of each number alone
+    out = need.copy()  # a word of one number: selector 14, or an escape
+    out[need < ESCAPE] = ESCAPE - 1
+    padded = np.concatenate((need, np.zeros(COUNTS[0], np.int8)))
+    widest, reach = padded, 1  # the widest of so many numbers from each place on
+    for selector in range(ESCAPE - 2, -1, -1):  # ever more numbers of ever fewer bits
+        count = COUNTS[selector]
+        while reach < count:
+            step = min(reach, count - reach)
+            widest = np.maximum(widest[:len(widest) - step], widest[step:])
+            reach += step
+        fits = widest[:n] <= selector
         out[fits] = selector
+        if not fits[:max(n - count + 1, 0)].any() and count < n:
+            break  # no more numbers fit anywhere, but for the last ones of the block
     return out
 
 
@@ -46,6 +48,8 @@ def pack(numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(packed words, numbers written in full) of a block."""
     numbers = np.ascontiguousarray(numbers, dtype=np.uint64)
     n = len(numbers)
+    if not n:
+        return np.zeros(0, np.uint64), np.zeros(0, np.uint64)
     selectors = _selectors(numbers)
     follow, at, starts = (np.arange(n) + COUNTS[selectors]).tolist(), 0, []
     while at < n:
@@ -54,16 +58,16 @@ def pack(numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     starts = np.array(starts, np.int64)
     chosen = selectors[starts]
     words = chosen.astype(np.uint64) << _SHIFT
-    padded = np.concatenate((numbers, np.zeros(COUNTS.max(), np.uint64)))
-    for selector in np.unique(chosen):
+    padded = np.concatenate((numbers, np.zeros(COUNTS[0], np.uint64)))
+    for selector in np.flatnonzero(np.bincount(chosen, minlength=len(COUNTS))).tolist():
         mine = np.flatnonzero(chosen == selector)
         if selector == ESCAPE:
             words[mine] |= np.arange(len(mine), dtype=np.uint64)
         elif WIDTHS[selector]:
-            place = np.arange(COUNTS[selector])
-            group = padded[starts[mine][:, None] + place]
-            shifts = (place * WIDTHS[selector]).astype(np.uint64)
-            words[mine] |= np.bitwise_or.reduce(group << shifts, axis=1)
+            first, packed = starts[mine], words[mine]
+            for place in range(COUNTS[selector]):
+                packed |= padded[first + place] << np.uint64(place * WIDTHS[selector])
+            words[mine] = packed
     return words, numbers[starts[chosen == ESCAPE]]
 
 

@@ -22,9 +22,11 @@ one id are documents of their own, ordered by their ids' checksum. An empty tabl
 
 from __future__ import annotations
 
+import itertools
 import json
 import math
 import re
+import unicodedata
 import uuid
 import zlib
 from collections.abc import Iterator
@@ -32,21 +34,23 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.fs
+import regex
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from modelweave.functions.scale import new_folder
-from modelweave.llm.common import by_slices, discard, keyed, texts_of, written
+from modelweave.llm.common import by_slices, discard, keyed, slices, texts_of, written
 from modelweave.llm.simple8b import pack, unpack
 
 END_ID = 1
 BLOCK_IDS = 4096
 FILE_IDS = 1 << 24  # a file is closed when it has so many ids, or FILE_DOCS documents
 FILE_DOCS = 1 << 20
-RANGE_BYTES = 32 << 20  # ids in a partition before packing
+RANGE_IDS = 8 << 20  # ids that one task writes, more or less
 GROUP = 1024  # files whose first numbers are added up together
-CACHE_BYTES = 24 << 20  # of ids and runs kept per worker
+CACHED_RUNS = 400_000  # kept per worker with their ids, about 90 MB
+RUNS_PER_CALL = 2_000
 MAGIC = int.from_bytes(b"mwtok8b1", "little")
 HEADER = 5
 
@@ -75,54 +79,74 @@ def _ends_at_space(config: dict) -> bool:
 
 
 class Encoder:
-    """A tokenizer; ids come as little-endian 32-bit integers."""
+    """A tokenizer; ids come as little-endian integers of ``kind``."""
 
     def __init__(self, config: str):
         from tokenizers import Tokenizer
 
         self.library = Tokenizer.from_str(config)
         parsed = json.loads(config)
-        self.by_run = _ends_at_space(parsed) and bool(parsed["added_tokens"])
+        size = self.library.get_vocab_size(with_added_tokens=True)
+        self.kind = "<u2" if max(size, END_ID) < 1 << 16 else "<u4"
+        self.by_run = _ends_at_space(parsed)
         if self.by_run:
-            self.between = parsed["added_tokens"][0]["content"]
-            self.between_id = parsed["added_tokens"][0]["id"]
-            self.special = tuple(t["content"][:2] for t in parsed["added_tokens"])
+            suffix = parsed["model"]["end_of_word_suffix"]
+            self.special = [t["content"][:2] for t in parsed["added_tokens"]]
+            self.pieces = regex.compile(parsed["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"])
+            self.ends = np.zeros(size, bool)
+            for token, i in parsed["model"]["vocab"].items():
+                self.ends[i] = token.endswith(suffix)
         self.kept: dict[str, bytes] = {}
-        self.room = CACHE_BYTES
+        self.passed = 0
+
+    def packed(self, ids: list[int]) -> bytes:
+        return np.array(ids, self.kind).tobytes()
 
     def whole(self, text: str) -> bytes:
-        return np.array(self.library.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
-
-    def _learn(self, runs: list[str]) -> None:
-        """Ids of runs not met before: one call for all, an added token between them."""
-        plain = [r for r in runs if not any(s in r for s in self.special)]
-        for run in runs:
-            if any(s in run for s in self.special):  # may hold an added token itself
-                self.kept[run] = self.whole(run)
-        for at in range(0, len(plain), 2000):
-            some = plain[at:at + 2000]
-            ids = np.array(self.library.encode(self.between.join(some), add_special_tokens=False).ids, "<u4")
-            cuts = np.flatnonzero(ids == self.between_id)
-            if len(cuts) != len(some) - 1:
-                raise RuntimeError("the library does not keep the runs apart")
+        return self.packed(self.library.encode(text, add_special_tokens=False).ids)
+
+    def _n_pieces(self, run: str) -> int:
+        """The pieces of a run, each of which ends with a token that ends a word."""
+        if run.isascii() and run.isalpha():
+            return 1
+        return len(self.pieces.findall(unicodedata.normalize("NFC", run).lower()))
+
+    def _learn(self, runs: list[str]) -> dict[str, bytes]:
+        """Ids of runs not met before, many in one call; they are told apart by the words that end in each."""
+        special = [r for r in runs if any(s in r for s in self.special)]  # may hold an added token
+        found = {r: self.whole(r) for r in special}
+        plain = [r for r in runs if r not in found] if special else runs
+        for at in range(0, len(plain), RUNS_PER_CALL):
+            some = plain[at:at + RUNS_PER_CALL]
+            ids = np.array(self.library.encode(" ".join(some), add_special_tokens=False).ids, self.kind)
+            ends = np.flatnonzero(self.ends[ids]) + 1
+            words = np.cumsum([self._n_pieces(r) for r in some])
+            if words[-1] != len(ends) or (len(ends) and ends[-1] != len(ids)):  # the pieces are others here
+                found.update((r, self.whole(r)) for r in some)
+                continue
+            cuts = (ids.itemsize * np.concatenate(([0], ends))[np.concatenate(([0], words))]).tolist()
             raw = ids.tobytes()
-            starts, ends = [0, *(4 * cuts + 4).tolist()], [*(4 * cuts).tolist(), len(raw)]
-            for run, start, end in zip(some, starts, ends, strict=True):
-                self.kept[run] = raw[start:end]
-        self.room -= sum(map(len, runs)) + 200 * len(runs)
+            found.update(zip(some, (raw[a:b] for a, b in itertools.pairwise(cuts)), strict=True))
+        return found
 
     def encode(self, texts: list[str]) -> list[bytes]:
         if not self.by_run:
-            return [np.array(e.ids, "<u4").tobytes() for e in self.library.encode_batch(texts, add_special_tokens=False)]
-        if self.room < 0:
-            self.kept, self.room = {}, CACHE_BYTES
-        cut = [None if _DOUBTFUL.search(t) else t.split() for t in texts]
-        kept = self.kept
-        unknown = set().union(*(c for c in cut if c)).difference(kept)
-        if unknown:
-            self._learn(sorted(unknown))
-        look = kept.__getitem__
-        return [self.whole(t) if c is None else b"".join(map(look, c)) for t, c in zip(texts, cut, strict=True)]
+            return [self.packed(e.ids) for e in self.library.encode_batch(texts, add_special_tokens=False)]
+        doubtful = {i for i, t in enumerate(texts) if _DOUBTFUL.search(t)}
+        cut = [[] if i in doubtful else t.split() for i, t in enumerate(texts)]
+        learnt = self._learn(sorted(set(itertools.chain.from_iterable(cut)).difference(self.kept)))
+        self.kept.update(learnt)
+        look = self.kept.__getitem__
+        out = [self.whole(t) if i in doubtful else b"".join(map(look, c))
+               for i, (t, c) in enumerate(zip(texts, cut, strict=True))]
+        if len(self.kept) > CACHED_RUNS:
+            # What came first, most of the frequent runs among it, stays until much else has come.
+            self.passed += len(learnt)
+            if self.passed > 4 * CACHED_RUNS:
+                self.kept, self.passed = {}, 0
+            for run in learnt if self.kept else ():
+                del self.kept[run]
+        return out
 
 
 _LOADED: dict[str, Encoder] = {}
@@ -138,18 +162,22 @@ def _loaded(config: str) -> Encoder:
 def token_ids(
     docs: DataFrame, tokenizer_path: str, end_id: int | None = END_ID, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
-    """(id, n, crc, ids): the ids of every whole text, as bytes, and their checksum."""
+    """(id, n, crc, ids): the ids of every whole text as bytes (2 or 4 for each of the ``n`` ids), and their checksum.
+
+    The checksum is that of little-endian 32-bit integers.
+    """
     with open(tokenizer_path, encoding="utf-8") as f:  # a few MB, whatever the data
         config = docs.sparkSession.sparkContext.broadcast(f.read())
-    end = b"" if end_id is None else np.array([end_id], "<u4").tobytes()
 
     def batch(part: pa.RecordBatch) -> pa.RecordBatch:
-        found = [ids + end for ids in _loaded(config.value).encode([t.decode() for t in texts_of(part)])]
+        encoder = _loaded(config.value)
+        end = b"" if end_id is None else encoder.packed([end_id])
+        found = [ids + end for ids in encoder.encode([t.decode() for t in texts_of(part)])]
+        width = len(encoder.packed([0]))
+        crc = [zlib.crc32(np.frombuffer(x, encoder.kind).astype("<u4")) for x in found]
         return pa.RecordBatch.from_arrays(
-            [
-                part.column(0), pa.array([len(x) // 4 for x in found], pa.int64()),
-                pa.array([zlib.crc32(x) for x in found], pa.int64()), pa.array(found, pa.binary()),
-            ],
+            [part.column(0), pa.array([len(x) // width for x in found], pa.int64()), pa.array(crc, pa.int64()),
+             pa.array(found, pa.binary())],
             ["id", "n", "crc", "ids"],
         )
 
@@ -169,47 +197,51 @@ class _File:
 
     def __init__(self):
         self.ids: list[int | None] = []
-        self.starts: list[int] = []
+        self.starts: list[np.ndarray] = []
         self.n = 0
         self.blocks: list[tuple[np.ndarray, np.ndarray]] = []
-        self.open: list[np.ndarray] = []
-        self.open_n = 0
+        self.rest = np.zeros(0, np.uint32)
 
-    def add(self, doc: int | None, ids: np.ndarray) -> None:
-        self.ids.append(doc)
-        self.starts.append(self.n)
+    def add(self, docs: list[int | None], sizes: np.ndarray, ids: np.ndarray) -> None:
+        """Documents, the number of ids of each, and the ids of all."""
+        self.ids += docs
+        self.starts.append(self.n + np.cumsum(sizes) - sizes)
         self.n += len(ids)
-        while len(ids):
-            part = ids[:BLOCK_IDS - self.open_n]
-            self.open.append(part)
-            self.open_n += len(part)
-            ids = ids[len(part):]
-            if self.open_n == BLOCK_IDS:
-                self._close()
-
-    def _close(self) -> None:
-        if self.open_n:
-            self.blocks.append(pack(np.concatenate(self.open)))
-            self.open, self.open_n = [], 0
+        ids = np.concatenate((self.rest, ids)) if len(self.rest) else ids
+        whole = len(ids) - len(ids) % BLOCK_IDS
+        self.blocks += [pack(ids[at:at + BLOCK_IDS]) for at in range(0, whole, BLOCK_IDS)]
+        self.rest = ids[whole:].copy()
 
     def content(self) -> list[bytes]:
-        self._close()
+        if len(self.rest):
+            self.blocks.append(pack(self.rest))
         head = HEADER + 3 * len(self.ids) + 3 * len(self.blocks)
         sizes = np.array([(len(w), len(f)) for w, f in self.blocks], np.int64).reshape(-1, 2)
         offsets = head + np.cumsum(sizes.sum(axis=1)) - sizes.sum(axis=1)
         parts = [
             [MAGIC, len(self.ids), self.n, len(self.blocks), BLOCK_IDS], [i or 0 for i in self.ids],
-            [i is not None for i in self.ids], self.starts, offsets, sizes[:, 0], sizes[:, 1],
+            [i is not None for i in self.ids], np.concatenate(self.starts), offsets, sizes[:, 0], sizes[:, 1],
         ]
         words = [x.astype("<u8").tobytes() for block in self.blocks for x in block]
         return [np.asarray(p, "<i8").tobytes() for p in parts] + words
 
 
+def _numbers(column: pa.Array, sizes: np.ndarray) -> np.ndarray:
+    """The ids of all rows of a binary column, in which every id has as many bytes."""
+    offsets = np.frombuffer(column.buffers()[1], np.int32)[column.offset:column.offset + len(column) + 1]
+    total = int(sizes.sum())
+    width = int(offsets[-1] - offsets[0]) // total if total else 4
+    data = column.buffers()[2]
+    if not total or data is None:
+        return np.zeros(0, np.uint32)
+    return np.frombuffer(data, f"<u{width}", total, int(offsets[0]))
+
+
 MANIFEST = "part long, seq long, file string, n_docs long, n_ids long, n_bytes long"
 
 
 def _writing(folder: str):
-    """For mapInArrow over documents in order, (id, n, crc, row, part, ids): write files, return their manifest rows."""
+    """For mapInArrow over documents in order, (id, n, part, ids): write files, return their manifest rows."""
 
     def finish(store, base: str, part: int, seq: int, made: _File) -> pa.RecordBatch:
         name = f"part-{part:06d}-{seq:04d}-{uuid.uuid4().hex}.tok"
@@ -226,13 +258,13 @@ def _writing(folder: str):
         store, base = _opened(folder)
         store.create_dir(base, recursive=True)
         made, seq, part = _File(), 0, None
-        for batch in batches:
-            for i in range(batch.num_rows):
-                part = batch.column("part")[i].as_py()
-                made.add(batch.column("id")[i].as_py(), np.frombuffer(batch.column("ids")[i].as_buffer(), "<u4"))
-                if made.n >= FILE_IDS or len(made.ids) >= FILE_DOCS:
-                    yield finish(store, base, part, seq, made)
-                    made, seq = _File(), seq + 1
+        for some in slices(batches, "ids", 4 << 20):
+            part = some.column("part")[0].as_py()
+            sizes = np.asarray(some.column("n"))
+            made.add(some.column("id").to_pylist(), sizes, _numbers(some.column("ids"), sizes))
+            if made.n >= FILE_IDS or len(made.ids) >= FILE_DOCS:
+                yield finish(store, base, part, seq, made)
+                made, seq = _File(), seq + 1
         if made.ids:
             yield finish(store, base, part, seq, made)
 
@@ -249,9 +281,9 @@ def write_files(tokens: DataFrame, folder: str | None = None) -> tuple[str, Data
     # Written before it is sorted: range bounds are sampled, and ``row`` must not change when a task runs again.
     given = written(tokens.withColumn("row", F.monotonically_increasing_id()), "token-ids")
     total = given.agg(F.sum("n")).first()[0] or 0
-    ranges = max(1, math.ceil(4 * total / RANGE_BYTES))
+    ranges = max(1, math.ceil(total / RANGE_IDS))
     placed = given.repartitionByRange(ranges, "id", "crc", "row").sortWithinPartitions("id", "crc", "row")
-    placed = placed.select("id", F.spark_partition_id().cast("long").alias("part"), "ids")
+    placed = placed.select("id", "n", F.spark_partition_id().cast("long").alias("part"), "ids")
     manifest = written(placed.mapInArrow(_writing(folder), MANIFEST), "token-manifest")
     discard(given)
     return folder, with_starts(manifest)

@@ -58,14 +58,13 @@ def test_runs_are_encoded_as_the_whole_text_is(library, encoder):
     texts += [" ".join(generator.choices(words, k=5)) for _ in range(500)] + ["", " ", "\n", "word " * 3000]
     got = encoder.encode(texts)
     for text, ids in zip(texts, got, strict=True):
-        assert np.frombuffer(ids, "<u4").tolist() == library.encode(text, add_special_tokens=False).ids, repr(text)
+        assert np.frombuffer(ids, encoder.kind).tolist() == library.encode(text, add_special_tokens=False).ids, repr(text)
 
 
 def test_a_full_cache_changes_nothing(library, encoder, monkeypatch):
-    monkeypatch.setattr(token_files, "CACHE_BYTES", 300)
-    encoder.room = -1
-    for text in ("many different words", "again many other words", "many"):
-        ids = np.frombuffer(encoder.encode([text])[0], "<u4").tolist()
+    monkeypatch.setattr(token_files, "CACHED_RUNS", 3)
+    for text in ("many different words", "again many other words", "many", "a b c d e f g h i j k l", "many a b"):
+        ids = np.frombuffer(encoder.encode([text])[0], encoder.kind).tolist()
         assert ids == library.encode(text, add_special_tokens=False).ids
 
 
@@ -74,7 +73,7 @@ def test_other_tokenizers_are_given_whole_texts():
         other = token_files.Encoder(f.read())
     assert not other.by_run
     text = "two  words\n"
-    assert np.frombuffer(other.encode([text])[0], "<u4").tolist() == other.library.encode(text).ids
+    assert np.frombuffer(other.encode([text])[0], other.kind).tolist() == other.library.encode(text).ids
 
 
 def brute(library, rows):
@@ -98,7 +97,7 @@ def test_tables(spark, small, library, monkeypatch):
 
 
 def test_many_files_in_order(spark, library, monkeypatch):
-    monkeypatch.setattr(token_files, "RANGE_BYTES", 400)
+    monkeypatch.setattr(token_files, "RANGE_IDS", 100)
     monkeypatch.setattr(token_files, "GROUP", 3)
     generator = random.Random(4)
     rows = [(generator.randrange(60), " ".join(generator.choices(["one", "two", "x1"], k=generator.randint(0, 30))))
@@ -124,7 +123,7 @@ def test_a_file_is_read_by_ranges():
     generator = np.random.default_rng(3)
     for i in range(40):
         ids = generator.integers(0, 2**int(generator.integers(1, 33)), int(generator.integers(0, 900)))
-        made.add(None if i == 3 else i, ids)
+        made.add([None if i == 3 else i], np.array([len(ids)]), ids)
         given.append(ids)
     raw = b"".join(made.content())
     reader = token_files.Reader(io.BytesIO(raw))
