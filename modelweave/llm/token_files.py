@@ -1,9 +1,9 @@
 """Token ids in binary files: Simple-8b words in blocks, with the documents' places.
 
 Every text is encoded by the tokenizers library, an end id follows, and the ids of all documents are written in
-ascending order of the documents' ids. White space ends every piece of a vocabulary whose pattern takes none
-(it is read from the tokenizer, others are given whole texts), so the library encodes each distinct run
-without white space once, many in one call, and a text's ids are put together from them.
+ascending order of the documents' ids. Where white space ends every piece (this is read from the tokenizer; others
+are given whole texts), the library encodes each distinct run without white space once, many in one call, and a
+text's ids are put together from them. Runs are told apart by 64-bit hashes.
 
 A file is (numbers little-endian, 64 bits each): a magic number, the number of documents, ids, blocks and ids of a
 full block; the documents' ids, whether they have one, and where each starts in the file; the offset, packed
@@ -22,7 +22,6 @@ one id are documents of their own, ordered by their ids' checksum. An empty tabl
 
 from __future__ import annotations
 
-import itertools
 import json
 import math
 import re
@@ -40,7 +39,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from modelweave.functions.scale import new_folder
-from modelweave.llm.common import by_slices, discard, keyed, slices, texts_of, written
+from modelweave.llm.common import SPACE, by_slices, discard, keyed, slices, span_hashes, texts_of, written
 from modelweave.llm.simple8b import pack, unpack
 
 END_ID = 1
@@ -49,8 +48,9 @@ FILE_IDS = 1 << 24  # a file is closed when it has so many ids, or FILE_DOCS doc
 FILE_DOCS = 1 << 20
 RANGE_IDS = 8 << 20  # ids that one task writes, more or less
 GROUP = 1024  # files whose first numbers are added up together
-CACHED_RUNS = 400_000  # kept per worker with their ids, about 90 MB
-RUNS_PER_CALL = 2_000
+PLACES = 1 << 21  # of runs kept per worker, 24 MB
+CACHED_RUNS = 1_000_000  # with their ids, about 30 MB
+RUNS_PER_CALL = 500
 MAGIC = int.from_bytes(b"mwtok8b1", "little")
 HEADER = 5
 
@@ -58,8 +58,12 @@ HEADER = 5
 
 # What the pattern of a pre-tokenizer must be, for white space to end every piece.
 _WORDS_ONLY = re.compile(r"('s\|'t\|'re\|'ve\|'m\|'ll\|'d\|)?\[\\p\{L\}\]\+\|\[\\p\{N\}\]\+?\|\[\^\\s\\p\{L\}\\p\{N\}\]\+")
-# Characters that Python and the library may not agree on as white space.
-_DOUBTFUL = re.compile("[\x1c-\x1f᠎​‎‏⁠﻿]")
+# Characters that two libraries may not agree on as white space.
+_DOUBTFUL = re.compile("[^\x00-\x1b!-\x84\x86-\x9f¡-ᙿᚁ-᠍᠏-῿‐-‧‪-‮‰-⁞⁡-⿿、-\ufefe\uff00-\U0010ffff]")
+_LETTER, _MARK = np.zeros(256, bool), np.zeros(256, bool)
+_LETTER[ord("a"):ord("z") + 1] = True
+_MARK[0x21:0x7F] = True
+_MARK[[*range(ord("0"), ord("9") + 1), *range(ord("A"), ord("Z") + 1), *range(ord("a"), ord("z") + 1), ord("'")]] = False
 
 
 def _ends_at_space(config: dict) -> bool:
@@ -73,13 +77,35 @@ def _ends_at_space(config: dict) -> bool:
         and cut[0].get("behavior") == "Removed" and cut[0].get("invert") is True
         and bool(_WORDS_ONLY.fullmatch(cut[0].get("pattern", {}).get("Regex", "")))
         and cut[1].get("add_prefix_space") is False and cut[1].get("use_regex") is False
+        and bool(config["model"].get("end_of_word_suffix"))
         and not any(t["lstrip"] or t["rstrip"] or t["single_word"] or t["normalized"] for t in config["added_tokens"])
-        and not any(re.search(r"\s", t["content"]) for t in config["added_tokens"])
     )
 
 
+def _runs(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(bytes, starts, ends, first run of each text): what stands between white space, A-Z lower-cased.
+
+    It is also cut where an ASCII letter meets an ASCII mark other than the apostrophe: a piece never has both.
+    """
+    joined = (b" ".join(texts) + b" ").lower()
+    data = np.frombuffer(joined, np.uint8)
+    inside = np.concatenate(([False], ~SPACE[data]))
+    letter, mark = _LETTER[data], _MARK[data]
+    meet = np.zeros(len(data), bool)
+    meet[1:] = (letter[1:] & mark[:-1]) | (mark[1:] & letter[:-1])
+    starts = np.flatnonzero(inside[1:] & (~inside[:-1] | meet))
+    ends = np.flatnonzero(inside[:-1] & (~inside[1:] | meet))
+    sizes = np.fromiter(map(len, texts), np.int64, len(texts)) + 1
+    return data, starts, ends, np.searchsorted(starts, np.cumsum(sizes) - sizes)
+
+
 class Encoder:
-    """A tokenizer; ids come as little-endian integers of ``kind``."""
+    """A tokenizer and the ids of the runs it has met.
+
+    Runs are looked up by a 64-bit hash in a table with one place for each value of its lowest bits. A run whose
+    place is taken is encoded again whenever it comes, so the first ones, most of the frequent runs among them,
+    stay; when much else has come, the table starts anew.
+    """
 
     def __init__(self, config: str):
         from tokenizers import Tokenizer
@@ -87,23 +113,23 @@ class Encoder:
         self.library = Tokenizer.from_str(config)
         parsed = json.loads(config)
         size = self.library.get_vocab_size(with_added_tokens=True)
-        self.kind = "<u2" if max(size, END_ID) < 1 << 16 else "<u4"
+        self.kind = np.dtype("<u2" if max(size, END_ID) < 1 << 16 else "<u4")
         self.by_run = _ends_at_space(parsed)
         if self.by_run:
-            suffix = parsed["model"]["end_of_word_suffix"]
-            self.special = [t["content"][:2] for t in parsed["added_tokens"]]
+            self.special = [t["content"].encode() for t in parsed["added_tokens"]]
             self.pieces = regex.compile(parsed["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"])
             self.ends = np.zeros(size, bool)
             for token, i in parsed["model"]["vocab"].items():
-                self.ends[i] = token.endswith(suffix)
-        self.kept: dict[str, bytes] = {}
-        self.passed = 0
+                self.ends[i] = token.endswith(parsed["model"]["end_of_word_suffix"])
+            self._clear()
 
-    def packed(self, ids: list[int]) -> bytes:
-        return np.array(ids, self.kind).tobytes()
+    def _clear(self) -> None:
+        self.hash_at, self.run_at = np.zeros(PLACES, np.uint64), np.full(PLACES, -1, np.int32)
+        self.first, self.count = np.zeros(0, np.int64), np.zeros(0, np.int64)
+        self.pool, self.passed = np.zeros(0, self.kind), 0
 
-    def whole(self, text: str) -> bytes:
-        return self.packed(self.library.encode(text, add_special_tokens=False).ids)
+    def whole(self, text: str) -> np.ndarray:
+        return np.array(self.library.encode(text, add_special_tokens=False).ids, self.kind)
 
     def _n_pieces(self, run: str) -> int:
         """The pieces of a run, each of which ends with a token that ends a word."""
@@ -111,42 +137,69 @@ class Encoder:
             return 1
         return len(self.pieces.findall(unicodedata.normalize("NFC", run).lower()))
 
-    def _learn(self, runs: list[str]) -> dict[str, bytes]:
-        """Ids of runs not met before, many in one call; they are told apart by the words that end in each."""
-        special = [r for r in runs if any(s in r for s in self.special)]  # may hold an added token
-        found = {r: self.whole(r) for r in special}
-        plain = [r for r in runs if r not in found] if special else runs
-        for at in range(0, len(plain), RUNS_PER_CALL):
-            some = plain[at:at + RUNS_PER_CALL]
-            ids = np.array(self.library.encode(" ".join(some), add_special_tokens=False).ids, self.kind)
-            ends = np.flatnonzero(self.ends[ids]) + 1
-            words = np.cumsum([self._n_pieces(r) for r in some])
-            if words[-1] != len(ends) or (len(ends) and ends[-1] != len(ids)):  # the pieces are others here
-                found.update((r, self.whole(r)) for r in some)
-                continue
-            cuts = (ids.itemsize * np.concatenate(([0], ends))[np.concatenate(([0], words))]).tolist()
-            raw = ids.tobytes()
-            found.update(zip(some, (raw[a:b] for a, b in itertools.pairwise(cuts)), strict=True))
+    def _encoded(self, runs: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """(ids, ids of each run) of runs, many in one call; they are told apart by the words that end in each."""
+        parts, counts = [], []
+        for at in range(0, len(runs), RUNS_PER_CALL):
+            some = runs[at:at + RUNS_PER_CALL]
+            text = " ".join(some)
+            if not _DOUBTFUL.search(text.replace(" ", "")):
+                ids = self.whole(text)
+                ends = np.flatnonzero(self.ends[ids]) + 1
+                words = np.cumsum([self._n_pieces(r) for r in some])
+                if words[-1] == len(ends) and (not len(ends) or ends[-1] == len(ids)):
+                    parts.append(ids)
+                    counts.append(np.diff(np.concatenate(([0], ends))[np.concatenate(([0], words))]))
+                    continue
+            single = [self.whole(r) for r in some]  # the pieces may be others here
+            parts += single
+            counts.append(np.array([len(x) for x in single]))
+        return np.concatenate(parts), np.concatenate(counts)
+
+    def _look_up(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        """The number of every run; unknown ones are encoded and added."""
+        hashes = span_hashes(data, starts, ends)
+        place = (hashes & np.uint64(PLACES - 1)).astype(np.int64)
+        found = np.where(self.hash_at[place] == hashes, self.run_at[place], -1)
+        unknown = np.flatnonzero(found < 0)
+        if len(unknown):
+            new, first, back = np.unique(hashes[unknown], return_index=True, return_inverse=True)
+            at = unknown[first]
+            raw = data.tobytes()
+            ids, counts = self._encoded([
+                raw[a:b].decode() for a, b in zip(starts[at].tolist(), ends[at].tolist(), strict=True)
+            ])
+            known = len(self.first)
+            self.first = np.concatenate((self.first, len(self.pool) + np.cumsum(counts) - counts))
+            self.count = np.concatenate((self.count, counts))
+            self.pool = np.concatenate((self.pool, ids))
+            found[unknown] = known + back
+            if known < CACHED_RUNS:
+                free = self.run_at[place[at]] < 0
+                self.hash_at[place[at][free]], self.run_at[place[at][free]] = new[free], known + np.flatnonzero(free)
         return found
 
-    def encode(self, texts: list[str]) -> list[bytes]:
+    def encode(self, texts: list[bytes]) -> list[np.ndarray]:
         if not self.by_run:
-            return [self.packed(e.ids) for e in self.library.encode_batch(texts, add_special_tokens=False)]
-        doubtful = {i for i, t in enumerate(texts) if _DOUBTFUL.search(t)}
-        cut = [[] if i in doubtful else t.split() for i, t in enumerate(texts)]
-        learnt = self._learn(sorted(set(itertools.chain.from_iterable(cut)).difference(self.kept)))
-        self.kept.update(learnt)
-        look = self.kept.__getitem__
-        out = [self.whole(t) if i in doubtful else b"".join(map(look, c))
-               for i, (t, c) in enumerate(zip(texts, cut, strict=True))]
-        if len(self.kept) > CACHED_RUNS:
-            # What came first, most of the frequent runs among it, stays until much else has come.
-            self.passed += len(learnt)
+            found = self.library.encode_batch([t.decode() for t in texts], add_special_tokens=False)
+            return [np.array(e.ids, self.kind) for e in found]
+        whole = {i for i, t in enumerate(texts) if any(s in t for s in self.special)}  # holds an added token
+        data, starts, ends, firsts = _runs([b"" if i in whole else t for i, t in enumerate(texts)])
+        known = len(self.first), len(self.pool)
+        run = self._look_up(data, starts, ends)
+        counts = self.count[run]
+        before = np.concatenate(([0], np.cumsum(counts)))
+        ids = self.pool[np.repeat(self.first[run] - before[:-1], counts) + np.arange(before[-1])]
+        edges = np.append(before[firsts], before[-1])
+        if known[0] >= CACHED_RUNS:  # what was added is not kept
+            self.passed += len(self.first) - known[0]
+            self.first, self.count, self.pool = self.first[:known[0]], self.count[:known[0]], self.pool[:known[1]]
             if self.passed > 4 * CACHED_RUNS:
-                self.kept, self.passed = {}, 0
-            for run in learnt if self.kept else ():
-                del self.kept[run]
-        return out
+                self._clear()
+        return [
+            self.whole(t.decode()) if i in whole else ids[a:b]
+            for i, (t, a, b) in enumerate(zip(texts, edges[:-1].tolist(), edges[1:].tolist(), strict=True))
+        ]
 
 
 _LOADED: dict[str, Encoder] = {}
@@ -171,13 +224,14 @@ def token_ids(
 
     def batch(part: pa.RecordBatch) -> pa.RecordBatch:
         encoder = _loaded(config.value)
-        end = b"" if end_id is None else encoder.packed([end_id])
-        found = [ids + end for ids in encoder.encode([t.decode() for t in texts_of(part)])]
-        width = len(encoder.packed([0]))
-        crc = [zlib.crc32(np.frombuffer(x, encoder.kind).astype("<u4")) for x in found]
+        end = np.array([] if end_id is None else [end_id], encoder.kind)
+        found = [np.concatenate((ids, end)) for ids in encoder.encode(texts_of(part))]
         return pa.RecordBatch.from_arrays(
-            [part.column(0), pa.array([len(x) // width for x in found], pa.int64()), pa.array(crc, pa.int64()),
-             pa.array(found, pa.binary())],
+            [
+                part.column(0), pa.array([len(x) for x in found], pa.int64()),
+                pa.array([zlib.crc32(x.astype("<u4")) for x in found], pa.int64()),
+                pa.array([x.tobytes() for x in found], pa.binary()),
+            ],
             ["id", "n", "crc", "ids"],
         )
 
