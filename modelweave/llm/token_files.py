@@ -12,12 +12,12 @@ found by its block. Tasks write files under names of their own and return a row
 rows, the manifest, is committed by Spark, and readers open only the files it names. So a task that ran twice
 leaves a file that nobody reads, and a lost executor costs what it was writing.
 
-Order: ids are range-partitioned by (document id, checksum, place in the written table), so documents of one id
-may stand in several files. Each file's first id has a number, the sum of all files before it, added up in two
-steps (groups of files, then files of a group).
+Order: documents are range-partitioned by (id, checksum of the text, place in the table), so those of one id may
+stand in several files. Each file's first id has a number, the sum of all files before it, added up in two steps
+(groups of files, then files of a group).
 
 Defined results: a null or empty text has the end id only. Documents without id stand before all others. Rows of
-one id are documents of their own, ordered by their ids' checksum. An empty table gives no file and no rows.
+one id are documents of their own, ordered by the MD5 of their texts. An empty table gives no file and no rows.
 """
 
 from __future__ import annotations
@@ -34,19 +34,20 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.fs
 import regex
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from modelweave.functions.scale import new_folder
-from modelweave.llm.common import SPACE, by_slices, discard, keyed, slices, span_hashes, texts_of, written
+from modelweave.llm.common import SPACE, by_slices, keyed, slices, span_hashes, texts_of, written
 from modelweave.llm.simple8b import pack, unpack
 
 END_ID = 1
 BLOCK_IDS = 4096
 FILE_IDS = 1 << 24  # a file is closed when it has so many ids, or FILE_DOCS documents
 FILE_DOCS = 1 << 20
-RANGE_IDS = 8 << 20  # ids that one task writes, more or less
+RANGE_BYTES = 32 << 20  # of text that one task encodes and writes, more or less
 GROUP = 1024  # files whose first numbers are added up together
 PLACES = 1 << 21  # of runs kept per worker, 24 MB
 CACHED_RUNS = 1_000_000  # with their ids, about 30 MB
@@ -212,30 +213,32 @@ def _loaded(config: str) -> Encoder:
     return _LOADED[config]
 
 
-def token_ids(
-    docs: DataFrame, tokenizer_path: str, end_id: int | None = END_ID, id_col: str = "doc_id", text_col: str = "text"
-) -> DataFrame:
-    """(id, n, crc, ids): the ids of every whole text as bytes (2 or 4 for each of the ``n`` ids), and their checksum.
+def in_order(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(id, text) in ascending order of (id, checksum of the text), range-partitioned by both and the row's place."""
+    rows = keyed(docs, id_col, text_col)
+    total = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    placed = rows.withColumn("_sum", F.md5(F.col("text").cast("binary")))
+    placed = placed.withColumn("_row", F.monotonically_increasing_id())  # so that equal rows are spread too
+    ranges = max(1, math.ceil(total / RANGE_BYTES))
+    return placed.repartitionByRange(ranges, "id", "_sum", "_row").sortWithinPartitions("id", "_sum").select("id", "text")
 
-    The checksum is that of little-endian 32-bit integers.
-    """
+
+def token_ids(rows: DataFrame, tokenizer_path: str, end_id: int | None = END_ID) -> DataFrame:
+    """(id, n, ids): the ids of every whole text of (id, text), in the order given, as bytes (2 or 4 for each id)."""
     with open(tokenizer_path, encoding="utf-8") as f:  # a few MB, whatever the data
-        config = docs.sparkSession.sparkContext.broadcast(f.read())
+        config = rows.sparkSession.sparkContext.broadcast(f.read())
 
     def batch(part: pa.RecordBatch) -> pa.RecordBatch:
         encoder = _loaded(config.value)
         end = np.array([] if end_id is None else [end_id], encoder.kind)
         found = [np.concatenate((ids, end)) for ids in encoder.encode(texts_of(part))]
         return pa.RecordBatch.from_arrays(
-            [
-                part.column(0), pa.array([len(x) for x in found], pa.int64()),
-                pa.array([zlib.crc32(x.astype("<u4")) for x in found], pa.int64()),
-                pa.array([x.tobytes() for x in found], pa.binary()),
-            ],
-            ["id", "n", "crc", "ids"],
+            [part.column(0), pa.array([len(x) for x in found], pa.int64()),
+             pa.array([x.tobytes() for x in found], pa.binary())],
+            ["id", "n", "ids"],
         )
 
-    return keyed(docs, id_col, text_col).mapInArrow(by_slices(batch), "id long, n long, crc long, ids binary")
+    return rows.mapInArrow(by_slices(batch), "id long, n long, ids binary")
 
 
 # ---------------------------------------------------------------- files
@@ -295,7 +298,7 @@ MANIFEST = "part long, seq long, file string, n_docs long, n_ids long, n_bytes l
 
 
 def _writing(folder: str):
-    """For mapInArrow over documents in order, (id, n, part, ids): write files, return their manifest rows."""
+    """For mapInArrow over documents in order, (id, n, ids): write files, return their manifest rows."""
 
     def finish(store, base: str, part: int, seq: int, made: _File) -> pa.RecordBatch:
         name = f"part-{part:06d}-{seq:04d}-{uuid.uuid4().hex}.tok"
@@ -311,9 +314,8 @@ def _writing(folder: str):
     def run(batches: Iterator[pa.RecordBatch]):
         store, base = _opened(folder)
         store.create_dir(base, recursive=True)
-        made, seq, part = _File(), 0, None
+        made, seq, part = _File(), 0, TaskContext.get().partitionId()
         for some in slices(batches, "ids", 4 << 20):
-            part = some.column("part")[0].as_py()
             sizes = np.asarray(some.column("n"))
             made.add(some.column("id").to_pylist(), sizes, _numbers(some.column("ids"), sizes))
             if made.n >= FILE_IDS or len(made.ids) >= FILE_DOCS:
@@ -326,21 +328,13 @@ def _writing(folder: str):
 
 
 def write_files(tokens: DataFrame, folder: str | None = None) -> tuple[str, DataFrame]:
-    """(folder, manifest) of the files with the ids of (id, n, crc, ids) rows, in ascending order of ``id``.
+    """(folder, manifest) of the files with the ids of (id, n, ids) rows, one partition after the other.
 
-    The manifest has a row for every file, with the number of its first id in ``start``.
+    The rows are those of `token_ids` over `in_order`. The manifest has a row for every file, with the number of
+    its first id in ``start``.
     """
-    spark = tokens.sparkSession
-    folder = folder or new_folder(spark, "token-files")
-    # Written before it is sorted: range bounds are sampled, and ``row`` must not change when a task runs again.
-    given = written(tokens.withColumn("row", F.monotonically_increasing_id()), "token-ids")
-    total = given.agg(F.sum("n")).first()[0] or 0
-    ranges = max(1, math.ceil(total / RANGE_IDS))
-    placed = given.repartitionByRange(ranges, "id", "crc", "row").sortWithinPartitions("id", "crc", "row")
-    placed = placed.select("id", "n", F.spark_partition_id().cast("long").alias("part"), "ids")
-    manifest = written(placed.mapInArrow(_writing(folder), MANIFEST), "token-manifest")
-    discard(given)
-    return folder, with_starts(manifest)
+    folder = folder or new_folder(tokens.sparkSession, "token-files")
+    return folder, with_starts(written(tokens.mapInArrow(_writing(folder), MANIFEST), "token-manifest"))
 
 
 def with_starts(manifest: DataFrame) -> DataFrame:
@@ -441,7 +435,7 @@ def _typed(schema: str) -> T.StructType:
 
 def digests(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, start, n_tokens, ids_crc32) of every document, read back from the files."""
-    folder, manifest = write_files(token_ids(docs, tokenizer_path, END_ID, id_col, text_col))
+    folder, manifest = write_files(token_ids(in_order(docs, id_col, text_col), tokenizer_path))
     manifest = written(manifest, "token-starts")
 
     def row(doc, start, ids):

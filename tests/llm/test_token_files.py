@@ -1,5 +1,6 @@
 """Simple-8b words and token files: exact round trips, ids as the library gives them."""
 
+import hashlib
 import io
 import random
 import zlib
@@ -85,8 +86,9 @@ def brute(library, rows):
     coded = []
     for i, text in rows:
         ids = [*library.encode(text or "", add_special_tokens=False).ids, 1]
-        coded.append((i is not None, i or 0, zlib.crc32(np.array(ids, "<u4").tobytes()), len(ids)))
-    for has, i, crc, n in sorted(coded):
+        digest = hashlib.md5((text or "").encode()).hexdigest()
+        coded.append((i is not None, i or 0, digest, zlib.crc32(np.array(ids, "<u4").tobytes()), len(ids)))
+    for has, i, _, crc, n in sorted(coded):
         out.append((i if has else None, start, n, crc))
         start += n
     return out
@@ -101,13 +103,13 @@ def test_tables(spark, small, library, monkeypatch):
 
 
 def test_many_files_in_order(spark, library, monkeypatch):
-    monkeypatch.setattr(token_files, "RANGE_IDS", 100)
+    monkeypatch.setattr(token_files, "RANGE_BYTES", 400)
     monkeypatch.setattr(token_files, "GROUP", 3)
     generator = random.Random(4)
     rows = [(generator.randrange(60), " ".join(generator.choices(["one", "two", "x1"], k=generator.randint(0, 30))))
             for _ in range(150)]
     docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(7)
-    folder, manifest = token_files.write_files(token_files.token_ids(docs, PATH))
+    folder, manifest = token_files.write_files(token_files.token_ids(token_files.in_order(docs), PATH))
     named = sorted(manifest.collect(), key=lambda r: (r.part, r.seq))
     assert len(named) > 5
     assert [r.start for r in named] == np.cumsum([0, *[r.n_ids for r in named[:-1]]]).tolist()
@@ -146,7 +148,7 @@ def test_a_file_is_read_by_ranges():
 
 def test_files_no_manifest_names_are_not_read(spark):
     docs = spark.createDataFrame([(1, "a b"), (2, "c")], "doc_id long, text string")
-    folder, manifest = token_files.write_files(token_files.token_ids(docs, PATH))
+    folder, manifest = token_files.write_files(token_files.token_ids(token_files.in_order(docs), PATH))
     store, base = token_files._opened(folder)
     with store.open_output_stream(f"{base}/part-000000-0000-left.tok") as out:
         out.write(b"cut")
