@@ -67,7 +67,7 @@ def slices(batches: Iterable[pa.RecordBatch], size_col: str, most_bytes: int) ->
 
 def by_slices(
     fn: Callable[[pa.RecordBatch], Iterator[pa.RecordBatch] | pa.RecordBatch], size_col: str = "text",
-    most_bytes: int = 4 << 20,
+    most_bytes: int = 1 << 20,
 ):
     """For mapInArrow: hand ``fn`` the `slices` of the batches."""
 
@@ -102,13 +102,16 @@ def _powers(base: int, n: int) -> np.ndarray:
     return np.multiply.accumulate(out)
 
 
+KEPT_POWERS = 1 << 21
 _POWERS: list[np.ndarray] = []
 
 
 def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    """Powers of the base and of its inverse modulo 2^64, kept for the next batch."""
+    """Powers of the base and of its inverse modulo 2^64; up to ``KEPT_POWERS`` of each are kept for the next batch."""
+    if n > KEPT_POWERS:
+        return _powers(_BASE, n), _powers(_INVERSE, n)
     if not _POWERS or len(_POWERS[0]) < n:
-        size = max(n, 1 << 16)
+        size = min(max(n, 1 << 16, 2 * len(_POWERS[0]) if _POWERS else 0), KEPT_POWERS)
         _POWERS[:] = [_powers(_BASE, size), _powers(_INVERSE, size)]
     return _POWERS[0][:n], _POWERS[1][:n]
 

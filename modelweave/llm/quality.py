@@ -110,9 +110,10 @@ def _rows(texts: list[bytes]):
 def fit(texts: list[bytes], labels: np.ndarray) -> bytes:
     """Weights of one shard (the last is the bias)."""
     z, n = np.zeros(BUCKETS + 1), np.zeros(BUCKETS + 1)
-    rows = []
-    for start in range(0, len(texts), 200):
-        rows += _rows(texts[start:start + 200])
+
+    def rows():
+        for start in range(0, len(texts), 100):  # made again in every pass, so that no more than these are held
+            yield from _rows(texts[start:start + 100])
 
     def weights(index):
         zi = z[index]
@@ -121,7 +122,7 @@ def fit(texts: list[bytes], labels: np.ndarray) -> bytes:
 
     bias = np.array([BUCKETS])
     for _ in range(EPOCHS):
-        for (index, value), label in zip(rows, labels, strict=True):
+        for (index, value), label in zip(rows(), labels, strict=True):
             index, value = np.concatenate((index, bias)), np.append(value, 1.0)
             w = weights(index)
             g = (logistic(w @ value) - label) * value

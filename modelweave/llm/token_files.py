@@ -40,18 +40,18 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from modelweave.functions.scale import new_folder
-from modelweave.llm.common import SPACE, by_slices, keyed, slices, span_hashes, texts_of, written
+from modelweave.llm.common import SPACE, by_slices, keyed, slices, texts_of, written
+from modelweave.llm.runs import RunTable
 from modelweave.llm.simple8b import pack, unpack
 
 END_ID = 1
 BLOCK_IDS = 4096
-FILE_IDS = 1 << 24  # a file is closed when it has so many ids, or FILE_DOCS documents
+FILE_IDS = 1 << 23  # a file is closed when it has so many ids, or FILE_DOCS documents
 FILE_DOCS = 1 << 20
-RANGE_BYTES = 32 << 20  # of text that one task encodes and writes, more or less
+RANGE_BYTES = 16 << 20  # of text that one task encodes and writes, more or less
 GROUP = 1024  # files whose first numbers are added up together
-PLACES = 1 << 21  # of runs kept per worker, 24 MB
-CACHED_RUNS = 1_000_000  # with their ids, about 30 MB
 RUNS_PER_CALL = 500
+SLICE_BYTES = 1 << 20  # of text encoded at a time
 MAGIC = int.from_bytes(b"mwtok8b1", "little")
 HEADER = 5
 
@@ -101,12 +101,7 @@ def _runs(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.nd
 
 
 class Encoder:
-    """A tokenizer and the ids of the runs it has met.
-
-    Runs are looked up by a 64-bit hash in a table with one place for each value of its lowest bits. A run whose
-    place is taken is encoded again whenever it comes, so the first ones, most of the frequent runs among them,
-    stay; when much else has come, the table starts anew.
-    """
+    """A tokenizer and the ids of the runs it has met."""
 
     def __init__(self, config: str):
         from tokenizers import Tokenizer
@@ -122,12 +117,7 @@ class Encoder:
             self.ends = np.zeros(size, bool)
             for token, i in parsed["model"]["vocab"].items():
                 self.ends[i] = token.endswith(parsed["model"]["end_of_word_suffix"])
-            self._clear()
-
-    def _clear(self) -> None:
-        self.hash_at, self.run_at = np.zeros(PLACES, np.uint64), np.full(PLACES, -1, np.int32)
-        self.first, self.count = np.zeros(0, np.int64), np.zeros(0, np.int64)
-        self.pool, self.passed = np.zeros(0, self.kind), 0
+            self.runs = RunTable(self.kind, self._encoded)
 
     def whole(self, text: str) -> np.ndarray:
         return np.array(self.library.encode(text, add_special_tokens=False).ids, self.kind)
@@ -138,8 +128,9 @@ class Encoder:
             return 1
         return len(self.pieces.findall(unicodedata.normalize("NFC", run).lower()))
 
-    def _encoded(self, runs: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    def _encoded(self, raw: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """(ids, ids of each run) of runs, many in one call; they are told apart by the words that end in each."""
+        runs = [r.decode() for r in raw]
         parts, counts = [], []
         for at in range(0, len(runs), RUNS_PER_CALL):
             some = runs[at:at + RUNS_PER_CALL]
@@ -157,49 +148,17 @@ class Encoder:
             counts.append(np.array([len(x) for x in single]))
         return np.concatenate(parts), np.concatenate(counts)
 
-    def _look_up(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-        """The number of every run; unknown ones are encoded and added."""
-        hashes = span_hashes(data, starts, ends)
-        place = (hashes & np.uint64(PLACES - 1)).astype(np.int64)
-        found = np.where(self.hash_at[place] == hashes, self.run_at[place], -1)
-        unknown = np.flatnonzero(found < 0)
-        if len(unknown):
-            new, first, back = np.unique(hashes[unknown], return_index=True, return_inverse=True)
-            at = unknown[first]
-            raw = data.tobytes()
-            ids, counts = self._encoded([
-                raw[a:b].decode() for a, b in zip(starts[at].tolist(), ends[at].tolist(), strict=True)
-            ])
-            known = len(self.first)
-            self.first = np.concatenate((self.first, len(self.pool) + np.cumsum(counts) - counts))
-            self.count = np.concatenate((self.count, counts))
-            self.pool = np.concatenate((self.pool, ids))
-            found[unknown] = known + back
-            if known < CACHED_RUNS:
-                free = self.run_at[place[at]] < 0
-                self.hash_at[place[at][free]], self.run_at[place[at][free]] = new[free], known + np.flatnonzero(free)
-        return found
-
     def encode(self, texts: list[bytes]) -> list[np.ndarray]:
         if not self.by_run:
             found = self.library.encode_batch([t.decode() for t in texts], add_special_tokens=False)
             return [np.array(e.ids, self.kind) for e in found]
         whole = {i for i, t in enumerate(texts) if any(s in t for s in self.special)}  # holds an added token
         data, starts, ends, firsts = _runs([b"" if i in whole else t for i, t in enumerate(texts)])
-        known = len(self.first), len(self.pool)
-        run = self._look_up(data, starts, ends)
-        counts = self.count[run]
-        before = np.concatenate(([0], np.cumsum(counts)))
-        ids = self.pool[np.repeat(self.first[run] - before[:-1], counts) + np.arange(before[-1])]
-        edges = np.append(before[firsts], before[-1])
-        if known[0] >= CACHED_RUNS:  # what was added is not kept
-            self.passed += len(self.first) - known[0]
-            self.first, self.count, self.pool = self.first[:known[0]], self.count[:known[0]], self.pool[:known[1]]
-            if self.passed > 4 * CACHED_RUNS:
-                self._clear()
+        ids, before = self.runs.ids(data, starts, ends)
+        edges = np.append(before[firsts], before[-1]).tolist()
         return [
             self.whole(t.decode()) if i in whole else ids[a:b]
-            for i, (t, a, b) in enumerate(zip(texts, edges[:-1].tolist(), edges[1:].tolist(), strict=True))
+            for i, (t, a, b) in enumerate(zip(texts, edges[:-1], edges[1:], strict=True))
         ]
 
 
@@ -223,22 +182,29 @@ def in_order(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     return placed.repartitionByRange(ranges, "id", "_sum", "_row").sortWithinPartitions("id", "_sum").select("id", "text")
 
 
-def token_ids(rows: DataFrame, tokenizer_path: str, end_id: int | None = END_ID) -> DataFrame:
-    """(id, n, ids): the ids of every whole text of (id, text), in the order given, as bytes (2 or 4 for each id)."""
+def _broadcast(spark: SparkSession, tokenizer_path: str):
     with open(tokenizer_path, encoding="utf-8") as f:  # a few MB, whatever the data
-        config = rows.sparkSession.sparkContext.broadcast(f.read())
+        return spark.sparkContext.broadcast(f.read())
+
+
+def _encoded_texts(config: str, part: pa.RecordBatch, end_id: int | None) -> list[np.ndarray]:
+    encoder = _loaded(config)
+    end = np.array([] if end_id is None else [end_id], encoder.kind)
+    return [np.concatenate((ids, end)) for ids in encoder.encode(texts_of(part))]
+
+
+def token_ids(
+    docs: DataFrame, tokenizer_path: str, end_id: int | None = END_ID, id_col: str = "doc_id", text_col: str = "text"
+) -> DataFrame:
+    """(id, ids array<int>) of every whole text."""
+    config = _broadcast(docs.sparkSession, tokenizer_path)
 
     def batch(part: pa.RecordBatch) -> pa.RecordBatch:
-        encoder = _loaded(config.value)
-        end = np.array([] if end_id is None else [end_id], encoder.kind)
-        found = [np.concatenate((ids, end)) for ids in encoder.encode(texts_of(part))]
-        return pa.RecordBatch.from_arrays(
-            [part.column(0), pa.array([len(x) for x in found], pa.int64()),
-             pa.array([x.tobytes() for x in found], pa.binary())],
-            ["id", "n", "ids"],
-        )
+        found = _encoded_texts(config.value, part, end_id)
+        return pa.RecordBatch.from_arrays([part.column(0), pa.array(found, pa.list_(pa.int32()))], ["id", "ids"])
 
-    return rows.mapInArrow(by_slices(batch), "id long, n long, ids binary")
+    rows = keyed(docs, id_col, text_col).mapInArrow(by_slices(batch), "id long, ids array<int>")
+    return rows.withColumnRenamed("id", id_col)
 
 
 # ---------------------------------------------------------------- files
@@ -283,22 +249,11 @@ class _File:
         return [np.asarray(p, "<i8").tobytes() for p in parts] + words
 
 
-def _numbers(column: pa.Array, sizes: np.ndarray) -> np.ndarray:
-    """The ids of all rows of a binary column, in which every id has as many bytes."""
-    offsets = np.frombuffer(column.buffers()[1], np.int32)[column.offset:column.offset + len(column) + 1]
-    total = int(sizes.sum())
-    width = int(offsets[-1] - offsets[0]) // total if total else 4
-    data = column.buffers()[2]
-    if not total or data is None:
-        return np.zeros(0, np.uint32)
-    return np.frombuffer(data, f"<u{width}", total, int(offsets[0]))
-
-
 MANIFEST = "part long, seq long, file string, n_docs long, n_ids long, n_bytes long"
 
 
-def _writing(folder: str):
-    """For mapInArrow over documents in order, (id, n, ids): write files, return their manifest rows."""
+def _writing(folder: str, config, end_id: int | None):
+    """For mapInArrow over (id, text) in order: encode, write files, return their manifest rows."""
 
     def finish(store, base: str, part: int, seq: int, made: _File) -> pa.RecordBatch:
         name = f"part-{part:06d}-{seq:04d}-{uuid.uuid4().hex}.tok"
@@ -315,9 +270,10 @@ def _writing(folder: str):
         store, base = _opened(folder)
         store.create_dir(base, recursive=True)
         made, seq, part = _File(), 0, TaskContext.get().partitionId()
-        for some in slices(batches, "ids", 4 << 20):
-            sizes = np.asarray(some.column("n"))
-            made.add(some.column("id").to_pylist(), sizes, _numbers(some.column("ids"), sizes))
+        for some in slices(batches, "text", SLICE_BYTES):
+            found = _encoded_texts(config.value, some, end_id)
+            sizes = np.array([len(x) for x in found], np.int64)
+            made.add(some.column("id").to_pylist(), sizes, np.concatenate(found))
             if made.n >= FILE_IDS or len(made.ids) >= FILE_DOCS:
                 yield finish(store, base, part, seq, made)
                 made, seq = _File(), seq + 1
@@ -327,14 +283,18 @@ def _writing(folder: str):
     return run
 
 
-def write_files(tokens: DataFrame, folder: str | None = None) -> tuple[str, DataFrame]:
-    """(folder, manifest) of the files with the ids of (id, n, ids) rows, one partition after the other.
+def write_files(
+    docs: DataFrame, tokenizer_path: str, folder: str | None = None, end_id: int | None = END_ID,
+    id_col: str = "doc_id", text_col: str = "text",
+) -> tuple[str, DataFrame]:
+    """(folder, manifest) of the files with the ids of all documents, in ascending order of their ids.
 
-    The rows are those of `token_ids` over `in_order`. The manifest has a row for every file, with the number of
-    its first id in ``start``.
+    The manifest has a row for every file, with the number of its first id in ``start``.
     """
-    folder = folder or new_folder(tokens.sparkSession, "token-files")
-    return folder, with_starts(written(tokens.mapInArrow(_writing(folder), MANIFEST), "token-manifest"))
+    folder = folder or new_folder(docs.sparkSession, "token-files")
+    rows = in_order(docs, id_col, text_col)
+    config = _broadcast(docs.sparkSession, tokenizer_path)
+    return folder, with_starts(written(rows.mapInArrow(_writing(folder, config, end_id), MANIFEST), "token-manifest"))
 
 
 def with_starts(manifest: DataFrame) -> DataFrame:
@@ -435,7 +395,7 @@ def _typed(schema: str) -> T.StructType:
 
 def digests(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, start, n_tokens, ids_crc32) of every document, read back from the files."""
-    folder, manifest = write_files(token_ids(in_order(docs, id_col, text_col), tokenizer_path))
+    folder, manifest = write_files(docs, tokenizer_path, id_col=id_col, text_col=text_col)
     manifest = written(manifest, "token-starts")
 
     def row(doc, start, ids):

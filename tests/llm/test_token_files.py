@@ -10,6 +10,7 @@ import public_tokenizers
 import pytest
 from tokenizers import Tokenizer
 
+from modelweave.llm import runs as run_table
 from modelweave.llm import simple8b, token_files
 from tests.llm.cases import SCHEMA, documents, edge_documents, no_documents
 
@@ -65,8 +66,8 @@ def test_runs_are_encoded_as_the_whole_text_is(library, encoder):
 
 @pytest.mark.parametrize(("places", "runs"), [(4, 1000), (1 << 21, 3)])
 def test_a_full_table_changes_nothing(library, monkeypatch, places, runs):
-    monkeypatch.setattr(token_files, "PLACES", places)
-    monkeypatch.setattr(token_files, "CACHED_RUNS", runs)
+    monkeypatch.setattr(run_table, "PLACES", places)
+    monkeypatch.setattr(run_table, "MOST_RUNS", runs)
     with open(PATH, encoding="utf-8") as f:
         encoder = token_files.Encoder(f.read())
     for text in ("many different words", "again many other words", "many", "a b c d e f g h i j k l", "many a b") * 2:
@@ -109,7 +110,7 @@ def test_many_files_in_order(spark, library, monkeypatch):
     rows = [(generator.randrange(60), " ".join(generator.choices(["one", "two", "x1"], k=generator.randint(0, 30))))
             for _ in range(150)]
     docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(7)
-    folder, manifest = token_files.write_files(token_files.token_ids(token_files.in_order(docs), PATH))
+    folder, manifest = token_files.write_files(docs, PATH)
     named = sorted(manifest.collect(), key=lambda r: (r.part, r.seq))
     assert len(named) > 5
     assert [r.start for r in named] == np.cumsum([0, *[r.n_ids for r in named[:-1]]]).tolist()
@@ -118,6 +119,12 @@ def test_many_files_in_order(spark, library, monkeypatch):
     assert got == brute(library, rows)
 
 
+def test_ids_as_a_table(spark, library):
+    docs = spark.createDataFrame([(1, "one text"), (2, None)], "doc_id long, text string")
+    assert sorted(map(tuple, token_files.token_ids(docs, PATH).collect())) == [
+        (1, [*library.encode("one text", add_special_tokens=False).ids, 1]), (2, [1])]
+
+
 def test_extra_columns_with_clashing_names(spark, library):
     rows = [(1, "a", "x", 5, 6, 0.5, 1, 2), (None, "b", "x", 5, 6, 0.5, 1, 2)]
     got = token_files.digests(spark.createDataFrame(rows, SCHEMA), PATH).collect()
@@ -148,7 +155,7 @@ def test_a_file_is_read_by_ranges():
 
 def test_files_no_manifest_names_are_not_read(spark):
     docs = spark.createDataFrame([(1, "a b"), (2, "c")], "doc_id long, text string")
-    folder, manifest = token_files.write_files(token_files.token_ids(token_files.in_order(docs), PATH))
+    folder, manifest = token_files.write_files(docs, PATH)
     store, base = token_files._opened(folder)
     with store.open_output_stream(f"{base}/part-000000-0000-left.tok") as out:
         out.write(b"cut")
