@@ -2,11 +2,22 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from modelweave.functions.scale import lookup_join
 from modelweave.operators.errors import union_all
 
+# kind of feature -> (kind of value it holds, column of the value, name of its tables)
+_HELD = {
+    "atomic": ("atomic", "value", "AtomicValues"),
+    "enumeration": ("literal", "value", "LiteralValues"),
+    "structured": ("instance", "ref_instance", "StructuredValues"),
+    "link": ("element", "ref", "Links"),
+}
+
 # table -> foreign key column -> universe it must resolve in
 MODEL_KEYS = {
     "elements": {"metaClass": "metaClasses"},
@@ -29,6 +40,68 @@ MODEL_KEYS = {
 }
 
 
+def _prints(rows: DataFrame, n: str) -> DataFrame:
+    """Per (table, resource, entity, attribute): the number of values and the sum of their hashes, in any order."""
+    number = F.xxhash64("index", "value").cast("decimal(38,0)")
+    return rows.groupBy("table", "resource", "entity", "attribute").agg(
+        F.count(F.lit(1)).alias(n), F.sum(number).alias(f"_{n}")
+    )
+
+
+def expected_values(slots: DataFrame, attributes: DataFrame, forward: DataFrame) -> DataFrame:
+    """(table, resource, entity, attribute, index, value): what the raw slots say, told by the kinds of values alone.
+
+    ``index`` is null where the order does not count. Values of another kind than their feature's have no table;
+    the exports report them.
+    """
+    lookup = attributes.filter(~F.col("implementation_derived")).select(
+        F.col("metaclass_name").alias("metaclass"), F.col("name").alias("feature_name"), "attribute", "is_ordered",
+        F.col("kind").alias("_kind"),
+    ).unionByName(forward.select(
+        "metaclass", "feature_name", F.col("association").alias("attribute"), "is_ordered", F.lit("link").alias("_kind")
+    ))
+    of = F.create_map(*[F.lit(x) for pair in _HELD.items() for x in (pair[0], pair[1][0])])
+    title = F.create_map(*[F.lit(x) for pair in _HELD.items() for x in (pair[0], pair[1][2])])
+    value = reduce(
+        lambda out, kind: F.when(F.col("_kind") == kind, F.col(_HELD[kind][1])).otherwise(out), _HELD, F.lit(None)
+    )
+    found = lookup_join(slots.drop("feature"), lookup, ["metaclass", "feature_name"]).withColumn("_value", value)
+    right_kind = (F.col("_kind") == "atomic") | (of[F.col("_kind")] == F.col("value_kind"))
+    needs_value = F.col("_kind").isin("structured", "link")
+    kept = found.filter(
+        right_kind & (~needs_value | F.col("_value").isNotNull()) & ((F.col("_kind") != "link") | F.col("is_collection"))
+    )
+    index = F.when(F.col("is_ordered"), F.when(F.col("is_collection"), F.col("position")).otherwise(F.lit(0)))
+    word = F.when(F.col("is_ordered"), F.lit("ordered")).otherwise(F.lit("unordered"))
+    return kept.select(
+        F.concat(word, title[F.col("_kind")]).alias("table"), "resource", "entity", "attribute",
+        index.cast("int").alias("index"), F.col("_value").alias("value"),
+    )
+
+
+def collected_values(collections: DataFrame) -> DataFrame:
+    """The values of rebuilt collections, one row each, as `expected_values` gives them."""
+    rows = collections.select(
+        "table", "resource", "entity", "attribute", F.inline(F.arrays_zip("indexes", "values"))
+    ).withColumnsRenamed({"indexes": "index", "values": "value"})
+    return rows.withColumn("index", F.when(F.col("table").startswith("ordered"), F.col("index")).cast("int"))
+
+
+def lost_values(expected: DataFrame, found: DataFrame) -> DataFrame:
+    """(table, resource, entity, attribute, n_expected, n_found) wherever the two sides differ in any value.
+
+    Both sides are reduced to a count and an order-free sum of hashes per collection before they meet, so a
+    collection of any size is one row of the join.
+    """
+    keys = ["table", "resource", "entity", "attribute"]
+    both = _prints(expected, "n_expected").join(_prints(found, "n_found"), keys, "full")
+    differs = ~F.col("_n_expected").eqNullSafe(F.col("_n_found")) | ~F.col("n_expected").eqNullSafe(F.col("n_found"))
+    none = F.lit(0).cast("long")
+    return both.filter(differs).select(
+        *keys, F.coalesce("n_expected", none).alias("n_expected"), F.coalesce("n_found", none).alias("n_found")
+    )
+
+
 def unresolved_references(tables: dict[str, DataFrame], universes: dict[str, DataFrame]) -> DataFrame:
     """Foreign key values found in no known resource, with the number of rows that hold them.
 

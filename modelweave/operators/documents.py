@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -86,9 +88,12 @@ def package_imports(
 
 
 def lookup_document_packages(
-    configuration: DataFrame, elements: DataFrame, tool_id: str = "tool_package_id"
+    configuration: DataFrame, elements: DataFrame, tool_id: str = "tool_package_id", strict: bool = False
 ) -> Result:
-    """Packages and profiles named by the configuration's tool ids; the others become one error each."""
+    """Packages and profiles named by the configuration's tool ids; the others become one error each.
+
+    With ``strict`` such an error is fatal, so a strict writer stops before any table.
+    """
     packages = select_kind(elements, ["Package", "Profile"]).select(
         F.col("tool_id").alias(tool_id), "resource", "uuid", "kind"
     )
@@ -98,7 +103,7 @@ def lookup_document_packages(
         error_rows(
             found.filter(F.col("uuid").isNull()), "package-not-found",
             F.concat(F.lit("No package or profile found with tool id "), F.coalesce(tool_id, F.lit("null"))),
-            element=F.lit(None), resource=F.lit(None),
+            element=F.lit(None), resource=F.lit(None), severity="fatal" if strict else "error",
         ),
     )
 
@@ -119,15 +124,15 @@ def document_config_rows(elements: DataFrame, documents: DataFrame) -> DataFrame
     )
 
 
-def selected_documents(selection: DataFrame, documents: DataFrame) -> Result:
-    """Documents of the selected packages; a selected package without a document is an error."""
+def selected_documents(selection: DataFrame, documents: DataFrame, strict: bool = False) -> Result:
+    """Documents of the selected packages; a selected package without a document is an error, with ``strict`` a fatal one."""
     found = selection.select("scope_package").join(documents, "scope_package", "left")
     return Result(
         found.filter(F.col("resource").isNotNull()),
         error_rows(
             found.filter(F.col("resource").isNull()), "no-document",
             F.concat(F.lit("No document for the selected package "), F.col("scope_package")),
-            element="scope_package",
+            element="scope_package", severity="fatal" if strict else "error",
         ),
     )
 
@@ -154,14 +159,47 @@ def reachable(start: DataFrame, edges: DataFrame) -> DataFrame:
     return known
 
 
+def _needs(imports: DataFrame, profile_applications: DataFrame) -> DataFrame:
+    """(src, dst): package src needs dst."""
+    applied = profile_applications.dropna(subset=["applying_package", "applied_profile"])
+    return imports.select(F.col("importer").alias("src"), F.col("imported").alias("dst")).unionByName(
+        applied.select(F.col("applying_package").alias("src"), F.col("applied_profile").alias("dst"))
+    )
+
+
+def missing_dependency_paths(
+    selection: DataFrame, imports: DataFrame, profile_applications: DataFrame
+) -> DataFrame:
+    """(missing, depth, path): why each missing package is needed, as one shortest way from a selected one.
+
+    The search keeps for each package the smallest one that needs it a step nearer to the selection. The ways of
+    the missing ones are followed back at the same time, so a round joins only ways that are not at their end.
+    """
+    edges = materialize(_needs(imports, profile_applications).distinct(), "needs")
+    start = selection.select(F.col("scope_package").alias("node")).distinct()
+    reached = materialize(reachable(start, edges), "reached")
+    source = reached.select(F.col("node").alias("src"), F.col("depth").alias("_before"))
+    target = reached.select(F.col("node").alias("dst"), "depth")
+    steps = edges.join(source, "src").join(target, "dst").filter("depth = _before + 1")
+    via = materialize(steps.groupBy(F.col("dst").alias("at")).agg(F.min("src").alias("_via")), "predecessors")
+    ways = reached.join(start, "node", "left_anti").select(
+        F.col("node").alias("missing"), "depth", F.col("node").alias("at"), F.col("node").alias("path")
+    )
+    done = []
+    while not (ways := materialize(ways, "ways")).isEmpty():
+        ways = ways.join(via, "at", "left").withColumn("path", F.concat_ws(" > ", "_via", "path"))
+        ways = materialize(ways.withColumn("at", F.col("_via")), "ways")
+        done.append(ways.filter("at is null").select("missing", F.col("depth").cast("int").alias("depth"), "path"))
+        ways = ways.filter("at is not null").select("missing", "depth", "at", "path")
+    columns = "missing string, depth int, path string"
+    return reduce(DataFrame.unionByName, done) if done else selection.sparkSession.createDataFrame([], columns)
+
+
 def missing_dependencies(
     selection: DataFrame, imports: DataFrame, profile_applications: DataFrame
 ) -> DataFrame:
     """Packages and profiles a selection needs, directly or indirectly, but does not hold."""
-    applied = profile_applications.dropna(subset=["applying_package", "applied_profile"])
-    edges = imports.select(F.col("importer").alias("src"), F.col("imported").alias("dst")).unionByName(
-        applied.select(F.col("applying_package").alias("src"), F.col("applied_profile").alias("dst"))
-    )
+    edges = _needs(imports, profile_applications)
     start = selection.select(F.col("scope_package").alias("node"))
     return (
         reachable(start, edges)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable
 from dataclasses import dataclass
 from functools import reduce
 
@@ -54,6 +54,40 @@ def append(*results: Result) -> Result:
     return Result(union_all(r.rows for r in results), union_all(r.errors for r in results))
 
 
+class Chain:
+    """Fallible steps over documents, one after the other; a step that gives a document only errors ends it.
+
+    Every step is given the resources still open and returns rows and errors with their ``resource``; both are
+    written to the shared folder. ``gates`` has a row for every document and step it came to: its rows, its errors
+    (warnings do not count) and the outcome ``done``, ``partial`` or ``stopped``. Other documents go on.
+    """
+
+    def __init__(self, resources: DataFrame):
+        self.open = resources.select("resource").filter("resource is not null").distinct()
+        self._gates: list[DataFrame] = []
+
+    def step(self, name: str, run: Callable[[DataFrame], Result]) -> Result:
+        found = run(self.open)
+        rows, errors = materialize(found.rows, f"step-{name}"), materialize(found.errors, f"step-{name}-errors")
+        bad = errors.filter("severity <> 'warning'")
+        gate = self.open
+        for counted, column in ((rows, "n_rows"), (bad, "n_errors")):
+            gate = gate.join(counted.groupBy("resource").agg(F.count(F.lit(1)).alias(column)), "resource", "left")
+        gate = gate.na.fill(0, ["n_rows", "n_errors"])
+        outcome = F.when(F.col("n_errors") == 0, "done").when(F.col("n_rows") == 0, "stopped").otherwise("partial")
+        gate = materialize(
+            gate.select("resource", F.lit(len(self._gates)).alias("place"), F.lit(name).alias("step"), "n_rows",
+                        "n_errors", outcome.alias("outcome")),
+            "gates",
+        )
+        self._gates.append(gate)
+        self.open = gate.filter("outcome <> 'stopped'").select("resource")
+        return Result(rows, errors)
+
+    def gates(self) -> DataFrame:
+        return union_all(self._gates)
+
+
 def distinct_errors(errors: DataFrame) -> DataFrame:
     """An error that reached the report over two paths is one error."""
     return errors.select(*ERROR_COLUMNS).distinct()

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from modelweave.functions.expressions import is_override, redefined_name
 from modelweave.functions.scale import lookup_join
-from modelweave.operators.errors import union_all
+from modelweave.operators.errors import error_rows, union_all
 
 PAIR = (
     "association", "feature", "feature_name", "opposite", "opposite_name",
@@ -104,6 +104,48 @@ def containment_forward(pairs: DataFrame, taxa: DataFrame) -> DataFrame:
     return _first(keyed, ["metaclass", "key"], order).select("metaclass", "metaclass_name", "key", *PAIR)
 
 
+def minimal_holders(candidates: DataFrame, taxa: DataFrame) -> DataFrame:
+    """The rows (metaclass, key, holder, ...) whose holder is most specific: no other holder of the key is below it.
+
+    A holder is dominated if it is a proper supertype of another one. Each holder's supertypes are looked up, so
+    the pairs of holders of a key are never listed.
+    """
+    keys = ["metaclass", "key"]
+    held = candidates.select(*keys, "holder").distinct()
+    above = taxa.filter("metaclass <> supertype").select(
+        F.col("metaclass").alias("holder"), F.col("supertype").alias("_above")
+    )
+    dominated = lookup_join(held, above, ["holder"]).select(*keys, F.col("_above").alias("holder")).distinct()
+    return candidates.join(dominated, [*keys, "holder"], "left_anti")
+
+
+def inherited_keys(pairs: DataFrame, taxa: DataFrame, redefining: bool) -> DataFrame:
+    """Features of every class and its supertypes with the key they compete for.
+
+    ``redefining`` gives ``x__from_Y`` the key ``x``, as containment does.
+    """
+    name = F.col("feature_name")
+    return _inherited(pairs, taxa).withColumn("key", redefined_name(name) if redefining else name)
+
+
+def ambiguous_features(pairs: DataFrame, taxa: DataFrame, classes: DataFrame, redefining: bool) -> DataFrame:
+    """An error row for each (class, key) that several incomparable classes give: none of them overrides the others.
+
+    The forward lookups still take one of them (level, override, association); this tells that they had to choose.
+    """
+    competing = minimal_holders(inherited_keys(pairs, taxa, redefining), taxa)
+    found = competing.groupBy("metaclass", "key").agg(
+        F.count_distinct("holder").alias("n"), F.min("holder").alias("first")
+    ).filter("n > 1")
+    homes = classes.select(F.col("uuid").alias("metaclass"), "resource")
+    return error_rows(
+        lookup_join(found, homes, ["metaclass"]), "ambiguous-feature",
+        F.concat(F.col("n").cast("string"), F.lit(" unrelated classes give the feature "), F.col("key"),
+                 F.lit(", among them "), F.col("first")),
+        element="metaclass",
+    )
+
+
 def redefinition_override(pairs: DataFrame, taxa: DataFrame) -> DataFrame:
     """Forward containment entries that come from a redefining feature."""
     return containment_forward(pairs, taxa).filter(is_override(F.col("feature_name")))

@@ -1,4 +1,4 @@
-"""Inheritance closure and effective attributes."""
+"""Inheritance closure, its cycles, and effective attributes."""
 
 from __future__ import annotations
 
@@ -6,38 +6,74 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from modelweave.functions.scale import lookup_join, materialize
+from modelweave.operators.errors import error_rows
 
 
 def closure(nodes: DataFrame, edges: DataFrame) -> DataFrame:
     """Reflexive-transitive (node, ancestor, depth) over ``edges(specific, general)``; depth is minimal.
 
-    Each step extends only the pairs found last, so a pair is produced once per depth. Pairs already
-    known are not extended again, which also ends cycles. Every step is written to the shared folder.
+    Paths double: after a round all pairs up to twice the length are known, since a longer shortest path
+    is one of exactly the length known so far and a known one behind it. So a chain of n classes takes
+    log n rounds, and a pair is produced only in the round its length falls in. Cycles end because known
+    pairs are not found again. Every round is written to the shared folder.
     """
-    edges = materialize(
+    edges = (
         edges.select(F.col("specific").alias("ancestor"), F.col("general"))
         .join(nodes.select(F.col("uuid").alias("ancestor")), "ancestor", "left_semi")
         .join(nodes.select(F.col("uuid").alias("general")), "general", "left_semi")
-        .distinct(),
-        "parents",
     )
-    known = materialize(
-        nodes.select(F.col("uuid").alias("node"), F.col("uuid").alias("ancestor"), F.lit(0).alias("depth")).distinct(),
-        "closure",
-    )
-    n_edges = edges.count()
-    frontier, depth = known, 0
-    while not frontier.isEmpty():
-        depth += 1
-        found = (
-            lookup_join(frontier.select("node", "ancestor"), edges, ["ancestor"], lookup_rows=n_edges)
-            .select("node", F.col("general").alias("ancestor")).distinct()
-            .join(known.select("node", "ancestor"), ["node", "ancestor"], "left_anti")
-            .withColumn("depth", F.lit(depth))
+    own = nodes.select(F.col("uuid").alias("node"), F.col("uuid").alias("ancestor"), F.lit(0).alias("depth")).distinct()
+    steps = edges.filter("ancestor <> general").select(
+        F.col("ancestor").alias("node"), F.col("general").alias("ancestor"), F.lit(1).alias("depth")
+    ).distinct()
+    # Pairs of at least one step; the reflexive ones are added at the end.
+    known = found = materialize(steps, "closure")
+    length = 1
+    while not found.isEmpty():
+        longest = known.filter(F.col("depth") == length).select("node", F.col("ancestor").alias("_middle"))
+        rest = known.select(F.col("node").alias("_middle"), "ancestor", "depth")
+        paths = lookup_join(longest, rest, ["_middle"]).filter("node <> ancestor")
+        found = materialize(
+            paths.groupBy("node", "ancestor").agg((F.min("depth") + length).alias("depth"))
+            .join(known.select("node", "ancestor"), ["node", "ancestor"], "left_anti"),
+            "closure",
         )
-        frontier = materialize(found, "closure")
-        known = known.unionByName(frontier)
-    return known
+        known = known.unionByName(found)
+        length *= 2
+    return own.unionByName(known)
+
+
+def strong_components(pairs: DataFrame) -> DataFrame:
+    """(node, component): the nodes of a closure that lie on a cycle, with the smallest node each is on one with.
+
+    Two nodes are on a cycle if each is the other's ancestor. Only pairs on a cycle pass the first grouping.
+    """
+    both = (
+        pairs.filter("node <> ancestor")
+        .groupBy(F.least("node", "ancestor").alias("low"), F.greatest("node", "ancestor").alias("high"))
+        .agg(F.count(F.lit(1)).alias("n")).filter("n = 2")
+    )
+    ends = both.select(F.explode(F.array("low", "high")).alias("node"), F.col("low").alias("other"))
+    return ends.groupBy("node").agg(F.min("other").alias("component"))
+
+
+def cyclic_generalizations(classes: DataFrame, pairs: DataFrame, generalizations: DataFrame) -> DataFrame:
+    """An error row for each group of classes that generalize each other, and for each class that generalizes itself.
+
+    ``element`` is the smallest class of the group; the message counts its classes.
+    """
+    groups = strong_components(pairs).groupBy("component").agg(F.count(F.lit(1)).alias("n"))
+    own = generalizations.filter("specific = general").select(F.col("specific").alias("component")).distinct()
+    own = own.join(classes.select(F.col("uuid").alias("component")), "component", "left_semi")
+    alone = own.join(strong_components(pairs).select(F.col("node").alias("component")), "component", "left_anti")
+    every = groups.unionByName(alone.withColumn("n", F.lit(1).cast("long")))
+    homes = classes.select(F.col("uuid").alias("component"), "resource")
+    return error_rows(
+        lookup_join(every, homes, ["component"]), "cyclic-generalization",
+        F.concat(F.lit("Classes generalize each other: "), F.col("n").cast("string"), F.lit(" from "),
+                 F.col("component")),
+        element="component", severity="fatal",
+    )
 
 
 def taxonomy(classes: DataFrame, generalizations: DataFrame) -> DataFrame:
@@ -79,4 +115,3 @@ def effective_attributes(taxa: DataFrame, attributes: DataFrame) -> DataFrame:
         "metaclass", "metaclass_name", "attribute", "name", "type", "kind", "is_ordered", "is_derived",
         F.col("supertype").alias("owner"), "depth", "level",
     )
-

@@ -73,8 +73,38 @@ _REACH = """reach(node, depth) AS (
       WHERE applying_package IS NOT NULL AND applied_profile IS NOT NULL) e ON e.src = r.node
     WHERE r.depth < 10)"""
 
+_WALK = """walk(missing, depth, node, path) AS (
+  SELECT node, depth, node, node FROM dep_reach WHERE node NOT IN (SELECT scope_package FROM raw_selection)
+  UNION ALL SELECT w.missing, w.depth, v.via, v.via || ' > ' || w.path FROM walk w JOIN dep_via v ON v.node = w.node)"""
+
+_PART_TREE = """part_tree(specific, general) AS (
+  SELECT specific, general FROM part_edge
+  UNION SELECT t.specific, e.general FROM part_tree t JOIN part_edge e ON e.specific = t.general)"""
+
 _RECURSIVE = {"ancestor": (_TREE, ("m_class", "raw_generalization")),
-              "reach": (_REACH, ("raw_selection", "raw_import", "raw_profile_application"))}
+              "reach": (_REACH, ("raw_selection", "raw_import", "raw_profile_application")),
+              "walk": (_WALK, ("dep_reach", "dep_via", "raw_selection")), "part_tree": (_PART_TREE, ("part_edge",))}
+
+CHECKS = {
+    "dep_edge": """SELECT importer AS src, imported AS dst FROM {raw_import}
+UNION SELECT applying_package, applied_profile FROM {raw_profile_application}
+WHERE applying_package IS NOT NULL AND applied_profile IS NOT NULL""",
+    "dep_reach": "SELECT node, CAST(min(depth) AS INT) AS depth FROM {reach} GROUP BY node",
+    "dep_via": """SELECT e.dst AS node, min(e.src) AS via FROM {dep_edge} e
+JOIN {dep_reach} a ON a.node = e.src JOIN {dep_reach} b ON b.node = e.dst WHERE b.depth = a.depth + 1 GROUP BY 1""",
+    "part_edge": """SELECT 'par:' || CAST(p_partkey AS STRING) AS specific, 'par:' || CAST(above AS STRING) AS general
+FROM (SELECT DISTINCT p_partkey, CASE WHEN p_partkey % 10 = 9 THEN p_partkey + 1 WHEN p_partkey % 100 = 0 THEN p_partkey
+    WHEN p_partkey % 10 = 0 THEN p_partkey - 1 ELSE p_partkey // 3 END AS above FROM {part}) AS e
+WHERE above IN (SELECT p_partkey FROM {part})""",
+    "part_cycle": """SELECT a.specific AS node, min(a.general) AS component FROM {part_tree} a
+JOIN {part_tree} b ON b.specific = a.general AND b.general = a.specific GROUP BY 1""",
+    "candidate": """SELECT DISTINCT x.metaclass, n.key, n.holder FROM {taxa} x JOIN (
+  SELECT holder, feature_name AS key FROM {matched} WHERE refers UNION SELECT owner, name FROM {class_attr}
+  UNION SELECT supertype, 'kind' FROM {taxa} WHERE metaclass <> supertype) n ON n.holder = x.supertype""",
+    "minimal": """SELECT c.* FROM {candidate} c WHERE NOT EXISTS (
+  SELECT 1 FROM {candidate} d JOIN {taxa} t ON t.metaclass = d.holder
+  WHERE d.metaclass = c.metaclass AND d.key = c.key AND t.supertype = c.holder AND d.holder <> c.holder)""",
+}
 
 _KIND_DOC = "resource IN (SELECT resource FROM {{raw_document}} WHERE kind = '{}')"
 
@@ -225,10 +255,21 @@ SELECT element, CAST(floor(place / 1000) AS INT) AS block,
   CAST(sum(count(*)) OVER () AS BIGINT) AS n_of_all
 FROM (SELECT element, message, row_number() OVER (PARTITION BY element
     ORDER BY code NULLS FIRST, message NULLS FIRST, resource NULLS FIRST, severity) - 1 AS place
-  FROM (SELECT DISTINCT resource, coalesce(element, 'model') AS element, severity, code, message FROM (
-    SELECT * FROM {application_error} UNION ALL SELECT * FROM {element_error} UNION ALL SELECT * FROM {package_error}
-    UNION ALL SELECT resource, element, severity, code, message FROM {tag_ref_error}) AS a) AS d) AS p
+  FROM (SELECT DISTINCT resource, coalesce(element, 'model') AS element, severity, code, message FROM {every_error}) AS d
+  ) AS p
 GROUP BY 1, 2""",
+    "error_totals": """SELECT severity, code, count(*) AS n FROM (
+  SELECT DISTINCT resource, element, severity, code, message FROM {every_error}) AS e GROUP BY 1, 2""",
+    "missing_dependency_paths": """SELECT missing, depth, path FROM {walk}
+WHERE node NOT IN (SELECT node FROM {dep_via})""",
+    "generalization_cycles": """SELECT 'urn:parts' AS resource, component AS element, 'fatal' AS severity,
+  'cyclic-generalization' AS code,
+  'Classes generalize each other: ' || CAST(count(*) AS STRING) || ' from ' || component AS message
+FROM {part_cycle} GROUP BY component""",
+    "ambiguous_features": """SELECT c.resource, m.metaclass AS element, 'error' AS severity, 'ambiguous-feature' AS code,
+  CAST(m.n AS STRING) || ' unrelated classes give the feature ' || m.key || ', among them ' || m.first AS message
+FROM (SELECT metaclass, key, count(DISTINCT holder) AS n, min(holder) AS first FROM {minimal} GROUP BY 1, 2) m
+JOIN {m_class} c ON c.uuid = m.metaclass WHERE m.n > 1""",
     # ------------------------------------------------------------ values, tags, links
     "ordered_atomic_values": """SELECT resource, entity, attribute, value, idx AS index FROM {value_row}
 WHERE kind = 'atomic' AND is_ordered""",
@@ -302,6 +343,7 @@ FROM {record} r LEFT JOIN {raw_element} e ON e.uuid = r.entity""",
     "read_changes": "SELECT * FROM {raw_change}",
 }
 
+STATEMENTS["classify_split_commits"] = STATEMENTS["notified_records"] = STATEMENTS["classify_changes"]
 STATEMENTS["sorted_by_name"] = """SELECT resource, uuid, name, is_abstract AS "isAbstract",
   CAST(row_number() OVER (ORDER BY name NULLS FIRST, uuid) - 1 AS INT) AS place FROM {m_class}"""
 STATEMENTS["document_set_round_trip"] = STATEMENTS["document_config_rows"]
@@ -324,6 +366,45 @@ STATEMENTS["metamodel_imports"] = _imports("Metamodel", "d.kind = 'Metamodel'")
 STATEMENTS["metamodel_library_imports"] = _imports("Metamodel", "d.kind = 'Library'")
 STATEMENTS["profile_imports"] = _imports("Profile", "i.imported_kind = 'Profile'")
 
+
+
+def _import_warnings(kind: str, condition: str = "true") -> str:
+    return f"""SELECT o.resource, i.importer AS element, 'warning' AS severity, 'import-without-document' AS code,
+  i.importer || ' imports a package without a known document: ' || i.imported AS message
+FROM {{raw_import}} i JOIN {{raw_document}} o ON o.scope_package = i.importer AND o.kind = '{kind}'
+LEFT JOIN {{raw_document}} d ON d.scope_package = i.imported WHERE d.resource IS NULL AND {condition}"""
+
+
+# One entry for each family of errors.
+_ERROR_FAMILIES = [
+    "SELECT * FROM {application_error}", "SELECT * FROM {element_error}", "SELECT * FROM {package_error}",
+    "SELECT resource, element, severity, code, message FROM {tag_ref_error}", "SELECT * FROM {tag_error}",
+    "SELECT * FROM {link_error}", STATEMENTS["stereotype_extends_errors"],
+    STATEMENTS["stereotype_metaclass_prop_errors"], _import_warnings("Library"), _import_warnings("Metamodel"),
+    _import_warnings("Profile", "i.imported_kind = 'Profile'"),
+]
+CHECKS["every_error"] = " UNION ALL ".join(f"SELECT * FROM ({e}) AS e" for e in _ERROR_FAMILIES)
+
+# step of the export chain -> (its rows, its errors)
+_GATES = {
+    "elements": (STATEMENTS["model_elements"], "SELECT * FROM {element_error}"),
+    "applied stereotypes": (STATEMENTS["applied_stereotypes"], "SELECT * FROM {application_error}"),
+    "links": (STATEMENTS["ordered_links"], "SELECT * FROM {link_error}"),
+    "references": (STATEMENTS["unordered_stereotype_refs"], STATEMENTS["unordered_stereotype_ref_errors"]),
+}
+_open = "SELECT DISTINCT resource FROM {model_element} WHERE resource IS NOT NULL"
+for _place, (_rows, _errors) in enumerate(_GATES.values()):
+    CHECKS[f"gate_{_place}"] = f"""SELECT o.resource, coalesce(r.n, 0) AS n_rows, coalesce(e.n, 0) AS n_errors,
+  CASE WHEN e.n IS NULL THEN 'done' WHEN r.n IS NULL THEN 'stopped' ELSE 'partial' END AS outcome
+FROM ({_open}) AS o LEFT JOIN (SELECT resource, count(*) AS n FROM ({_rows}) AS x GROUP BY 1) r ON r.resource = o.resource
+LEFT JOIN (SELECT resource, count(*) AS n FROM ({_errors}) AS x WHERE severity <> 'warning' GROUP BY 1) e
+  ON e.resource = o.resource"""
+    _open = f"SELECT resource FROM {{gate_{_place}}} WHERE outcome <> 'stopped'"
+STATEMENTS["export_gates"] = " UNION ALL ".join(
+    f"SELECT resource, {place} AS place, '{step}' AS step, n_rows, n_errors, outcome FROM {{gate_{place}}}"
+    for place, step in enumerate(_GATES)
+)
+
 for (_source, _target), (_s, _t) in RESTRICTIONS.items():
     STATEMENTS[f"assoc_gen_{_source[:-1]}_{_target[:-1]}"] = f"""SELECT * FROM {{assoc_gen}}
 WHERE "sourceRestriction" = {str(_s).lower()} AND "targetRestriction" = {str(_t).lower()}"""
@@ -504,6 +585,27 @@ FROM (""" + "\nUNION ALL ".join(
 ) + ") AS s GROUP BY 1, 2, 3, 4, 5"
 
 
+_SLOT_COLUMNS = {"Links": '"sourceElement" AS entity, "metaAssociation" AS attribute'}
+_FOUND = " UNION ALL ".join(
+    f"SELECT '{word}{t}' AS \"table\", resource, {_SLOT_COLUMNS.get(t, 'entity, attribute')} FROM ({STATEMENTS[f'{word}_{q}']}) AS x"
+    for word in ("ordered", "unordered") for t, q in _COLLECTED.items()
+)
+_EXPECTED = """SELECT CASE WHEN is_ordered THEN 'ordered' ELSE 'unordered' END || CASE kind WHEN 'atomic' THEN 'Atomic'
+    WHEN 'enumeration' THEN 'Literal' ELSE 'Structured' END || 'Values' AS "table", resource, entity, attribute
+  FROM {value_row} WHERE kind = 'atomic' OR (kind = 'enumeration' AND value_kind = 'literal')
+    OR (kind = 'structured' AND ref_instance IS NOT NULL)
+  UNION ALL SELECT CASE WHEN is_ordered THEN 'orderedLinks' ELSE 'unorderedLinks' END, resource, entity, association
+  FROM {link_row} WHERE is_collection AND value_kind = 'element'"""
+_KEYS = '"table", resource, entity, attribute'
+STATEMENTS["lost_values"] = f"""SELECT {_KEYS}, coalesce(e.n, 0) AS n_expected, coalesce(f.n, 0) AS n_found
+FROM (SELECT {_KEYS}, count(*) AS n FROM ({_EXPECTED}) AS x GROUP BY ALL) e
+FULL JOIN (SELECT {_KEYS}, count(*) AS n FROM ({_FOUND}) AS x GROUP BY ALL) f USING ({_KEYS})
+WHERE e.n IS DISTINCT FROM f.n"""
+STATEMENTS["lost_values_planted"] = f"""SELECT 'orderedAtomicValues' AS "table", resource, entity, attribute,
+  count(*) AS n_expected, count(*) FILTER (WHERE index <> 2) AS n_found
+FROM ({STATEMENTS["ordered_atomic_values"]}) AS x GROUP BY 1, 2, 3, 4 HAVING count(*) FILTER (WHERE index = 2) > 0"""
+
+
 def _unresolved(table: str, column: str, universe: str) -> str:
     return f"""SELECT '{table}' AS "table", '{column}' AS "column", "{column}" AS reference, count(*) AS n_rows
 FROM ({_BUNDLES["export_model"][table]}) AS x WHERE "{column}" NOT IN (SELECT uuid FROM {universe}) GROUP BY 3"""
@@ -530,7 +632,7 @@ STATEMENTS["unresolved_references"] = "\nUNION ALL ".join([
 
 # ---------------------------------------------------------------- whole statements
 
-_CTES = BASE | CHANGES
+_CTES = BASE | CHANGES | CHECKS
 
 
 def _uses(sql: str) -> list[str]:

@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from modelweave.functions.scale import new_folder, numbered
+from modelweave.functions.scale import lookup_join, new_folder, numbered
 from modelweave.operators import changes as C
 from modelweave.operators import checks as X
 from modelweave.operators import documents as D
@@ -25,6 +26,7 @@ from modelweave.plans.workspace import METAMODEL, Workspace, workspace
 from modelweave.sources import document_sets as S
 from modelweave.sources import tables as TB
 from modelweave.streaming import changes as ST
+from modelweave.streaming import commits as CM
 
 # Rows of a listing that one task numbers.
 PLACES_PER_RANGE = 1_000
@@ -135,6 +137,11 @@ def missing_dependencies(w):
     return D.missing_dependencies(w.graph.selection, getattr(w.graph, "import"), w.graph.profile_application)
 
 
+@query
+def missing_dependency_paths(w):
+    return D.missing_dependency_paths(w.graph.selection, getattr(w.graph, "import"), w.graph.profile_application)
+
+
 # ---------------------------------------------------------------- library
 
 
@@ -370,6 +377,20 @@ def taxonomy(w):
     return T.taxonomy(w.all.classes, w.graph.generalization).select(*_TAXON)
 
 
+@query
+def generalization_cycles(w):
+    """Parts as classes: each is below the part of a third of its number, and each ninth and tenth below each other."""
+    key = F.col("p_partkey")
+    parts = w.spark.read.parquet(f"{w.graph.folder}/part.parquet").select("p_partkey").distinct()
+    name = lambda c: F.concat(F.lit("par:"), c.cast("string"))
+    classes = parts.select(F.lit("urn:parts").alias("resource"), name(key).alias("uuid"))
+    above = F.when(key % 10 == 9, key + 1).when(key % 10 == 0, F.when(key % 100 == 0, key).otherwise(key - 1)).otherwise(
+        F.floor(key / 3)
+    )
+    edges = parts.select(name(key).alias("specific"), name(above).alias("general"))
+    return T.cyclic_generalizations(classes, T.closure(classes, edges), edges)
+
+
 @query
 def specializations(w):
     return T.specializations(w.all.taxonomy)
@@ -411,6 +432,19 @@ def redefinition_override(w):
     return found.select("metaclass", "key", *_PAIR)
 
 
+@query
+def ambiguous_features(w):
+    """Features that a class has from several unrelated ones; attributes compete by name like references."""
+    holders = w.all.attributes.select(F.col("owner").alias("holder"), F.col("name").alias("feature_name"))
+    pairs = U.reference_pairs(w.all.matched).select("holder", "feature_name")
+    # every general class gives one more name, so that classes with several unrelated supertypes are found
+    general = w.all.taxonomy.filter("metaclass <> supertype").select(
+        F.col("supertype").alias("holder"), F.lit("kind").alias("feature_name")
+    )
+    every = E.union_all([pairs, holders, general]).distinct()
+    return U.ambiguous_features(every, w.all.taxonomy, w.all.classes, redefining=False)
+
+
 @query
 def reference_forward(w):
     return U.reference_forward(U.reference_pairs(w.all.matched), w.all.taxonomy).select("metaclass", "key", *_PAIR)
@@ -619,14 +653,47 @@ def append_errors(w):
     return _applied(w).errors
 
 
+def _all_errors(w) -> DataFrame:
+    """Errors of all steps, warnings included."""
+    g = w.graph
+    imports = [
+        D.package_imports(getattr(g, "import"), g.document, kind, **options).errors
+        for kind, options in (("Library", {}), ("Metamodel", {}), ("Profile", {"imported_kind": "Profile"}))
+    ]
+    return E.append(
+        E.Result(g.document.limit(0), E.union_all(imports)),
+        *[E.Result(g.document.limit(0), errors) for errors in (
+            _applied(w).errors, O.model_elements(_model_rows(w), w.business.classes).errors,
+            D.lookup_document_packages(g.configuration, g.element).errors, _tag_refs(w, True).errors,
+            _tag_refs(w, False).errors, V.ordered_structured_tags(w.tags), K.link_errors(_matched(w)),
+            P.stereotype_extends(g.feature, w.stereotypes, g.type, w.business.classes).errors,
+            P.stereotype_metaclass_props(g.feature, w.stereotypes, g.type, w.business.classes).errors,
+        )],
+    ).errors
+
+
 @query
 def errors_by_element(w):
-    elements = O.model_elements(_model_rows(w), w.business.classes)
-    found = E.union_all([
-        _applied(w).errors, elements.errors, D.lookup_document_packages(w.graph.configuration, w.graph.element).errors,
-        _tag_refs(w, True).errors, _tag_refs(w, False).errors,
-    ])
-    return E.errors_by_element(found, root="model")
+    return E.errors_by_element(_all_errors(w), root="model")
+
+
+@query
+def error_totals(w):
+    return E.error_totals(_all_errors(w))
+
+
+@query
+def export_gates(w):
+    """The chain of a model export, document by document: elements, applied stereotypes, links, references."""
+    g, kept = w.graph, lambda df, resources: lookup_join(df, resources, ["resource"], how="left_semi")
+    chain = E.Chain(_model_rows(w))
+    chain.step("elements", lambda r: O.model_elements(kept(_model_rows(w), r), w.business.classes))
+    chain.step("applied stereotypes", lambda r: O.apply_profiles(
+        kept(g.application, r), g.document, _exported_profiles(w), w.stereotypes))
+    chain.step("links", lambda r: E.Result(
+        *[f(K.association_slots(kept(g.slot, r), w.business.forward)) for f in (K.ordered_links, K.link_errors)]))
+    chain.step("references", lambda r: V.stereotype_references(kept(w.tags, r), ordered=False))
+    return chain.gates()
 
 
 # ---------------------------------------------------------------- values
@@ -679,9 +746,7 @@ def rebuild_slots(w):
     return found.select("resource", "entity", "attribute", "block", F.array_join("values", ",", "null").alias("values"))
 
 
-@query
-def rebuild_all_slots(w):
-    """Every value and link table back as collections: ordered ones by index, the others sorted by value."""
+def _rebuilt(w) -> DataFrame:
     links = {True: K.ordered_links(_matched(w, True)), False: K.unordered_links(_matched(w, False))}
     of = {"Atomic": _atomic, "Literal": _literal, "Structured": _structured}
     parts = []
@@ -694,12 +759,34 @@ def rebuild_all_slots(w):
         if not ordered:
             rows = numbered(rows, ["table", "resource", "entity", "attribute"], ["value"], out="index")
         parts.append(rows)
-    found = V.rebuild_slots(E.union_all(parts))
-    return found.select(
+    return V.rebuild_slots(E.union_all(parts))
+
+
+@query
+def rebuild_all_slots(w):
+    """Every value and link table back as collections: ordered ones by index, the others sorted by value."""
+    return _rebuilt(w).select(
         "table", "resource", "entity", "attribute", "block", F.array_join("values", ",", "null").alias("values")
     )
 
 
+def _losses(w, found: DataFrame) -> DataFrame:
+    return X.lost_values(X.expected_values(w.graph.slot, w.business.attribute_lookups, w.business.forward), found)
+
+
+@query
+def lost_values(w):
+    """The raw slots against the collections rebuilt from the tables: nothing is lost."""
+    return _losses(w, X.collected_values(_rebuilt(w)))
+
+
+@query
+def lost_values_planted(w):
+    """The same with a loss planted: the third value of every ordered collection of atomic values is left out."""
+    gone = (F.col("table") == "orderedAtomicValues") & (F.col("index") == 2)
+    return _losses(w, X.collected_values(_rebuilt(w)).filter(~F.coalesce(gone, F.lit(False))))
+
+
 @query
 def typed_values(w):
     atomic = _atomic(w, False).unionByName(_atomic(w, True).drop("index"))
@@ -899,6 +986,47 @@ def write_change_events(w):
     )
 
 
+@query
+def classify_split_commits(w):
+    """Commits spread over shuffled files and several micro-batches, given out whole; stopped and started again."""
+    source, out, buffer = (new_folder(w.spark, x) for x in ("split-commits", "records", "commit-buffer"))
+    manifest, offsets = new_folder(w.spark, "manifest"), new_folder(w.spark, "offsets")
+    events = CM.with_markers(w.graph.change).withColumn("_part", F.pmod(F.xxhash64("seq", "txn"), F.lit(4)))
+    for part in range(4):  # each run ends when it has read all files so far
+        events.filter(F.col("_part") == part).drop("_part").write.mode("append").parquet(source)
+        run = CM.classify_commits(
+            ST.read_changes(w.spark, source, stream=True), w.business.changes, [ST.write_records(out)], offsets, buffer,
+            available_now=True, manifest=manifest,
+        )
+        run.awaitTermination()
+    return ST.notified(w.spark.read.parquet(out), manifest).drop("batch")
+
+
+@query
+def notified_records(w):
+    """Records of a stream whose second notifier fails at first: seen only when both have ended."""
+    out, manifest, failed = new_folder(w.spark, "records"), new_folder(w.spark, "manifest"), []
+
+    def fails_once(records, batch_id):
+        if not failed:
+            failed.append(batch_id)
+            raise RuntimeError("planned failure of a notifier")
+
+    source, offsets = new_folder(w.spark, "commits"), new_folder(w.spark, "offsets")
+    w.graph.change.write.parquet(source)
+    for _ in range(2):
+        run = ST.classify_stream(
+            ST.read_changes(w.spark, source, stream=True), w.business.changes, [ST.write_records(out), fails_once],
+            offsets, available_now=True, manifest=manifest,
+        )
+        try:
+            run.awaitTermination()
+        except StreamingQueryException as e:
+            if "planned failure" not in str(e):
+                raise
+    return ST.notified(w.spark.read.parquet(out), manifest).drop("batch")
+
+
 @query
 def read_changes(w):
     folder = new_folder(w.spark, "commits")

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -17,24 +19,48 @@ def document_schema():
     return struct(DOCUMENT_SET)["documents"].dataType.elementType
 
 
+def _uri(spark: SparkSession, path: str) -> str:
+    """The path as the reader names it, with one slash behind its scheme."""
+    given = spark._jvm.org.apache.hadoop.fs.Path(path)
+    whole = given.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(given)
+    return re.sub(r"^(\w+):/+", r"\1:/", whole.toUri().toString())
+
+
+def _all_sets(spark: SparkSession, paths: list[str]) -> DataFrame:
+    """All files in one read; a file's set is found by its own path or that of its folder.
+
+    A path given twice is a set each time.
+    """
+    manifest = spark.createDataFrame(
+        [(_uri(spark, path), number) for number, path in enumerate(paths)], "_path string, set int"
+    )
+    files = (
+        spark.read.schema(struct(DOCUMENT_SET)).option("multiLine", True).option("mode", "FAILFAST")
+        .option("recursiveFileLookup", True).json(list(dict.fromkeys(paths)))
+        .select("documents", F.col("_metadata.file_path").alias("file"))
+    )
+    own = F.regexp_replace("file", r"^(\w+):/+", "$1:/")
+    folder = F.regexp_replace(own, r"(/block=\d+)?/[^/]*$", "")  # a set of several files has a folder for each
+    block = F.coalesce(F.regexp_extract("file", r"/block=(\d+)/[^/]*$", 1).try_cast("int"), F.lit(0))
+    placed = files.withColumn("block", block).withColumn("_path", F.explode(F.array(own, folder)))
+    rows = placed.join(F.broadcast(manifest), "_path")  # one row per path given
+    rows = rows.select("set", "block", "file", F.posexplode("documents").alias("place", "d"))
+    return rows.select("set", "block", "file", "place", "d.*")
+
+
 def read_document_sets(spark: SparkSession, paths: list[str], selection: DataFrame | None = None) -> DataFrame:
     """Documents of all files with their set (the path's place in ``paths``), block, file and place in the file.
 
     One malformed file fails the read; no path at all gives no documents. ``selection`` is appended as the
     last set, in the order of its package URIs.
     """
-    documents = spark.createDataFrame([], document_schema()).select(
-        F.lit(0).alias("set"), F.lit(0).alias("block"), F.lit(None).cast("string").alias("file"),
-        F.lit(0).alias("place"), "*",
-    )
-    for number, path in enumerate(paths):
-        sets = spark.read.schema(struct(DOCUMENT_SET)).option("multiLine", True).option("mode", "FAILFAST").json(path)
-        block = F.col("block").cast("int") if "block" in sets.columns else F.lit(0)  # of a set of several files
-        own = sets.select(
-            block.alias("block"), F.col("_metadata.file_path").alias("file"), F.posexplode("documents").alias("place", "d")
+    if paths:
+        documents = _all_sets(spark, paths)
+    else:
+        documents = spark.createDataFrame([], document_schema()).select(
+            F.lit(0).alias("set"), F.lit(0).alias("block"), F.lit(None).cast("string").alias("file"),
+            F.lit(0).alias("place"), "*",
         )
-        own = own.select(F.lit(number).alias("set"), "block", "file", "place", "d.*")
-        documents = own if number == 0 else documents.unionByName(own)
     if selection is None:
         return documents
     order = [F.col("characteristics.packageURI").asc_nulls_first(), F.col("toolSpecificPackageID").asc_nulls_first()]

@@ -29,12 +29,28 @@ def read_changes(
     return spark.readStream.schema(schema).option("maxBytesPerTrigger", str(bytes_per_batch)).parquet(folder)
 
 
-def notify_all(records: DataFrame, batch_id: int, notifiers: Sequence[Notifier]) -> None:
-    """Hand the records of one batch to every notifier; for several, they are written to the shared folder once."""
+def notify_all(
+    records: DataFrame, batch_id: int, notifiers: Sequence[Notifier], manifest: str | None = None
+) -> None:
+    """Hand the records of one batch to every notifier; for several, they are written to the shared folder once.
+
+    With ``manifest``, the batch is entered there when all of them have ended, and `notified` reads only what is
+    entered: either all notifiers' outputs of a batch are seen or none.
+    """
+    spark = records.sparkSession
     if len(notifiers) > 1:
         records = materialize(records, "change-batch")
     for notifier in notifiers:
         notifier(records, batch_id)
+    if manifest is not None:
+        entry = spark.range(1).select(F.lit(batch_id).cast("long").alias("batch"), F.lit(len(notifiers)).alias("notifiers"))
+        entry.write.mode("overwrite").parquet(f"{manifest}/entry-{batch_id}")
+
+
+def notified(output: DataFrame, manifest: str) -> DataFrame:
+    """The rows of a notifier's output, read with its column ``batch``, of batches that the manifest names."""
+    entered = output.sparkSession.read.schema("batch long, notifiers int").option("recursiveFileLookup", True).parquet(manifest)
+    return output.join(entered.select("batch").distinct(), output["batch"].cast("long") == entered["batch"], "left_semi")
 
 
 def as_messages(records: DataFrame) -> DataFrame:
@@ -66,13 +82,13 @@ def write_records(folder: str) -> Notifier:
 
 def classify_stream(
     changes: DataFrame, lookups: ChangeLookups, notifiers: Sequence[Notifier], checkpoint: str,
-    available_now: bool = False,
+    available_now: bool = False, manifest: str | None = None,
 ) -> StreamingQuery:
     """Classify each micro-batch of events and notify; stateless, so no watermark is needed."""
     writer = (
         classify_changes(changes, lookups)
         .writeStream.option("checkpointLocation", checkpoint)
-        .foreachBatch(lambda records, batch_id: notify_all(records, batch_id, notifiers))
+        .foreachBatch(lambda records, batch_id: notify_all(records, batch_id, notifiers, manifest))
     )
     if available_now:
         writer = writer.trigger(availableNow=True)
