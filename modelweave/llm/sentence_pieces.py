@@ -2,11 +2,13 @@
 
 A text's symbols (characters, blanks as U+2581, one such mark put before) stand in a chain. Every
 adjacent pair whose concatenation is a piece lies on an agenda ordered by score, then by place; the best
-pair is merged and its new neighbours are laid on the agenda, until that is empty. Symbols that are no
-piece become their UTF-8 bytes' pieces. No piece has a mark behind another character, so a run of marks
-with what follows it is encoded on its own, and one result serves all its occurrences. A text in ``check_every``
-(each one, unless asked otherwise) is encoded and decoded by the sentencepiece library as well, in its Arrow
-batch; a difference stops the job.
+pair is merged and its new neighbours are laid on the agenda, until that is empty (module ``agenda`` does this for
+many runs at a time). Symbols that are no
+piece become their UTF-8 bytes' pieces. Two neighbours that stand side by side in no piece are never merged, so
+texts are cut there (a table of byte pairs tells where; the place before a blank is one), every distinct run
+between cuts goes through the agenda once, and one result serves all its occurrences; runs are told apart by
+64-bit hashes. A text in ``check_every`` (each one, unless asked otherwise) is encoded and decoded by the
+sentencepiece library as well, a slice of its Arrow batch in one call; a difference stops the job.
 
 Defined results: a null or empty text has only the begin and end ids and decodes to the empty text.
 U+2581 in a text encodes like a blank and decodes to one. Rows are independent, so repeated rows get equal
@@ -17,18 +19,18 @@ from __future__ import annotations
 
 import hashlib
 import heapq
-import re
-from array import array
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from modelweave.llm.common import by_slices, keyed
+from modelweave.llm.agenda import Agenda
+from modelweave.llm.common import by_slices, keyed, texts_of
+from modelweave.llm.runs import RunTable
 
 MARK = "▁"
-CACHED = 500_000  # results kept per worker and kind of segment; then the cache starts anew
-CACHED_CHARS = 48
+CACHED = 400_000  # runs kept per worker
 CHECK_EVERY = 1
 
 
@@ -62,17 +64,25 @@ class Pieces:
             else " ⁇ ".encode() if p.type == 2 else b""
             for p in proto.pieces
         ]
-        # A newline that is in no longer piece never merges, so lines are encoded one by one.
-        self.by_line = not any("\n" in p for p in self.scores)
-        self.newline = self._packed(self.merged("\n"))
-        self.marked, self.plain = _Kept(self, MARK), _Kept(self, "")
-
-    @staticmethod
-    def _packed(ids) -> bytes:
-        out = array("I", ids)
-        if out.itemsize != 4 or array("I", [1]).tobytes()[0] != 1:
-            raise RuntimeError("needs little-endian 32-bit integers")
-        return out.tobytes()
+        self.cuts = self._cuts()
+        sizes = np.array([len(x) for x in self.surface])
+        self.surface_size, self.surface_at = sizes, np.cumsum(sizes) - sizes
+        self.surface_bytes = np.frombuffer(b"".join(self.surface), np.uint8)
+        self.is_byte = np.zeros(len(sizes), bool)
+        self.is_byte[self.bytes] = True
+        self.agenda = Agenda(self.ids, self.scores)
+        self.runs = RunTable("<u4", self._merged)
+
+    def _cuts(self) -> np.ndarray:
+        """For every pair of bytes, whether no merge can reach over the place between them."""
+        out = np.zeros((256, 256), bool)
+        plain = [MARK if b == 0x20 else chr(b) for b in range(128)]
+        for b, left in enumerate(plain):
+            out[b, :128] = [left + right not in self.pairs for right in plain]
+        out[128:, 0x20] = True  # no piece goes on behind a blank
+        if not any("\n" in p for p in self.scores):
+            out[0x0A, :], out[:, 0x0A] = True, True
+        return out
 
     def merged(self, segment: str) -> list[int]:
         """Ids of a segment, by the agenda of adjacent pairs."""
@@ -108,27 +118,55 @@ class Pieces:
                     out += [self.bytes[b] for b in symbol.encode()]
         return out
 
-    def _line(self, line: str, first: bool) -> bytes:
-        """Ids of a line whose blanks are still blanks."""
-        words = line.split(" ")
-        if "" not in words:
-            head = (self.marked if first else self.plain)[words[0]]
-            return head + b"".join(map(self.marked.__getitem__, words[1:])) if len(words) > 1 else head
-        line = (MARK if first else "") + line.replace(" ", MARK)
-        return b"".join(map(self.plain.__getitem__, re.findall(f"{MARK}+[^{MARK}]*|[^{MARK}]+", line)))
+    def _merged(self, runs: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all runs, number of ids of each): many runs at a time, long and rare ones by themselves."""
+        groups, left = self.agenda.ids(runs, MARK)
+        single = [(i, np.array(self.merged(runs[i].decode().replace(" ", MARK)), np.int64)) for i in left.tolist()]
+        counts = np.zeros(len(runs), np.int64)
+        for which, ids in groups:
+            counts[which] = ids.shape[1]
+        for i, ids in single:
+            counts[i] = len(ids)
+        at = np.cumsum(counts) - counts
+        out = np.empty(int(counts.sum()), "<u4")
+        for which, ids in groups:
+            out[at[which][:, None] + np.arange(ids.shape[1])] = ids
+        for i, ids in single:
+            out[at[i]:at[i] + len(ids)] = ids
+        return out, counts
+
+    def encoded(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all texts with begin and end ids, where each text's ids start, and the end of the last)."""
+        marked = [b" " + t.replace(MARK.encode(), b" ") if t else b"" for t in texts]
+        data = np.frombuffer(b"".join(marked), np.uint8)
+        sizes = np.fromiter(map(len, marked), np.int64, len(marked))
+        firsts = np.cumsum(sizes) - sizes
+        cut = np.zeros(len(data) + 1, bool)
+        cut[1:-1] = self.cuts[data[:-1], data[1:]] if len(data) else False
+        cut[firsts], cut[-1] = True, True
+        edges = np.flatnonzero(cut) if len(data) else np.zeros(1, np.int64)
+        self.runs.most = CACHED
+        ids, before = self.runs.ids(data, edges[:-1], edges[1:])
+        bounds = before[np.searchsorted(edges[:-1], np.append(firsts, len(data)))]
+        ids = np.insert(ids, np.repeat(bounds, 2)[1:-1], np.tile(np.array([self.begin, self.end], "<u4"), len(texts)))
+        return ids, bounds + 2 * np.arange(len(bounds))
 
     def packed(self, text: str) -> bytes:
         """Ids of a text with begin and end, as little-endian unsigned 32-bit integers."""
-        out = [self._packed([self.begin])]
-        if text:
-            lines = text.replace(MARK, " ").split("\n") if self.by_line else [text.replace(MARK, " ")]
-            out.append(self._line(lines[0], True))
-            for line in lines[1:]:
-                out.append(self.newline)
-                if line:
-                    out.append(self._line(line, False))
-        out.append(self._packed([self.end]))
-        return b"".join(out)
+        return self.encoded([text.encode()])[0].tobytes()
+
+    def decoded(self, ids: np.ndarray, bounds: np.ndarray) -> list[bytes]:
+        """The texts, in UTF-8, of what `encoded` gave."""
+        size = self.surface_size[ids]
+        before = np.concatenate(([0], np.cumsum(size)))
+        raw = self.surface_bytes[np.repeat(self.surface_at[ids] - before[:-1], size) + np.arange(before[-1])].tobytes()
+        at = before[bounds]
+        # the first piece of a text loses the blank put before it, but not the byte piece of a blank
+        piece = ~self.is_byte[ids[np.minimum(bounds[:-1] + 1, len(ids) - 1)]] if len(ids) else np.zeros(0, bool)
+        return [
+            raw[a + (raw[a:a + 1] == b" " and bool(p) and b > a):b]
+            for a, b, p in zip(at[:-1].tolist(), at[1:].tolist(), piece.tolist(), strict=True)
+        ]
 
     def decode(self, ids) -> str:
         """The text of ids: control ids are nothing, the first piece loses the blank put before the text."""
@@ -149,26 +187,6 @@ def checked(pieces: Pieces, of, text: str, ids: list[int], decoded: str) -> None
         raise RuntimeError(f"the library decodes the ids of id {of} otherwise")
 
 
-class _Kept(dict):
-    """Packed ids by segment, made when first asked for."""
-
-    def __init__(self, pieces: Pieces, before: str):
-        super().__init__()
-        self.pieces, self.before = pieces, before
-
-    def __missing__(self, segment: str) -> bytes:
-        last = len(segment) - 1
-        if last > 0 and segment[last - 1:] not in self.pieces.pairs:
-            packed = self[segment[:last]] + self.pieces.plain[segment[last]]  # no piece spans the last two
-        else:
-            packed = self.pieces._packed(self.pieces.merged(self.before + segment))
-        if len(segment) <= CACHED_CHARS:
-            if len(self) >= CACHED:
-                self.clear()
-            self[segment] = packed
-        return packed
-
-
 _LOADED: dict[bytes, Pieces] = {}
 
 
@@ -181,47 +199,45 @@ def loaded(model: bytes) -> Pieces:
     return _LOADED[key]
 
 
-def _per_text(docs: DataFrame, model_path: str, schema: T.StructType, row, id_col: str, text_col: str, check_every: int):
-    """Rows of ``schema``: the id and what ``row(packed ids, ids, decoded text)`` gives."""
+def _check(pieces: Pieces, of: pa.Array, texts: list[bytes], ids: np.ndarray, bounds: np.ndarray, decoded: list[bytes],
+           every: int) -> None:
+    """Stop if the library encodes or decodes one of every ``every`` texts otherwise; one call for all of them."""
+    asked = range(0, len(texts), every)
+    given = pieces.library.encode([texts[i].decode() for i in asked], add_bos=True, add_eos=True, num_threads=1)
+    back = pieces.library.decode(given, num_threads=1) if given else []
+    for i, theirs, text in zip(asked, given, back, strict=True):
+        own = ids[bounds[i]:bounds[i + 1]]
+        if len(theirs) != len(own) or (np.array(theirs, "<u4") != own).any() or text.encode() != decoded[i]:
+            checked(pieces, of[i], texts[i].decode(), own.tolist(), decoded[i].decode())
+
+
+def _per_text(docs: DataFrame, model_path: str, schema: T.StructType, columns, id_col: str, text_col: str, check_every: int):
+    """Rows of ``schema``: the id and the ``columns(ids, bounds, decoded texts)`` of a slice."""
     with open(model_path, "rb") as f:  # a few hundred kB, whatever the data
         model = docs.sparkSession.sparkContext.broadcast(f.read())
     names = schema.fieldNames()
 
     def batch(part: pa.RecordBatch) -> pa.RecordBatch:
-        pieces = loaded(model.value)
-        ids = part.column(0)
-        texts = part.column(1).to_pylist()
-        rows = []
-        for i, text in enumerate(texts):
-            packed = pieces.packed(text)
-            numbers = array("I", packed).tolist()
-            decoded = pieces.decode(numbers)
-            if i % check_every == 0:
-                checked(pieces, ids[i], text, numbers, decoded)
-            rows.append(row(packed, numbers, decoded))
-        columns = list(zip(*rows, strict=True)) or [()] * (len(names) - 1)
-        types = [_arrow(f.dataType) for f in schema.fields[1:]]
-        return pa.RecordBatch.from_arrays([ids, *(pa.array(c, t) for c, t in zip(columns, types, strict=True))], names)
+        pieces, texts = loaded(model.value), texts_of(part)
+        ids, bounds = pieces.encoded(texts)
+        decoded = pieces.decoded(ids, bounds)
+        _check(pieces, part.column(0), texts, ids, bounds, decoded, check_every)
+        return pa.RecordBatch.from_arrays([part.column(0), *columns(ids, bounds, decoded)], names)
 
     return keyed(docs, id_col, text_col).mapInArrow(by_slices(batch), schema)
 
 
-def _arrow(kind: T.DataType) -> pa.DataType:
-    if isinstance(kind, T.ArrayType):
-        return pa.list_(_arrow(kind.elementType))
-    return {T.LongType: pa.int64(), T.IntegerType: pa.int32(), T.StringType: pa.string()}[type(kind)]
-
-
 def encode(
     docs: DataFrame, model_path: str, id_col: str = "doc_id", text_col: str = "text", check_every: int = CHECK_EVERY
 ) -> DataFrame:
     """(id, ids array<int>, decoded): every whole text encoded, and its ids decoded again."""
     schema = T.StructType().add(id_col, "long").add("ids", T.ArrayType(T.IntegerType())).add("decoded", "string")
 
-    def row(packed: bytes, ids: list[int], decoded: str):
-        return ids, decoded
+    def columns(ids: np.ndarray, bounds: np.ndarray, decoded: list[bytes]):
+        lists = pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(ids.astype(np.int32)))
+        return lists, pa.array(decoded, pa.binary()).cast(pa.string())
 
-    return _per_text(docs, model_path, schema, row, id_col, text_col, check_every)
+    return _per_text(docs, model_path, schema, columns, id_col, text_col, check_every)
 
 
 def digests(
@@ -233,7 +249,11 @@ def digests(
         .add("decoded_sha256", "string")
     )
 
-    def row(packed: bytes, ids: list[int], decoded: str):
-        return len(ids), hashlib.sha256(packed).hexdigest(), hashlib.sha256(decoded.encode()).hexdigest()
+    def columns(ids: np.ndarray, bounds: np.ndarray, decoded: list[bytes]):
+        packed = [ids[a:b].tobytes() for a, b in zip(bounds[:-1], bounds[1:], strict=True)]
+        return (
+            pa.array(np.diff(bounds), pa.int64()), pa.array([hashlib.sha256(x).hexdigest() for x in packed], pa.string()),
+            pa.array([hashlib.sha256(x).hexdigest() for x in decoded], pa.string()),
+        )
 
-    return _per_text(docs, model_path, schema, row, id_col, text_col, check_every)
+    return _per_text(docs, model_path, schema, columns, id_col, text_col, check_every)
