@@ -1,7 +1,8 @@
 """MinHash near-dedup by a chosen-path set similarity join.
 
 The set of a document is its distinct 5-word shingles (words: runs without [\\x20\\x09-\\x0D], A-Z lower-
-cased; a text of fewer words is one shingle), as 64-bit hashes. Documents with equal sets are one node.
+cased; a text of fewer words is one shingle), as 64-bit hashes. Documents with equal sets are one node,
+which has a number of its own and is read from one of its rows.
 ``SLOTS`` minwise values sketch each set. In each of ``TREES`` independent trees all nodes stand at the root;
 every tree node chooses one slot or two (1 / similarity on average) by a hash of its path, and a document goes
 on to the child named by its value there. The first ``START`` branchings follow at once. Then a child with one
@@ -18,8 +19,7 @@ nothing.
 
 Defined results: null or empty texts have no set and are linked with nothing. Rows without id are no part of
 any component: their component is null, and they are kept. Repeated rows of one id are one document; if such
-rows have different texts, each row is in the component of its text, and the text with the most shingles
-confirms links. An empty table gives no rows.
+rows have different texts, each row is in the component of its own text. An empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -41,7 +41,7 @@ START = 2
 SMALL = 16
 VOTERS = 48
 NODES = 2
-BLOCK = 2048
+BLOCK = 1024
 DEPTH = 4  # branchings; nodes left then are settled like those mainly linked
 BROADCAST_IDS = 1_000_000  # rows of 16 bytes
 _SEEDS = np.random.default_rng(20240611).integers(1, 2**63, SLOTS, dtype=np.uint64) | np.uint64(1)
@@ -233,8 +233,11 @@ def _of_small(members: DataFrame) -> DataFrame:
 class Join:
     """The similarity join of one table: its nodes, the pairs compared so far and the parts found."""
 
-    def __init__(self, docs: DataFrame, nodes: DataFrame, id_col: str, text_col: str, similarity: int):
-        self.docs, self.nodes, self.similarity = docs, nodes, similarity
+    def __init__(
+        self, docs: DataFrame, nodes: DataFrame, id_col: str, text_col: str, similarity: int, rows: DataFrame | None = None
+    ):
+        """``rows`` (node, id, same) tells the row each node is read from; without it, a node is an id."""
+        self.docs, self.nodes, self.similarity, self.rows = docs, nodes, similarity, rows
         self.id_col, self.text_col = id_col, text_col
         self.parts: DataFrame | None = None
         self.tried: DataFrame | None = None
@@ -260,38 +263,54 @@ class Join:
 
     def _sets(self, ids: DataFrame) -> DataFrame:
         """(node, set) of some nodes, made again from their texts."""
-        ids = written(ids.distinct(), "compared")
+        ids = ids.distinct()
+        if self.rows is None:
+            ids = ids.select("node", F.col("node").alias("id"), F.lit(None).cast("string").alias("same"))
+        else:
+            ids = ids.join(self.rows, "node")
+        ids = written(ids, "compared")
         rows = self.docs.select(
-            self.docs[self.id_col].cast("long").alias("node"), F.coalesce(self.docs[self.text_col], F.lit("")).alias("text")
+            self.docs[self.id_col].cast("long").alias("id"), F.coalesce(self.docs[self.text_col], F.lit("")).alias("text")
         )
         few = ids.count() <= BROADCAST_IDS
-        rows = rows.join(F.broadcast(ids) if few else ids, "node")
+        rows = rows.join(F.broadcast(ids) if few else ids, "id").select("node", "same", "text")
 
         def make(batch: pa.RecordBatch) -> pa.RecordBatch:
+            texts = texts_of(batch)
+            # an id may have other texts; digests are made here, of the few rows asked for
+            own = [s is None or hashlib.md5(t).hexdigest() == s
+                   for s, t in zip(batch.column("same").to_pylist(), texts, strict=True)]
+            sets = _sets([t for t, keep in zip(texts, own, strict=True) if keep]) if any(own) else []
             return pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array([s.tobytes() for s in _sets(texts_of(batch))], pa.binary())], ["node", "set"]
+                [batch.column("node").filter(pa.array(own)), pa.array([s.tobytes() for s in sets], pa.binary())],
+                ["node", "set"],
             )
 
         made = rows.mapInArrow(by_slices(make), "node long, set binary")
-        return written(made.groupBy("node").agg(F.max_by("set", F.octet_length("set")).alias("set")), "sets")
+        return written(made.groupBy("node").agg(F.first("set").alias("set")), "sets")
 
     def settle(self, members: DataFrame) -> None:
         """Compare each document outside a node's main part with all documents of other parts, and merge.
 
-        A document that is outside in several nodes (much the same ones, in each tree) is compared in all of them,
-        the ``NODES`` largest first, then in ever more at a time; nodes whose main part it has joined meanwhile
-        are left out, as a link there changes nothing.
+        A document that is outside in several nodes (much the same ones, in each tree) is compared in all of them:
+        first in the ``NODES`` largest, then in the rest, without the nodes whose main part it has joined
+        meanwhile, as a link there changes nothing. The sets are made once for both.
         """
         largest = Window.partitionBy("node").orderBy(F.desc("size"), "path")
         outside = written(members.filter("part <> main").withColumn("_at", F.row_number().over(largest)), "outside")
-        last = NODES
-        while not outside.isEmpty():
-            self._in_blocks(members, outside.filter(F.col("_at") <= last).drop("_at"))
-            outside = outside.filter(F.col("_at") > last)
-            if self.parts is not None and not outside.isEmpty():
-                members = written(self._now(members), "members")
-                outside = written(self._now(outside).filter("part <> main"), "outside")
-            last = 2 * last + NODES
+        if outside.isEmpty():
+            return
+        asked = members.join(outside.select("path").distinct(), "path", "left_semi")
+        sets = self._sets(asked.select("node"))
+        self._in_blocks(members, outside.filter(F.col("_at") <= NODES).drop("_at"), sets)
+        outside = outside.filter(F.col("_at") > NODES)
+        if outside.isEmpty():
+            return
+        if self.parts is not None:
+            members = written(self._now(members), "members")
+            outside = written(self._now(outside).filter("part <> main"), "outside")
+        if not outside.isEmpty():
+            self._in_blocks(members, outside.drop("_at"), sets)
 
     def _now(self, members: DataFrame) -> DataFrame:
         """The rows with the parts known by now, ``main`` being the part its documents are in."""
@@ -300,7 +319,7 @@ class Join:
             members = members.join(to, of, "left").withColumn(column, F.coalesce("_to", of)).drop("_to")
         return members
 
-    def _in_blocks(self, members: DataFrame, outside: DataFrame) -> None:
+    def _in_blocks(self, members: DataFrame, outside: DataFrame, sets: DataFrame) -> None:
         """Compare the documents ``outside`` with all of other parts in their nodes, and merge.
 
         Blocks of documents meet by an equi-join on (node, block, block), counted through an inverted file of the
@@ -310,7 +329,6 @@ class Join:
         paths = outside.groupBy("path").agg(F.count(F.lit(1)).alias("asked"))
         inside = written(members.join(written(paths, "asked"), "path"), "inside")
         outside = outside.join(paths, "path")
-        sets = self._sets(inside.select("node"))
 
         keys, similarity = ["path", "x_block", "y_block"], self.similarity
 
@@ -381,13 +399,17 @@ class Join:
 def _judged(docs: DataFrame, id_col: str, text_col: str, similarity: int = SIMILARITY, trees: int = TREES) -> DataFrame:
     """(id, same, n, part, kept) of every document."""
     signed = written(signatures(docs, id_col, text_col), "signatures")
+    # Numbered when they are written, and read from there: an id may have several texts, a digest has one number.
     nodes = written(
         signed.filter("id is not null and digest is not null").groupBy("digest").agg(
-            F.min("id").alias("node"), F.first("n").alias("n"), F.first("sketch").alias("sketch")
+            F.min(F.struct("id", "same")).alias("row"), F.first("n").alias("n"), F.first("sketch").alias("sketch")
+        ).select(
+            F.monotonically_increasing_id().alias("node"), "digest", F.col("row.id").alias("id"),
+            F.col("row.same").alias("same"), "n", "sketch",
         ),
         "nodes",
     )
-    join = Join(docs, nodes, id_col, text_col, similarity)
+    join = Join(docs, nodes, id_col, text_col, similarity, nodes.select("node", "id", "same"))
     paths = F.explode(F.array(*[F.xxhash64(F.lit(t)) for t in range(trees)]))
     below = nodes.select(paths.alias("path"), "node", "sketch")
     for _ in range(START):
@@ -406,11 +428,15 @@ def _judged(docs: DataFrame, id_col: str, text_col: str, similarity: int = SIMIL
             break
         below = _children(mixed.join(nodes.select("node", "sketch"), "node"), similarity)
         far = _unlinked(below.select("path", "node"), join.parts)
-    rows = signed.join(nodes.select("digest", "node"), "digest", "left").select("id", "same", "n", "node")
+    named = nodes.select("node", "digest", F.col("id").alias("part"))
     if join.parts is not None:
-        rows = rows.join(join.parts, "node", "left")
-    part = F.coalesce("part", "node", "id") if join.parts is not None else F.coalesce("node", "id")
-    part = F.when(F.col("id").isNotNull(), part)
+        # a component is called by the smallest id of all its nodes
+        placed = nodes.select("node", "digest", "id").join(join.parts, "node", "left")
+        placed = placed.withColumn("part", F.coalesce("part", "node"))
+        smallest = placed.groupBy("part").agg(F.min("id").alias("_id"))
+        named = placed.join(smallest, "part").select("node", "digest", F.col("_id").alias("part"))
+    rows = signed.join(named.select("digest", "part"), "digest", "left")
+    part = F.when(F.col("id").isNotNull(), F.coalesce("part", "id"))
     return rows.select(
         "id", "same", "n", part.alias("part"), F.coalesce(F.col("id") == part, F.lit(True)).alias("kept")
     )

@@ -140,15 +140,17 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "quality", sample: in
     return np.mean(models, axis=0, dtype=np.float64) if models else np.zeros(BUCKETS + 1)
 
 
-def score_documents(docs: DataFrame, weights: np.ndarray, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The documents with a column ``score`` (0 to 1, higher: good quality likelier)."""
+def score_documents(
+    docs: DataFrame, weights: np.ndarray, id_col: str = "doc_id", text_col: str = "text", score_col: str = "score"
+) -> DataFrame:
+    """The documents with one more column, the score (0 to 1, higher: good quality likelier)."""
     shared = docs.sparkSession.sparkContext.broadcast(weights.astype(np.float32))  # 1 MB, whatever the data
 
     def score(texts: list[bytes]) -> np.ndarray:
         w = shared.value.astype(np.float64)
         return logistic(dots(w[:-1], texts) + w[-1])
 
-    return scored(docs, score, id_col, text_col)
+    return scored(docs, score, id_col, text_col, score_col)
 
 
 def classify(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

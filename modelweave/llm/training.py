@@ -61,8 +61,10 @@ def trained(sample: DataFrame, shards: int, fit: Callable[[list[bytes], np.ndarr
     return [bytes(r["model"]) for r in sorted(models, key=lambda r: r["shard"])]
 
 
-def scored(docs: DataFrame, score: Callable[[list[bytes]], np.ndarray], id_col: str, text_col: str) -> DataFrame:
-    """The documents' rows (all columns, as given) with a column ``score``."""
+def scored(
+    docs: DataFrame, score: Callable[[list[bytes]], np.ndarray], id_col: str, text_col: str, score_col: str = "score"
+) -> DataFrame:
+    """The documents' rows (all columns, as given) with one more column, the score."""
     from pyspark.sql import types as T
 
     names = docs.columns
@@ -76,4 +78,4 @@ def scored(docs: DataFrame, score: Callable[[list[bytes]], np.ndarray], id_col:
         )
 
     schema = T.StructType([*inner.schema.fields, T.StructField("score", T.DoubleType())])
-    return inner.mapInArrow(by_slices(batch, f"c{at}"), schema).toDF(*names, "score")
+    return inner.mapInArrow(by_slices(batch, f"c{at}"), schema).toDF(*names, score_col)

@@ -138,3 +138,17 @@ def test_a_row_is_dropped_by_its_own_text(spark):
     rows = [(1, texts[0]), (2, texts[0]), (2, texts[1])]
     kept = chosen_path.dedup(spark.createDataFrame(rows, "doc_id long, text string"))
     assert sorted((r.doc_id, r.text) for r in kept.collect()) == [(1, texts[0]), (2, texts[1])]
+
+
+def test_texts_of_one_id_are_nodes_of_their_own(spark):
+    """A near copy beside an unrelated text of the same id: the copy goes, the other stays, whichever is longer."""
+    random.seed(5)
+    a = " ".join(random.choices([f"a{i}" for i in range(300)], k=80))
+    for size in (30, 200):
+        b = " ".join(random.choices([f"b{i}" for i in range(300)], k=size))
+        rows = [(1, a), (2, a + " more"), (2, b), (3, "something else that stands alone"), (0, " ".join(random.choices([f"c{i}" for i in range(300)], k=90)))]
+        docs = spark.createDataFrame(rows, "doc_id long, text string")
+        kept = {(r.doc_id, r.text) for r in chosen_path.dedup(docs).collect()}
+        assert kept == {rows[0], rows[2], rows[3], rows[4]}
+        parts = Counter((r.doc_id, r.component_id) for r in chosen_path.components(docs).collect())
+        assert parts == Counter([(1, 1), (2, 1), (2, 2), (3, 3), (0, 0)])
