@@ -17,7 +17,8 @@ from modelweave.llm.common import table, written
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Without the documents whose quality score is below the threshold."""
     weights = quality.train(docs, table(spark, sf_dir, "labels"))
-    return quality.score_documents(docs, weights).filter(F.col("score") >= quality.THRESHOLD).select(*docs.columns)
+    scored = quality.score_documents(docs, weights, score_col="__quality")
+    return scored.filter(F.col("__quality") >= quality.THRESHOLD).drop("__quality")
 
 
 def line_deduplication(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -28,9 +29,10 @@ def line_deduplication(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
     return kept
 
 
-def near_deduplication(
-    spark: SparkSession, docs: DataFrame, sf_dir: str, similarity: int = chosen_path.SIMILARITY
-) -> DataFrame:
+NEAR = 80  # per cent of shingles that near copies share
+
+
+def near_deduplication(spark: SparkSession, docs: DataFrame, sf_dir: str, similarity: int = NEAR) -> DataFrame:
     """One document of each group of near copies: the one of smallest id."""
     return chosen_path.dedup(docs, similarity=similarity)
 
