@@ -43,6 +43,7 @@ VOTERS = 48
 NODES = 2
 BLOCK = 1024
 DEPTH = 4  # branchings; nodes left then are settled like those mainly linked
+FEW_LINKS = 200_000  # 16 bytes each
 BROADCAST_IDS = 1_000_000  # rows of 16 bytes
 _SEEDS = np.random.default_rng(20240611).integers(1, 2**63, SLOTS, dtype=np.uint64) | np.uint64(1)
 
@@ -91,11 +92,33 @@ def _same(text: Column) -> Column:
 # ---------------------------------------------------------------- components
 
 
+def _united(batches):
+    """From all links (a, b) that are left: (node, part) of their nodes, by union-find."""
+    root: dict[int, int] = {}
+
+    def find(x: int) -> int:
+        while (up := root.setdefault(x, x)) != x:
+            root[x] = x = root[up]
+        return x
+
+    for batch in batches:
+        for a, b in zip(batch.column("a").to_pylist(), batch.column("b").to_pylist(), strict=True):
+            a, b = find(a), find(b)
+            root[max(a, b)] = min(a, b)
+    nodes = list(root)
+    for at in range(0, len(nodes), 10_000):
+        some = nodes[at:at + 10_000]
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(some, pa.int64()), pa.array([find(x) for x in some], pa.int64())], ["node", "part"]
+        )
+
+
 def merge_components(parts: DataFrame | None, links: DataFrame) -> DataFrame:
     """(node, part): the component of every linked node, its smallest node, after more links (a, b).
 
     Every round each node points to its smallest neighbour and the links are drawn between the nodes pointed
-    to; each component at least halves, and its smallest node never moves.
+    to; each component at least halves, and its smallest node never moves. Once at most ``FEW_LINKS`` links are
+    left, one task finishes them: a bounded number, whatever the table.
     """
     edges = links.select("a", "b")
     if parts is not None:
@@ -108,16 +131,22 @@ def merge_components(parts: DataFrame | None, links: DataFrame) -> DataFrame:
             edges.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).filter("a <> b").distinct(),
             "links",
         )
-        if edges.isEmpty():
+        left = edges.count()  # of a written table: its file footers
+        if left == 0:
             break
-        ends = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        points = written(
-            ends.groupBy(F.col("a").alias("node")).agg(F.least(F.min("b"), F.first("a")).alias("part")), "points"
-        )
+        if left <= FEW_LINKS:
+            points = written(edges.coalesce(1).mapInArrow(_united, "node long, part long"), "points")
+        else:
+            ends = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
+            points = written(
+                ends.groupBy(F.col("a").alias("node")).agg(F.least(F.min("b"), F.first("a")).alias("part")), "points"
+            )
         to = points.select(F.col("node").alias("part"), F.col("part").alias("_to"))
         mapping = points if mapping is None else mapping.join(to, "part", "left").select(
             "node", F.coalesce("_to", "part").alias("part")
         )
+        if left <= FEW_LINKS:
+            break
         for side in ("a", "b"):
             to = points.select(F.col("node").alias(side), F.col("part").alias("_to"))
             edges = edges.join(to, side).withColumn(side, F.col("_to")).drop("_to")

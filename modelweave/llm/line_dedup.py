@@ -3,9 +3,13 @@
 A document is cut at newlines. The key of a line is the line without white space (blank and 09-0D) at
 its ends, A-Z lower-cased, as a 128-bit hash. Batches of documents are added one after the other: a
 batch's keys are merge-anti-joined with the runs so far, which tells the keys never seen before, and
-become a sorted run of their own (key, documents, last document). When a level holds ``FANOUT`` runs
-they are compacted into one run of the next level, so a key is read in few runs however many batches
-there were. At the end the runs tell for each key in how many documents it stands and which is the last.
+become a sorted run of their own: first sights of new keys, and sights of known ones. When a level holds
+``FANOUT`` runs they are compacted into one run of the next level, so a key is read in few runs however many
+batches there were. At the end a key's first sight, which stands in one run only, takes up all its later ones:
+in how many documents it stands and which is the last.
+
+The lines a document loses are found again by a 64-bit hash of the line as it stands, which is compared within
+the document only; a document that loses more than ``LISTED`` different lines is joined with them line by line.
 
 Defined results: a null or empty text is one empty line and stays so. A row without id loses nothing
 and counts as no document. Repeated rows of one id count as one document and are treated alike.
@@ -26,6 +30,7 @@ MIN_CHARS = 40
 MIN_DOCS = 5
 BATCHES = 4  # documents enter in so many batches, dealt by a hash of their id
 FANOUT = 2
+LISTED = 500  # lost lines of a document that are looked through for each of its lines
 WHITE = " \t\n\x0b\f\r"
 
 
@@ -39,7 +44,8 @@ def line_key(line: Column, min_chars: int = MIN_CHARS) -> Column:
 class LineRuns:
     """Runs of (key, docs, last_doc, fresh) by level, each a table in the shared folder, sorted by key.
 
-    ``fresh`` marks the run that saw the key first; over all runs a key has exactly one such row.
+    ``fresh`` marks the first sight of a key, which the anti-join tells; over all runs a key has exactly one such
+    row. Keys without one are not known.
     """
 
     def __init__(self, fanout: int = FANOUT):
@@ -91,39 +97,48 @@ class LineRuns:
         )
 
     def totals(self) -> DataFrame | None:
-        """(key, docs, last_doc) over all runs."""
-        runs = self.runs()
-        return runs[0] if len(runs) == 1 else self.merged(runs) if runs else None
+        """(key, docs, last_doc) of all known keys: their first sights with the later ones of other runs."""
+        if not self.runs():
+            return None
+        every = reduce(DataFrame.unionByName, self.runs())
+        first = every.filter("fresh").select("key", "docs", "last_doc")
+        later = every.filter("not fresh").groupBy("key").agg(
+            F.sum("docs").alias("_docs"), F.max("last_doc").alias("_last")
+        )
+        return first.join(later, "key", "left").select(
+            "key", (F.col("docs") + F.coalesce("_docs", F.lit(0))).alias("docs"),
+            F.greatest("last_doc", "_last").alias("last_doc"),
+        )
 
 
 def _lines(docs: DataFrame, id_col: str, text_col: str, min_chars: int) -> DataFrame:
+    """(id, key, raw): the lines with a key; ``raw`` is a hash of the line as it stands."""
     line = F.explode(F.split(docs[text_col].cast("string"), "\n", -1))
     return (
         docs.filter(docs[id_col].isNotNull() & (F.char_length(docs[text_col]) >= min_chars))
         .select(docs[id_col].cast("long").alias("id"), line.alias("line"))
         .filter(F.char_length("line") >= min_chars)
-        .select("id", line_key(F.col("line"), min_chars).alias("key"))
+        .select("id", line_key(F.col("line"), min_chars).alias("key"), F.xxhash64("line").alias("raw"))
         .filter("key is not null")
     )
 
 
-def dropped_keys(
+def lost_lines(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_chars: int = MIN_CHARS,
     min_docs: int = MIN_DOCS, batches: int = BATCHES,
 ) -> DataFrame:
-    """(id, keys): the line keys each document loses; documents that lose none are absent."""
+    """(id, raw): the different lines each document loses, by the hash of the line."""
     lines = written(
         _lines(docs, id_col, text_col, min_chars)
         .withColumn("batch", F.pmod(F.xxhash64("id"), F.lit(batches)).cast("int"))
-        .dropDuplicates(["id", "key"]),
+        .dropDuplicates(["id", "key", "raw"]),
         "line-keys",
     )
     runs = LineRuns()
     for batch in range(batches):
         runs.add(lines.filter(F.col("batch") == batch).select("id", "key"))
     common = runs.totals().filter(F.col("docs") >= min_docs).select("key", "last_doc")
-    lost = lines.join(common, "key").filter(F.col("id") != F.col("last_doc"))
-    return lost.groupBy("id").agg(F.collect_set("key").alias("keys"))
+    return lines.join(common, "key").filter(F.col("id") != F.col("last_doc")).select("id", "raw")
 
 
 def dedup_lines(
@@ -132,22 +147,46 @@ def dedup_lines(
 ) -> DataFrame:
     """The documents with their repeated lines taken out of ``text_col``.
 
-    With ``counts``, the columns ``n_lines`` and ``n_dropped`` follow.
+    With ``counts``, the columns ``n_lines`` and ``n_dropped`` follow (in place of columns of these names).
     """
-    drops = dropped_keys(docs, id_col, text_col, min_chars, min_docs, batches)
-    drops = drops.select(F.col("id").alias("__line_id"), F.col("keys").alias("__line_keys"))
-    joined = docs.join(drops.hint("shuffle_hash"), docs[id_col].cast("long") == F.col("__line_id"), "left")
-    lines = F.split(F.coalesce(docs[text_col].cast("string"), F.lit("")), "\n", -1)
-
-    def stays(line: Column) -> Column:
-        key = line_key(line, min_chars)
-        return key.isNull() | ~F.array_contains(F.col("__line_keys"), key)
-
-    kept = F.when(F.col("__line_keys").isNull(), lines).otherwise(F.filter(lines, stays))
-    joined = joined.withColumn("__line_kept", kept)
-    text = F.when(F.col("__line_keys").isNull(), docs[text_col]).otherwise(F.array_join("__line_kept", "\n"))
-    out = [text.alias(c) if c == text_col else docs[c] for c in docs.columns]
+    lost = written(lost_lines(docs, id_col, text_col, min_chars, min_docs, batches), "line-lost")
+    sizes = lost.groupBy("id").agg(F.count(F.lit(1)).alias("n"))
+    many = sizes.filter(F.col("n") > LISTED).select("id")
+    given = [c for c in docs.columns if not (counts and c in ("n_lines", "n_dropped"))]
+    names = [f"c{i}" for i in range(len(given))]
+    rows = docs.select(*[docs[c].alias(n) for c, n in zip(given, names, strict=True)])
+    at, of = names[given.index(id_col)], names[given.index(text_col)]
+
+    listed = lost.join(many, "id", "left_anti").groupBy("id").agg(F.collect_set("raw").alias("lost"))
+    listed = listed.unionByName(many.withColumn("lost", F.lit(None).cast("array<bigint>")))
+    joined = rows.join(
+        listed.withColumn("long", F.col("lost").isNull()).hint("shuffle_hash"), rows[at].cast("long") == F.col("id"), "left"
+    )
+    lines = F.split(F.coalesce(F.col(of).cast("string"), F.lit("")), "\n", -1)
+    kept = F.when(F.col("lost").isNull(), lines).otherwise(
+        F.filter(lines, lambda line: ~F.array_contains(F.col("lost"), F.xxhash64(line)))
+    )
+    short = joined.filter(~F.coalesce("long", F.lit(False))).withColumn("kept", kept)
+    text = F.when(F.col("lost").isNull(), F.col(of)).otherwise(F.array_join("kept", "\n"))
+    n = F.size(lines).cast("long")
+    short = short.select(*[text.alias(c) if c == of else c for c in names], n.alias("n"), (n - F.size("kept")).alias("m"))
+
+    out = short.unionByName(_line_by_line(joined.filter("long").select(*names, "id"), lost, names, of))
+    picked = [F.col(n).alias(c) for n, c in zip(names, given, strict=True)]
     if counts:
-        n = F.size(lines).cast("long")
-        out += [n.alias("n_lines"), (n - F.size("__line_kept")).alias("n_dropped")]
-    return joined.select(*out)
+        picked += [F.col("n").alias("n_lines"), F.col("m").cast("long").alias("n_dropped")]
+    return out.select(*picked)
+
+
+def _line_by_line(rows: DataFrame, lost: DataFrame, names: list[str], of: str) -> DataFrame:
+    """The same for documents that lose many lines, by a join on (id, line)."""
+    rows = written(rows.withColumn("row", F.monotonically_increasing_id()), "line-long")
+    cut = rows.select("row", "id", F.posexplode(F.split(F.col(of).cast("string"), "\n", -1)).alias("place", "line"))
+    gone = lost.withColumn("gone", F.lit(True))
+    marked = cut.withColumn("raw", F.xxhash64("line")).join(gone, ["id", "raw"], "left")
+    kept = F.collect_list(F.when(F.col("gone").isNull(), F.struct("place", "line")))
+    again = marked.groupBy("row").agg(
+        F.array_sort(kept).alias("kept"), F.count(F.lit(1)).alias("n"), F.count("gone").alias("m")
+    )
+    text = F.array_join(F.transform("kept", lambda x: x["line"]), "\n")
+    return rows.join(again, "row").select(*[text.alias(c) if c == of else c for c in names], "n", "m")

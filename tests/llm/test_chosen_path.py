@@ -1,6 +1,7 @@
 import random
 from collections import Counter, defaultdict
 
+import pytest
 from pyspark.sql import functions as F
 
 from corpus_pipeline import near_deduplication
@@ -82,7 +83,9 @@ def test_large_groups_and_shared_passages(spark, monkeypatch):
     assert {i for i in kept if i < 60} == {0} and {i for i in kept if 100 <= i < 200} == {100}
 
 
-def test_merging_components(spark):
+@pytest.mark.parametrize("few", [0, 6, 200_000])
+def test_merging_components(spark, monkeypatch, few):
+    monkeypatch.setattr(chosen_path, "FEW_LINKS", few)
     links = spark.createDataFrame([(i, i + 1) for i in range(1, 20)] + [(50, 40), (60, 61)], "a long, b long")
     parts = chosen_path.merge_components(None, links)
     more = spark.createDataFrame([(20, 40), (70, 61), (5, 6)], "a long, b long")

@@ -1,5 +1,6 @@
 from collections import Counter, defaultdict
 
+from modelweave.llm import line_dedup
 from modelweave.llm.line_dedup import LineRuns, dedup_lines
 from tests.llm.cases import LINE, edge_documents, no_documents
 
@@ -35,6 +36,25 @@ def test_awkward_rows_equal_brute_force(spark):
     assert sum(LINE in r[1] for r in rows) == 1  # upper case is the same key; the largest id keeps it
 
 
+def test_documents_that_lose_many_lines_equal_brute_force(spark, monkeypatch):
+    monkeypatch.setattr(line_dedup, "LISTED", 1)
+    lines = [f"Line {n} of more than forty characters, held by many documents." for n in range(5)]
+    rows = [(i, "\n".join([f"own {i}", *lines[:i % 6], "", "  " + lines[0].upper() + "\t", lines[1]])) for i in range(12)]
+    rows += [(3, "another text\n" + lines[1]), (None, lines[0]), (50, None)]
+    docs = spark.createDataFrame([(*r, 1, 2) for r in rows], "doc_id long, text string, n_lines int, lost int")
+    got = dedup_lines(docs, counts=True)
+    assert got.columns == ["doc_id", "text", "lost", "n_lines", "n_dropped"]
+    assert Counter((r.doc_id, r.text or "", r.n_lines, r.n_dropped) for r in got.collect()) == Counter(brute(rows))
+
+
+def test_the_anti_join_decides(spark, monkeypatch):
+    docs = edge_documents(spark)
+    rows = [(r.doc_id, r.text) for r in docs.collect()]
+    kept = Counter((i, t) for i, t, _, _ in brute(rows))
+    monkeypatch.setattr(LineRuns, "unseen", lambda self, keys: keys.filter("false"))
+    assert Counter((r.doc_id, r.text or "") for r in dedup_lines(docs).collect()) != kept
+
+
 def test_no_rows(spark):
     assert dedup_lines(no_documents(spark), counts=True).count() == 0
 
