@@ -41,7 +41,7 @@ START = 2
 SMALL = 16
 VOTERS = 48
 NODES = 2
-BLOCK = 1024
+BLOCK = 2048
 DEPTH = 4  # branchings; nodes left then are settled like those mainly linked
 FEW_LINKS = 200_000  # 16 bytes each
 BROADCAST_IDS = 1_000_000  # rows of 16 bytes
