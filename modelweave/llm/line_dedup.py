@@ -36,8 +36,10 @@ WHITE = " \t\n\x0b\f\r"
 
 def line_key(line: Column, min_chars: int = MIN_CHARS) -> Column:
     """Hash of the normal form of a line; null when that is shorter than ``min_chars`` code points."""
-    # the byte-wise forms of lower() differ outside A-Z, so the letters are named
-    plain = F.translate(F.btrim(line, F.lit(WHITE)), string.ascii_uppercase, string.ascii_lowercase)
+    bare = F.btrim(line, F.lit(WHITE))
+    # lower() changes more than A-Z where there are other characters than ASCII, so the letters are named there
+    named = F.translate(bare, string.ascii_uppercase, string.ascii_lowercase)
+    plain = F.when(F.octet_length(bare) == F.char_length(bare), F.lower(bare)).otherwise(named)
     return F.when(F.char_length(plain) >= min_chars, F.unhex(F.md5(plain)))
 
 
