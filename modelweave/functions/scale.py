@@ -8,11 +8,11 @@ from __future__ import annotations
 
 import math
 import uuid
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from functools import reduce
 from operator import or_
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 
 # A lookup is broadcast only when it was counted and has at most this many (narrow) rows;
@@ -22,6 +22,7 @@ BROADCAST_ROWS = 200_000
 HOT_ROWS = 2_000_000
 # Rows without a key are spread over this many salts once any key is hot.
 NULL_KEY_SALTS = 10_000
+BUCKETED = "modelweave_bucketed_"
 
 
 def _broadcast_rows(spark: SparkSession, given: int | None) -> int:
@@ -69,6 +70,40 @@ def materialize(df: DataFrame, label: str, partition_by: Sequence[str] = ()) ->
     return spark.read.schema(df.schema).parquet(path)
 
 
+def measured(df: DataFrame, label: str, metrics: Mapping[str, Column]) -> tuple[DataFrame, dict[str, object]]:
+    """`materialize`, with aggregates over its rows taken by the tasks that write them; no second scan.
+
+    The aggregates are observed in the stage that writes, and Spark takes a task of an action's last stage into
+    account once, however often it ran, so they stay exact when executors are lost.
+    """
+    seen = Observation()
+    kept = materialize(df.observe(seen, *[value.alias(name) for name, value in metrics.items()]), label)
+    return kept, dict(seen.get)
+
+
+def bucketed(df: DataFrame, label: str, keys: Sequence[str], buckets: int | None = None) -> DataFrame:
+    """`materialize` into buckets of ``keys``, each sorted by them: a join on the keys reads them without a shuffle.
+
+    As many buckets as shuffle partitions, or as given for larger tables; every bucket is one file, written by the
+    one task that holds it. Spark sorts what it reads of a bucket once more, which costs little on sorted rows. One
+    key is one bucket: it is meant for tables whose keys are all but unique. `drop_bucketed` takes the tables out of the session's catalog.
+    """
+    spark = df.sparkSession
+    count = int(spark.conf.get("spark.sql.shuffle.partitions")) if buckets is None else buckets
+    name = f"{BUCKETED}{label}_{uuid.uuid4().hex}".replace("-", "_")
+    (
+        df.repartition(count, *keys).write.bucketBy(count, *keys).sortBy(*keys)
+        .option("path", new_folder(spark, label)).format("parquet").saveAsTable(name)
+    )
+    return spark.table(name)
+
+
+def drop_bucketed(spark: SparkSession) -> None:
+    """Take the tables that `bucketed` made out of the catalog; `remove_folders` removes their files."""
+    for table in spark.catalog.listTables(pattern=f"{BUCKETED}*"):
+        spark.sql(f"DROP TABLE IF EXISTS {table.name}")
+
+
 def hot_keys(df: DataFrame, keys: Sequence[str], hot_rows: int) -> DataFrame:
     """Keys with more than ``hot_rows`` rows and their counts; counted map-side first."""
     return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows")).filter(F.col("_rows") > hot_rows)
@@ -141,8 +176,9 @@ def numbered(
     order: Sequence[str | Column],
     out: str = "index",
     hot_rows: int | None = None,
+    rows: int | None = None,
 ) -> DataFrame:
-    """0-based position of each row within its key, by ``order``.
+    """0-based position of each row within its key, by ``order``; ``rows`` is their number where it is known.
 
     Keys must not be null. Ordinary keys use one window. A hot key is range-partitioned by key and order, numbered within
     each range, and shifted by the sizes of the ranges before it, so no task holds the whole key.
@@ -151,7 +187,7 @@ def numbered(
     hot_rows = _hot_rows(df.sparkSession, hot_rows)
     ordering = [F.col(c) if isinstance(c, str) else c for c in order]
     in_key = (F.row_number().over(Window.partitionBy(*keys).orderBy(*ordering)) - 1).cast("int")
-    if df.count() <= hot_rows:  # no key has more rows than the table
+    if (df.count() if rows is None else rows) <= hot_rows:  # no key has more rows than the table
         return df.withColumn(out, in_key)
     hot = materialize(hot_keys(df, keys, hot_rows), "hot-keys")
     sizes = hot.agg(F.count(F.lit(1)).alias("n"), F.sum("_rows").alias("rows")).first()

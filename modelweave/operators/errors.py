@@ -2,18 +2,19 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable
+from collections.abc import Callable, Iterable, Mapping
 from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from modelweave.functions.scale import materialize, numbered
+from modelweave.functions.scale import materialize, measured, numbered
 from modelweave.schemas import ERRORS, struct
 
 ERROR_COLUMNS = ("resource", "element", "severity", "code", "message")
 MESSAGES_PER_ROW = 1000
+SEVERITIES = ("warning", "error", "fatal")
 
 
 @dataclass(frozen=True)
@@ -88,6 +89,46 @@ class Chain:
         return union_all(self._gates)
 
 
+@dataclass(frozen=True)
+class Report:
+    """Errors of several steps, each once and with the first ``step`` that gave it, and their counts."""
+
+    errors: DataFrame
+    counts: dict[tuple[str, str], int]
+
+    def by_step(self) -> DataFrame:
+        """(step, severity, n) of the steps and severities that have errors: one row each, however many errors."""
+        found = [(step, severity, n) for (step, severity), n in self.counts.items() if n]
+        return self.errors.sparkSession.createDataFrame(found, "step string, severity string, n long")
+
+    def stop(self, severity: str = "fatal") -> None:
+        """Raise if any step has an error of this severity; the message says how many each has."""
+        bad = {step: n for (step, own), n in self.counts.items() if own == severity and n}
+        if bad:
+            raise ValueError(f"{severity} errors: " + ", ".join(f"{step} {n}" for step, n in bad.items()))
+
+
+def report(steps: Mapping[str, DataFrame]) -> Report:
+    """The errors of named steps, written once; the counts by step and severity come from that same pass.
+
+    An error that several steps give counts for the first of them. Steps without errors are in ``counts`` with 0.
+    """
+    names = list(steps)
+    placed = union_all(e.select(*ERROR_COLUMNS, F.lit(i).alias("_at")) for i, e in enumerate(steps.values()))
+    once = placed.groupBy(*ERROR_COLUMNS).agg(F.min("_at").alias("_at"))
+    wanted = {(i, severity): f"n{i}_{severity}" for i in range(len(names)) for severity in SEVERITIES}
+    metrics = {
+        name: F.count_if((F.col("_at") == i) & (F.col("severity") == severity))
+        for (i, severity), name in wanted.items()
+    }
+    kept, seen = measured(once, "report", metrics)
+    step = F.element_at(F.array(*[F.lit(n) for n in names]), F.col("_at") + 1)
+    return Report(
+        kept.select(*ERROR_COLUMNS, step.alias("step")),
+        {(names[i], severity): int(seen[name]) for (i, severity), name in wanted.items()},
+    )
+
+
 def distinct_errors(errors: DataFrame) -> DataFrame:
     """An error that reached the report over two paths is one error."""
     return errors.select(*ERROR_COLUMNS).distinct()
@@ -102,15 +143,16 @@ def errors_by_element(
     ``block``, so that no text is unbounded and no message is lost. ``n_of_element`` counts the messages
     of the element, ``n_of_all`` those of the report.
     """
-    keyed = materialize(
+    keyed, seen = measured(
         distinct_errors(errors).select(
             F.coalesce("element", F.lit(root)).alias("element"), "code", "message", "resource", "severity"
         ),
         "errors",
+        {"n": F.count(F.lit(1))},
     )
     order = [F.col(c).asc_nulls_first() for c in ("code", "message", "resource", "severity")]
-    total = keyed.count()  # of a written table: its file footers
-    placed = numbered(keyed, ["element"], order, out="_place", hot_rows=hot_rows)
+    total = int(seen["n"])
+    placed = numbered(keyed, ["element"], order, out="_place", hot_rows=hot_rows, rows=total)
     block = F.floor(F.col("_place") / messages_per_row).cast("int")
     said = F.transform(
         F.array_sort(F.collect_list(F.struct("_place", "message"))), lambda m: F.coalesce(m["message"], F.lit("null"))

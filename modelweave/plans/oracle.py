@@ -375,15 +375,28 @@ FROM {{raw_import}} i JOIN {{raw_document}} o ON o.scope_package = i.importer AN
 LEFT JOIN {{raw_document}} d ON d.scope_package = i.imported WHERE d.resource IS NULL AND {condition}"""
 
 
-# One entry for each family of errors.
-_ERROR_FAMILIES = [
-    "SELECT * FROM {application_error}", "SELECT * FROM {element_error}", "SELECT * FROM {package_error}",
-    "SELECT resource, element, severity, code, message FROM {tag_ref_error}", "SELECT * FROM {tag_error}",
-    "SELECT * FROM {link_error}", STATEMENTS["stereotype_extends_errors"],
-    STATEMENTS["stereotype_metaclass_prop_errors"], _import_warnings("Library"), _import_warnings("Metamodel"),
-    _import_warnings("Profile", "i.imported_kind = 'Profile'"),
-]
-CHECKS["every_error"] = " UNION ALL ".join(f"SELECT * FROM ({e}) AS e" for e in _ERROR_FAMILIES)
+# step -> its errors, in the order of the steps
+_ERROR_STEPS = {
+    "Library imports": _import_warnings("Library"),
+    "Metamodel imports": _import_warnings("Metamodel"),
+    "Profile imports": _import_warnings("Profile", "i.imported_kind = 'Profile'"),
+    "applied stereotypes": "SELECT * FROM {application_error}",
+    "elements": "SELECT * FROM {element_error}",
+    "document packages": "SELECT * FROM {package_error}",
+    "references": "SELECT resource, element, severity, code, message FROM {tag_ref_error}",
+    "structured tags": "SELECT * FROM {tag_error}",
+    "links": "SELECT * FROM {link_error}",
+    "extended metaclasses": STATEMENTS["stereotype_extends_errors"],
+    "metaclass properties": STATEMENTS["stereotype_metaclass_prop_errors"],
+}
+CHECKS["every_error"] = " UNION ALL ".join(f"SELECT * FROM ({e}) AS e" for e in _ERROR_STEPS.values())
+_placed = " UNION ALL ".join(
+    f"SELECT resource, element, severity, code, message, {place} AS place, '{step}' AS step FROM ({errors}) AS e"
+    for place, (step, errors) in enumerate(_ERROR_STEPS.items())
+)
+STATEMENTS["errors_by_step"] = f"""SELECT step, severity, count(*) AS n FROM (
+  SELECT severity, arg_min(step, place) AS step FROM ({_placed}) AS p GROUP BY resource, element, severity, code, message
+) AS e GROUP BY 1, 2"""
 
 # step of the export chain -> (its rows, its errors)
 _GATES = {

@@ -653,23 +653,35 @@ def append_errors(w):
     return _applied(w).errors
 
 
-def _all_errors(w) -> DataFrame:
-    """Errors of all steps, warnings included."""
+def _error_steps(w) -> dict[str, DataFrame]:
+    """Errors of all steps, warnings included, by the name of the step."""
     g = w.graph
-    imports = [
-        D.package_imports(getattr(g, "import"), g.document, kind, **options).errors
+    imports = {
+        f"{kind} imports": D.package_imports(getattr(g, "import"), g.document, kind, **options).errors
         for kind, options in (("Library", {}), ("Metamodel", {}), ("Profile", {"imported_kind": "Profile"}))
-    ]
-    return E.append(
-        E.Result(g.document.limit(0), E.union_all(imports)),
-        *[E.Result(g.document.limit(0), errors) for errors in (
-            _applied(w).errors, O.model_elements(_model_rows(w), w.business.classes).errors,
-            D.lookup_document_packages(g.configuration, g.element).errors, _tag_refs(w, True).errors,
-            _tag_refs(w, False).errors, V.ordered_structured_tags(w.tags), K.link_errors(_matched(w)),
-            P.stereotype_extends(g.feature, w.stereotypes, g.type, w.business.classes).errors,
+    }
+    return imports | {
+        "applied stereotypes": _applied(w).errors,
+        "elements": O.model_elements(_model_rows(w), w.business.classes).errors,
+        "document packages": D.lookup_document_packages(g.configuration, g.element).errors,
+        "references": _tag_refs(w, True).errors.unionByName(_tag_refs(w, False).errors),
+        "structured tags": V.ordered_structured_tags(w.tags),
+        "links": K.link_errors(_matched(w)),
+        "extended metaclasses": P.stereotype_extends(g.feature, w.stereotypes, g.type, w.business.classes).errors,
+        "metaclass properties":
             P.stereotype_metaclass_props(g.feature, w.stereotypes, g.type, w.business.classes).errors,
-        )],
-    ).errors
+    }
+
+
+def _all_errors(w) -> DataFrame:
+    none = w.graph.document.limit(0)
+    return E.append(*[E.Result(none, errors) for errors in _error_steps(w).values()]).errors
+
+
+@query
+def errors_by_step(w):
+    """Every error once, counted by the first step that gives it, in the pass that writes the report."""
+    return E.report(_error_steps(w)).by_step()
 
 
 @query
@@ -858,7 +870,7 @@ def profiles_and_models_round_trip(w):
 def unresolved_references(w):
     export = w.model_export
     universes = {
-        "elements": _model_rows(w), "metaClasses": w.business.classes, "attributes": w.business.attributes,
+        "elements": w.element_keys, "metaClasses": w.business.classes, "attributes": w.business.attributes,
         "literals": w.graph.literal, "stereotypes": w.stereotypes, "features": w.graph.feature,
         "profiles": w.graph.document.select(F.col("scope_package").alias("uuid")),
         "associations": w.business.views.select(F.col("association").alias("uuid")),

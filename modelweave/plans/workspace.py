@@ -7,7 +7,7 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from modelweave.functions.scale import materialize, remove_folders
+from modelweave.functions.scale import bucketed, drop_bucketed, materialize, remove_folders
 from modelweave.operators import documents as D
 from modelweave.operators import lookups as U
 from modelweave.operators import metamodel as M
@@ -140,6 +140,12 @@ class Workspace:
     def selection_errors(self) -> DataFrame:
         return self._selected[1]
 
+    @cached_property
+    def element_keys(self) -> DataFrame:
+        """The uuids of all model elements in sorted buckets, for the joins that look references up in them."""
+        own = D.in_documents(self.graph.element, self.graph.document, "Model")
+        return bucketed(own.select("uuid").filter("uuid IS NOT NULL"), "element-keys", ["uuid"])
+
     @cached_property
     def stereotypes(self) -> DataFrame:
         """Stereotypes of the exported profiles."""
@@ -167,6 +173,7 @@ class Workspace:
     def close(self) -> None:
         """Forget the lookups and remove all intermediate tables of the application."""
         _OPEN.clear()
+        drop_bucketed(self.spark)
         remove_folders(self.spark)
 
     @cached_property

@@ -1,12 +1,14 @@
 """Closures and cycles, overrides, gates, loss proof, commits as units, all-or-none notification, many sets in one read."""
 
 import json
+import re
 
 import pytest
 from py4j.protocol import Py4JJavaError
 from pyspark.errors import PySparkException, StreamingQueryException
 from pyspark.sql import functions as F
 
+from modelweave.functions import scale as SC
 from modelweave.operators import changes as C
 from modelweave.operators import checks as X
 from modelweave.operators import documents as D
@@ -275,3 +277,97 @@ def test_a_bad_set_is_named(spark, tmp_path):
     bad.write_text(json.dumps({"documents": [_document(1)]})[:-20])
     with pytest.raises((PySparkException, Py4JJavaError), match=r"bad\.json"):
         S.read_document_sets(spark, [good, str(bad)]).collect()
+
+
+# ---------------------------------------------------------------- counts in the pass that writes
+
+
+def _errors(spark, *rows_):
+    return spark.createDataFrame(list(rows_), struct(ERRORS))
+
+
+def test_a_report_counts_while_it_writes(spark):
+    one = _errors(spark, ("r", "a", "error", "c", "m"), ("r", "a", "error", "c", "m"), ("r", None, "fatal", "c", None))
+    two = _errors(spark, ("r", "a", "error", "c", "m"), ("r", "b", "warning", "c", "m"))
+    found = E.report({"first": one, "second": two, "third": two.filter("false")})
+    assert rows(found.by_step()) == [("first", "error", 1), ("first", "fatal", 1), ("second", "warning", 1)]
+    assert found.counts["third", "fatal"] == 0 and len(found.counts) == 9
+    assert rows(found.errors, "element", "step") == [("a", "first"), ("b", "second"), (None, "first")]
+    with pytest.raises(ValueError, match="fatal errors: first 1$"):
+        found.stop()
+    none = E.report({"only": two.filter("false")})
+    none.stop()
+    assert none.by_step().isEmpty() and none.errors.isEmpty()
+
+
+def test_errors_are_read_once_for_their_totals(spark):
+    seen = spark.sparkContext.accumulator(0)
+
+    @F.udf("string")
+    def counted(x):
+        seen.add(1)
+        return x
+
+    given = _errors(spark, *[("r", f"e{i % 3}", "error", "c", f"m{i}") for i in range(30)]).repartition(2)
+    found = E.errors_by_element(given.withColumn("message", counted.asNondeterministic()("message")), "root")
+    assert {(r.n_messages, r.n_of_element, r.n_of_all) for r in found.collect()} == {(10, 10, 30)}
+    assert seen.value == 30
+
+
+def test_metrics_of_empty_and_filled_tables(spark):
+    n = {"n": F.count(F.lit(1)), "top": F.max("id")}
+    kept, seen = SC.measured(spark.range(1000).filter("id % 7 = 0"), "some", n)
+    assert seen == {"n": kept.count(), "top": 994}
+    kept, seen = SC.measured(spark.range(10).filter("id < 0"), "none", n)
+    assert seen["n"] == 0 and seen["top"] is None and kept.isEmpty()
+
+
+# ---------------------------------------------------------------- buckets
+
+
+def _above(plan, line_mark):
+    """The operators above the line that holds the mark, nearest first, up to the next join."""
+    lines = plan.split("\n")
+    at = next(i for i, line in enumerate(lines) if line_mark in line)
+    depth, out = re.search(r"[A-Za-z*]", lines[at]).start(), []
+    for line in reversed(lines[:at]):
+        start = re.search(r"[A-Za-z*]", line)
+        if start and start.start() < depth:
+            depth = start.start()
+            out.append(line)
+            if "Join" in line:
+                break
+    return out
+
+
+def test_references_meet_elements_without_a_shuffle_of_them(spark):
+    elements = spark.createDataFrame([(f"e{i}",) for i in range(500)] + [("e1",), (None,)], "uuid string")
+    links = spark.createDataFrame([(f"e{i % 510}", "e1", "a") for i in range(2000)] + [(None, "e2", "a")],
+                                  "sourceElement string, targetElement string, metaAssociation string")
+    universes = {"elements": elements, "associations": spark.createDataFrame([("a",)], "uuid string")}
+    expected = rows(X.unresolved_references({"unorderedLinks": links}, universes))
+    assert len(expected) == 10
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        kept = SC.bucketed(elements.filter("uuid IS NOT NULL"), "keys", ["uuid"])
+        found = X.unresolved_references({"unorderedLinks": links}, universes | {"elements": kept})
+        above = _above(found._jdf.queryExecution().executedPlan().toString(), "Bucketed: true")
+        assert "SortMergeJoin" in above[-1]
+        assert not [line for line in above if "Exchange" in line]
+        assert rows(found) == expected
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    SC.drop_bucketed(spark)
+    assert not spark.catalog.listTables(pattern=f"{SC.BUCKETED}*")
+
+
+def test_the_workspace_keeps_elements_in_buckets(spark, small):
+    w = workspace(spark, small)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        refs = w.graph.slot.select("ref").filter("ref IS NOT NULL").groupBy("ref").count()
+        joined = refs.join(w.element_keys.withColumnRenamed("uuid", "ref"), "ref", "left_anti")
+        above = _above(joined._jdf.queryExecution().executedPlan().toString(), "Bucketed: true")
+        assert not [line for line in above if "Exchange" in line]
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
