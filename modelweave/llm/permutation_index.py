@@ -9,13 +9,15 @@ product in double precision, summed component by component. The best of all bloc
 
 So that large norms count, vectors are lifted before they are seen by the pivots: a component makes all of
 the largest norm, and a query has 0 there; the nearest lifted vector is the one of largest inner product.
+For the pivots all components are divided by the largest of the table, so no square is lost or infinite.
 
 Blocks of queries meet blocks of vectors by an equi-join on the pair of block numbers; a cell holds at most
 about ``BLOCK`` of each, however many there are.
 
 Defined results: vectors that are null, zero, hold null or non-finite components, or are of another length
 than most, take no part, neither do rows without id. A query's own id is no candidate. Equal scores go to
-the smaller id; rows of one id are separate candidates. An empty table gives no rows; with fewer candidates
+the smaller id; rows of one id are separate candidates. A vector is zero if all its components are; scores
+beyond the largest double are infinite, and those that are no number come last. An empty table gives no rows; with fewer candidates
 than ``k``, all are returned.
 """
 
@@ -35,13 +37,15 @@ BLOCK = 8192
 
 
 def usable(vectors: DataFrame, id_col: str, vector_col: str) -> DataFrame:
-    """(id, v array<double>, norm2) of the vectors that take part."""
+    """(id, v array<double>) of the vectors that take part."""
     v = F.col("v")
     finite = F.forall(v, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
     rows = vectors.select(
         vectors[id_col].cast("long").alias("id"), vectors[vector_col].cast("array<double>").alias("v")
-    ).filter(F.col("id").isNotNull() & v.isNotNull() & (F.size("v") > 0) & F.coalesce(finite, F.lit(False)))
-    return rows.withColumn("norm2", F.aggregate(v, F.lit(0.0), lambda a, x: a + x * x)).filter("norm2 > 0")
+    )
+    return rows.filter(
+        F.col("id").isNotNull() & v.isNotNull() & F.coalesce(finite, F.lit(False)) & F.exists(v, lambda x: x != 0)
+    )
 
 
 def pick_pivots(rows: DataFrame, pivots: int) -> np.ndarray:
@@ -75,14 +79,17 @@ def nearest(
     """(query_id, rank, id, score): for each row where ``is_query`` (of column ``id``) holds, the ``k`` found."""
     rows = usable(vectors, id_col, vector_col)
     out_schema = f"query_id long, `{id_col}` long, score double"
-    sizes = rows.groupBy(F.size("v").alias("dim")).agg(F.count(F.lit(1)).alias("n"), F.max("norm2").alias("top"))
+    largest = F.array_max(F.transform("v", F.abs))
+    sizes = rows.groupBy(F.size("v").alias("dim")).agg(F.count(F.lit(1)).alias("n"), F.max(largest).alias("unit"))
     most = sizes.orderBy(F.desc("n"), "dim").first()
     spark = vectors.sparkSession
     if most is None:
         return spark.createDataFrame([], f"query_id long, rank int, `{id_col}` long, score double")
     rows = written(rows.filter(F.size("v") == most["dim"]), "vectors")
-    pivot = pick_pivots(rows, pivots)
-    top = most["top"]
+    unit = most["unit"]
+    pivot = pick_pivots(rows, pivots) / unit
+    norm2 = F.aggregate("v", F.lit(0.0), lambda a, x: a + (x / unit) * (x / unit))
+    top = rows.agg(F.max(norm2)).first()[0]
     lifted = np.hstack([pivot, np.sqrt(np.maximum(top - (pivot**2).sum(1, keepdims=True), 0))])
     shared = spark.sparkContext.broadcast(lifted)  # at most ``pivots`` vectors
     queries = rows.filter(is_query)
@@ -94,7 +101,10 @@ def nearest(
         other = F.explode(F.sequence(F.lit(0).cast("long"), F.lit(others - 1).cast("long")))
         of = of.select("id", "v", part.alias("own"), other.alias("other"))
         row, column = ("own", "other") if own_first else ("other", "own")
-        return of.select((F.col(row) * max(blocks, 1) + F.col(column)).alias("cell"), "id", "v")
+        # Columns of their own for each side: both come from one table, and a cogroup would take them for the same.
+        return of.select(
+            (F.col(row) * max(blocks, 1) + F.col(column)).alias("cell"), F.col("id").alias("id"), F.col("v").alias("v")
+        )
 
     def cell(data: pa.Table, asked: pa.Table) -> pa.Table:
         out = []
@@ -104,11 +114,12 @@ def nearest(
             x = _matrix(data.column("v"), len(ids))
             order = np.argsort(ids, kind="stable")
             ids, x = ids[order], x[order]
-            rest = np.sqrt(np.maximum(top - (x**2).sum(1, keepdims=True), 0))
-            postings = np.ascontiguousarray(_seen(np.hstack([x, rest]), p).T)  # one list of places per pivot
+            scaled = x / unit
+            rest = np.sqrt(np.maximum(top - (scaled**2).sum(1, keepdims=True), 0))
+            postings = np.ascontiguousarray(_seen(np.hstack([scaled, rest]), p).T)  # one list of places per pivot
             asked_ids = np.asarray(asked.column("id"), dtype=np.int64)
             q = _matrix(asked.column("v"), len(asked_ids))
-            places = _seen(np.hstack([q, np.zeros((len(q), 1))]), p)
+            places = _seen(np.hstack([q / unit, np.zeros((len(q), 1))]), p)
             many = min(len(ids), max(LEAST, k + 1, int(np.ceil(share * len(ids)))))
             tie = np.arange(len(ids))
             for qid, vector, place in zip(asked_ids, q, places, strict=True):
@@ -118,7 +129,8 @@ def nearest(
                 key = footrule.astype(np.int64) * len(ids) + tie
                 found = np.argpartition(key, many - 1)[:many] if many < len(ids) else tie
                 found = found[ids[found] != qid]
-                score = np.cumsum(x[found] * vector, axis=1)[:, -1]  # summed from the first component on
+                with np.errstate(over="ignore", invalid="ignore"):
+                    score = np.cumsum(x[found] * vector, axis=1)[:, -1]  # summed from the first component on
                 best = np.lexsort((ids[found], -score))[:k]
                 out.append((np.full(len(best), qid), ids[found][best], score[best]))
         columns = [np.concatenate(c) for c in zip(*out, strict=True)] if out else [[], [], []]
@@ -131,6 +143,6 @@ def nearest(
         dealt(rows, groups, blocks, True).groupBy("cell")
         .cogroup(dealt(queries, blocks, groups, False).groupBy("cell")).applyInArrow(cell, out_schema)
     )
-    best = Window.partitionBy("query_id").orderBy(F.desc("score"), F.col(id_col))
+    best = Window.partitionBy("query_id").orderBy(F.isnan("score"), F.desc("score"), F.col(id_col))
     ranked = found.withColumn("rank", F.row_number().over(best).cast("int")).filter(F.col("rank") <= k)
     return ranked.select("query_id", "rank", id_col, "score")

@@ -66,3 +66,29 @@ def test_many_equal_vectors(spark):
     table = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
     got = found(nearest(table, F.col("id") % 350 == 0, k=5, block=200))
     assert [i for i, _ in got[350]] == [i for i, _ in brute(rows, lambda i: i == 350, 5)[350]]
+
+
+def test_magnitudes_do_not_change_the_neighbours(spark):
+    random = np.random.default_rng(5)
+    x = random.normal(size=(900, 8)) * random.exponential(1.0, size=(900, 1))
+
+    def near(power):
+        rows = [(i, v.tolist()) for i, v in enumerate(x * 2.0**power)]
+        table = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+        return found(nearest(table, F.col("id") % 90 == 0, k=7, share=0.1, block=500))
+
+    plain = near(0)
+    for power in (500, -500):  # squares of the norms are far beyond, or below, what the pivots could tell
+        assert near(power) == {q: [(i, s * 2.0 ** (2 * power)) for i, s in of] for q, of in plain.items()}
+
+
+def test_tiny_vectors_count_and_endless_scores_have_an_order(spark):
+    rows = [(0, [1e-200, 0.0]), (1, [1e200, 1e200]), (2, [3e-200, 1.0]), (3, [1e300, -1e300]), (4, [0.0, -0.0]),
+            (5, [2.0, 5e-324]), (20, [1e300, 1e300])]
+    table = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = found(nearest(table, F.col("id") % 20 == 0, k=10))
+    assert set(got) == {0, 20}
+    assert got[0] == [(3, 1e300 * 1e-200), (20, 1e300 * 1e-200), (1, 1e200 * 1e-200), (5, 2e-200), (2, 0.0)]
+    infinite = float("inf")
+    assert got[20][:4] == [(1, infinite), (5, 2e300), (2, 1e300), (0, 1e100)]
+    assert got[20][4][0] == 3 and np.isnan(got[20][4][1]) and len(got[20]) == 5
