@@ -8,6 +8,8 @@ smaller id. Positions are ranked by growing prefixes, and a rank that is unique
    is kept, so that each string of 50 bytes holds a kept position, at the same place wherever the string
    stands.
 2. Spark sorts (rank, document) pairs of the kept positions over the cluster. Ranks of one document drop out.
+   Per slice and rank, one pair is sorted; the slice's other documents of that rank are known to share it. A task
+   holds one row of the rank it is at, however many documents have it.
 3. The positions left get the bytes around them, and the rank is taken on to the 27 strings of 50 bytes that
    hold their first 24. Spark sorts them by the first rank, and equal strings meet: a string of which a
    smaller document has another is marked. The marks of a document make its removed runs.
@@ -55,22 +57,27 @@ def _join(a: np.ndarray, b: np.ndarray) -> np.ndarray:
 
 
 def _ranks(data: np.ndarray) -> np.ndarray:
-    """Rank of the ``FIRST`` bytes from each position on, by doubling."""
-    rank = _BYTE[data]
-    for reach in (1, 2, 4, 8):
-        rank = _join(rank[:-reach], rank[reach:])
-        if reach == 4:
-            eight = rank
-    return _join(rank[:len(rank) - 8], eight[16:16 + len(rank) - 8])
+    """Rank of the ``FIRST`` bytes from each position on, by doubling.
 
-
-def _least(x: np.ndarray, width: int) -> np.ndarray:
-    """Smallest of ``width`` neighbours from each place on."""
+    Up to 8 bytes the rank is the bytes themselves, in an integer of twice the width at each doubling.
+    """
+    rank = data
+    for reach, wide in ((1, np.uint16), (2, np.uint32), (4, np.uint64)):
+        both = rank[reach:].astype(wide)
+        both <<= wide(8 * reach)
+        both |= rank[:-reach]
+        rank = both
+    sixteen = _join(rank[:-8], rank[8:])
+    return _join(sixteen[:len(sixteen) - 8], rank[16:])
+
+
+def _of_neighbours(pick, x: np.ndarray, width: int) -> np.ndarray:
+    """``pick`` (np.minimum or np.maximum) over ``width`` neighbours from each place on."""
     reach = 1
     while 2 * reach <= width:
-        x = np.minimum(x[:-reach], x[reach:])
+        x = pick(x[:-reach], x[reach:])
         reach *= 2
-    return np.minimum(x[:len(x) - (width - reach)], x[width - reach:]) if reach < width else x
+    return pick(x[:len(x) - (width - reach)], x[width - reach:]) if reach < width else x
 
 
 def _pieces(texts: list[bytes]):
@@ -99,15 +106,14 @@ def kept_positions(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarr
         starts = np.concatenate(([0], np.cumsum(sizes)[:-1]))
         data = np.frombuffer(b"".join(p for _, _, p in group), np.uint8)
         ranks = _ranks(data)  # of len(data) - 23 positions
-        least = _least(ranks, NEAR)  # for every string that starts in data: len(data) - 49
-        inside = np.zeros(len(least) + 1, np.int8)
-        np.add.at(inside, starts, 1)
-        np.add.at(inside, starts + sizes - LENGTH + 1, -1)
-        least = np.where(np.cumsum(inside[:-1]) > 0, least, np.uint64(0))  # strings over a border do not count
-        pad = np.zeros(SIDE, np.uint64)
+        order = (ranks >> np.uint64(32)).astype(np.uint32)  # half a rank tells the smallest; equal halves are all kept
+        least = _of_neighbours(np.minimum, order, NEAR)  # for every string that starts in data: len(data) - 49
+        over = (starts + sizes)[:-1, None] - np.arange(1, LENGTH)
+        least[over.ravel()] = 0  # strings over a border do not count
+        pad = np.zeros(SIDE, np.uint32)
         # A position is kept if it has the smallest rank of some string: the largest of the least ones around it.
-        around = ~_least(~np.concatenate((pad, least, pad)), NEAR)
-        at = np.flatnonzero(ranks == around)
+        around = _of_neighbours(np.maximum, np.concatenate((pad, least, pad)), NEAR)
+        at = np.flatnonzero(order == around)
         piece = np.searchsorted(starts, at, side="right") - 1
         text = np.array([i for i, _, _ in group])[piece]
         offset = np.array([a for _, a, _ in group])[piece]
@@ -115,6 +121,9 @@ def kept_positions(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarr
     if not found:
         return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.uint64)
     text, at, rank = (np.concatenate(c) for c in zip(*found, strict=True))
+    same = text[1:] == text[:-1]
+    if not (same & (at[1:] <= at[:-1])).any():  # pieces come in order and differ, unless a text was cut
+        return text, at, rank
     order = np.lexsort((at, text))
     text, at, rank = text[order], at[order], rank[order]
     new = np.ones(len(text), bool)
@@ -140,8 +149,11 @@ def _blobs(values: np.ndarray, starts: np.ndarray) -> pa.Array:
 # ---------------------------------------------------------------- the first rank: which are shared
 
 
-def _slice_ranks(batch: pa.RecordBatch) -> pa.RecordBatch:
-    """(rank, least and largest id, ids) of a slice, one row per rank."""
+def _slice_ranks(batch: pa.RecordBatch):
+    """(rank, id, ids) of a slice: for every rank its smallest id, ``ids`` being empty where the slice has others.
+
+    Those others, for which nothing is open, come as rows of their own: ``ids`` holds them, and ``id`` is null.
+    """
     ids = np.asarray(batch.column(0), dtype=np.int64)
     text, _, rank = kept_positions(texts_of(batch))
     of = ids[text]
@@ -149,53 +161,55 @@ def _slice_ranks(batch: pa.RecordBatch) -> pa.RecordBatch:
     rank, of = rank[order], of[order]
     new = np.ones(len(rank), bool)
     new[1:] = (rank[1:] != rank[:-1]) | (of[1:] != of[:-1])
-    rank, of = rank[new], of[new]
+    rank, of = rank[new].view(np.int64), of[new]
     starts = _starts(rank)
-    last = np.append(starts[1:], len(rank)) - 1
-    single = starts == last
-    more = _blobs(of, starts).to_pylist() if not single.all() else [None] * len(starts)
-    return pa.RecordBatch.from_arrays(
-        [
-            pa.array(rank[starts].view(np.int64)), pa.array(of[starts] if len(of) else np.zeros(0, np.int64)),
-            pa.array([None if s else m for s, m in zip(single, more, strict=True)], pa.binary()),
-        ],
-        ["rank", "id", "ids"],
-    )
+    several = np.diff(np.append(starts, len(rank))) > 1
+    empty = pc.if_else(pa.array(several), pa.scalar(b"", pa.binary()), pa.scalar(None, pa.binary()))
+    yield pa.RecordBatch.from_arrays([pa.array(rank[starts]), pa.array(of[starts]), empty], _RANK_NAMES)
+    other = np.ones(len(rank), bool)
+    other[starts] = False
+    if other.any():
+        rank, of = rank[other], of[other]
+        starts = _starts(rank)
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(rank[starts]), pa.nulls(len(starts), pa.int64()), _blobs(of, starts)], _RANK_NAMES
+        )
+
+
+_RANK_NAMES = ["rank", "id", "ids"]
 
 
 def _shared_ranks(batches):
-    """From rows sorted by rank: (id, rank) of the ranks that stand in several documents."""
-    held = None
+    """From rows sorted by rank: (id, rank) of the ranks that stand in several documents.
+
+    Of the rank at a batch's end only one row is held: either all its ids so far are equal, or it is known to be
+    shared and its rows are given out as they come.
+    """
+    held = (np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, bool))
     for batch in batches:
-        table = pa.Table.from_batches([batch])
-        if held is not None:
-            table = pa.concat_tables([held, table])
-        rank = np.asarray(table.column("rank"))
-        cut = int(np.searchsorted(rank, rank[-1], side="left")) if len(rank) else 0
-        if cut:
-            yield from _several(table.slice(0, cut), rank[:cut])
-        held = table.slice(cut)
-    if held is not None and held.num_rows:
-        yield from _several(held, np.asarray(held.column("rank")))
+        rank, ids = np.asarray(batch.column("rank")), batch.column("ids")
+        passed = np.asarray(batch.column("id").is_null())
+        if passed.any():
+            blobs = ids.filter(pa.array(passed)).to_pylist()
+            yield from _pairs(
+                np.frombuffer(b"".join(blobs), np.int64), np.repeat(rank[passed], [len(x) // 8 for x in blobs])
+            )
+        new = (rank, np.asarray(batch.column("id").fill_null(0)), np.asarray(ids.is_valid()))
+        rank, of, several = (np.concatenate((h, n[~passed])) for h, n in zip(held, new, strict=True))
+        if not len(rank):
+            continue
+        starts = _starts(rank)
+        shared = np.minimum.reduceat(of, starts) != np.maximum.reduceat(of, starts)
+        shared |= np.logical_or.reduceat(several, starts)
+        keep = np.repeat(shared, np.diff(np.append(starts, len(rank))))
+        yield from _pairs(of[keep], rank[keep])
+        held = (rank[-1:], of[-1:], shared[-1:])
 
 
-def _several(table: pa.Table, rank: np.ndarray):
-    first = np.asarray(table.column("id"))
-    more = table.column("ids")
-    many = np.asarray(more.is_valid())
-    starts = _starts(rank)
-    group = np.repeat(np.arange(len(starts)), np.diff(np.append(starts, len(rank))))
-    shared = np.minimum.reduceat(first, starts) != np.maximum.reduceat(first, starts)
-    shared |= np.logical_or.reduceat(many, starts)  # a row with several ids
-    keep = shared[group]
-    single = keep & ~many
-    blobs = more.filter(pa.array(keep & many)).to_pylist()
-    ids = np.concatenate([first[single], *(np.frombuffer(b, np.int64) for b in blobs)])
-    ranks = np.concatenate([rank[single], np.repeat(rank[keep & many], [len(b) // 8 for b in blobs])])
+def _pairs(ids: np.ndarray, ranks: np.ndarray):
     for at in range(0, len(ids), 1 << 16):
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(ids[at:at + (1 << 16)]), pa.array(ranks[at:at + (1 << 16)])], ["id", "rank"]
-        )
+        part = slice(at, at + (1 << 16))
+        yield pa.RecordBatch.from_arrays([pa.array(ids[part]), pa.array(ranks[part])], ["id", "rank"])
 
 
 # ---------------------------------------------------------------- on to the strings of LENGTH bytes
@@ -374,7 +388,9 @@ def _marked(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
         docs[id_col].cast("long").alias("id"), docs[text_col].alias("text")
     )
     ranks = rows.mapInArrow(by_slices(_slice_ranks, most_bytes=SLICE), "rank long, id long, ids binary")
-    shared = ranks.repartition("rank").sortWithinPartitions("rank").mapInArrow(_shared_ranks, "id long, rank long")
+    # a rank's rows meet, but for those that are only passed on: of one rank, they go to many tasks
+    meeting = F.when(F.col("id").isNull(), F.xxhash64("rank", "ids")).otherwise(F.col("rank"))
+    shared = ranks.repartition(meeting).sortWithinPartitions("rank").mapInArrow(_shared_ranks, "id long, rank long")
     shared = written(shared, "shared-ranks")
     of_id = shared.groupBy("id").agg(F.collect_set("rank").alias("ranks"))
     strings = rows.join(of_id, "id").select("id", F.xxhash64("id", "text").alias("doc"), "text", "ranks")

@@ -2,6 +2,7 @@ import random
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from modelweave.llm import suffix_dedup
@@ -64,3 +65,32 @@ def test_long_texts_are_cut_without_loss(spark, monkeypatch):
 def test_documents(spark, small):
     docs = documents(spark, small)
     assert found(docs) == brute([(r.doc_id, r.text) for r in docs.collect()])
+
+
+def test_shared_ranks_hold_one_row_of_a_rank():
+    """Ranks over the borders of batches, with ids passed on, against plain sets."""
+    random.seed(5)
+    given = sorted((random.randint(0, 30), random.randint(0, 3)) for _ in range(300))
+    given += [(50, 7)] * 40 + [(60, 8)] * 25 + [(60, 9)]  # one id only; a second one at the very end
+    ids_of = {}
+    for rank, i in given:
+        ids_of.setdefault(rank, set()).add(i)
+    rows = [(rank, i, None) for rank, i in given] + [(70, 1, b""), (70, None, np.array([2, 3]).tobytes())]
+    schema = pa.schema([("rank", pa.int64()), ("id", pa.int64()), ("ids", pa.binary())])
+    for size in (1, 2, 7, 1000):
+        batches = [
+            pa.RecordBatch.from_arrays([pa.array(c, t.type) for c, t in zip(zip(*rows[at:at + size]), schema)], schema=schema)
+            for at in range(0, len(rows), size)
+        ]
+        got = {(i, r) for b in suffix_dedup._shared_ranks(iter(batches)) for i, r in zip(*b.to_pydict().values())}
+        want = {(i, r) for r, ids in ids_of.items() if len(ids) > 1 for i in ids}
+        assert got == want | {(1, 70), (2, 70), (3, 70)}
+
+
+@pytest.mark.parametrize("slice_bytes", [400, 1 << 20])
+def test_a_passage_of_a_third_of_all_documents(spark, monkeypatch, slice_bytes):
+    monkeypatch.setattr(suffix_dedup, "SLICE", slice_bytes)
+    passage = "this passage of more than fifty bytes stands in a third of all documents; "
+    rows = [(i, (passage if i % 3 == 0 else "") + f"own words of document {i} " * 4) for i in range(300)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    assert found(docs) == brute(rows)
