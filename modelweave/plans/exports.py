@@ -264,8 +264,9 @@ def export_selected(selection: DataFrame, documents: DataFrame) -> tuple[DataFra
 
 
 def row_text(df: DataFrame) -> Column:
-    """All columns of a row as one text, in the order of their names."""
-    return F.concat_ws("|", *[F.coalesce(F.col(c).cast("string"), F.lit("~")) for c in sorted(df.columns)])
+    """All columns of a row as one text, in the order of their names: bytes, ``:``, text; a null is ``-``."""
+    texts = [F.col(c).cast("string") for c in sorted(df.columns)]
+    return F.concat(*[F.coalesce(F.concat(F.octet_length(t), F.lit(":"), t), F.lit("-")) for t in texts])
 
 
 def table_contents(export: Export) -> DataFrame:

@@ -565,7 +565,9 @@ def _contents(bundle: str, errors: bool = True) -> list[str]:
             continue
         ddl = ERRORS if table == "errors" else FAMILIES[_FAMILY[bundle]][table]
         columns = sorted(field.split()[0] for field in ddl.split(","))
-        text = "concat_ws('|', " + ", ".join(f"coalesce(CAST(\"{c}\" AS STRING), '~')" for c in columns) + ")"
+        text = " || ".join(
+            f"coalesce(strlen(CAST(\"{c}\" AS STRING)) || ':' || CAST(\"{c}\" AS STRING), '-')" for c in columns
+        )
         number = f"CAST('0x' || substr(md5({text}), 1, 15) AS BIGINT)"
         out.append(f"""SELECT '{table}' AS "table", count(*) AS n_rows, CAST(sum({number}) AS STRING) AS content
 FROM ({statement}) AS x HAVING count(*) > 0""")

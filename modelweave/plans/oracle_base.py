@@ -96,7 +96,7 @@ BASE["raw_slot"] = "\nUNION ALL ".join([
           instance=_id("mon:ord", "o_orderkey")),
     *_refs("orders", _T, "Customer", _id("cus", "o_custkey"), "orders", _ORD),
     *_atomics("lineitem_at", _T, "LineItem", _LINE, quantity=_m("l_quantity"), extendedprice=_m("l_extendedprice"),
-              discount=_m("l_discount"), tax=_m("l_tax")),
+              discount=_m("l_discount"), tax=_m("l_tax"), shipdate=_s("CAST(l_shipdate AS DATE)")),
     *_literals("lineitem_at", _T, "LineItem", _LINE, returnflag=("ReturnFlag", "l_returnflag"),
                linestatus=("LineStatus", "l_linestatus")),
     _slot("lineitem_at", _T, "LineItem", _LINE, "charges", "'instance'", ref=f"'chg:t:' || {_LINE}",
@@ -110,6 +110,8 @@ BASE["raw_slot"] = "\nUNION ALL ".join([
     _slot("doc_line", _TEXT, "Document", _DOC, "lines", "'atomic'", "words", position="line", collection=True),
     *_refs("conversations", "'urn:dialog'", "Conversation", _id("con", "conv_id"), "turns", _TUR, "turn"),
     *_literals("conversations", "'urn:dialog'", "Turn", _TUR, role=("Role", "role")),
+    *_atomics("conversations", "'urn:dialog'", "Turn", _TUR, text="text"),
+    *_atomics("pages", "'urn:web'", "Page", _id("pag", "page_id"), html="html"),
     _slot("vec_entry", "'urn:vectors'", "Vector", _VEC, "embedding", "'atomic'",
           "printf('%.8e', CAST(x AS DOUBLE))", position="entry", collection=True),
     *_atomics("embeddings", "'urn:vectors'", "Vector", _VEC, label=_s("label")),

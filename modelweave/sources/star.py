@@ -176,6 +176,7 @@ class StarGraph:
             t("lineitem_at"), tpch, "LineItem", line_id,
             _atomic("quantity", money(c("l_quantity"))), _atomic("extendedprice", money(c("l_extendedprice"))),
             _atomic("discount", money(c("l_discount"))), _atomic("tax", money(c("l_tax"))),
+            _atomic("shipdate", _text(F.to_date("l_shipdate"))),
             _literal("returnflag", "ReturnFlag", c("l_returnflag")),
             _literal("linestatus", "LineStatus", c("l_linestatus")),
             _slot("charges", "instance", ref=charge("t"), position=F.lit(0), collection=True,
@@ -195,7 +196,8 @@ class StarGraph:
         parts["turns"] = self._slots(t("conversations"), "urn:dialog", "Conversation", uuid("con", "conv_id"),
                                      _element("turns", uuid("tur", "conv_id", "turn"), c("turn")))
         parts["conversations"] = self._slots(t("conversations"), "urn:dialog", "Turn", uuid("tur", "conv_id", "turn"),
-                                             _literal("role", "Role", c("role")))
+                                             _literal("role", "Role", c("role")), _atomic("text", c("text")))
+        parts["pages"] = self._slots(t("pages"), "urn:web", "Page", uuid("pag", "page_id"), _atomic("html", c("html")))
         entries = t("embeddings").select("vec_id", F.posexplode("embedding").alias("entry", "x"))
         # nine significant digits: the text gives back every 32-bit number
         exact = F.format_string("%.8e", c("x").cast("double"))

@@ -46,10 +46,13 @@ _BUSINESS_ATTRIBUTES = """(VALUES
   ('LineItem', 4, 'returnflag', 'en:ReturnFlag', 1, false, false),
   ('LineItem', 5, 'linestatus', 'en:LineStatus', 1, false, false),
   ('LineItem', 6, 'charges', 'ds:Money', -1, true, false),
+  ('LineItem', 7, 'shipdate', 'dt:String', 1, false, false),
   ('Document', 0, 'nchars', 'dt:Integer', 1, false, false),
   ('Document', 1, 'lang', 'en:Lang', 1, false, false),
   ('Document', 2, 'lines', 'dt:String', -1, false, false),
+  ('Page', 0, 'html', 'dt:String', 1, false, false),
   ('Turn', 0, 'role', 'en:Role', 1, false, false),
+  ('Turn', 1, 'text', 'dt:String', 1, false, false),
   ('Vector', 0, 'embedding', 'dt:Real', -1, true, false),
   ('Vector', 1, 'label', 'dt:Integer', 1, false, false),
   ('User', 0, 'scores', 'dt:Real', -1, true, false),

@@ -371,3 +371,23 @@ def test_the_workspace_keeps_elements_in_buckets(spark, small):
         assert not [line for line in above if "Exchange" in line]
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_row_texts_tell_nulls_and_separators_apart(spark):
+    from modelweave.plans.exports import row_text
+
+    given = [("a|b", "c"), ("a", "b|c"), (None, "~"), ("~", None), ("-", "-"), (None, None), ("", ""), ("1:a", ""), ("1", ":a")]
+    df = spark.createDataFrame(given, "x string, y string")
+    assert df.select(row_text(df).alias("text")).distinct().count() == len(given)
+
+
+def test_whole_texts_are_slots(spark, small):
+    """Hand-counted: every page, turn and ship date stands in a slot as it is."""
+    from modelweave.sources.star import StarGraph
+
+    graph = StarGraph(spark, small)
+    for table, column, name in (("pages", "html", "html"), ("conversations", "text", "text"), ("lineitem", "l_shipdate", "shipdate")):
+        want = graph.table(table).selectExpr(f"CAST({column} AS {'DATE' if name == 'shipdate' else 'STRING'}) AS value")
+        got = graph.slot.filter(f"feature_name = '{name}'").select("value")
+        want = want.selectExpr("CAST(value AS STRING) AS value")
+        assert want.count() > 0 and got.exceptAll(want).isEmpty() and want.exceptAll(got).isEmpty()
