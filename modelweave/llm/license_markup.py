@@ -4,7 +4,8 @@ A template is plain wording with two kinds of markup: ``[[ ... ]]`` is a region
 ``{{most: pattern}}`` a region it may replace by up to ``most`` words that each match the pattern. The
 automaton of a template reads words only, so case, punctuation and line breaks never matter; it accepts a
 run of consecutive words if all mandatory words stand there exactly, in order. A text is scanned from every
-place of a template's first mandatory word, and gets the label of each template that accepts a run there.
+place of a template's first mandatory word, and gets the label of each template that accepts a run there. Short
+templates (``TEMPLATES``) tell that a licence is named, those of ``license_texts`` that its whole text stands there.
 
 Besides, base phrases are counted at all places where their words stand consecutively.
 
@@ -24,6 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from modelweave.llm.common import by_slices, keyed, texts_of
+from modelweave.llm.license_texts import WHOLE
 
 WORD = re.compile(rb"[0-9a-z\x80-\xff]+")  # of the lower-cased UTF-8 bytes: all but [\x00-\x2F\x3A-\x60\x7B-\x7F]
 
@@ -187,7 +189,8 @@ class Scanner:
 
 
 def scan(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", base: dict[str, str] = BASE, templates=TEMPLATES
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", base: dict[str, str] = BASE,
+    templates=TEMPLATES + WHOLE,
 ) -> DataFrame:
     """One row per document: counts, places of base phrases, labels and score."""
     kept: list[Scanner] = []

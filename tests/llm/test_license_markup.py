@@ -3,6 +3,7 @@ import re
 import pytest
 
 from modelweave.llm.license_markup import BASE, Scanner, TEMPLATES, WORD, compile_template, scan
+from modelweave.llm.license_texts import WHOLE
 from tests.llm.cases import documents, edge_documents, no_documents
 
 
@@ -73,3 +74,36 @@ def test_markup(template, text, accepted):
 def test_malformed_templates(template):
     with pytest.raises(ValueError):
         compile_template("x", template)
+
+
+def _plain(template, optional):
+    """A text a template accepts: each region left out, or with its first alternative and a replacement."""
+    text = re.sub(r"\{\{16: .+?\}\}", " some author and others ", template)
+    text = re.sub(r"\{\{1: .+?\}\}", " 1. " if optional else " ", text)
+    return re.sub(r"\[\[([^|\]]*).*?\]\]", r"\1" if optional else "", text)
+
+
+@pytest.mark.parametrize("label,template", WHOLE)
+@pytest.mark.parametrize("optional", [False, True])
+def test_whole_licences(label, template, optional):
+    text = _plain(template, optional)
+    scanner = Scanner(BASE, TEMPLATES + WHOLE)
+    found = scanner.scan(("Some file.\n# " + text.replace("\n", "\n# ") + "# The end.").encode())
+    assert [x for x in found[5].split(",") if x in dict(WHOLE)] == [label] and found[6] == 1
+    words = words_of(_plain(template, False))
+    automaton = compile_template(label, template)
+    assert automaton.share([w.encode() for w in words], 0) == 1
+    for i, word in enumerate(words):  # one mandatory word changed or left out is not accepted
+        if word in ("some", "author", "and", "others"):
+            continue
+        for instead in ([word + "x"], []):
+            changed = [w.encode() for w in words[:i] + instead + words[i + 1:]]
+            assert automaton.share(changed, 0) < 1, (i, word, instead)
+
+
+def test_whole_licence_in_a_table(spark):
+    mit = _plain(dict(WHOLE)["mit-whole"], True)
+    rows = [(1, mit), (2, mit.replace("merge", "blend")), (3, "x " * 50_000 + mit), (4, None), (4, "")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = sorted((r.doc_id, r.labels) for r in scan(docs).collect())
+    assert got == [(1, "mit,mit-whole"), (2, "mit"), (3, "mit,mit-whole"), (4, ""), (4, "")]
