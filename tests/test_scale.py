@@ -146,3 +146,31 @@ def test_rebuild_slots_continues_long_collections(spark):
     found = sorted(V.rebuild_slots(values, values_per_row=10).collect(), key=lambda r: r["block"])
     assert [len(r["values"]) for r in found] == [10, 10, 5]
     assert [i for r in found for i in r["indexes"]] == list(range(25))
+
+
+def test_rounds_of_the_closure_hold_no_node_without_one_below_it(spark, monkeypatch):
+    leaves = [(f"leaf{i}", "a") for i in range(50)] + [("leaf0", "c"), ("leaf1", "leaf1")]
+    edges = spark.createDataFrame([("a", "b"), ("b", "c"), ("c", "d"), *leaves], "specific string, general string")
+    nodes = spark.createDataFrame([(n,) for n in ["a", "b", "c", "d", *[f"leaf{i}" for i in range(50)]]], "uuid string")
+    written, real = [], T.materialize
+    monkeypatch.setattr(T, "materialize", lambda df, label: written.append(real(df, label)) or written[-1])
+    found = T.closure(nodes, edges)
+    rounds = [df for df in written[:-1] if df.columns == ["node", "ancestor", "depth"]]
+    assert rounds and all(df.filter("node LIKE 'leaf%' AND node <> 'leaf1'").isEmpty() for df in rounds)
+    got = {(r[0], r[1]): r[2] for r in found.filter("node LIKE 'leaf%'").collect()}
+    assert len(got) == 50 * 5 and got["leaf0", "c"] == 1 and got["leaf0", "d"] == 2 and got["leaf2", "d"] == 4
+
+
+@pytest.mark.parametrize("limit", ["0", "3", "100"])
+def test_inherited_is_the_join_with_and_without_a_broadcast(spark, limit):
+    taxa = spark.createDataFrame(
+        [("a", "a"), ("b", "b"), ("c", "c"), ("b", "a"), ("c", "a"), ("c", "b")], "metaclass string, supertype string")
+    held = spark.createDataFrame([("a", 1), ("a", 1), ("b", 2), ("c", 3), ("x", 4), (None, 5)], "supertype string, v int")
+    spark.conf.set("spark.modelweave.broadcastRows", limit)
+    try:
+        used = scale.used_lookup(held, taxa.filter("metaclass <> supertype"), ["supertype"])
+        assert used.count() == (6 if limit == "100" else 3)
+        got = rows(T.inherited(taxa, held, "supertype"), "metaclass", "supertype", "v")
+    finally:
+        spark.conf.unset("spark.modelweave.broadcastRows")
+    assert got == rows(taxa.join(held, "supertype"), "metaclass", "supertype", "v")
