@@ -391,3 +391,18 @@ def test_whole_texts_are_slots(spark, small):
         got = graph.slot.filter(f"feature_name = '{name}'").select("value")
         want = want.selectExpr("CAST(value AS STRING) AS value")
         assert want.count() > 0 and got.exceptAll(want).isEmpty() and want.exceptAll(got).isEmpty()
+
+
+def test_only_keys_of_several_holders_are_compared(spark):
+    given = spark.createDataFrame(
+        [("d", "x", "b"), ("d", "x", "c"), ("d", "y", "b"), ("d", "z", "d"), ("d", "z", "b"), ("d", None, "b"), ("d", None, "a")],
+        "metaclass string, key string, holder string")
+    taxa = spark.createDataFrame(
+        [("d", "d"), ("d", "b"), ("d", "c"), ("d", "a"), ("b", "b"), ("b", "a"), ("c", "c"), ("c", "a"), ("a", "a")],
+        "metaclass string, supertype string")
+    several = U.contested(given.unionByName(given))
+    assert several.filter("key = 'y'").isEmpty() and several.count() == 12
+    expected = [("d", "x", "b"), ("d", "x", "c"), ("d", "z", "d"), ("d", None, "a"), ("d", None, "b")]
+    assert rows(U.minimal_holders(several, taxa)) == sorted(expected, key=repr)
+    more = several.withColumn("n", F.lit(1))
+    assert rows(U.minimal_holders(more, taxa).select("metaclass", "key", "holder").distinct()) == sorted(expected, key=repr)
