@@ -7,8 +7,9 @@ from modelweave.functions import scale
 from modelweave.operators import checks as X
 from modelweave.operators import values as V
 from modelweave.plans.queries import registered
-from modelweave.plans.workspace import Workspace
+from modelweave.plans.workspace import METAMODEL, MetamodelLookups, Workspace
 from modelweave.sources import tables as TB
+from modelweave.sources.star import StarGraph
 from modelweave.sources.star_sql import ELEMENT_ROWS
 from tests.conftest import rows
 
@@ -105,3 +106,12 @@ def test_unordered_collections_are_grouped_where_they_are_numbered(spark):
     df = _values(spark, *[("t", "r", f"e{i % 9}", "a", None, f"v{i}") for i in range(90)]).drop("index")
     rebuilt = V.rebuild_slots(scale.numbered(df, ["table", "resource", "entity", "attribute"], ["value"]))
     assert rebuilt._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning") == 1
+
+
+def test_lookups_of_one_metamodel_write_no_table_of_all(spark, small):
+    w = Workspace(spark, small)
+    every = MetamodelLookups(StarGraph(spark, small), w.graph.document.filter(F.col("resource") == METAMODEL), "every")
+    for name in ("classes", "features", "oriented", "attributes", "matched", "taxonomy", "attribute_lookups", "forward"):
+        assert rows(getattr(w.business, name)) == rows(getattr(every, name)), name
+    kept = {"raw_feature", "raw_class", "raw_type", "raw_generalization", "end_pair"}
+    assert not kept & set(w.graph._tables) and not w.business.graph.kept
