@@ -12,7 +12,8 @@ smaller id. Positions are ranked by growing prefixes, and a rank that is unique
    holds one row of the rank it is at, however many documents have it.
 3. The positions left get the bytes around them, and the rank is taken on to the 27 strings of 50 bytes that
    hold their first 24. Spark sorts them by the first rank, and equal strings meet: a string of which a
-   smaller document has another is marked. The marks of a document make its removed runs.
+   smaller document has another is marked. Positions with the same bytes around them are compared as one, so only
+   ranks of several surroundings have their strings sorted. The marks of a document make its removed runs.
 
 Before each sort a task reduces its own slice: a rank is sent once per slice, and strings for which the slice
 itself has a smaller document are settled there. So a passage that a third of all documents hold is sent once
@@ -40,8 +41,8 @@ FIRST = 24
 SIDE = LENGTH - FIRST  # so many bytes of a string may stand before its kept position
 NEAR = SIDE + 1
 PIECE = 1 << 18  # bytes hashed at a time
-SLICE = 8 << 20  # bytes of text a task reduces at a time
-OPEN_ROWS = 200_000  # rows of a sorted partition compared at a time, unless one rank has more
+SLICE = 2 << 20  # bytes of text a task reduces at a time; more takes memory and hardly sends fewer ranks
+OPEN_ROWS = 100_000  # rows of a sorted partition compared at a time, unless one rank has more
 LEAST_HOT = 2_000
 
 _A, _B, _C = (np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9))
@@ -227,22 +228,55 @@ def _strings(rank: np.ndarray, left: np.ndarray, right: np.ndarray):
             before = _join(before, _BYTE[left[:, SIDE - 1 - j]])
 
 
-def _marks(rank, ids, left, right, possible) -> np.ndarray:
-    """Bits of the strings (by bytes before the position) of which a smaller id has another."""
+def _whole(rank: np.ndarray, around: np.ndarray, possible: np.ndarray) -> np.ndarray:
+    """One rank for the rank, the bytes around it and the possible strings, taken on by eight bytes at a time."""
+    words = np.zeros((len(rank), 2 * SIDE + 4), np.uint8)
+    words[:, :2 * SIDE] = around
+    words[:, 2 * SIDE:] = possible.astype(np.uint32)[:, None].view(np.uint8)
+    whole = rank
+    for word in words.view(np.uint64).T:
+        whole = _join(whole, word)
+    return whole
+
+
+def _marks(rank, ids, around, possible, whole) -> np.ndarray:
+    """Bits of the strings (by bytes before the position) of which a smaller id has another.
+
+    Of rows with the same surroundings, all strings of those without the smallest id are marked. Those that have it
+    stand for one row, whose strings are compared if its rank has other surroundings, too.
+    """
+    order = np.argsort(whole)
+    new = np.ones(len(order), bool)
+    new[1:] = (whole[order][1:] != whole[order][:-1]) | (rank[order][1:] != rank[order][:-1])
+    starts = np.flatnonzero(new)
+    sizes = np.diff(np.append(starts, len(order)))
+    least = np.minimum.reduceat(ids[order], starts)
+    one = order[starts]
+    by_rank = np.argsort(rank[one])
+    alike = np.diff(np.append(_starts(rank[one][by_rank]), len(one)))
+    several = by_rank[np.repeat(alike > 1, alike)]
+    row = one[several]
+    one_marks = np.zeros(len(one), np.uint32)
+    one_marks[several] = _string_marks(rank[row], least[several], around[row], possible[row])
+    marks = np.empty(len(rank), np.uint32)
+    marks[order] = np.where(ids[order] > np.repeat(least, sizes), possible[order], np.repeat(one_marks, sizes))
+    return marks
+
+
+def _string_marks(rank, ids, around, possible) -> np.ndarray:
+    """The same marks, by sorting the strings of all rows for each number of bytes before the position."""
     marks = np.zeros(len(rank), np.uint32)
-    by_id = np.argsort(ids, kind="stable")
-    ids = ids[by_id]
-    for j, string in _strings(rank[by_id], left[by_id], right[by_id]):
+    for j, string in _strings(rank, around[:, :SIDE], around[:, SIDE:]):
         bit = np.uint32(1 << j)
-        at = np.flatnonzero(possible[by_id] & bit)
+        at = np.flatnonzero(possible & bit)
         if not len(at):
             continue
         string = string[at]
-        order = np.argsort(string, kind="stable")
+        order = np.argsort(string)
         starts = _starts(string[order])
-        least = np.repeat(ids[at[order[starts]]], np.diff(np.append(starts, len(order))))
-        later = at[order[ids[at[order]] > least]]
-        marks[by_id[later]] |= bit
+        of = ids[at][order]
+        least = np.repeat(np.minimum.reduceat(of, starts), np.diff(np.append(starts, len(order))))
+        marks[at[order[of > least]]] |= bit
     return marks
 
 
@@ -262,11 +296,13 @@ def _slice_strings(batch: pa.RecordBatch):
     ids, docs = np.asarray(batch.column("id"), dtype=np.int64), np.asarray(batch.column("doc"), dtype=np.int64)
     texts = texts_of(batch)
     text, at, rank = kept_positions(texts)
-    wanted = [np.array(r, np.int64).view(np.uint64) for r in batch.column("ranks").to_pylist()]
-    ends = np.searchsorted(text, np.arange(len(texts) + 1))
-    keep = np.zeros(len(rank), bool)
-    for i, w in enumerate(wanted):
-        keep[ends[i]:ends[i + 1]] = np.isin(rank[ends[i]:ends[i + 1]], w)
+    ranks = batch.column("ranks")
+    shared = np.asarray(ranks.flatten(), dtype=np.int64).view(np.uint64)
+    shared_of = np.repeat(np.arange(len(texts)), np.asarray(ranks.value_lengths()))
+    # (text, rank) is looked up by a hash: one taken for another keeps a position that is not shared, to no effect
+    keep = np.asarray(pc.is_in(
+        pa.array(_join(rank, text.astype(np.uint64))), value_set=pa.array(_join(shared, shared_of.astype(np.uint64)))
+    ))
     text, at, rank = text[keep], at[keep], rank[keep]
     if not len(text):
         return
@@ -274,30 +310,30 @@ def _slice_strings(batch: pa.RecordBatch):
     offsets = np.concatenate(([0], np.cumsum(sizes + 2 * SIDE)))[:-1] + SIDE
     edge = bytes(SIDE)
     data = np.frombuffer(b"".join(edge + t + edge for t in texts), np.uint8)
-    centre = offsets[text] + at
-    left = data[centre[:, None] + np.arange(-SIDE, 0)]
-    right = data[centre[:, None] + np.arange(FIRST, FIRST + SIDE)]
+    near = np.lib.stride_tricks.sliding_window_view(data, LENGTH + SIDE)[offsets[text] + at - SIDE]
+    around = np.concatenate((near[:, :SIDE], near[:, LENGTH:]), axis=1)
     before = np.minimum(at, SIDE)
     behind = np.minimum(sizes[text] - at - FIRST, SIDE)
     # strings with j bytes before: j <= before and SIDE - j <= behind
     full = (1 << (before + 1)) - 1
     possible = (full & ~((1 << (SIDE - behind)) - 1)).astype(np.uint32)
     # equal surroundings in one document are one row with several places
-    whole = rank.copy()
-    for column in (*left.T, *right.T, possible):
-        whole = _join(whole, column.astype(np.uint64) + np.uint64(1))
-    order = np.lexsort((at, whole, text))
+    whole = _whole(rank, around, possible)
+    order = np.argsort(_join(whole, text.astype(np.uint64)), kind="stable")
     new = np.ones(len(order), bool)
     new[1:] = (text[order][1:] != text[order][:-1]) | (whole[order][1:] != whole[order][:-1])
     starts = np.flatnonzero(new)
+    # in the order of the texts: neighbours share most of their bytes, which keeps the table small
+    first_of = np.empty(len(order), np.int64)
+    first_of[order] = np.repeat(order[starts], np.diff(np.append(starts, len(order))))
+    order = np.argsort(first_of, kind="stable")
+    starts = _starts(first_of[order])
     first = order[starts]
     places = _blobs(at[order].astype("<i4"), starts)  # a text has less than 2 GB
-    marked = _marks(rank[first], ids[text[first]], left[first], right[first], possible[first])
+    around = around[first]
+    marked = _marks(rank[first], ids[text[first]], around, possible[first], whole[first])
     done = marked == possible[first]
-    around = np.concatenate((left[first], right[first]), axis=1)
-    blobs = pa.Array.from_buffers(
-        pa.binary(2 * SIDE), len(first), [None, pa.py_buffer(np.ascontiguousarray(around).tobytes())]
-    ).cast(pa.binary())
+    blobs = pa.Array.from_buffers(pa.binary(2 * SIDE), len(first), [None, pa.py_buffer(around)]).cast(pa.binary())
     blobs = pc.if_else(pa.array(done), pa.scalar(None, pa.binary()), blobs)
     yield pa.RecordBatch.from_arrays(
         [
@@ -308,18 +344,30 @@ def _slice_strings(batch: pa.RecordBatch):
     )
 
 
-def _around(column: pa.ChunkedArray | pa.Array, n: int) -> tuple[np.ndarray, np.ndarray]:
-    both = np.frombuffer(b"".join(column.to_pylist()), np.uint8).reshape(n, 2 * SIDE)
-    return both[:, :SIDE], both[:, SIDE:]
+def _bytes_of(column: pa.ChunkedArray | pa.Array) -> np.ndarray:
+    """The bytes of a binary column, one value after the other."""
+    column = column.cast(pa.binary())
+    parts = column.chunks if isinstance(column, pa.ChunkedArray) else [column]
+    found = [np.zeros(0, np.uint8)]
+    for part in parts:
+        if len(part):
+            ends = np.frombuffer(part.buffers()[1], np.int32)[part.offset:part.offset + len(part) + 1]
+            found.append(np.frombuffer(part.buffers()[2] or b"", np.uint8)[ends[0]:ends[-1]])
+    return np.concatenate(found)
+
+
+def _around(column: pa.ChunkedArray | pa.Array) -> np.ndarray:
+    return _bytes_of(column).reshape(len(column), 2 * SIDE)
 
 
 def _compare(table: pa.Table):
     """The rows (doc, places, marked) of whole ranks, with all marks."""
-    left, right = _around(table.column("around"), table.num_rows)
+    around = _around(table.column("around"))
     possible = np.asarray(table.column("possible")).astype(np.uint32)
     marked = np.asarray(table.column("marked")).astype(np.uint32)
+    rank = np.asarray(table.column("rank")).view(np.uint64)
     marked = marked | _marks(
-        np.asarray(table.column("rank")).view(np.uint64), np.asarray(table.column("id")), left, right, possible
+        rank, np.asarray(table.column("id")), around, possible, _whole(rank, around, possible)
     )
     out = pa.table([table.column("doc"), table.column("places"), pa.array(marked.astype(np.int64))],
                    names=["doc", "places", "marked"])
@@ -351,11 +399,10 @@ def _by_string(hot: DataFrame) -> DataFrame:
 
     def strings(batches):
         for batch in batches:
-            n = batch.num_rows
-            left, right = _around(batch.column("around"), n)
+            around = _around(batch.column("around"))
             rank = np.asarray(batch.column("rank")).view(np.uint64)
             todo = np.asarray(batch.column("possible")) & ~np.asarray(batch.column("marked"))
-            for j, string in _strings(rank, left, right):
+            for j, string in _strings(rank, around[:, :SIDE], around[:, SIDE:]):
                 at = np.flatnonzero(todo & (1 << j))
                 if len(at):
                     pick = pa.array(at)

@@ -94,3 +94,66 @@ def test_a_passage_of_a_third_of_all_documents(spark, monkeypatch, slice_bytes):
     rows = [(i, (passage if i % 3 == 0 else "") + f"own words of document {i} " * 4) for i in range(300)]
     docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
     assert found(docs) == brute(rows)
+
+
+def slice_rows(rows, monkeypatch):
+    """(rows of `_slice_strings` with all ranks wanted, number of rows compared string by string)."""
+    compared = []
+
+    def strings(rank, *columns, plain=suffix_dedup._strings):
+        compared.append(len(rank))
+        return plain(rank, *columns)
+
+    monkeypatch.setattr(suffix_dedup, "_strings", strings)
+    _, _, rank = suffix_dedup.kept_positions([t.encode() for _, t in rows])
+    ranks = [np.unique(rank).view(np.int64).tolist()] * len(rows)
+    columns = [[i for i, _ in rows], list(range(len(rows))), [t for _, t in rows], ranks]
+    batch = pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["id", "doc", "text", "ranks"])
+    return [r for b in suffix_dedup._slice_strings(batch) for r in b.to_pylist()], sum(compared)
+
+
+def check_marks(rows, found):
+    """The strings that are marked, by their first bytes, are those of which a smaller id has another."""
+    strings_of = [[t.encode()[at:at + 50] for at in range(len(t) - 49)] for _, t in rows]
+    least = {}
+    for (i, _), strings in zip(rows, strings_of):
+        for x in strings:
+            least[x] = min(least.get(x, i), i)
+    want = {(doc, at) for doc, (i, _) in enumerate(rows) for at, x in enumerate(strings_of[doc]) if least[x] < i}
+    got = set()
+    for r in found:
+        assert not r["marked"] & ~r["possible"]
+        for at in np.frombuffer(r["places"], "<i4").tolist():
+            got |= {(r["doc"], at - j) for j in range(suffix_dedup.NEAR) if r["marked"] >> j & 1}
+    assert got == want and want
+
+
+def test_copies_are_not_compared_string_by_string(monkeypatch):
+    random.seed(11)
+    passage = "".join(random.choice("abcdefghijklmnop ") for _ in range(1500))
+    rows = [(i, f"own words of {i} " * 4 + passage + f" and the end of {i}" * 3) for i in range(30)]
+    found, compared = slice_rows(rows, monkeypatch)
+    check_marks(rows, found)
+    assert len(found) > 30 * 80
+    assert [r["doc"] for r in found] == sorted(r["doc"] for r in found)  # text order takes less disk
+    assert compared < len(found) / 4  # only those at the passage's ends have other bytes around them
+
+
+def test_marks_where_surroundings_differ(monkeypatch):
+    random.seed(12)
+    parts = ["abcde", "fghij", " xy z", "qrst\n"]
+    rows = [(i // 2, "".join(random.choice(parts) for _ in range(random.randint(8, 40)))) for i in range(120)]
+    rows += [(i, rows[i][1]) for i in range(0, 40, 3)] + [(200, "a" * 90), (200, "a" * 70), (3, "a" * 60)]
+    random.shuffle(rows)
+    found, compared = slice_rows(rows, monkeypatch)
+    check_marks(rows, found)
+    assert compared
+
+
+def test_bytes_of_sliced_and_chunked_columns():
+    values = [b"ab", b"cd", b"", b"ef", b"gh"]
+    for kind in (pa.binary(), pa.large_binary()):
+        column = pa.array(values, kind)
+        assert suffix_dedup._bytes_of(column.slice(1, 3)).tobytes() == b"cdef"
+        assert suffix_dedup._bytes_of(pa.chunked_array([column.slice(1), column.slice(5), column])).tobytes() == b"cdefghabcdefgh"
+        assert not len(suffix_dedup._bytes_of(column.slice(2, 1))) and not len(suffix_dedup._bytes_of(column.slice(0, 0)))
