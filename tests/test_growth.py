@@ -4,6 +4,7 @@
 from pyspark.sql import functions as F
 
 from modelweave.functions import scale
+from modelweave.operators import checks as X
 from modelweave.operators import values as V
 from modelweave.sources.star import StarGraph
 from tests.conftest import rows
@@ -52,3 +53,33 @@ def test_line_items_of_one_order_key_are_told_apart(spark, small, tmp_path):
     lookup = spark.createDataFrame([("LineItem", "tax", "t")], "metaclass string, feature_name string, target string")
     _, whole = graph.slots_apart(lookup, "target")
     assert whole.count() == 80 == whole.select("entity").distinct().count()
+
+
+def test_losses_are_the_same_pass_by_pass(spark, monkeypatch):
+    whole = [(f"{w}AtomicValues", "r", f"e{i % 50}", f"a{i % 4}", i // 50 if w == "ordered" else None, f"v{i}")
+             for i in range(400) for w in ("ordered", "unordered")]
+    whole += [(None, "r", "e1", "a", 0, "v"), ("orderedLinks", None, "e1", "a", 0, "v")]
+    changed = [v for v in whole if v[5] != "v7"] + [("newLinks", "r", "e", "a", 0, "v")]
+    expected, found = spark.createDataFrame(whole, VALUES), spark.createDataFrame(changed, VALUES)
+    at_once = rows(X.lost_values(expected, found))
+    assert len(at_once) == 7
+    labels = []
+    monkeypatch.setattr(X, "materialize", lambda df, label, own=X.materialize: labels.append(label) or own(df, label))
+    spark.conf.set("spark.modelweave.passRows", "150")
+    try:
+        assert rows(X.lost_values(expected, found)) == at_once
+    finally:
+        spark.conf.unset("spark.modelweave.passRows")
+    assert labels.count("found-shares") > 4
+
+
+def test_every_row_is_in_one_pass(spark):
+    df = spark.range(3000).select(
+        F.element_at(F.array(*[F.lit(x) for x in ("a", "b", "c", None)]), (F.col("id") % 4 + 1).cast("int")).alias("table"),
+        F.lit("r").alias("resource"), F.col("id").cast("string").alias("entity"))
+    counts = {(r[0], r[1]): r[2] for r in df.filter("table <> 'c'").groupBy("table", X._share()).count().collect()}
+    passes = X._passes(counts, 200)
+    assert len(passes) > 8
+    number = sum((F.coalesce(p, F.lit(False)).cast("int") for p in passes), F.lit(0))
+    assert df.filter(number != 1).isEmpty()
+    assert all(df.filter(p).count() <= 220 for p in passes[:-1])
