@@ -1,11 +1,14 @@
 """What a query shuffles, writes and keeps on disk as its tables grow."""
 
 
+import pytest
 from pyspark.sql import functions as F
 
 from modelweave.functions import scale
 from modelweave.operators import checks as X
 from modelweave.operators import values as V
+from modelweave.plans import exports as B
+from modelweave.plans.workspace import workspace
 from modelweave.sources.star import StarGraph
 from tests.conftest import rows
 
@@ -83,3 +86,46 @@ def test_every_row_is_in_one_pass(spark):
     number = sum((F.coalesce(p, F.lit(False)).cast("int") for p in passes), F.lit(0))
     assert df.filter(number != 1).isEmpty()
     assert all(df.filter(p).count() <= 220 for p in passes[:-1])
+
+
+def test_slot_tables_are_read_where_they_are_used(spark, small, monkeypatch):
+    w = workspace(spark, small)
+    g, b = w.graph, w.business
+    docs = w.selected_documents
+    b.forward, b.attribute_lookups
+    written = B.slot_tables(B.D.in_documents(g.slot, docs, "Model"), b.attribute_lookups, b.forward)
+    monkeypatch.setattr(B, "materialize", lambda *_: pytest.fail("slot tables were written"))
+    views = B.slot_views(g.slots_of, b.attribute_lookups, b.forward, docs)
+    counts = {r[0]: tuple(r)[1:] for r in _sums(written).collect()}
+    assert len(counts) > 5
+    for title, df in views.items():
+        assert {r[0]: tuple(r)[1:] for r in _sums(df.filter(F.col("table") == title)).collect()}.get(title) == counts.get(title), title
+
+
+def _sums(df):
+    number = F.xxhash64(*sorted(c for c in df.columns if c != "table")).cast("decimal(38,0)")
+    return df.groupBy("table").agg(F.count(F.lit(1)), F.sum(number))
+
+
+def test_references_to_elements_are_shuffled_once(spark):
+    links = spark.createDataFrame([(f"e{i % 30}", f"e{i}", "a") for i in range(200)] + [(None, "e1", "b")] * 3,
+                                  "sourceElement string, targetElement string, metaAssociation string")
+    values = spark.createDataFrame([("t", "e5"), ("t", "gone"), (None, "gone")], "attribute string, value string")
+    universes = {
+        "elements": spark.createDataFrame([(f"e{i}",) for i in range(198)], "uuid string"),
+        "associations": spark.createDataFrame([("a",)], "uuid string"), "attributes": spark.createDataFrame([("t",)], "uuid string"),
+    }
+    tables = {"unorderedLinks": links, "orderedLinks": links, "orderedStructuredValues": values}
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        kept = scale.bucketed(universes["elements"], "keys", ["uuid"])
+        found = X.unresolved_references(tables, universes | {"elements": kept})
+        plan = found._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("hashpartitioning(reference") == 1 + 2 * 2  # elements; two sides of two small universes
+        assert rows(found) == sorted([
+            *[(f"{w}Links", "targetElement", f"e{i}", 1) for w in ("ordered", "unordered") for i in (198, 199)],
+            *[(f"{w}Links", "metaAssociation", "b", 3) for w in ("ordered", "unordered")],
+            ("orderedStructuredValues", "value", "gone", 2)], key=repr)
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    scale.drop_bucketed(spark)
