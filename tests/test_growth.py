@@ -1,5 +1,6 @@
 """What a query shuffles, writes and keeps on disk as its tables grow."""
 
+import gzip
 
 import pytest
 from pyspark.sql import functions as F
@@ -9,6 +10,7 @@ from modelweave.operators import checks as X
 from modelweave.operators import values as V
 from modelweave.plans import exports as B
 from modelweave.plans.workspace import workspace
+from modelweave.sources import tables as TB
 from modelweave.sources.star import StarGraph
 from tests.conftest import rows
 
@@ -28,36 +30,6 @@ def test_a_written_table_leaves_no_shuffle_files(spark, monkeypatch):
     assert tracker.shuffleStatuses().size() <= held + 1
 
 
-def test_single_values_are_whole_collections_without_a_shuffle(spark):
-    given = spark.createDataFrame([("t", "r", f"e{i}", "a", i % 3 * 7000, None if i == 1 else f"v{i}") for i in range(9)], VALUES)
-    alone = V.rebuild_alone(given)
-    assert "Exchange" not in alone._jdf.queryExecution().executedPlan().toString()
-    assert rows(alone) == rows(V.rebuild_slots(given))
-
-
-def test_slots_apart_are_the_slots_of_the_lookup(spark, small):
-    graph = StarGraph(spark, small)
-    names = ["quantity", "tax", "returnflag", "charges"]
-    given = [("LineItem", f, f"ft:{f}") for f in names] + [("Order", "total", "ft:total"), ("LineItem", "discount", "ft:tax")]
-    lookup = spark.createDataFrame(given, "metaclass string, feature_name string, target string")
-    others, whole = graph.slots_apart(lookup, "target")
-    # tax and discount lead to one target, charges come in pairs, orders are not numbered
-    assert {r[0] for r in whole.select("feature_name").distinct().collect()} == {"quantity", "returnflag"}
-    assert whole.groupBy("entity", "feature_name").count().filter("count > 1").isEmpty()
-    assert rows(others.unionByName(whole)) == rows(graph.slots_of(lookup))
-    assert graph.slots_apart(lookup, "target", limit=2)[1] is None
-
-
-def test_line_items_of_one_order_key_are_told_apart(spark, small, tmp_path):
-    df = spark.read.parquet(f"{small}/lineitem.parquet").limit(40)
-    twice = df.unionByName(df).withColumn("l_orderkey", F.when(F.col("l_orderkey") % 2 == 0, F.col("l_orderkey")))
-    twice.write.parquet(f"{tmp_path}/lineitem.parquet")
-    graph = StarGraph(spark, str(tmp_path), kept=())
-    lookup = spark.createDataFrame([("LineItem", "tax", "t")], "metaclass string, feature_name string, target string")
-    _, whole = graph.slots_apart(lookup, "target")
-    assert whole.count() == 80 == whole.select("entity").distinct().count()
-
-
 def test_losses_are_the_same_pass_by_pass(spark, monkeypatch):
     whole = [(f"{w}AtomicValues", "r", f"e{i % 50}", f"a{i % 4}", i // 50 if w == "ordered" else None, f"v{i}")
              for i in range(400) for w in ("ordered", "unordered")]
@@ -88,6 +60,36 @@ def test_every_row_is_in_one_pass(spark):
     assert all(df.filter(p).count() <= 220 for p in passes[:-1])
 
 
+def test_single_values_are_whole_collections_without_a_shuffle(spark):
+    given = spark.createDataFrame([("t", "r", f"e{i}", "a", i % 3 * 7000, None if i == 1 else f"v{i}") for i in range(9)], VALUES)
+    alone = V.rebuild_alone(given)
+    assert "Exchange" not in alone._jdf.queryExecution().executedPlan().toString()
+    assert rows(alone) == rows(V.rebuild_slots(given))
+
+
+def test_slots_apart_are_the_slots_of_the_lookup(spark, small):
+    graph = StarGraph(spark, small)
+    names = ["quantity", "tax", "returnflag", "charges"]
+    given = [("LineItem", f, f"ft:{f}") for f in names] + [("Order", "total", "ft:total"), ("LineItem", "discount", "ft:tax")]
+    lookup = spark.createDataFrame(given, "metaclass string, feature_name string, target string")
+    others, whole = graph.slots_apart(lookup, "target")
+    # tax and discount lead to one target, charges come in pairs, orders are not numbered
+    assert {r[0] for r in whole.select("feature_name").distinct().collect()} == {"quantity", "returnflag"}
+    assert whole.groupBy("entity", "feature_name").count().filter("count > 1").isEmpty()
+    assert rows(others.unionByName(whole)) == rows(graph.slots_of(lookup))
+    assert graph.slots_apart(lookup, "target", limit=2)[1] is None
+
+
+def test_line_items_of_one_order_key_are_told_apart(spark, small, tmp_path):
+    df = spark.read.parquet(f"{small}/lineitem.parquet").limit(40)
+    twice = df.unionByName(df).withColumn("l_orderkey", F.when(F.col("l_orderkey") % 2 == 0, F.col("l_orderkey")))
+    twice.write.parquet(f"{tmp_path}/lineitem.parquet")
+    graph = StarGraph(spark, str(tmp_path), kept=())
+    lookup = spark.createDataFrame([("LineItem", "tax", "t")], "metaclass string, feature_name string, target string")
+    _, whole = graph.slots_apart(lookup, "target")
+    assert whole.count() == 80 == whole.select("entity").distinct().count()
+
+
 def test_slot_tables_are_read_where_they_are_used(spark, small, monkeypatch):
     w = workspace(spark, small)
     g, b = w.graph, w.business
@@ -129,3 +131,19 @@ def test_references_to_elements_are_shuffled_once(spark):
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     scale.drop_bucketed(spark)
+
+
+def test_lines_are_written_at_the_fastest_level(spark, tmp_path):
+    one = spark.range(1, 2000, 1, 1).select(F.concat(F.lit("urn:"), F.xxhash64("id").cast("string")).alias("resource"), F.lit("Model").alias("kind"))
+    TB.write_tables({"resources": one}, str(tmp_path), "Model")
+    file = next((tmp_path / "resources").glob("*.json.gz")).read_bytes()
+    lines = gzip.decompress(file)
+    fast, usual = (abs(len(file) - len(gzip.compress(lines, level))) for level in (1, 6))
+    assert fast < usual
+
+
+def test_content_sums_of_any_size(spark):
+    df = spark.range(5000).select(F.col("id").cast("string").alias("x"))
+    got = B.table_contents(B.Export({"t": df}, df.limit(0).select(F.col("x").alias("message")))).first()
+    number = F.conv(F.substring(F.md5(B.row_text(df)), 1, 15), 16, 10).cast("decimal(38,0)")
+    assert (got["n_rows"], got["content"]) == (5000, str(df.select(F.sum(number)).first()[0]))
